@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, unit_dedup, url_filter
+from . import language_id, mixing, quality, unit_dedup, url_filter
 from .common import table
 
 
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    counts = language_id.learn(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    return language_id.identify(docs, counts).select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op4_substring_dedup(spark, sf_dir):
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
@@ -17,9 +23,13 @@ def op6_url_filter(spark, sf_dir):
     return url_filter.judge_urls(pages, is_listed=url_filter.spam_host(F.col("key"))).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_quality(spark, sf_dir):
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op6_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_substring_dedup, op6_url_filter, op8_quality, op10_mixing)}
 ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_mixing": mixing.ORACLE}
