@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, quality, unit_dedup, url_filter
+from . import language_id, mixing, quality, token_output, unit_dedup, url_filter
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op2_language_id(spark, sf_dir):
     return language_id.identify(docs, counts).select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op3_token_output(spark, sf_dir):
+    import public_tokenizers
+
+    path = token_output.new_folder(spark)
+    token_output.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read_tokens(spark, path, with_ids=False)
+
+
 def op4_substring_dedup(spark, sf_dir):
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
@@ -31,5 +39,5 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_substring_dedup, op6_url_filter, op8_quality, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op10_mixing)}
 ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_mixing": mixing.ORACLE}
