@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, quality, token_output, unit_dedup, url_filter
+from . import language_id, mixing, near_dedup, quality, token_output, unit_dedup, url_filter
 from .common import table
 
 
@@ -35,9 +35,13 @@ def op8_quality(spark, sf_dir):
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op9_near_dedup, op10_mixing)}
 ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_mixing": mixing.ORACLE}
