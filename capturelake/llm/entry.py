@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, near_dedup, quality, token_output, unit_dedup, url_filter
+from . import decontamination, language_id, mixing, near_dedup, quality, token_output, unit_dedup, url_filter
 from .common import table
 
 
+def op1_decontamination(spark, sf_dir):
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     counts = language_id.learn(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
@@ -43,5 +47,5 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op9_near_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op9_near_dedup, op10_mixing)}
 ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_mixing": mixing.ORACLE}
