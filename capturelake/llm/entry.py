@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, mixing, near_dedup, quality, token_output, unit_dedup, url_filter
+from . import decontamination, language_id, mixing, near_dedup, quality, token_counts, token_output, unit_dedup, url_filter, vector_search
 from .common import table
 
 
@@ -30,11 +30,21 @@ def op4_substring_dedup(spark, sf_dir):
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, is_listed=url_filter.spam_host(F.col("key"))).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_vector_search(spark, sf_dir):
+    return vector_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark, sf_dir):
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,5 +57,5 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_token_output, op4_substring_dedup, op6_url_filter, op8_quality, op9_near_dedup, op10_mixing)}
-ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_token_output, op4_substring_dedup, op5_token_counts, op6_url_filter, op7_vector_search, op8_quality, op9_near_dedup, op10_mixing)}
+ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op7_vector_search": vector_search.ORACLE, "op10_mixing": mixing.ORACLE}
