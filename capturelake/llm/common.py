@@ -98,6 +98,10 @@ class WordHash(dict):
         return h
 
 
+#: A worker process serves many tasks, one after the other; they share what is remembered.
+WORD_HASHES = WordHash()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every output bit depends on every input bit."""
     h = h.astype(np.uint64, copy=True)

@@ -43,6 +43,10 @@ class _Words(dict):
         return out
 
 
+#: Shared by the tasks of a worker process.
+_WORDS = _Words()
+
+
 def features(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each n-gram, and the document (row) of each."""
     split = [t.split() if t else [] for t in texts]
@@ -62,7 +66,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     flagged = docs.join(F.broadcast(sample.where("good = 1").select("id", F.lit(True).alias("target"))), "id", "left").select("text", F.coalesce("target", F.lit(False)))
 
     def count(batches):
-        total, words = np.zeros(4 * BUCKETS, np.int64), _Words()
+        total, words = np.zeros(4 * BUCKETS, np.int64), _WORDS
         for b in batches:
             bucket, doc = features(b.column(0).to_pylist(), words)
             total[: 2 * BUCKETS] += np.bincount(bucket, minlength=2 * BUCKETS)
@@ -86,7 +90,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     """(id, log_weight, n_grams) of every whole text; null and wordless texts weigh 0."""
 
     def score(batches):
-        words = _Words()
+        words = _WORDS
         for b in batches:
             bucket, doc = features(b.column(1).to_pylist(), words)
             total = np.bincount(doc, ratio[bucket], minlength=b.num_rows)

@@ -2,7 +2,7 @@
 
 The best segmentation of a pre-token's prefix depends on that prefix alone. So distinct pre-tokens are put into a trie whose
 nodes hold the forward score and token count of their prefix: a prefix that many words share is scored
-once, and a word's count is read at its last node. Each task grows its own trie over its texts, and remembers
+once, and a word's count is read at its last node. Each worker process grows its own trie over the texts of its tasks, and remembers
 the terminal counts; nothing is shuffled. The trie is dropped and begun anew when it is large, which changes no count.
 
 Vocabulary: the pieces of a public SentencePiece model, read from a file. That model is a BPE without probabilities,
@@ -23,7 +23,7 @@ from .common import small_batches
 
 BYTE_SCORE = -30.0
 MARK = "▁"
-#: Nodes of a trie and remembered words of a task.
+#: Nodes of a trie and remembered words of a worker process.
 NODES, WORDS = 600_000, 400_000
 
 
@@ -77,6 +77,16 @@ class Trie:
         return self.count[node]
 
 
+_TRIES: dict[str, Trie] = {}
+
+
+def trie_of(vocabulary: str) -> Trie:
+    """The trie of this worker process; its tasks go on with it."""
+    if vocabulary not in _TRIES:
+        _TRIES[vocabulary] = Trie(load_pieces(vocabulary))
+    return _TRIES[vocabulary]
+
+
 def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_pretokens, n_tokens) of every whole text.
 
@@ -86,7 +96,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str
     small_batches(docs.sparkSession)
 
     def run(batches):
-        trie = Trie(load_pieces(vocabulary))
+        trie = trie_of(vocabulary)
         for b in batches:
             n, total = [], []
             for t in b.column(1).to_pylist():
