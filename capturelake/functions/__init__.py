@@ -1 +1 @@
-"""Part of capturelake; see README.md."""
+"""Column expressions and text parsing; see README.md."""
