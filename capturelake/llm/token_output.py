@@ -12,6 +12,7 @@ all documents, then coded partition by partition.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -31,45 +32,91 @@ IDS = 1 << 16
 
 
 class ChunkIds(dict):
-    """Space-separated piece of a text -> its ids as little-endian u16 bytes; emptied when large.
+    """Space-separated piece of a text -> its ids as little-endian u16 bytes.
 
-    A byte-level BPE never joins a piece with the space before it to what stands before that space, so the ids
-    of a text are the ids of its pieces. Pieces with other white space, or special tokens, have no entry: their text is
-    encoded as a whole. New pieces are encoded together, parted by line ends.
+    A byte-level BPE never joins a piece with the space before it to what stands before that space, so the ids of a
+    text are the ids of its pieces. A text with other white space, or special tokens, is encoded as a whole. New
+    pieces are encoded together and parted again at tokens that begin with a space or line end. Keys: ``word`` stands for
+    a space and the word, ``\\nword`` for a line end and the word, ``\\0word`` for the word alone.
+
+    Bounded: when it is full it becomes the older half, whose pieces move back as they are met.
     """
 
     LIMIT = 500_000
+    odd = re.compile(r"\s|[\x1c-\x1f]")
 
     def __init__(self, vocabulary: str):
+        import os
+
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use all cores
         super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = np.array(self.encode("\n"), np.uint16)
-        # Only where a line end is one id and stands alone, pieces can be encoded together.
-        self.pieces = len(self.split) == 1 and self.encode("\n it\nis, 7") == [*self.encode("\n"), *self.encode(" it"), *self.encode("\n"), *self.encode("is,"), *self.encode(" 7")]
+        size = self.tokenizer.get_vocab_size()
+        assert size <= IDS, "ids must fit 16 bits"
+        self.blank, self.line = self.encode(" a")[0], self.encode("\n")
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        first = names[self.blank][:1]
+        self.starts = np.array([n.startswith(first) for n in names])
+        # Only where blanks and line ends behave as said, pieces can be encoded together.
+        words = [" it", " is,", " 7x"]
+        self.pieces = first != "a" and len(self.line) == 1 and self.encode("".join(words)) == sum(map(self.encode, words), []) and self.encode("\nit\nis,\n") == [*self.line, *self.encode("it"), *self.line, *self.encode("is,"), *self.line]
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, pieces: list[str]) -> bool:
-        """Add pieces; False if one of them can't stand alone."""
-        new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > self.LIMIT:
+    def learn(self, new: list[str]) -> bool:
+        """Add pieces that are not known; False if one of them can't stand alone.
+
+        Letters end where punctuation begins, so a word's ids and those of the marks after it are found one by one.
+        """
+        if len(self) > self.LIMIT:
+            self.old = dict(self)
             self.clear()
-            new = list(dict.fromkeys(pieces))
-        plain = [p[1:] if p[0] in "\n\0" else " " + p for p in new if p]
-        if len(plain) < len(new) or any(len(x := p.split()) != 1 or x[0] != p.removeprefix(" ") or any(s in p for s in self.special) for p in plain):
+        parts, blank, line = [], {}, {}
+        for p in new:
+            ids = self.old.get(p)
+            if ids is not None:
+                self[p] = ids
+                continue
+            word = p.rstrip(",.")
+            if word != p and (word.isalpha() or word[:1] in "\n\0" and word[1:].isalpha()):
+                parts.append((p, word, p[len(word) :]))
+                if word in self:
+                    continue
+                if word in self.old:
+                    self[word] = self.old[word]
+                    continue
+            else:
+                word = p
+            if word[:1] in ("\n", "\0"):
+                line[word] = word[1:]
+            else:
+                blank[word] = word
+        whole = "".join(blank.values()) + "".join(line.values())
+        if "" in blank or "" in line.values() or self.odd.search(whole) or any(s in w for s in self.special for w in (*blank, *line)):
             return False
-        ids = np.array(self.encode("\n".join(["", *plain, ""])), np.uint16)
-        at = np.flatnonzero(ids == self.split[0])
-        if len(at) != len(plain) + 1:
+        a, b = self.tokenizer.encode_batch_fast([" " + " ".join(blank) if blank else "", "\n" + "\n".join(line.values()) + "\n" if line else ""], add_special_tokens=False)
+        ids = np.array(a.ids, np.uint16)
+        at = np.flatnonzero(self.starts[ids])
+        lines = np.array(b.ids, np.uint16)
+        ends = np.flatnonzero(lines == self.line[0])
+        if len(at) != len(blank) or line and len(ends) != len(line) + 1:
             return False
-        raw, start, end = self.split.tobytes(), at[:-1] + 1, at[1:]
-        for p, a, b in zip(new, start.tolist(), end.tolist(), strict=True):
-            own = ids[a:b].tobytes()
-            self[p] = raw + own if p[0] == "\n" else own
+        data, cuts = ids.tobytes(), [*(2 * at).tolist(), 2 * len(ids)]
+        for n, p in enumerate(blank):
+            self[p] = data[cuts[n] : cuts[n + 1]]
+        data, cuts = lines.tobytes(), (2 * ends).tolist()
+        for n, p in enumerate(line):
+            self[p] = data[cuts[n] + 2 * (p[0] == "\0") : cuts[n + 1]]
+        for p, word, marks in parts:
+            if marks not in self.marks:
+                self.marks[marks] = np.array(self.encode(marks), np.uint16).tobytes()
+            self[p] = self[word] + self.marks[marks]
         return True
 
     def of(self, text: str) -> bytes:
@@ -77,14 +124,24 @@ class ChunkIds(dict):
             return b""
         if self.pieces:
             pieces = ("\0" + text).replace("\n", " \n").split(" ")
-            try:
-                return b"".join(map(self.__getitem__, pieces))
-            except KeyError:
-                if self.learn(pieces):
-                    return b"".join(map(self.__getitem__, pieces))
+            found = list(map(self.get, pieces))
+            if None not in found:
+                return b"".join(found)
+            if self.learn(list(dict.fromkeys(p for p, ids in zip(pieces, found, strict=True) if ids is None))):
+                return b"".join([self[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)])
         return np.array(self.encode(text), np.uint16).tobytes()
 
 
+_CHUNKS: dict[str, ChunkIds] = {}
+
+
+def chunk_ids(vocabulary: str) -> ChunkIds:
+    """The pieces known to this worker process; its tasks share them."""
+    if vocabulary not in _CHUNKS:
+        _CHUNKS[vocabulary] = ChunkIds(vocabulary)
+    return _CHUNKS[vocabulary]
+
+
 def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(part, row, doc_id, n_tokens, ids) in ascending doc_id order by (part, row); a null id comes first."""
     end = np.array([end_id], np.uint16).tobytes()
@@ -92,7 +149,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, text: str =
     def run(batches):
         from pyspark import TaskContext
 
-        chunks, part, row = ChunkIds(vocabulary), TaskContext.get().partitionId(), 0
+        chunks, part, row = chunk_ids(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
             ids = [chunks.of(t) + end for t in b.column(1).to_pylist()]
             n = b.num_rows
