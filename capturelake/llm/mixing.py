@@ -36,7 +36,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
     A target stops at CAP times its source's size and the excess is shared again by weight until none is above.
     That ends at ``min(CAP * size, level * weight)``; sorted by ``size / weight`` the capped sources come
-    first, so one pass finds the level. One row per source; sources without words get 0.
+    first, so one pass finds the level: that of the first source that isn't capped, the greatest. One row per source; sources without words get 0.
     """
     by_name = Window.orderBy(F.col("source").isNull(), "source")
     by_ratio = Window.orderBy(F.col("source_size") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +46,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     d = d.withColumn("before_size", F.coalesce(F.sum("source_size").over(by_ratio), F.lit(0))).withColumn("before_weight", F.coalesce(F.sum("weight").over(by_ratio), F.lit(0)))
     d = d.withColumn("level", (F.col("total") - CAP * F.col("before_size")) / (F.col("weights") - F.col("before_weight")).cast("double"))
     d = d.withColumn("capped", CAP * F.col("source_size") <= F.col("level") * F.col("weight"))
-    d = d.withColumn("final_level", F.min(F.when(~F.col("capped"), F.col("level"))).over(everything))
+    d = d.withColumn("final_level", F.max(F.when(~F.col("capped"), F.col("level"))).over(everything))
     return d.select("source", "source_size", F.when(F.col("capped"), (CAP * F.col("source_size")).cast("double")).otherwise(F.col("final_level") * F.col("weight")).alias("target"))
 
 
@@ -110,7 +110,7 @@ b AS (
   FROM s WINDOW w AS (ORDER BY source_size / CAST(weight AS DOUBLE), rnk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT *, CAST(total - 3 * before_size AS DOUBLE) / CAST(weights - before_weight AS DOUBLE) AS lev FROM b),
 c AS (SELECT *, 3 * source_size <= lev * weight AS capped FROM l),
-t AS (SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE) ELSE min(CASE WHEN NOT capped THEN lev END) OVER () * weight END AS target FROM c),
+t AS (SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE) ELSE max(CASE WHEN NOT capped THEN lev END) OVER () * weight END AS target FROM c),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
 o AS (
   SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs,
