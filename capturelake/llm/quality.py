@@ -93,7 +93,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         words = _WORDS
         for b in batches:
             bucket, doc = features(b.column(1).to_pylist(), words)
-            total = np.bincount(doc, ratio[bucket], minlength=b.num_rows)
+            total = np.bincount(doc, ratio[bucket], minlength=b.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total), pa.array(np.bincount(doc, minlength=b.num_rows))], ["id", "log_weight", "n_grams"])
 
     return docs.select("id", "text").mapInArrow(score, "id long, log_weight double, n_grams long")
