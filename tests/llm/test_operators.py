@@ -1,0 +1,384 @@
+"""Edge cases of every operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from capturelake.llm import decontamination, language_id, mixing, near_dedup, quality, token_counts, token_output, unit_dedup, url_filter, vector_search  # noqa: E402
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def make(spark, rows, schema=DOCS):
+    return spark.createDataFrame(rows, schema)
+
+
+def odd_docs(spark):
+    """Null, empty, blank, very long and repeated texts, a null id, and columns that operators use for themselves."""
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, " \n\t ", None, None, 3), (4, " ".join(words * 10), "en", "b", 1), (5, "hello, world.", "en", "a", 1), (5, "hello, world.", "en", "a", 1), (None, "no id here at all, my friend", "de", "b", 1), (6, "ünïcödé ẞ 日本語 😀 \x00 x", "fr", None, 1)]
+    d = make(spark, rows)
+    for c in ("key", "kept", "size", "removed", "start", "digest", "rank", "label", "id"):
+        d = d.withColumn(c, F.lit("clash"))
+    return d
+
+
+def prose(rng, n, words=400):
+    return " ".join(rng.choice(VOCAB) for _ in range(n))
+
+
+VOCAB = ["".join(random.Random(i).choice("abcdefghij") for _ in range(2 + i % 6)) for i in range(600)]
+
+
+# 1
+
+
+def test_decontamination_finds_items_and_paraphrases(spark):
+    rng = random.Random(1)
+    items = [(i, prose(rng, 40) + ".") for i in range(12)] + [(98, None), (99, "")]
+    rows, want = [], set()
+    for i in range(150):
+        words = prose(rng, 120).split()
+        if i % 10 == 0:
+            item = items[i // 10 % 12]
+            own = item[1].split()
+            if i % 20 == 0:  # a paraphrase: every ninth word is another one
+                own = [w if k % 9 else "zz" for k, w in enumerate(own)]
+            words[50:50] = own
+            want.add((i, item[0]))
+        rows.append((i, " ".join(words), "en", "a", 1))
+    docs, bench = make(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.matches(docs, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert got == want, (got ^ want, found[:3])
+    left = {r.doc_id for r in decontamination.without_matches(docs, bench).collect()}
+    assert left == {r[0] for r in rows} - {d for d, _ in want}
+
+
+def test_decontamination_edges(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    assert decontamination.matches(odd_docs(spark), bench).count() == 0
+    assert decontamination.matches(odd_docs(spark), bench.limit(0)).count() == 0
+    assert decontamination.matches(make(spark, []), bench).count() == 0
+
+
+def test_lcs_against_plain_dynamic_programming():
+    rng = random.Random(5)
+    for _ in range(60):
+        a, b = [rng.choice("abcdefg") for _ in range(rng.randint(1, 25))], [rng.choice("abcdefg") for _ in range(rng.randint(0, 40))]
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        got = decontamination.Item(1, " ".join(a)).covered(b)[0]
+        want = t[-1][-1] / len(a)
+        assert got == want or (got == 0 and len(set(a) & set(b)) and sum(x in b for x in a) < decontamination.COVER * len(a)) or want == 0
+
+
+# 2
+
+
+def test_language_code_lengths_are_probabilities():
+    rng = np.random.default_rng(2)
+    text = bytes(rng.choice(list(b"abcd e"), 4000)) * 2
+    data = np.frombuffer(text, np.uint8)
+    p1, p2, p3 = (p.astype(np.int64) for p in language_id._grams(data, np.array([0])))
+    key3, key4 = (p2 << 16) | (p1 << 8) | data, (p3 << 24) | (p2 << 16) | (p1 << 8) | data
+    k3, n3 = np.unique(key3, return_counts=True)
+    k4, n4 = np.unique(key4, return_counts=True)
+    c = language_id.Coder(language_id.Counts("x", ["en"], (np.zeros(len(k4), int), k4, n4), (np.zeros(len(k3), int), k3, n3)))
+    p = np.exp2(-c.bits[:, 0].astype(float)).reshape(-1, c.a)
+    times = np.ones(c.a)
+    times[-1] = 256 - (c.a - 1)
+    assert np.allclose((p * times).sum(1), 1, atol=1e-4)
+    # Vectorised code lengths equal those of one byte after the other, also over step ends.
+    language_id.STEP, old = 1000, language_id.STEP
+    parts = [text[:1500], b"", b"a", text[1500:4000]]
+    offsets = np.cumsum([0, *map(len, parts)])
+    got = c.lengths(np.frombuffer(b"".join(parts), np.uint8), offsets)[:, 0]
+    language_id.STEP = old
+    for part, bits in zip(parts, got, strict=True):
+        want, back = 0.0, b"   " + part
+        for i in range(len(part)):
+            a, b, d = (int(c.code[x]) for x in back[i : i + 3])
+            want += c.bits[int(c.row[(a * c.a + b) * c.a + d]) * c.a + int(c.code[part[i]]), 0]
+        assert bits == pytest.approx(want, rel=1e-5)
+
+
+def test_language_id(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    counts = language_id.learn(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    got = language_id.identify(docs, counts).join(docs.select("doc_id", "lang"), "doc_id").where(language_id.held_out(F.col("doc_id")))
+    assert got.where("lang = lang_pred").count() / got.count() > 0.95
+    odd = {r.doc_id: r for r in language_id.identify(odd_docs(spark), counts).collect()}
+    assert odd[1].lang_pred == odd[2].lang_pred == odd[3].lang_pred == "und" and odd[4].lang_pred != "und" and 0 < odd[4].score <= 1
+    none = language_id.learn(make(spark, []).select(F.col("doc_id").alias("id"), "text", "lang"))
+    assert {r.lang_pred for r in language_id.identify(odd_docs(spark), none).collect()} == {"und"}
+
+
+# 3
+
+
+def test_huffman_codes():
+    rng = np.random.default_rng(3)
+    for n, limit in ((1, 16), (2, 16), (300, 9), (5000, 16)):
+        counts = np.zeros(1 << 16, np.int64)
+        counts[rng.choice(1 << 16, n, replace=False)] = (1.0 / rng.random(n) ** 4).astype(np.int64) + 1
+        lengths = token_output.code_lengths(counts, limit)
+        used = lengths[counts > 0].astype(int)
+        assert used.min() >= 1 and used.max() <= limit and not lengths[counts == 0].any()
+        assert sum(2.0**-used) <= 1 + 1e-12
+        if n == 300:  # optimal where the limit doesn't bind
+            import heapq
+
+            h = [int(c) for c in counts[counts > 0]]
+            heapq.heapify(h)
+            total = 0
+            while len(h) > 1:
+                x = heapq.heappop(h) + heapq.heappop(h)
+                total += x
+                heapq.heappush(h, x)
+            assert (token_output.code_lengths(counts, 16)[counts > 0].astype(int) * counts[counts > 0]).sum() >= total
+        ids = rng.choice(np.flatnonzero(counts), 1000).astype(np.uint16)
+        codes, table = token_output.canonical_codes(lengths), token_output.decode_table(lengths)
+        blocks = [ids[:1], ids[1:400], ids[400:400], ids[400:]]
+        packed = [token_output.pack(b, lengths, codes) for b in blocks]
+        back = token_output.unpack([p[0] for p in packed], [p[1] for p in packed], np.array([len(b) for b in blocks]), table)
+        assert (back == ids).all()
+
+
+def test_pieces_equal_whole_texts():
+    chunks, rng = token_output.ChunkIds(BPE), random.Random(4)
+    assert chunks.pieces
+    chunks.LIMIT = 300
+    parts = ["a", "the", "B", ",", ".", "!", " ", "  ", "\n", "\t", "1", "é", "ß", "'s", "’", "<|endoftext|>", "\u00a0", "日本", "\r", "_", "$$", " x", "\n\n", "😀", "\x1c"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(chunks.of(text), np.uint16).tolist() == chunks.encode(text), repr(text)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_token_files_round_trip(spark, empty):
+    from tokenizers import Tokenizer
+
+    docs = odd_docs(spark).limit(0) if empty else odd_docs(spark)
+    path = token_output.new_folder(spark)
+    token_output.write_tokens(docs, path, BPE)
+    got = sorted(token_output.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    t, at = Tokenizer.from_file(BPE), 0
+    want = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        ids = [*t.encode(w.text or "", add_special_tokens=False).ids, 2]
+        assert (g.doc_id, g.start, g.n_tokens, g.ids) == (w.doc_id, at, len(ids), ids)
+        assert g.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
+# 4
+
+
+def test_units_keep_offsets_and_first_occurrence(spark):
+    passage = "This passage of quite a few words is in several documents. It has a second sentence of some length, too!"
+    rows = [(1, f"Own text one two three four five. {passage} End of the first one here, really.", "en", "a", 1), (2, f"{passage.upper()}\nAnother line which nobody else has at all.", "en", "a", 1), (3, "Short. Short. Short.", "en", "a", 1), (4, None, "en", "a", 1), (5, "", "en", "a", 1), (2, f"{passage.upper()}\nAnother line which nobody else has at all.", "en", "a", 1)]
+    docs = make(spark, rows).withColumn("digest", F.lit("x"))
+    spans = unit_dedup.repeated_units(docs)
+    got = spans.collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert {(r.doc_id, texts[r.doc_id][r.start : r.end].strip()) for r in got} == {(2, s) for s in (passage.upper().split("! ")[0].split(". ")[0] + ".", "IT HAS A SECOND SENTENCE OF SOME LENGTH, TOO!")} | set()
+    assert {r.keep_doc_id for r in got} == {1}
+    clean = {r.doc_id: r.clean_text for r in unit_dedup.remove_spans(docs, spans).collect()}
+    assert clean[1] == texts[1] and "PASSAGE" not in clean[2] and clean[4] is None and clean[5] == ""
+    assert unit_dedup.repeated_units(make(spark, [])).count() == 0
+
+
+# 5
+
+
+def test_trie_counts_equal_plain_dynamic_programming(spark):
+    pieces = token_counts.load_pieces(PIECES)
+    trie, rng = token_counts.Trie(pieces), random.Random(6)
+    words = ["".join(rng.choice("abcdeßé日x😀") for _ in range(rng.randint(1, 12))) for _ in range(400)] + ["the", "and", "thenation"]
+    for w in words:
+        assert trie(w) == token_counts.brute_force(token_counts.MARK + w, pieces), w
+    got = {r.doc_id: (r.n_pretokens, r.n_tokens) for r in token_counts.count_tokens(odd_docs(spark), PIECES).collect()}
+    assert got[1] == got[2] == got[3] == (0, 0) and got[4][0] == 30000
+    assert got[5] == (2, sum(token_counts.brute_force(token_counts.MARK + w, pieces) for w in ("hello,", "world.")))
+    assert token_counts.count_tokens(make(spark, []), PIECES).count() == 0
+
+
+# 6
+
+
+@pytest.mark.parametrize("literal_words", [url_filter.LITERAL_WORDS, 4])
+def test_cascade_is_exact(spark, literal_words):
+    u = spark.range(5000).select(F.concat(F.lit("host"), "id", F.lit(".org")).alias("key"), (F.xxhash64("id") % 5 == 0).alias("listed"))
+    pages = u.select(F.concat(F.lit("http://"), "key", F.lit("/x?y")).alias("url"), F.col("listed").alias("want"))
+    url_filter.SHARD_KEYS, old = 100, url_filter.SHARD_KEYS
+    got = url_filter.judge_urls(pages, listed=u.where("listed").select("key"), literal_words=literal_words)
+    assert got.where("want <> (verdict = 'block')").count() == 0 and got.count() == 5000
+    url_filter.SHARD_KEYS = old
+
+
+def test_urls(spark):
+    cases = {
+        None: ("", "", None, "allow"), "": ("", "", None, "allow"), "no scheme/x": ("", "", None, "allow"), "http://A.Example.COM/en/1?x#y": ("a.example.com", "/en/1", "example.com/en/", "block"), "http://www.example.com/en/": ("www.example.com", "/en/", "www.example.com/en/", "allow"),
+        "http://x.www.example.com/en/q": ("x.www.example.com", "/en/q", "www.example.com/en/", "allow"), "http://b.com?q": ("b.com", "", None, "allow"), "http://b.com/": ("b.com", "/", "com/", "allow"), "x://ÀB.net/es/#z": ("Àb.net", "/es/", "net/es/", "block"), "http://notexample.com/en/": ("notexample.com", "/en/", "com/", "allow"),
+        "http://free-bets.example.org/": ("free-bets.example.org", "/", None, "block"), "http://a.org://b/c": ("a.org:", "//b/c", None, "allow"), "http://": ("", "", None, "allow"),
+    }
+    d = spark.createDataFrame([(u, "clash") for u in cases], "url string, host string")
+    got = {r.url: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(d, is_listed=url_filter.spam_host(F.col("key"))).collect()}
+    assert got == cases
+    assert url_filter.judge_urls(d.limit(0)).count() == 0
+
+
+# 7
+
+
+def test_vector_search_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-3, 4, 5).astype(float).tolist(), "clash") for i in range(700)] + [(700, None, ""), (800, [1.0, float("nan"), 0.0, 0.0, 0.0], ""), (900, [1.0, None, 0.0, 0.0, 0.0], ""), (None, [9.0] * 5, ""), (1000, [1.0, 2.0], ""), (1100, [], "")]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    vector_search.SHARD_ROWS, old = 150, vector_search.SHARD_ROWS
+    got = defaultdict(list)
+    for r in vector_search.nearest(d).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    vector_search.SHARD_ROWS = old
+    v = {r[0]: [math.floor(1024 * x) for x in r[1]] for r in rows[:700]}
+    for q in range(0, 700, 100):
+        best = sorted(((-sum(a * b for a, b in zip(v[q], v[k], strict=True)), k) for k in v if k != q))[:10]
+        assert got[q] == [(k, -s) for s, k in best]
+    assert set(got) == set(range(0, 700, 100))
+    big = spark.createDataFrame([(0, [1e9, 3.0]), (1, [2e3, 5.0]), (2, [2e3, 6.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in vector_search.nearest(big).orderBy("rank").collect()] == [(k, int(1024 * 1e9) * 2048000 + 3072 * c) for k, c in ((2, 6144), (1, 5120))]
+    assert vector_search.nearest(d.limit(0)).count() == 0
+
+
+# 8
+
+
+def test_quality(spark, data_dir):
+    docs, labels = spark.read.parquet(f"{data_dir}/documents.parquet"), spark.read.parquet(f"{data_dir}/labels.parquet")
+    r = quality.resample(docs, labels).join(labels, "doc_id")
+    share = {x.quality: x.s for x in r.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("s")).collect()}
+    assert share[1] > 0.97 and share[0] < 0.2
+    k = quality.resample(docs, labels, k=17).where("kept")
+    assert k.count() == 17
+    got = quality.resample(odd_docs(spark), labels.limit(0)).collect()
+    assert len(got) == 8 and all(x.kept for x in got) and {x.log_weight for x in got if x.doc_id in (1, 2, 3)} == {0.0}
+    assert quality.resample(make(spark, []), labels).count() == 0
+
+
+def test_top_k_cut_with_ties(spark):
+    d = spark.createDataFrame([(i, float(i % 7)) for i in range(6000)], "id long, gumbel double")
+    for k in (1, 857, 858, 3000, 5999):
+        at, last = quality.top_k_cut(d, k)
+        assert d.where((F.col("gumbel") > at) | ((F.col("gumbel") == at) & (F.col("id") <= last))).count() == k
+
+
+# 9
+
+
+def test_near_dedup_equals_brute_force(spark):
+    rng, rows = random.Random(9), []
+    for g in range(25):
+        base = prose(rng, rng.choice([30, 120, 300])).split()
+        for _ in range(rng.choice([1, 2, 6])):
+            own = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                own[rng.randrange(len(own))] = "changed"
+            rows.append((len(rows), " ".join(own), "en", "a", 1))
+    rows += [(1000, "one two", "en", "a", 1), (1001, "One two!", "en", "a", 1), (1002, None, "en", "a", 1), (1003, "", "en", "a", 1), (1004, "", "en", "a", 1), (None, "one two", "en", "a", 1), (1000, "one two", "en", "a", 1)]
+    docs = make(spark, rows).withColumn("rep", F.lit(1)).withColumn("label", F.lit(1))
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect() if r.doc_id is not None}
+    idf = near_dedup.inverse_frequencies(docs.select("text"))
+    s = near_dedup.Shingles([r[1] for r in rows], near_dedup.WordHash())
+    w = s.tf * idf[near_dedup._bucket(s.h)]
+    v = [(s.h[s.doc == i], w[s.doc == i]) for i in range(len(rows))]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if rows[i][0] is not None and rows[j][0] is not None and near_dedup.similarity(v[i], v[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows)) if rows[i][0] is not None}
+    assert got == want, (got ^ want, found[:3])
+    left = [r.doc_id for r in near_dedup.one_of_each(docs).collect()]
+    assert set(left) - {None} == set(want.values()) and None in left
+    assert near_dedup.classes(make(spark, [])).count() == 0
+
+
+def test_hub_rounds_find_the_same_classes(spark):
+    rng, rows = random.Random(10), []
+    base = prose(rng, 200).split()
+    for i in range(90):  # most pairs of variants are below the limit, each is near the base
+        own = list(base)
+        for k in rng.sample(range(200), 2 if i else 0):
+            own[k] = f"v{i}"
+        rows.append((i, " ".join(own), "en", "a", 1))
+    near_dedup.PAIRS_PER_MEMBER, old = 0.001, near_dedup.PAIRS_PER_MEMBER
+    got = {r.class_id for r in near_dedup.classes(make(spark, rows)).collect()}
+    near_dedup.PAIRS_PER_MEMBER = old
+    assert got == {0}
+
+
+def test_samples_collide_as_often_as_texts_are_similar():
+    rng, words = random.Random(11), near_dedup.WordHash()
+    idf = np.ones(near_dedup.DF_BUCKETS)
+    base = prose(rng, 400).split()
+    other = base[:360] + prose(rng, 40).split()
+    s = near_dedup.Shingles([" ".join(base), " ".join(other)], words)
+    w = s.tf * 1.0
+    want = near_dedup.similarity((s.h[s.doc == 0], w[s.doc == 0]), (s.h[s.doc == 1], w[s.doc == 1]))
+    got = near_dedup.sample(s, idf, 2)
+    assert abs((got[0] == got[1]).mean() - want) < 0.16
+
+
+# 10
+
+
+def test_mix(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(["word"] * rng.randint(1, 40)), "en", rng.choice(["a"] * 6 + ["b", "c", "d", None]), 1) for i in range(2500)] + [(9000, None, "en", "a", 1), (9001, "", "en", "empty", 1)]
+    docs = make(spark, rows).withColumn("key", F.lit(0)).withColumn("bucket", F.lit(0))
+    got = mixing.mix(docs).collect()
+    size, source = {r[0]: len((r[1] or "").split()) for r in rows}, {r[0]: r[3] for r in rows}
+    assert len(got) == len(rows) and all(r["size"] == size[r.doc_id] and r.taken <= 3 * r["size"] for r in got)
+    sums, taken, target = Counter(), Counter(), {}
+    for r in got:
+        sums[source[r.doc_id]] += r["size"]
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    names = sorted(sums, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    want, free, left = {}, set(names), sum(sums.values())
+    while True:  # share, cap, share the excess again
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 3 * sums[s]}
+        if not over:
+            want |= share
+            break
+        for s in over:
+            want[s] = 3.0 * sums[s]
+            left -= want[s]
+        free -= over
+    assert target == pytest.approx(want)
+    assert all(abs(taken[s] - want[s]) <= 40 for s in names)
+    assert sorted(map(tuple, mixing.mix(docs).collect())) == sorted(map(tuple, got))
+    times = Counter(r.doc_id for r in mixing.mixed_documents(docs).collect())
+    assert times == Counter({r.doc_id: r.taken // r["size"] for r in got if r.taken})
+    assert mixing.mix(make(spark, [])).count() == 0 and mixing.mix(odd_docs(spark)).count() == 8

@@ -1,0 +1,38 @@
+"""Queries of the subpackage against DuckDB, and the pipeline's stages on the smallest tables."""
+
+import glob
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+pytest.importorskip("public_tokenizers")
+
+from capturelake.llm.entry import ORACLES, QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_rows_as_sql(spark, data_dir, name):
+    con = duckdb.connect()
+    for p in glob.glob(f"{data_dir}/*.parquet"):
+        con.sql(f"create view {os.path.basename(p)[:-8]} as select * from '{p}'")
+    got = QUERIES[name](spark, data_dir)
+    names = sorted(got.columns)
+    want = con.sql(f"select {', '.join(f'\"{n}\"' for n in names)} from ({ORACLES[name]})").fetchall()
+    flat = lambda rows: Counter(tuple(f"{x:.6f}" if isinstance(x, float) else str(x) for x in r) for r in rows)
+    assert flat(got.select(*names).collect()) == flat(want)
+
+
+def test_pipeline(spark, data_dir):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    seen = {r.doc_id for r in docs.select("doc_id").collect()}
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        before = seen
+        docs = stage(spark, docs, data_dir)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        seen = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert seen and seen <= before and (n == 3 or len(seen) < len(before))
+    out = corpus_pipeline.run(spark, data_dir)
+    assert out.count() > 0 and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
