@@ -51,7 +51,7 @@ def test_decontamination_finds_items_and_paraphrases(spark):
             item = items[i // 10 % 12]
             own = item[1].split()
             if i % 20 == 0:  # a paraphrase: every ninth word is another one
-                own = [w if k % 9 else "zz" for k, w in enumerate(own)]
+                own = [w if k % 9 else rng.choice(VOCAB) for k, w in enumerate(own)]
             words[50:50] = own
             want.add((i, item[0]))
         rows.append((i, " ".join(words), "en", "a", 1))
@@ -78,11 +78,40 @@ def test_lcs_against_plain_dynamic_programming():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
-        got = decontamination.Item(1, " ".join(a)).covered(b)[0]
+        item = decontamination.Item(1, " ".join(a))
+        code = dict(zip(a, item.words, strict=True))
+        got = item.covered([code.get(x, -1) for x in b])[0]
         want = t[-1][-1] / len(a)
         assert got == want or (got == 0 and len(set(a) & set(b)) and sum(x in b for x in a) < decontamination.COVER * len(a)) or want == 0
 
 
+def test_half_windows_are_shared_rightly():
+    rng = np.random.default_rng(7)
+    ends = np.cumsum([0, 1, 24, 25, 48, 49, 72, 73, 300, 24, 0, 24])
+    bucket, basis = rng.integers(0, 50, ends[-1]), np.append(rng.integers(0, 9, (50, 3)), np.zeros((1, 3), int), 0)
+    doc, first, end = decontamination._passages(ends)
+    assert (decontamination._embed(bucket, basis, first, end) == [basis[bucket[a:e]].sum(0) for a, e in zip(first, end, strict=True)]).all()
+    assert all(end[doc == d].max() == ends[d] for d in set(doc.tolist()))
+
+
+def test_word_hashes_from_bytes():
+    import re
+
+    import pyarrow as pa
+
+    texts = ["one two, two.three", None, "", "x", "ünï cödé-x _a1 ", "  ", "a" * 50 + " b" * 30]
+    decontamination.STEP, old = 40, decontamination.STEP
+    for _ in range(2):
+        decontamination._TABLES.clear()
+        h, ends = decontamination.word_hashes(pa.array(texts))
+        words = [re.findall(r"[a-z0-9_\u0080-\U0010ffff]+", t or "") for t in texts]
+        assert np.diff(ends, prepend=0).tolist() == [len(w) for w in words]
+        flat = [w for s in words for w in s]
+        assert len(set(h.tolist())) == len(set(flat)) == len(set(zip(flat, h.tolist(), strict=True)))
+        decontamination.STEP = old
+    decontamination._TABLES.clear()
+
+
 # 2
 
 
