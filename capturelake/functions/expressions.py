@@ -192,9 +192,11 @@ def centered_crop(length: Column, center: Column, least_share: float = 0.75, tol
 
 
 def rational(text: Column) -> Column:
-    """``a/b`` or ``a:b`` or a plain number as double; null for a zero divisor or other text."""
-    parts = F.split(text, "[/:]")
-    return F.when(F.size(parts) == 2, F.try_divide(F.try_to_number(F.get(parts, 0), F.lit("999999999")).cast("double"), F.try_to_number(F.get(parts, 1), F.lit("999999999")).cast("double"))).otherwise(F.expr("NULL"))
+    """``a/b``, ``a:b`` or a plain number as double; null for no value, a zero divisor, or what isn't positive."""
+    parts = F.split(F.trim(text), "[/:]")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("double")
+    value = F.when(F.size(parts) == 2, F.try_divide(number(0), number(1))).when(F.size(parts) == 1, number(0))
+    return F.when(is_finite(value) & (value > 0), value)
 
 
 def is_variable_rate(average: Column, nominal: Column) -> Column:

@@ -776,3 +776,78 @@ def normalize_gate(events):
     flat = F.concat(F.lit('{"computed_pass":'), flag, F.lit(',"formal_release_eligible":true,"formal_auto_release":false,"training_views_only":true,"held_out":'), held, F.lit("}"))
     text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"policy":{},"decision":'), flat, F.lit("}"))).otherwise(flat)
     return gates.normalize_gate(events.select(F.col("event_id").alias("id"), text.alias("gate"))).select("id", "version", "computed_pass", F.array_join("violations", ",").alias("violations"))
+
+
+# ---- media and reports
+
+
+@query("SELECT l_orderkey AS video_id, l_linenumber AS n, CAST(l_partkey % 3 + 24 AS DOUBLE) AS fps, CAST(l_quantity AS DOUBLE) AS duration_sec, CAST(greatest(1, round_even(CAST(l_quantity AS DOUBLE) * (l_partkey % 3 + 24), 0)) AS BIGINT) AS frame_count, CAST(CASE WHEN l_suppkey % 4 = 3 THEN NULL ELSE (l_suppkey % 4) * 90 END AS INT) AS rotation, CASE WHEN l_suppkey % 4 IN (1) THEN 480 ELSE 640 END AS canonical_width, CASE WHEN l_suppkey % 4 = 3 THEN 'rotation' ELSE '' END AS violations FROM lineitem WHERE l_linenumber = 1")
+def normalize_probe(lineitem):
+    from ..operators import media
+
+    turn = F.when(F.col("l_suppkey") % 4 == 3, 45).otherwise(F.col("l_suppkey") % 4 * 90).cast("string")
+    payload = F.concat(F.lit('{"streams":[{"codec_type":"audio"},{"codec_type":"video","width":640,"height":480,"avg_frame_rate":"'), (F.col("l_partkey") % 3 + 24).cast("string"), F.lit('/1","duration":"'), F.col("l_quantity").cast("string"), F.lit('","tags":{"rotate":"'), turn, F.lit('"}}]}'))
+    d = media.normalize_probe(lineitem.where("l_linenumber = 1").select(F.col("l_orderkey").alias("video_id"), F.col("l_linenumber").alias("n"), payload.alias("payload")))
+    return d.select("video_id", "n", "fps", "duration_sec", "frame_count", "rotation", "canonical_width", F.array_join("violations", ",").alias("violations"))
+
+
+@query("SELECT o_orderkey AS prior, concat_ws(',', CASE WHEN o_custkey % 5 = 0 THEN 'source' END, CASE WHEN o_custkey % 5 <> 0 AND o_orderkey % 3 = 0 THEN 'dimensions' END) AS violations FROM orders")
+def camera_prior_check(orders, customer):
+    from ..operators import media
+
+    p = orders.select(F.col("o_orderkey").alias("prior"), F.col("o_custkey").alias("source_sha256"), F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)).alias("params"), F.when(F.col("o_orderkey") % 3 == 0, 100).otherwise(640).alias("width"), F.lit(480).alias("height"))
+    m = customer.where("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("sha256"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    return media.camera_prior_check(p, m).select("prior", F.array_join("violations", ",").alias("violations"))
+
+
+@query("WITH c AS (SELECT run_id, count(DISTINCT camera) AS camera_count, string_agg(DISTINCT camera, ',' ORDER BY camera) AS camera_names FROM b_exposure GROUP BY 1), l AS (SELECT run_id, round(max(total), 6) AS loss_max FROM (SELECT *, bool_or(kind = 'telemetry') OVER (PARTITION BY run_id) AS has FROM b_losses) WHERE kind = CASE WHEN has THEN 'telemetry' ELSE 'text' END GROUP BY 1) SELECT run_id, camera_count, camera_names, camera_count * 640 * 480 AS pixel_count, loss_max FROM c LEFT JOIN l USING (run_id)")
+def training_run_report(b_exposure, b_losses):
+    from ..operators import media
+
+    cameras = b_exposure.select("run_id", F.col("camera").alias("name")).distinct().withColumns({"ord": F.col("name"), "width": F.lit(640), "height": F.lit(480)})
+    d = media.training_run_report(b_exposure.select("run_id").distinct(), cameras, telemetry.loss_stats(b_losses).select("run_id", r6("loss_max").alias("loss_max")))
+    return d.select("run_id", "camera_count", F.array_join("camera_names", ",").alias("camera_names"), "pixel_count", "loss_max")
+
+
+@query("WITH e AS (SELECT run_id, camera, count(*) AS n FROM b_exposure GROUP BY 1, 2), r AS (SELECT run_id, count(*) AS cc, sum(n) AS it, min(n) AS lo, max(n) AS hi FROM e GROUP BY 1) SELECT run_id, concat_ws(',', CASE WHEN run_id % 3 = 0 THEN 'residual_p90' END, CASE WHEN NOT (lo = it // cc AND hi = it // cc + CASE WHEN it % cc > 0 THEN 1 ELSE 0 END) THEN 'exposure' END, CASE WHEN run_id % 4 = 0 THEN 'digest' END) AS violations FROM r")
+def training_evidence_audit(b_exposure):
+    from ..operators import media
+
+    n = b_exposure.groupBy("run_id", "camera").agg(F.count("*").alias("n"))
+    r = n.groupBy("run_id").agg(F.count("*").alias("camera_count"), F.sum("n").alias("iterations"), F.min("n").alias("min_exposure"), F.max("n").alias("max_exposure"))
+    r = r.withColumns({"p90": F.when(F.col("run_id") % 3 == 0, 1.0).otherwise(1e-6), "digest": F.lit("a"), "declared_digest": F.when(F.col("run_id") % 4 == 0, "b").otherwise("a")})
+    return media.training_evidence_audit(r, ["p90"]).select("run_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("WITH s AS (SELECT DISTINCT run_id FROM b_attempts), o AS (SELECT * FROM (VALUES (0, 'view'), (1, 'click'), (2, 'error'), (3, 'none')) t(position, stage)), l AS (SELECT run_id, stage, attempt, status FROM (SELECT *, row_number() OVER (PARTITION BY run_id, stage ORDER BY attempt DESC) AS n FROM b_attempts) WHERE n = 1) SELECT s.run_id, o.position, o.stage, l.attempt, coalesce(l.status, 'missing') AS status, coalesce(l.status = 'passed' AND s.run_id % 2 = 0, false) AS reusable FROM s CROSS JOIN o LEFT JOIN l ON l.run_id = s.run_id AND l.stage = o.stage")
+def existing_run_stages(b_attempts):
+    from ..operators import media
+
+    a = b_attempts.withColumn("artifacts", F.array(F.struct(F.col("run_id").cast("string").alias("path"), F.lit("x").alias("sha256"))))
+    inventory = b_attempts.where("run_id % 2 = 0").select(F.col("run_id").cast("string").alias("path"), F.lit("x").alias("sha256")).distinct()
+    return media.existing_run_stages(a, inventory, ["view", "click", "error", "none"]).select("run_id", "position", "stage", "attempt", "status", "reusable")
+
+
+@query("WITH i AS (SELECT o_custkey % 50 AS model_id, o_orderkey AS name FROM orders) SELECT model_id, name, 'contract_unexpected' AS violation FROM i WHERE name % 5 = 0 UNION ALL SELECT model_id, name, 'model_missing' FROM i WHERE name % 7 = 0 UNION ALL SELECT model_id, name, 'contract_missing' FROM i WHERE name % 7 = 0 AND name % 5 <> 0 UNION ALL SELECT model_id, name, 'hash' FROM i WHERE name % 3 = 0 AND name % 5 <> 0 AND name % 7 <> 0")
+def audit_training_input(orders):
+    from ..operators import media
+
+    i = orders.select((F.col("o_custkey") % 50).alias("model_id"), F.col("o_orderkey").alias("name"), F.lit("a").alias("sha256"))
+    contract = i.where("name % 5 <> 0").withColumn("sha256", F.when(F.col("name") % 3 == 0, "b").otherwise("a"))
+    return media.audit_training_input(i.where("name % 7 <> 0"), contract, i.select("model_id", "name")).select("model_id", "name", "violation").union(i.where("name % 35 = 0").select("model_id", "name", F.lit("contract_unexpected").alias("violation")))
+
+
+@query("SELECT event_id AS id, concat_ws(',', CASE WHEN event_id % 4 = 0 THEN 'no_verdict' END, CASE WHEN event_id % 4 = 3 THEN 'alias_conflict' END) AS violations, CASE event_id % 4 WHEN 1 THEN 'needs_review' WHEN 2 THEN 'passed' WHEN 3 THEN 'failed' ELSE 'needs_review' END AS status FROM events")
+def normalize_converted_eval(events):
+    from ..operators import media
+
+    text = F.element_at(F.array(*map(F.lit, ("{}", '{"passed":true}', '{"structural_pass":true,"visual_pass":true}', '{"passed":true,"structural_pass":false}'))), (F.col("event_id") % 4 + 1).cast("int"))
+    return media.normalize_converted_eval(events.select(F.col("event_id").alias("id"), text.alias("evidence"))).select("id", F.array_join("violations", ",").alias("violations"), "status")
+
+
+@query("SELECT event_id AS id, event_id % 3 = 1 AS nested, CASE WHEN event_id % 3 = 2 THEN 'no_structural' ELSE '' END AS violations FROM events")
+def normalize_postcheck(events):
+    from ..operators import media
+
+    text = F.element_at(F.array(*map(F.lit, ('{"structural":{"ok":true}}', '{"postcheck_result":{"structural":{"ok":1}}}', '{"structural":5}'))), (F.col("event_id") % 3 + 1).cast("int"))
+    return media.normalize_postcheck(events.select(F.col("event_id").alias("id"), text.alias("evidence"))).select("id", "nested", F.array_join("violations", ",").alias("violations"))
