@@ -11,6 +11,8 @@ bucket share a count). Copies are folded into one representative first. In a buc
 of different classes so far are of interest. Where these are few for each member, all are compared. In larger
 buckets rounds compare every member with one hub, the member with most neighbours (for copies of one text that is
 the text itself, as every copy shares more with it than with other copies), so work stays linear in the members.
+What is then still open is compared wherever two texts share a shingle of their prefixes, the rarest shingles that
+weigh more than 1 - ``least`` of the text: texts as similar as that always do, so no pair is given up.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, WORD_HASHES, WordHash, histogram, mix, small_batches, staged
@@ -30,7 +32,7 @@ DF_BUCKETS = 1 << 18
 POOL = 1 << 16
 #: A bucket with no more open pairs than this for each of its members is compared in full.
 PAIRS_PER_MEMBER = 16
-#: Rounds for the others, one hub each.
+#: Rounds for the others at most, one hub each, while these find links; an exact prefix filter then finds the rest.
 HUB_ROUNDS = 4
 
 _rng = np.random.default_rng(20240607)
@@ -175,6 +177,36 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float)
     return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def prefix_pairs(members: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Pairs (a, b) of members (rep, class) of different classes that may be at least so similar; none is missed.
+
+    Shingles are ordered by the number of members that have them, then by hash. What two texts have in common lies
+    behind the first shingle they share, and must weigh least / (1 + least) of both texts' sum; so each text may have no
+    more before that shingle than is left of its weight.
+    """
+
+    def shingles(batches):
+        for b in batches:
+            s = Shingles(b.column(1).to_pylist(), WORD_HASHES)
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[s.doc]), pa.array(s.h.view(np.int64)), pa.array(s.tf * idf[_bucket(s.h)])], ["rep", "h", "w"])
+
+    own = texts.join(members.select(F.col("rep").alias("id")).hint("merge"), "id").select("id", "text")
+    every = staged(own.mapInArrow(shingles, "rep long, h long, w double"), "open-shingles")
+    often = every.groupBy("h").agg(F.count("*").alias("n"))
+    ranked = every.join(often.hint("merge"), "h")
+    before = Window.partitionBy("rep").orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("rep")
+    ranked = ranked.withColumn("before", F.coalesce(F.sum("w").over(before), F.lit(0.0))).withColumn("total", F.sum("w").over(whole))
+    # No text that is near has less than ``least`` of the other's weight. The tolerance is for rounding of sums only.
+    prefix = ranked.where(F.col("before") <= F.col("total") * (1 - least + 1e-9)).where("n > 1").select("rep", "h", "before", "total")
+    prefix = staged(prefix.join(members.hint("merge"), "rep"), "prefixes")
+    other = prefix.select("h", F.col("rep").alias("other"), F.col("class").alias("other_class"), F.col("before").alias("other_before"), F.col("total").alias("other_total"))
+    common = (F.col("total") + F.col("other_total")) * (least / (1 + least) - 1e-9)
+    fits = (F.col("total") - F.col("before") >= common) & (F.col("other_total") - F.col("other_before") >= common)
+    one = prefix.alias("p").join(other.alias("o").hint("merge"), (F.col("p.h") == F.col("o.h")) & (F.col("rep") < F.col("other")) & (F.col("class") != F.col("other_class")) & fits)
+    return one.select(F.col("rep").alias("a"), F.col("other").alias("b"))
+
+
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, label) with the least node of each component, for nodes with a link; ``known`` labels count as links.
 
@@ -230,7 +262,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key:
     texts = staged(d.join(degree.select(F.col("rep").alias("id")).hint("merge"), "id").dropDuplicates(["id"]), "candidate-texts")
 
     labels = tested = None
-    for round_ in range(HUB_ROUNDS):
+    round_, exact = 0, False
+    while True:
         m = buckets.withColumn("class", F.col("rep")) if labels is None else buckets.join(labels.select(F.col("node").alias("rep"), "label").hint("merge"), "rep", "left").select("key", "rep", "degree", F.coalesce("label", "rep").alias("class"))
         per_class = m.groupBy("key", "class").agg(F.count("*").alias("n"))
         mixed = per_class.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max(F.struct("n", "class")).alias("top"))
@@ -239,17 +272,26 @@ def classes(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key:
         small, large = m.where("NOT big"), m.where("big")
         other = small.select("key", F.col("rep").alias("other"), F.col("class").alias("other_class"))
         pairs = small.join(other.hint("merge"), "key").where("rep < other AND class <> other_class").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-        # The hub is the member with most neighbours, later the one of classes that are not the bucket's largest.
-        of = large if round_ == 0 else large.where("class <> top")
-        hubs = of.groupBy("key").agg(F.max_by(F.struct("rep", "class"), F.struct("degree", -F.col("rep"))).alias("hub")).select("key", F.col("hub.rep").alias("hub"), F.col("hub.class").alias("hub_class"))
-        pairs = pairs.unionByName(large.join(hubs.hint("merge"), "key").where("class <> hub_class").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))).distinct()
+        some = large.limit(1).count() > 0
+        if some and exact:
+            pairs = pairs.unionByName(prefix_pairs(staged(large.select("rep", "class").distinct(), "open-members"), texts, idf, least))
+        elif some:
+            # The hub is the member with most neighbours, later the one of classes that are not the bucket's largest.
+            of = large if round_ == 0 else large.where("class <> top")
+            hubs = of.groupBy("key").agg(F.max_by(F.struct("rep", "class"), F.struct("degree", -F.col("rep"))).alias("hub")).select("key", F.col("hub.rep").alias("hub"), F.col("hub.class").alias("hub_class"))
+            pairs = pairs.unionByName(large.join(hubs.hint("merge"), "key").where("class <> hub_class").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")))
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         found = staged(verified(pairs, texts, idf, least), "verified")
-        labels = components(found, labels)
-        if not large.limit(1).count():
+        linked = found.limit(1).count() > 0
+        if linked or labels is None:
+            labels = components(found, labels)
+        if not some or exact:
             break
+        round_ += 1
+        exact = round_ == HUB_ROUNDS or not linked
         tested = pairs if tested is None else tested.unionByName(pairs)
         buckets = large.select("key", "rep", "degree")
 

@@ -365,6 +365,27 @@ def test_hub_rounds_find_the_same_classes(spark):
     assert got == {0}
 
 
+def test_prefix_pairs_miss_no_near_pair(spark):
+    rng, texts = random.Random(13), []
+    base = prose(rng, 200).split()
+    for i in range(60):  # pages of one template, below the limit to each other, each with a near copy
+        own = list(base)
+        a, b, *at = rng.sample(range(5, 190, 5), 5)
+        for k in at:
+            own[k] = f"v{i}"
+        texts.append(" ".join(own))
+        own[a] = own[b] = f"w{i}"
+        texts.append(" ".join(own[: 200 - i % 9]))
+    d = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    idf = near_dedup.inverse_frequencies(d)
+    got = {tuple(r) for r in near_dedup.prefix_pairs(d.select(F.col("id").alias("rep"), F.col("id").alias("class")), d, idf, 0.8).distinct().collect()}
+    s = near_dedup.Shingles(texts, near_dedup.WordHash())
+    w = s.tf * idf[near_dedup._bucket(s.h)]
+    v = [(s.h[s.doc == i], w[s.doc == i]) for i in range(len(texts))]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if near_dedup.similarity(v[i], v[j]) >= 0.8}
+    assert len(want) >= 50 and want <= got and len(got) < 120 * 119 // 4
+
+
 def test_samples_collide_as_often_as_texts_are_similar():
     rng, words = random.Random(11), near_dedup.WordHash()
     idf = np.ones(near_dedup.DF_BUCKETS)
