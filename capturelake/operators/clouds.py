@@ -145,26 +145,51 @@ def plane_metrics(points: DataFrame, grid: int = 128) -> DataFrame:
     return out.select("scene_id", zero(F.when(F.col("diagonal") >= 1e-12, F.col("residual") / F.col("diagonal"))).alias("median_residual_diag_fraction"), zero(F.col("cells") / float(grid * grid)).alias("grid_occupancy"), zero(F.col("largest")).alias("largest_component_fraction"))
 
 
-def _umeyama(pairs: pd.DataFrame) -> pd.DataFrame:
-    s, t = pairs[["sx", "sy", "sz"]].to_numpy(float), pairs[["tx", "ty", "tz"]].to_numpy(float)
-    out = {"scene_id": pairs["scene_id"].iloc[0], "scale": None, "rotation": None, "translation": None, "violation": None}
-    if len(s) < 4:
-        return pd.DataFrame([out | {"violation": "too_few_pairs"}])
-    ms, mt = s.mean(0), t.mean(0)
-    sc, tc = s - ms, t - mt
-    spread = np.linalg.svd(sc, compute_uv=False)
-    if spread[-1] < 1e-10 * spread[0]:
-        return pd.DataFrame([out | {"violation": "coplanar"}])
-    u, d, vh = np.linalg.svd(tc.T @ sc / len(s))
-    flip = np.array([1, 1, np.sign(np.linalg.det(u @ vh))])
-    r = (u * flip) @ vh
-    scale = float((d * flip).sum() / ((sc**2).sum() / len(s)))
-    return pd.DataFrame([out | {"scale": scale, "rotation": r.ravel().tolist(), "translation": (mt - scale * r @ ms).tolist()}])
+SIM3 = "scene_id long, scale double, rotation array<double>, translation array<double>, violation string"
+
+
+def _least_axis(moments: pd.DataFrame) -> pd.DataFrame:
+    rows = []
+    for r in moments.itertuples(index=False):
+        m = np.array([[getattr(r, f"s{min(a, b)}s{max(a, b)}") for b in XYZ] for a in XYZ])
+        value, v = np.linalg.eigh(np.nan_to_num(m))
+        rows.append([r.scene_id, *v[:, 0], float(value[-1])])
+    return pd.DataFrame(rows, columns=["scene_id", "ax", "ay", "az", "widest"])
+
+
+def _umeyama(moments: pd.DataFrame) -> pd.DataFrame:
+    rows = []
+    for r in moments.itertuples(index=False):
+        out = {"scene_id": r.scene_id, "scale": None, "rotation": None, "translation": None, "violation": None}
+        if r.n < 4:
+            rows.append(out | {"violation": "too_few_pairs"})
+            continue
+        if np.sqrt(r.thinnest) < 1e-10 * np.sqrt(r.widest):
+            rows.append(out | {"violation": "coplanar"})
+            continue
+        ms, mt = np.array([r.msx, r.msy, r.msz]), np.array([r.mtx, r.mty, r.mtz])
+        u, d, vh = np.linalg.svd(np.array([[getattr(r, f"t{a}s{b}") for b in XYZ] for a in XYZ]))
+        flip = np.array([1, 1, np.sign(np.linalg.det(u @ vh))])
+        rotation = (u * flip) @ vh
+        scale = float((d * flip).sum() / (r.sxsx + r.sysy + r.szsz))
+        rows.append(out | {"scale": scale, "rotation": rotation.ravel().tolist(), "translation": (mt - scale * rotation @ ms).tolist()})
+    return pd.DataFrame(rows, columns=["scene_id", "scale", "rotation", "translation", "violation"])
 
 
 def estimate_sim3(pairs: DataFrame) -> DataFrame:
-    """Scale, rotation and translation (least squares) of each scene's point pairs s -> t; violation if they don't do."""
-    return pairs.groupBy("scene_id").applyInPandas(_umeyama, "scene_id long, scale double, rotation array<double>, translation array<double>, violation string")
+    """Scale, rotation and translation (least squares) of each scene's point pairs s -> t; violation if they don't do.
+
+    Moments are aggregates; the spread along the thinnest axis is a second one, as moments alone are too coarse for
+    it. Only 3x3 matrices reach Python, one row per scene.
+    """
+    cov = lambda a, b: F.covar_pop(a, b).alias(a + b)
+    s, t = [f"s{c}" for c in XYZ], [f"t{c}" for c in XYZ]
+    m = pairs.groupBy("scene_id").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{c}") for c in (*s, *t)], *[cov(a, b) for i, a in enumerate(s) for b in s[i:]], *[cov(a, b) for a in t for b in s])
+    axes = m.select("scene_id", *[a + b for i, a in enumerate(s) for b in s[i:]]).mapInPandas(lambda it: (_least_axis(x) for x in it), "scene_id long, ax double, ay double, az double, widest double")
+    m = m.join(axes, "scene_id")
+    on = sum(((F.col(f"s{c}") - F.col(f"ms{c}")) * F.col(f"a{c}") for c in XYZ[1:]), (F.col("sx") - F.col("msx")) * F.col("ax"))
+    thin = pairs.join(m.select("scene_id", "msx", "msy", "msz", "ax", "ay", "az"), "scene_id").groupBy("scene_id").agg(F.var_pop(on).alias("thinnest"))
+    return m.join(thin, "scene_id").mapInPandas(lambda it: (_umeyama(x) for x in it), SIM3)
 
 
 def apply_sim3(points: DataFrame, sim3: DataFrame) -> DataFrame:

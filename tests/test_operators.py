@@ -86,6 +86,14 @@ def test_sim3_is_recovered_and_degenerate_pairs_refused(spark):
     assert got[2].violation == "coplanar" and got[3].violation == "too_few_pairs"
 
 
+def test_sim3_loads_no_scene_whole(spark):
+    d = spark.createDataFrame([(1, *map(float, (i % 3, i % 5, i % 7, i % 3 + 1, i % 5, i % 7))) for i in range(50)], "scene_id long, sx double, sy double, sz double, tx double, ty double, tz double")
+    e = clouds.estimate_sim3(d)
+    assert "FlatMapGroups" not in e._jdf.queryExecution().toString()
+    r = e.first()
+    assert r.scale == pytest.approx(1) and r.translation == pytest.approx([1, 0, 0], abs=1e-9)
+
+
 def test_plane_metrics(spark):
     rng = np.random.default_rng(3)
     flat = [(1, float(a), float(b), 0.01 * float(c)) for a, b, c in rng.normal(size=(400, 3))]
