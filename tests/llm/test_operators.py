@@ -70,6 +70,16 @@ def test_decontamination_edges(spark):
     assert decontamination.matches(make(spark, []), bench).count() == 0
 
 
+def test_decontamination_without_answer_and_in_other_scripts(spark):
+    rng = random.Random(14)
+    words = prose(rng, 40)
+    greek = " ".join("".join(chr(945 + (ord(c) - 97)) for c in w) for w in prose(rng, 40).split())
+    bench = spark.createDataFrame([(1, f"{words}. End."), (2, greek)], "item_id long, text string")
+    rows = [(i, f"{prose(rng, 60)} {own} {prose(rng, 60)}", "en", "a", 1) for i, own in enumerate((words, greek, "", words.replace(" ", "\u201d\u2014\u201c")))]
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(make(spark, rows), bench).collect()}
+    assert got == {(0, 1), (1, 2), (3, 1)}
+
+
 def test_lcs_against_plain_dynamic_programming():
     rng = random.Random(5)
     for _ in range(60):
