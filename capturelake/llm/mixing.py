@@ -50,19 +50,21 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return d.select("source", "source_size", F.when(F.col("capped"), (CAP * F.col("source_size")).cast("double")).otherwise(F.col("final_level") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text: str = "text", source: str = "source", key: str = "doc_id", whole: bool = False) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted).
 
     A null or wordless text has size 0 and is never taken; a null source is a source of its own; rows that
     share an id share their place and are each counted. A document at the end of the budget is taken when
     that brings the sum nearer to the target. An empty table gives no rows. Other columns are not looked at.
     ``weight``: a positive quality weight, by default from the text's mean word length.
+    ``whole``: also the document itself, a struct ``_row``.
     """
-    d = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    row = ["_row"] if whole else []
+    d = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"), *([F.struct(*docs.columns).alias("_row")] if whole else []))
     size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
     d = d.withColumn("size", size)
     w = F.greatest(F.coalesce(weight if weight is not None else text_weight(F.col("text"), F.col("size")), F.lit(1.0)), F.lit(1e-6))
-    d = d.select("doc_id", "source", "size", (-F.log(hash_unit(F.col("doc_id"), seed)) / w).alias("key"))
+    d = d.select("doc_id", "source", "size", (-F.log(hash_unit(F.col("doc_id"), seed)) / w).alias("key"), *row)
     # Keys of weight 1 are exponential, so 1 - exp(-key) deals them evenly; for others it still keeps the order.
     d = d.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
     slim = staged(d, "mix-keys")
@@ -84,14 +86,14 @@ def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text
     edge = d.where(F.col("bucket") == F.col("last")).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     edge = edge.withColumn("fits", F.col("ahead") + F.col("size") / 2.0 <= F.col("rest")).drop("ahead")
     taken = F.col("size") * (F.col("epochs") + F.when(F.col("fits") & (F.col("epochs") < CAP), 1).otherwise(0))
-    return rest.unionByName(edge).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return rest.unionByName(edge).select("doc_id", "size", "source_size", "target", taken.alias("taken"), *row)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents as often as the mix takes them; the columns stay as they are."""
-    takes = staged(mix(docs, **options).where("taken > 0").groupBy("doc_id").agg(F.max(F.expr("taken div size")).alias("_times")), "mix-takes")
-    d = docs.join(takes.withColumnRenamed("doc_id", "_of").hint("merge"), F.col("doc_id") == F.col("_of"))
-    return d.withColumn("_copy", F.explode(F.expr("sequence(1L, _times)"))).select(*docs.columns)
+    # Rows carry their own counts: ids may be null or repeated.
+    d = mix(docs, whole=True, **options).where("taken > 0")
+    return d.withColumn("_copy", F.explode(F.expr("sequence(1L, taken div size)"))).select("_row.*")
 
 
 ORACLE = r"""

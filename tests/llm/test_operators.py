@@ -442,3 +442,13 @@ def test_mix(spark):
     times = Counter(r.doc_id for r in mixing.mixed_documents(docs).collect())
     assert times == Counter({r.doc_id: r.taken // r["size"] for r in got if r.taken})
     assert mixing.mix(make(spark, [])).count() == 0 and mixing.mix(odd_docs(spark)).count() == 8
+
+
+def test_mixed_documents_with_null_and_repeated_ids(spark):
+    rows = [(None, f"null id number {i}", "en", "a", i) for i in range(5)] + [(7, "some words of a", "en", "a", 10), (7, "", "en", "a", 11), (7, "other words here", "en", "b", 12), (7, "more words of c now", "en", "c", 13)]
+    docs = make(spark, rows)
+    # n_chars tells rows apart that share an id.
+    want = sum(r.taken for r in mixing.mix(docs).collect())
+    out = mixing.mixed_documents(docs).collect()
+    assert sum(len(r.text.split()) for r in out) == want and any(r.doc_id is None for r in out)
+    assert all(r.text for r in out) and mixing.mixed_documents(docs).columns == docs.columns
