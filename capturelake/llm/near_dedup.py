@@ -1,34 +1,42 @@
 """Near-duplicate classes by consistent weighted sampling over TF-IDF shingles.
 
-A text's shingles are its runs of five words (lower case, word characters), weighted by count times a damped
-IDF between 1 and 1.5. Improved consistent weighted sampling (ICWS) draws ``BANDS * ROWS`` samples of a
-document so that two documents share each with the probability of their weighted Jaccard similarity; four
-samples make a band key. Documents that share a band key are candidates, every link is verified by the exact
-weighted Jaccard similarity, and classes are the components of links.
-
-Scale: document frequencies are counted over all documents in a table of fixed size (shingles of the same hash
-bucket share a count). Copies are folded into one representative first. In a bucket of candidates only pairs
-of different classes so far are of interest. Where these are few for each member, all are compared. In larger
-buckets rounds compare every member with one hub, the member with most neighbours (for copies of one text that is
-the text itself, as every copy shares more with it than with other copies), so work stays linear in the members.
-What is then still open is compared wherever two texts share a shingle of their prefixes, the rarest shingles that
-weigh more than 1 - ``least`` of the text: texts as similar as that always do, so no pair is given up.
+A text's shingles are its runs of five words (lower case, word characters), weighted by count times a damped IDF:
+``1 + ln(N / df) / (2 ln COMMON)``, at most 1.5. Document frequencies are exact and of all documents; only shingles that
+more than one in ``COMMON`` documents has weigh less than 1.5, so there are at most ``COMMON`` times the mean number of
+shingles of a document of them, however large the corpus, and a pair of texts is as similar in a large corpus as in a
+small one of the same kind. Improved consistent weighted sampling (ICWS) draws ``BANDS * ROWS`` samples of a document
+so that two documents share each with the probability of their weighted Jaccard similarity; four samples make a band
+key. Documents that share a band key are candidates, every link is verified by the exact weighted Jaccard
+similarity, and classes are the components of links.
+
+Scale: texts with the same words are folded into one node first. In a bucket of candidates only pairs of different
+classes so far are of interest, and they are formed between the members outside the bucket's largest class and all
+members, at most twice as many as are open. Where these are few for each member, all are compared. In larger buckets
+rounds compare every member with one hub, the member with most neighbours (for copies of one text that is the text
+itself, as every copy shares more with it than with other copies), so work stays linear in the members. What is
+then still open is compared wherever two texts share a shingle of their prefixes, the rarest shingles that weigh more
+than 1 - ``least`` of the text: texts as similar as that always do, so no pair is given up.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass, field
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WORD_HASHES, WordHash, histogram, mix, small_batches, staged
+from .common import CHUNKS, chunks, keyed, mix, plain_words, slices, staged, sum_chunks, unchunk, without, word_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
-DF_BUCKETS = 1 << 18
+#: A shingle that fewer than one in so many documents has weighs 1.5, the most.
+COMMON = 1000
+#: Buckets of the first count, in which shingles that may be common are found; and of one part of it.
+BITS, CHUNK = 21, 1 << 15
 POOL = 1 << 16
 #: A bucket with no more open pairs than this for each of its members is compared in full.
 PAIRS_PER_MEMBER = 16
@@ -48,25 +56,32 @@ MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x
 class Shingles:
     """Distinct shingles of each text of a batch: ``doc`` (row), ``h`` (hash, ascending within a row), ``tf``."""
 
-    def __init__(self, texts: list[str | None], words: WordHash):
-        split = [WORD.findall(t.lower()) if t else [] for t in texts]
-        for s in split:
-            if 0 < len(s) < WIDTH:  # a short text is one shingle
-                s.extend([""] * (WIDTH - len(s)))
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        w = np.fromiter((words[x] for s in split for x in s), np.uint64, int(n.sum()))
-        self.words, self.ends = w, np.cumsum(n)
-        doc = np.repeat(np.arange(len(split)), n)
-        total = len(w) - WIDTH + 1
-        if total < 1:
-            self.doc, self.h, self.tf = doc[:0], w[:0], n[:0]
-            return
-        h = sum(mix(w[j : total + j]) * m for j, m in enumerate(MULTIPLIERS))
-        inside = doc[: total] == doc[WIDTH - 1 :]
-        h, doc = mix(h)[inside], doc[:total][inside]
-        order = np.lexsort((h, doc))
-        h, doc = h[order], doc[order]
-        first = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | np.append(True, h[1:] != h[:-1]))
+    def __init__(self, column: pa.Array):
+        self.words, self.ends = word_hashes(column)
+        n = np.diff(self.ends, prepend=0)
+        begins = self.ends - n
+        w = mix(self.words)
+        # A text of fewer words is one shingle, filled up by no word.
+        short = np.flatnonzero((n > 0) & (n < WIDTH))
+        own = np.zeros(len(short), np.uint64)
+        for j in range(WIDTH):
+            there = n[short] > j
+            own += np.where(there, w[np.where(there, begins[short] + j, 0)], np.uint64(1)) * MULTIPLIERS[j] if len(short) else own
+        total = max(len(w) - WIDTH + 1, 0)
+        h = np.zeros(total, np.uint64)
+        for j in range(WIDTH):
+            h += w[j : total + j] * MULTIPLIERS[j]
+        doc = np.repeat(np.arange(len(n)), n)
+        inside = doc[:total] == doc[WIDTH - 1 :] if total else np.zeros(0, bool)
+        h, doc = np.concatenate([h[inside], own]), np.concatenate([doc[:total][inside], short])
+        if len(short):
+            order = np.argsort(doc, kind="stable")
+            h, doc = h[order], doc[order]
+        h = mix(h)
+        cut = np.searchsorted(doc, np.arange(len(n) + 1))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            h[a:b].sort()
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, np.int64)
         self.doc, self.h, self.tf = doc[first], h[first], np.diff(np.append(first, len(h)))
 
     def digest(self, row: int) -> bytes | None:
@@ -75,36 +90,102 @@ class Shingles:
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(46)).astype(np.int64)
+    return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """Factor of each hash bucket, 1 + ln(N / df) / (2 ln N), from all documents (id, text)."""
+@dataclass
+class Weights:
+    """IDF factors: those of common shingles by hash, 1.5 for all others."""
 
-    def count(batches):
-        total, words = np.zeros(DF_BUCKETS + 1, np.int64), WORD_HASHES
-        for b in batches:
-            s = Shingles(b.column(0).to_pylist(), words)
-            total[:-1] += np.bincount(_bucket(s.h), minlength=DF_BUCKETS)
-            total[-1] += len(np.unique(s.doc))
-        return total
+    hashes: np.ndarray
+    factors: np.ndarray
+    uid: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def of(self, s: Shingles) -> np.ndarray:
+        """The weight of each shingle of the batch."""
+        out = np.full(len(s.h), 1.5)
+        if len(self.hashes) and len(s.h):
+            some = np.flatnonzero(_maybe(self)[_bucket(s.h)])
+            at = np.minimum(np.searchsorted(self.hashes, s.h[some]), len(self.hashes) - 1)
+            hit = self.hashes[at] == s.h[some]
+            out[some[hit]] = self.factors[at[hit]]
+        return out * s.tf
+
+
+_MAYBE: dict[str, np.ndarray] = {}
+
+
+def _maybe(weights: Weights) -> np.ndarray:
+    """The buckets that hold a common shingle; a worker process keeps the last ones."""
+    if weights.uid not in _MAYBE:
+        _MAYBE.clear()
+        table = np.zeros(1 << BITS, bool)
+        table[_bucket(weights.hashes)] = True
+        _MAYBE[weights.uid] = table
+    return _MAYBE[weights.uid]
 
-    total = histogram(docs.select("text"), count, DF_BUCKETS + 1)
-    n = max(int(total[-1]), 3)
-    return 1 + np.maximum(np.log(n / np.maximum(total[:-1], 1)), 0) / (2 * np.log(n))
 
+def inverse_frequencies(texts: DataFrame, n: int) -> Weights:
+    """IDF factors from all ``n`` documents (text): exact document frequencies of all common shingles.
 
-def sample(s: Shingles, idf: np.ndarray, n_rows: int) -> np.ndarray:
+    A first pass counts shingles in buckets. A common shingle lies in a bucket with as high a count; with ``2 ** BITS``
+    buckets the others stay below that for texts of up to about 2,000 shingles on average, and for longer ones the second
+    pass only has more to count. It counts the shingles of the high buckets one by one.
+    """
+    least = max(1.0, n / COMMON)
+
+    def count(batches):
+        total = np.zeros(1 << BITS, np.int64)
+        for b in slices(batches, 0):
+            np.add.at(total, _bucket(Shingles(b.column(0)).h), 1)
+        yield from chunks(total, CHUNK)
+
+    def high(batches):
+        for k, total in sum_chunks(batches).items():
+            for b in chunks((total >= least).astype(np.int64), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array([k] * b.num_rows, pa.int32()), b.column(1)], ["chunk", "data"])
+
+    maybe = np.zeros(1 << BITS, bool)
+    for r in texts.mapInArrow(count, CHUNKS).repartition((1 << BITS) // CHUNK, "chunk").mapInArrow(high, CHUNKS).collect():
+        maybe[r["chunk"] * CHUNK + unchunk(r["data"])[0]] = True
+    packed = np.packbits(maybe)
+
+    def exact(batches):
+        table, waiting, size = np.unpackbits(packed).astype(bool), [], 0
+
+        def out():
+            h, n = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+        for b in slices(batches, 0):
+            s = Shingles(b.column(0))
+            waiting.append(s.h[table[_bucket(s.h)]])
+            size += len(waiting[-1])
+            if size > 1 << 21:
+                yield out()
+                waiting, size = [], 0
+        if size:
+            yield out()
+
+    found = texts.mapInArrow(exact, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = found.toArrow()
+    h, df = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+    order = np.argsort(h)
+    factor = 1 + np.clip(np.log(max(n, 1) / df[order]) / np.log(COMMON), 0, 1) / 2
+    return Weights(h[order].copy(), factor)
+
+
+def sample(s: Shingles, weights: np.ndarray, n_rows: int) -> np.ndarray:
     """ICWS samples, (rows, BANDS * ROWS); rows without shingles stay 0.
 
     An element's variates come from a pool that is sorted by the least value they allow, and its pool place is a
-    hash. So only elements with low places need a full draw; a row whose best draw does not beat the bound of
-    the others is drawn again in full, which makes the result exact.
+    hash of its own for each sample. So only elements with low places need a full draw; a row whose best draw does not
+    beat the bound of the others is drawn again in full, which makes the result exact.
     """
     out = np.zeros((n_rows, BANDS * ROWS), np.uint64)
     if not len(s.h):
         return out
-    ln_s = np.log(s.tf * idf[_bucket(s.h)])
+    ln_s = np.log(weights)
     rows, start, n = np.unique(s.doc, return_index=True, return_counts=True)
     most = np.zeros(n_rows)
     most[rows] = np.maximum.reduceat(ln_s, start)
@@ -158,27 +239,27 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(low / (a[1].sum() + b[1].sum() - low)) if len(a[0]) and len(b[0]) else 0.0
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are at least so similar."""
+def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts (node, text) are at least so similar."""
 
     def check(batches):
-        words = WORD_HASHES
-        for b in batches:
-            ids = [b.column(0).to_pylist(), b.column(1).to_pylist()]
-            own = dict(zip(ids[0] + ids[1], b.column(2).to_pylist() + b.column(3).to_pylist(), strict=True))
-            s = Shingles(list(own.values()), words)
-            w = s.tf * idf[_bucket(s.h)]
-            at = np.searchsorted(s.doc, np.arange(len(own) + 1))
-            vector = {k: (s.h[at[n] : at[n + 1]], w[at[n] : at[n + 1]]) for n, k in enumerate(own)}
-            keep = [similarity(vector[x], vector[y]) >= least for x, y in zip(*ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(i, keep, strict=True) if k], pa.int64()) for i in ids], ["a", "b"])
-
-    one, two = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+        for b in slices(slices(batches, 2), 3):
+            ids = [b.column(0).to_numpy(), b.column(1).to_numpy()]
+            own, at = np.unique(np.concatenate(ids), return_index=True)
+            s = Shingles(pa.concat_arrays([b.column(2), b.column(3)]).take(pa.array(at)))
+            w = weights.of(s)
+            cut = np.searchsorted(s.doc, np.arange(len(own) + 1)).tolist()
+            vector = [(s.h[i:j], w[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+            x, y = (np.searchsorted(own, i).tolist() for i in ids)
+            keep = np.array([similarity(vector[i], vector[j]) >= least for i, j in zip(x, y, strict=True)], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(i[keep]) for i in ids], ["a", "b"])
+
+    one, two = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def prefix_pairs(members: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """Pairs (a, b) of members (rep, class) of different classes that may be at least so similar; none is missed.
+def prefix_pairs(members: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """Pairs (a, b) of members (node, class) of different classes that may be at least so similar; none is missed.
 
     Shingles are ordered by the number of members that have them, then by hash. What two texts have in common lies
     behind the first shingle they share, and must weigh least / (1 + least) of both texts' sum; so each text may have no
@@ -186,25 +267,25 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, idf: np.ndarray, least: f
     """
 
     def shingles(batches):
-        for b in batches:
-            s = Shingles(b.column(1).to_pylist(), WORD_HASHES)
-            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[s.doc]), pa.array(s.h.view(np.int64)), pa.array(s.tf * idf[_bucket(s.h)])], ["rep", "h", "w"])
+        for b in slices(batches, 1):
+            s = Shingles(b.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[s.doc]), pa.array(s.h.view(np.int64)), pa.array(weights.of(s))], ["node", "h", "w"])
 
-    own = texts.join(members.select(F.col("rep").alias("id")).hint("merge"), "id").select("id", "text")
-    every = staged(own.mapInArrow(shingles, "rep long, h long, w double"), "open-shingles")
-    often = every.groupBy("h").agg(F.count("*").alias("n"))
+    own = texts.join(members.select("node").hint("merge"), "node").select("node", "text")
+    every = staged(own.mapInArrow(shingles, "node long, h long, w double"), "open-shingles")
+    often = staged(every.groupBy("h").agg(F.count("*").alias("n")), "open-counts")
     ranked = every.join(often.hint("merge"), "h")
-    before = Window.partitionBy("rep").orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("rep")
+    before = Window.partitionBy("node").orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("node")
     ranked = ranked.withColumn("before", F.coalesce(F.sum("w").over(before), F.lit(0.0))).withColumn("total", F.sum("w").over(whole))
     # No text that is near has less than ``least`` of the other's weight. The tolerance is for rounding of sums only.
-    prefix = ranked.where(F.col("before") <= F.col("total") * (1 - least + 1e-9)).where("n > 1").select("rep", "h", "before", "total")
-    prefix = staged(prefix.join(members.hint("merge"), "rep"), "prefixes")
-    other = prefix.select("h", F.col("rep").alias("other"), F.col("class").alias("other_class"), F.col("before").alias("other_before"), F.col("total").alias("other_total"))
+    prefix = ranked.where(F.col("before") <= F.col("total") * (1 - least + 1e-9)).where("n > 1").select("node", "h", "before", "total")
+    prefix = staged(prefix.join(members.hint("merge"), "node"), "prefixes")
+    other = prefix.select("h", F.col("node").alias("other"), F.col("class").alias("other_class"), F.col("before").alias("other_before"), F.col("total").alias("other_total"))
     common = (F.col("total") + F.col("other_total")) * (least / (1 + least) - 1e-9)
     fits = (F.col("total") - F.col("before") >= common) & (F.col("other_total") - F.col("other_before") >= common)
-    one = prefix.alias("p").join(other.alias("o").hint("merge"), (F.col("p.h") == F.col("o.h")) & (F.col("rep") < F.col("other")) & (F.col("class") != F.col("other_class")) & fits)
-    return one.select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    one = prefix.alias("p").join(other.alias("o").hint("merge"), (F.col("p.h") == F.col("o.h")) & (F.col("node") < F.col("other")) & (F.col("class") != F.col("other_class")) & fits)
+    return one.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -220,71 +301,70 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
         seen = both.join(labels.select(F.col("node").alias("b"), "label").hint("merge"), "b").select(F.col("a").alias("node"), "label")
         step = labels.unionByName(seen).groupBy("node").agg(F.min("label").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        labels = staged(step.join(jump.hint("merge"), "label").select("node", F.least("label", "far").alias("label")), "labels")
-        now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if now == total:
+        seen = Observation()
+        now = step.join(jump.hint("merge"), "label").select("node", F.least("label", "far").alias("label"))
+        labels = staged(now.observe(seen, F.sum(F.col("label").cast("decimal(38,0)")).alias("total")), "labels")
+        if seen.get["total"] == total:
             return labels
-        total = now
-
+        total = seen.get["total"]
 
-def classes(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, class_id (the least id of its class), rep_id (the least id with the same words).
 
-    Null texts and texts without a word are never near anything: class_id and rep_id are their own ids. Texts
-    of fewer than five words are one shingle, so only equal words make them near. Rows that share an id
-    are one document; rows without an id get null classes. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    idf = inverse_frequencies(d)
+def _classes(docs: DataFrame, least: float, text: str, key: str) -> DataFrame:
+    """(row, doc_id, class_id, rep_id, node, first) of ``keyed`` documents; ``first``: the class's first row by id."""
+    d = docs.select("row", F.col(f"doc.`{key}`").cast("long").alias("id"), plain_words(F.col(f"doc.`{text}`")).alias("text"))
+    weights = inverse_frequencies(d.select("text"), docs.count())
 
     def sketch(batches):
-        words = WORD_HASHES
-        for b in batches:
-            s = Shingles(b.column(1).to_pylist(), words)
-            keys = band_keys(sample(s, idf, b.num_rows))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.digest(i) for i in range(b.num_rows)], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary())], ["id", "digest", "bands"])
-
-    slim = staged(d.mapInArrow(sketch, "id long, digest binary, bands binary"), "sketches")
-    reps = staged(slim.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "representatives")
+        for b in slices(batches, 2):
+            s = Shingles(b.column(2))
+            keys = band_keys(sample(s, weights.of(s), b.num_rows))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.digest(i) for i in range(b.num_rows)], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary())], ["row", "id", "digest", "bands"])
+
+    slim = d.mapInArrow(sketch, "row struct<file:long,at:long>, id long, digest binary, bands binary")
+    # Nodes are numbered here, once: the numbers are written out. Rows without an id come last in their class.
+    slim = staged(slim.withColumn("uid", F.monotonically_increasing_id()), "sketches")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "uid")
+    reps = slim.where("digest IS NOT NULL").groupBy("digest").agg(F.min(rank).alias("first"), F.first("bands").alias("bands"))
+    reps = staged(reps.select("digest", F.col("first.uid").alias("node"), "first", "bands"), "representatives")
 
     def spread(batches):
         for b in batches:
             keys = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["key", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["key", "node"])
 
-    every = reps.select("rep", "bands").mapInArrow(spread, "key long, rep long")
+    every = reps.select("node", "bands").mapInArrow(spread, "key long, node long")
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = staged(every.join(shared.hint("merge"), "key"), "buckets")
-    degree = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
-    buckets = staged(buckets.join(degree.hint("merge"), "rep").select("key", "rep", "degree"), "bucket-members")
-    texts = staged(d.join(degree.select(F.col("rep").alias("id")).hint("merge"), "id").dropDuplicates(["id"]), "candidate-texts")
+    degree = staged(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "candidates")
+    buckets = staged(buckets.join(degree.hint("merge"), "node").select("key", "node", "degree", F.col("node").alias("class")), "bucket-members")
+    wanted = slim.select("row", F.col("uid").alias("node")).join(degree.select("node").hint("merge"), "node")
+    texts = staged(d.select("row", "text").join(staged(wanted, "candidate-rows").hint("merge"), "row").select("node", "text"), "candidate-texts")
 
     labels = tested = None
     round_, exact = 0, False
     while True:
-        m = buckets.withColumn("class", F.col("rep")) if labels is None else buckets.join(labels.select(F.col("node").alias("rep"), "label").hint("merge"), "rep", "left").select("key", "rep", "degree", F.coalesce("label", "rep").alias("class"))
-        per_class = m.groupBy("key", "class").agg(F.count("*").alias("n"))
+        per_class = buckets.groupBy("key", "class").agg(F.count("*").alias("n"))
         mixed = per_class.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max(F.struct("n", "class")).alias("top"))
         mixed = mixed.where("all * all > same").select("key", F.col("top.class").alias("top"), ((F.col("all") * F.col("all") - F.col("same")) / 2 > PAIRS_PER_MEMBER * F.col("all")).alias("big"))
-        m = staged(m.join(mixed.hint("merge"), "key"), "mixed-buckets")
+        m = staged(buckets.join(staged(mixed, "mixed-buckets").hint("merge"), "key"), "open-members")
         small, large = m.where("NOT big"), m.where("big")
-        other = small.select("key", F.col("rep").alias("other"), F.col("class").alias("other_class"))
-        pairs = small.join(other.hint("merge"), "key").where("rep < other AND class <> other_class").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+        other = small.where("class <> top").select("key", F.col("node").alias("other"), F.col("class").alias("other_class"))
+        pairs = small.join(other.hint("merge"), "key").where("class <> other_class AND (class = top OR node < other)")
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         some = large.limit(1).count() > 0
         if some and exact:
-            pairs = pairs.unionByName(prefix_pairs(staged(large.select("rep", "class").distinct(), "open-members"), texts, idf, least))
+            pairs = pairs.unionByName(prefix_pairs(staged(large.select("node", "class").distinct(), "open-nodes"), texts, weights, least))
         elif some:
             # The hub is the member with most neighbours, later the one of classes that are not the bucket's largest.
             of = large if round_ == 0 else large.where("class <> top")
-            hubs = of.groupBy("key").agg(F.max_by(F.struct("rep", "class"), F.struct("degree", -F.col("rep"))).alias("hub")).select("key", F.col("hub.rep").alias("hub"), F.col("hub.class").alias("hub_class"))
-            pairs = pairs.unionByName(large.join(hubs.hint("merge"), "key").where("class <> hub_class").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")))
+            hubs = of.groupBy("key").agg(F.max_by(F.struct("node", "class"), F.struct("degree", -F.col("node"))).alias("hub"))
+            hubs = staged(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.class").alias("hub_class")), "hubs")
+            pairs = pairs.unionByName(large.join(hubs.hint("merge"), "key").where("class <> hub_class").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        found = staged(verified(pairs, texts, idf, least), "verified")
+        found = staged(verified(pairs, texts, weights, least), "verified")
         linked = found.limit(1).count() > 0
         if linked or labels is None:
             labels = components(found, labels)
@@ -293,18 +373,34 @@ def classes(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key:
         round_ += 1
         exact = round_ == HUB_ROUNDS or not linked
         tested = pairs if tested is None else tested.unionByName(pairs)
-        buckets = large.select("key", "rep", "degree")
+        of = labels.select(F.col("node").alias("of"), "label")
+        buckets = large.select("key", "node", "degree").join(of.hint("merge"), F.col("node") == F.col("of"), "left")
+        buckets = staged(buckets.select("key", "node", "degree", F.coalesce("label", "node").alias("class")), "bucket-members")
 
-    of = reps.select("digest", "rep")
-    out = slim.select("id", "digest").join(of.hint("merge"), "digest", "left")
-    if labels is not None:
-        out = out.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
-    else:
-        out = out.withColumn("label", F.lit(None).cast("long"))
-    return out.select(F.col("id").alias("doc_id"), F.coalesce("label", "rep", "id").alias("class_id"), F.coalesce("rep", "id").alias("rep_id"))
+    firsts = reps.select("node", "first").join(labels.hint("merge"), "node").groupBy("label").agg(F.min("first").alias("class_first"))
+    named = labels.join(staged(firsts, "class-firsts").hint("merge"), "label").select("node", "class_first")
+    out = reps.select("digest", "node", "first").join(staged(named, "node-classes").hint("merge"), "node", "left")
+    out = staged(out.select(F.col("digest").alias("of"), "node", "first", F.coalesce("class_first", "first").alias("class_first")), "classes")
+    out = slim.select("row", "id", "uid", "digest").join(out.hint("merge"), F.col("digest") == F.col("of"), "left")
+    alone = F.col("of").isNull()
+    return out.select("row", F.col("id").alias("doc_id"), F.when(alone, F.col("id")).otherwise(F.col("class_first.id")).alias("class_id"), F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("rep_id"), (alone | (F.col("class_first.uid") == F.col("uid"))).alias("first"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that have a near copy of a smaller id; rows without an id stay."""
-    gone = staged(classes(docs, key=key, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone.hint("merge"), F.col(key) == F.col("_gone"), "left_anti")
+def classes(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, class_id (the least id of its class), rep_id (the least id with the same words).
+
+    Null texts and texts without a word are never near anything: class_id and rep_id are their own ids. Texts of fewer
+    than five words are one shingle, so only equal words make them near. Rows that share an id are judged each by its
+    own text. A row without an id is judged too; the id of a class is null only where all its rows have none. Other
+    columns are not looked at. An empty table gives no rows.
+    """
+    return _classes(keyed(docs), least, text, key).select("doc_id", "class_id", "rep_id")
+
+
+def one_of_each(docs: DataFrame, least: float = SIMILARITY, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each class, as it was: that with the least id, nulls last; among equal ids one of them.
+
+    Null texts and texts without a word stay, all of them.
+    """
+    d = keyed(docs)
+    return without(d, staged(_classes(d, least, text, key).where("NOT first").select("row"), "near-copies"))
