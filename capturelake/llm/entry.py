@@ -27,7 +27,7 @@ def op3_token_output(spark, sf_dir):
 
 
 def op4_substring_dedup(spark, sf_dir):
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), "sentence", unit_dedup.PASSAGE_WORDS)
 
 
 def op5_token_counts(spark, sf_dir):
