@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import column_bytes, slices
 
 #: Learning takes about so many documents of each language, picked by a hash of the id.
 SAMPLE_PER_LANGUAGE = 1_500
@@ -45,17 +45,9 @@ def _grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return tuple(before)
 
 
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of an Arrow text column, and where each row starts (one more at the end)."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return data, offsets - offsets[0]
-
-
 @dataclass
 class Counts:
-    """Sparse counts: of (language, four bytes) with at least two, and of (language, three bytes)."""
+    """Sparse counts of (language, four bytes) and (language, three bytes)."""
 
     uid: str
     langs: list[str]
@@ -64,8 +56,11 @@ class Counts:
 
 
 def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Counts:
-    """Counts over documents (id, text, lang) that are not held out; rows without a text or lang are left out."""
-    small_batches(docs.sparkSession)
+    """Counts over documents (id, text, lang) that are not held out.
+
+    Rows without an id, text or lang are left out, empty texts count for nothing, repeated rows count each. An empty table
+    gives counts without languages. The table of languages is small: one number of documents of each is collected.
+    """
     d = docs.where(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}
     langs = sorted(sizes)
@@ -77,9 +72,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Counts:
     d = d.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select(number[F.col("lang")].alias("n"), "text")
 
     def count(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             langs_here = b.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = _bytes_of(b.column(1))
+            data, offsets = column_bytes(b.column(1))
             if not len(data):
                 continue
             full = np.diff(offsets) > 0
@@ -90,13 +85,12 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Counts:
                 keys, n = np.unique(key, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), order), pa.int32()), pa.array(keys), pa.array(n)], ["width", "key", "n"])
 
-    g = d.mapInArrow(count, "width int, key long, n long").groupBy("width", "key").agg(F.sum("n").alias("n")).where("n > 1 OR width = 3")
-    t = g.toPandas()
+    g = d.mapInArrow(count, "width int, key long, n long").groupBy("width", "key").agg(F.sum("n").alias("n"))
+    width_of, key, n = (c.to_numpy() for c in g.toArrow().columns)  # distinct grams of the bounded sample
 
     def part(width):
-        p = t[t["width"] == width]
-        key = p["key"].to_numpy(np.int64)
-        return key >> 32, key & 0xFFFFFFFF, p["n"].to_numpy(np.int64)
+        here = width_of == width
+        return key[here] >> 32, key[here] & 0xFFFFFFFF, n[here]
 
     return Counts(uuid.uuid4().hex, langs, part(4), part(3))
 
@@ -186,16 +180,15 @@ def identify(docs: DataFrame, counts: Counts, text: str = "text", key: str = "do
     posterior probability of the shortest code if all languages are as likely; equal lengths go to the first
     language by name. Repeated rows and clashing column names are of no concern: two columns are read.
     """
-    small_batches(docs.sparkSession)
 
     def score(batches):
         c = coder(counts) if counts.langs else None
-        for b in batches:
+        for b in slices(batches, 1):
             n = b.num_rows
             pred, p, rate = np.full(n, "und", object), np.zeros(n), np.zeros(n)
             has = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
             if c is not None and has.any():
-                data, offsets = _bytes_of(b.column(1).fill_null(""))
+                data, offsets = column_bytes(b.column(1))
                 bits = c.lengths(data, offsets)
                 best = bits.argmin(1)
                 least = bits[np.arange(n), best]

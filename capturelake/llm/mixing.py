@@ -90,7 +90,10 @@ def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents as often as the mix takes them; the columns stay as they are."""
+    """The documents as often as the mix takes them; the columns stay as they are.
+
+    Each row is taken by its own size, also where ids are null or repeated. Null and wordless texts are never taken.
+    """
     # Rows carry their own counts: ids may be null or repeated.
     d = mix(docs, whole=True, **options).where("taken > 0")
     return d.withColumn("_copy", F.explode(F.expr("sequence(1L, taken div size)"))).select("_row.*")

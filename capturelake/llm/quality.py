@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_unit, histogram, small_batches, staged
+from .common import hash_unit, histogram, keyed, slices, staged, without
 
 #: Buckets of each of the two hashed models' halves (words, shape pairs).
 BUCKETS = 1 << 15
@@ -35,11 +35,13 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         from zlib import crc32
 
-        if len(self) > 300_000:
-            self.clear()
         shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-        shape = self.runs.sub(r"\1+", shape)[:24]
-        out = self[word] = crc32(word.encode("utf-8", "surrogatepass")) | (crc32(shape.encode("utf-8", "surrogatepass")) & 0x7FFFFFFF) << 32
+        shape = self.runs.sub(r"\1+", shape)
+        out = crc32(word.encode("utf-8", "surrogatepass")) | (crc32(shape.encode("utf-8", "surrogatepass")) & 0x7FFFFFFF) << 32
+        if len(word) <= 64:  # words of no natural length are computed, not remembered
+            if len(self) > 300_000:
+                self.clear()
+            self[word] = out
         return out
 
 
@@ -67,7 +69,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
 
     def count(batches):
         total, words = np.zeros(4 * BUCKETS, np.int64), _WORDS
-        for b in batches:
+        for b in slices(batches, 0):
             bucket, doc = features(b.column(0).to_pylist(), words)
             total[: 2 * BUCKETS] += np.bincount(bucket, minlength=2 * BUCKETS)
             good = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -87,16 +89,19 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
 
 
 def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """(id, log_weight, n_grams) of every whole text; null and wordless texts weigh 0."""
+    """(row, id, log_weight, n_grams) of every whole text (row, id, text).
+
+    Null and wordless texts weigh 0. Rows are weighed one by one, whatever their ids; an empty table gives no rows.
+    """
 
     def score(batches):
         words = _WORDS
-        for b in batches:
-            bucket, doc = features(b.column(1).to_pylist(), words)
+        for b in slices(batches, 2):
+            bucket, doc = features(b.column(2).to_pylist(), words)
             total = np.bincount(doc, ratio[bucket], minlength=b.num_rows).astype(float)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total), pa.array(np.bincount(doc, minlength=b.num_rows))], ["id", "log_weight", "n_grams"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(total), pa.array(np.bincount(doc, minlength=b.num_rows))], ["row", "id", "log_weight", "n_grams"])
 
-    return docs.select("id", "text").mapInArrow(score, "id long, log_weight double, n_grams long")
+    return docs.select("row", "id", "text").mapInArrow(score, "row struct<file:long,at:long>, id long, log_weight double, n_grams long")
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
@@ -137,17 +142,9 @@ def top_k_cut(rows: DataFrame, k: int) -> tuple[float, int] | None:
     return got, last
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: str = "gumbel-1", text: str = "text", key: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """One row per document: doc_id, log_weight, gumbel, kept.
-
-    ``k``: documents to keep; by default as many as weigh no less than the cut that parts good and bad labels
-    best. Without labels of both kinds all are kept. A null or wordless text has log weight 0. Several labels of
-    a document count as bad if one is; rows that share an id share their noise. Ties at the cut go to smaller ids, rows
-    without an id last. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+def _resampled(docs: DataFrame, labels: DataFrame, k: int | None, seed: str, text: str, key: str, quality: str) -> DataFrame:
+    """(row, doc_id, log_weight, gumbel, kept) of ``keyed`` documents."""
+    d = docs.select("row", F.col(f"doc.`{key}`").cast("long").alias("id"), F.col(f"doc.`{text}`").alias("text"))
     known = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("id")).agg(F.min(quality).alias("good"))
     share = LABELLED_ROWS / max(1, known.count())
     sample = known.where(F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(1 << 20)) < share * (1 << 20))
@@ -155,8 +152,9 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: str
     scored = weigh(d, ratio).withColumn("gumbel", F.col("log_weight") - F.log(-F.log(hash_unit(F.col("id"), seed))))
     scored = staged(scored, "quality-weights")
     if k is None:
-        seen = scored.join(F.broadcast(sample), "id").select("log_weight", "good").toPandas()
-        cut = best_cut(seen["log_weight"].to_numpy(float), seen["good"].to_numpy() == 1)
+        # A row for each labelled row of the sample; rows that repeat an id count together, by their mean weight.
+        seen = scored.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.avg("log_weight").alias("w")).select("w", "good").toArrow()
+        cut = best_cut(seen.column(0).to_numpy(), seen.column(1).to_numpy() == 1)
         k = scored.where(F.col("log_weight") >= cut).count() if np.isfinite(cut) else None
     if k is None or k >= scored.count():
         kept = F.lit(True)
@@ -165,4 +163,22 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: str
     else:
         at, last = top_k_cut(scored, k)
         kept = (F.col("gumbel") > at) | ((F.col("gumbel") == at) & F.coalesce(F.col("id") <= F.lit(last), F.lit(last is None)))
-    return scored.select(F.col("id").alias("doc_id"), "log_weight", "gumbel", kept.alias("kept"))
+    return scored.select("row", F.col("id").alias("doc_id"), "log_weight", "gumbel", kept.alias("kept"))
+
+
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: str = "gumbel-1", text: str = "text", key: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """One row per document: doc_id, log_weight, gumbel, kept.
+
+    ``k``: documents to keep; by default as many as weigh no less than the cut that parts good and bad labels
+    best. Without labels of both kinds all are kept. A null or wordless text has log weight 0. Several labels of
+    a document count as bad if one is; rows that share an id share their noise and are weighed each by its own text; rows
+    without an id share theirs. Ties at the cut go to smaller ids, rows without an id last; rows with the same id and
+    weight stay or go together. Other columns are not looked at. An empty table gives no rows.
+    """
+    return _resampled(keyed(docs), labels, k, seed, text, key, quality).select("doc_id", "log_weight", "gumbel", "kept")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: str = "gumbel-1", text: str = "text", key: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """The rows that ``resample`` keeps, as they were; each row by its own decision, also where ids are null or repeated."""
+    d = keyed(docs)
+    return without(d, staged(_resampled(d, labels, k, seed, text, key, quality).where("NOT kept").select("row"), "rejected"))

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import slices
 
 BYTE_SCORE = -30.0
 MARK = "▁"
-#: Nodes of a trie and remembered words of a worker process.
-NODES, WORDS = 600_000, 400_000
+#: Nodes of a trie and remembered words of a worker process. Longer pre-tokens than LONG characters don't enter it.
+NODES, WORDS, LONG = 600_000, 400_000, 1_000
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -52,6 +52,8 @@ class Trie:
     def __call__(self, plain: str) -> int:
         """Tokens of the best segmentation of a pre-token; among equal scores the one with the longest last piece."""
         word = MARK + plain
+        if len(word) > LONG:
+            return self.alone(word)
         if len(self.children) > NODES or len(self.words) > WORDS:
             self.clear()
         node, path = 0, [0]
@@ -77,6 +79,24 @@ class Trie:
         return self.count[node]
 
 
+    def alone(self, word: str) -> int:
+        """Tokens of a very long pre-token: the same recurrence, of which only the last ``longest`` places are held."""
+        places = [(0.0, 0)]
+        for end, c in enumerate(word, 1):
+            best, n = -math.inf, 0
+            for k, (score, count) in enumerate(places):
+                s = self.pieces.get(word[end - len(places) + k : end])
+                if s is not None and score + s > best:
+                    best, n = score + s, count + 1
+            if c not in self.pieces:
+                k = len(c.encode("utf-8", "surrogatepass"))
+                if places[-1][0] + k * BYTE_SCORE > best:
+                    best, n = places[-1][0] + k * BYTE_SCORE, places[-1][1] + k
+            places.append((best, n))
+            del places[: -self.longest]
+        return places[-1][1]
+
+
 _TRIES: dict[str, Trie] = {}
 
 
@@ -93,11 +113,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str
     Pre-tokens are runs without white space, each with a mark for the space before it. Null, empty and blank
     texts have none of either. Rows are counted one by one, also if they repeat; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
 
     def run(batches):
         trie = trie_of(vocabulary)
-        for b in batches:
+        for b in slices(batches, 1):
             n, total = [], []
             for t in b.column(1).to_pylist():
                 words = t.split() if t else []

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from capturelake.llm import decontamination, language_id, mixing, near_dedup, quality, token_counts, token_output, unit_dedup, url_filter, vector_search  # noqa: E402
+from capturelake.llm import common, decontamination, language_id, mixing, near_dedup, quality, token_counts, token_output, unit_dedup, url_filter, vector_search  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -80,21 +81,61 @@ def test_decontamination_without_answer_and_in_other_scripts(spark):
     assert got == {(0, 1), (1, 2), (3, 1)}
 
 
+def lcs(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
 def test_lcs_against_plain_dynamic_programming():
     rng = random.Random(5)
     for _ in range(60):
         a, b = [rng.choice("abcdefg") for _ in range(rng.randint(1, 25))], [rng.choice("abcdefg") for _ in range(rng.randint(0, 40))]
-        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
-        item = decontamination.Item(1, " ".join(a))
+        item = decontamination.Item(1, " ".join(a), " ".join(a))
         code = dict(zip(a, item.words, strict=True))
         got = item.covered([code.get(x, -1) for x in b])[0]
-        want = t[-1][-1] / len(a)
+        want = lcs(a, b) / len(a)
         assert got == want or (got == 0 and len(set(a) & set(b)) and sum(x in b for x in a) < decontamination.COVER * len(a)) or want == 0
 
 
+def test_decontamination_equals_brute_force(spark):
+    """All pairs of documents and items by plain dynamic programming over every stretch, for items of many lengths."""
+    rng, items, rows, planted = random.Random(21), [], [], Counter()
+    for n, length in enumerate((6, 7, 8, 10, 12, 15, 24, 40, 60, 120)):
+        items += [(10 * n + j, prose(rng, length)) for j in range(3)]
+    for i in range(90):
+        words = prose(rng, 150).split()
+        if i < 60:
+            item = items[i % 30]
+            own = item[1].split()
+            if i >= 30:  # paraphrases: one word of six is another one, except in the answer's three
+                own = [rng.choice(VOCAB) if k % 6 == 2 and k < len(own) - 3 else w for k, w in enumerate(own)]
+            words[70:70] = own
+            planted[i, item[0]] = len(own)
+        rows.append((i, " ".join(words), "en", "a", 1))
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(make(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for item_id, text in items:
+        item = text.split()
+        n = len(item)
+        span, least, tail = n + max(4, n // 2), 0.6 + 0.4 * 0.6 * min(max(15 - n, 0) / 9, 1), item if n < 3 or "." not in text else item[-3:]
+        for doc_id, body, *_ in rows:
+            words = body.split()
+            if lcs(item, [w for w in words if w in set(item)]) < least * n:
+                continue
+            for at in range(0, len(words) - span + 1, max(1, n // 8)):
+                share = lcs(item, words[at : at + span]) / n
+                if share >= least and (share >= 0.8 or lcs(tail, words[at : at + span]) >= 0.5 * len(tail)):
+                    want.add((doc_id, item_id))
+                    break
+    exact = {k for k in planted if k[0] < 30}
+    assert exact <= got, exact - got
+    assert len(want & got) >= 0.9 * len(want) and len(got - want) <= 1, (want - got, got - want)
+    assert got <= set(planted), got - set(planted)
+
+
 def test_half_windows_are_shared_rightly():
     rng = np.random.default_rng(7)
     ends = np.cumsum([0, 1, 24, 25, 48, 49, 72, 73, 300, 24, 0, 24])
@@ -105,21 +146,20 @@ def test_half_windows_are_shared_rightly():
 
 
 def test_word_hashes_from_bytes():
-    import re
-
     import pyarrow as pa
 
-    texts = ["one two, two.three", None, "", "x", "ünï cödé-x _a1 ", "  ", "a" * 50 + " b" * 30]
-    decontamination.STEP, old = 40, decontamination.STEP
+    long = ["a" * 5000 + "b", "a" * 5000 + "c", "a" * 5000 + "b"]
+    texts = ["one two, two.three", None, "", "x", "ünï cödé-x _a1 ", "  ", "a" * 50 + " b" * 30, *long]
+    common.STEP, old = 40, common.STEP
     for _ in range(2):
-        decontamination._TABLES.clear()
-        h, ends = decontamination.word_hashes(pa.array(texts))
+        common._TABLES.clear()
+        h, ends = common.word_hashes(pa.array(texts))
         words = [re.findall(r"[a-z0-9_\u0080-\U0010ffff]+", t or "") for t in texts]
         assert np.diff(ends, prepend=0).tolist() == [len(w) for w in words]
         flat = [w for s in words for w in s]
         assert len(set(h.tolist())) == len(set(flat)) == len(set(zip(flat, h.tolist(), strict=True)))
-        decontamination.STEP = old
-    decontamination._TABLES.clear()
+        common.STEP = old
+    common._TABLES.clear()
 
 
 # 2
@@ -163,6 +203,47 @@ def test_language_id(spark, data_dir):
     assert {r.lang_pred for r in language_id.identify(odd_docs(spark), none).collect()} == {"und"}
 
 
+def plain_bits(train, text):
+    """Code length of a text under prediction by partial matching, symbol by symbol, from counts in plain dicts."""
+    orders = [defaultdict(lambda: defaultdict(Counter)) for _ in range(4)]
+    total = Counter()
+    for lang, texts in train:
+        data = b"   " + texts
+        for i in range(3, len(data)):
+            for k in range(4):
+                orders[k][lang][data[i - k : i]][data[i]] += 1
+            total[data[i - 3 : i]] += 1
+    memo = {}
+
+    def p(lang, context, k):
+        if (lang, context[3 - k :], k) not in memo:
+            lower = [1 / 256] * 256 if k == 0 else p(lang, context, k - 1)
+            seen = orders[k][lang].get(context[3 - k :], Counter()) if k < 3 or total[context] >= language_id.NODE_COUNT else Counter()
+            n, d = sum(seen.values()), len(seen)
+            left = sum(x for b, x in enumerate(lower) if b not in seen)
+            memo[lang, context[3 - k :], k] = lower if not n else [seen[b] / (n + d) if b in seen else d / (n + d) * x / left for b, x in enumerate(lower)]
+        return memo[lang, context[3 - k :], k]
+
+    data = b"   " + text
+    return {lang: -sum(math.log2(p(lang, data[i - 3 : i], 3)[data[i]]) for i in range(3, len(data))) for lang in dict(train)}
+
+
+def test_language_id_equals_plain_ppm(spark):
+    rng = random.Random(17)
+    kinds = {"aa": VOCAB[:200], "bb": VOCAB[150:400], "cc": ["ü" + w for w in VOCAB[300:420]]}
+    rows = [(i, " ".join(rng.choice(kinds[k]) for _ in range(25)), k) for i, k in enumerate(rng.choice(sorted(kinds)) for _ in range(60))]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    taught = [(k, t.encode()) for i, t, k in rows if zlib.crc32(str(i).encode()) % 5]
+    counts = language_id.learn(docs)
+    probes = [(100 + i, " ".join(rng.choice(kinds[rng.choice(sorted(kinds))]) for _ in range(6))) for i in range(12)] + [(200, "Zz ñ.")]
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(probes, "doc_id long, text string"), counts).collect()}
+    for i, text in probes:
+        want = plain_bits(taught, text.encode())
+        best = min(sorted(want), key=want.get)
+        assert got[i].lang_pred == best and abs(got[i].bits_per_byte - want[best] / len(text.encode())) < 1e-3
+        assert abs(got[i].score - 1 / sum(2 ** max(want[best] - x, -1000) for x in want.values())) < 1e-3
+
+
 # 3
 
 
@@ -195,13 +276,30 @@ def test_huffman_codes():
 
 
 def test_pieces_equal_whole_texts():
-    chunks, rng = token_output.ChunkIds(BPE), random.Random(4)
-    assert chunks.pieces
-    chunks.LIMIT = 300
-    parts = ["a", "the", "B", ",", ".", "!", " ", "  ", "\n", "\t", "1", "é", "ß", "'s", "’", "<|endoftext|>", "\u00a0", "日本", "\r", "_", "$$", " x", "\n\n", "😀", "\x1c"]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
-        assert np.frombuffer(chunks.of(text), np.uint16).tolist() == chunks.encode(text), repr(text)
+    import pyarrow as pa
+
+    known, rng = token_output.Pieces(BPE), random.Random(4)
+    assert known.by_pieces
+    known.BITS, known.AT_ONCE = 9, 7
+    known.clear()
+    parts = ["a", "the", "B", ",", ".", "!", " ", "  ", "\n", "\t", "1", "é", "ß", "'s", "’", "<|endoftext|>", "\u00a0", "日本", "\r", "_", "$$", " x", "\n\n", "😀", "\x1c", " word", " other", "\nline"]
+    odd = re.compile(token_output.ODD.replace("(?U)", "").replace(r"\z", r"\Z"))
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(50)]
+        got = known.of(pa.array(texts), np.array([bool(odd.search(t)) for t in texts]))
+        for t, ids in zip(texts, got, strict=True):
+            assert ids.tolist() == known.encode(t), repr(t)
+
+
+def test_codes_of_large_vocabularies():
+    rng = np.random.default_rng(1)
+    counts = np.zeros(200_000, np.int64)
+    counts[rng.choice(200_000, 70_000, replace=False)] = rng.integers(1, 1000, 70_000)
+    lengths = token_output.code_lengths(counts)
+    assert lengths.max() <= 20 and np.sum(2.0 ** -lengths[lengths > 0].astype(float)) <= 1
+    ids = rng.choice(np.flatnonzero(counts), 1000)
+    checkpoints, bits = token_output.pack(ids, lengths, token_output.canonical_codes(lengths))
+    assert (token_output.unpack([checkpoints], [bits], np.array([1000]), token_output.decode_table(lengths)) == ids).all()
 
 
 @pytest.mark.parametrize("empty", [False, True])
@@ -213,7 +311,7 @@ def test_token_files_round_trip(spark, empty):
     token_output.write_tokens(docs, path, BPE)
     got = sorted(token_output.read_tokens(spark, path).collect(), key=lambda r: r.start)
     t, at = Tokenizer.from_file(BPE), 0
-    want = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    want = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))  # equal ids have equal texts
     assert len(got) == len(want)
     for g, w in zip(got, want, strict=True):
         ids = [*t.encode(w.text or "", add_special_tokens=False).ids, 2]
@@ -227,15 +325,25 @@ def test_token_files_round_trip(spark, empty):
 
 def test_units_keep_offsets_and_first_occurrence(spark):
     passage = "This passage of quite a few words is in several documents. It has a second sentence of some length, too!"
-    rows = [(1, f"Own text one two three four five. {passage} End of the first one here, really.", "en", "a", 1), (2, f"{passage.upper()}\nAnother line which nobody else has at all.", "en", "a", 1), (3, "Short. Short. Short.", "en", "a", 1), (4, None, "en", "a", 1), (5, "", "en", "a", 1), (2, f"{passage.upper()}\nAnother line which nobody else has at all.", "en", "a", 1)]
-    docs = make(spark, rows).withColumn("digest", F.lit("x"))
-    spans = unit_dedup.repeated_units(docs)
-    got = spans.collect()
+    one = f"Own text one two three four five. {passage} End of the first one here, really."
+    two = f"{passage.upper()}\nAnother line which nobody else has at all."
+    rows = [(1, one, "en", "a", 1), (2, two, "en", "a", 1), (3, "Short. Short. Short.", "en", "a", 1), (4, None, "en", "a", 1), (5, "", "en", "a", 1), (2, two, "en", "a", 1), (None, two, "en", "a", 1)]
+    docs = make(spark, rows)
+    for c in ("digest", "row", "doc", "removed", "clean_text", "words"):
+        docs = docs.withColumn(c, F.lit("x"))
     texts = {r[0]: r[1] for r in rows}
-    assert {(r.doc_id, texts[r.doc_id][r.start : r.end].strip()) for r in got} == {(2, s) for s in (passage.upper().split("! ")[0].split(". ")[0] + ".", "IT HAS A SECOND SENTENCE OF SOME LENGTH, TOO!")} | set()
-    assert {r.keep_doc_id for r in got} == {1}
-    clean = {r.doc_id: r.clean_text for r in unit_dedup.remove_spans(docs, spans).collect()}
-    assert clean[1] == texts[1] and "PASSAGE" not in clean[2] and clean[4] is None and clean[5] == ""
+    got = unit_dedup.repeated_units(docs, "sentence", 20).collect()
+    found = Counter((r.doc_id, texts[r.doc_id][r.start : r.end].strip(), r.keep_doc_id) for r in got)
+    first, second = "THIS PASSAGE OF QUITE A FEW WORDS IS IN SEVERAL DOCUMENTS.", "IT HAS A SECOND SENTENCE OF SOME LENGTH, TOO!"
+    line = "Another line which nobody else has at all."
+    assert found == Counter({(2, first, 1): 2, (2, second, 1): 2, (2, line, 2): 1, (None, first, 1): 1, (None, second, 1): 1, (None, line, 2): 1})
+    every = Counter((r.doc_id, r.unit_no) for r in unit_dedup.repeated_units(docs, "sentence").collect())
+    assert every[3, 1] == every[3, 2] == 1 and (3, 0) not in every
+    lines = {(r.doc_id, texts[r.doc_id][r.start : r.end]) for r in unit_dedup.repeated_units(docs, "line").collect()}
+    assert lines == {(d, x) for d in (2, None) for x in two.split("\n")}
+    clean = [(r.doc.doc_id, r.clean_text, len(r.removed)) for r in unit_dedup.cleaned(docs, "line").collect()]
+    assert Counter(clean) == Counter([(1, one, 0), (2, two, 0), (2, "\n", 2), (3, texts[3], 0), (4, None, 0), (5, "", 0), (None, "\n", 2)])
+    assert unit_dedup.cleaned(docs).select("doc.*").columns == docs.columns
     assert unit_dedup.repeated_units(make(spark, [])).count() == 0
 
 
@@ -254,6 +362,14 @@ def test_trie_counts_equal_plain_dynamic_programming(spark):
     assert token_counts.count_tokens(make(spark, []), PIECES).count() == 0
 
 
+def test_long_words_need_no_trie():
+    rng = random.Random(3)
+    trie = token_counts.Trie(token_counts.load_pieces(PIECES))
+    for n in (1, 40, 1500):
+        word = "".join(rng.choice("abcdeé日") for _ in range(n))
+        assert trie.alone(token_counts.MARK + word) == token_counts.brute_force(token_counts.MARK + word, trie.pieces) == trie(word)
+
+
 # 6
 
 
@@ -316,6 +432,38 @@ def test_quality(spark, data_dir):
     assert quality.resample(make(spark, []), labels).count() == 0
 
 
+def test_quality_equals_plain_resampling(spark):
+    rng = random.Random(23)
+    rows = [(i, prose(rng, 60) if i % 3 else " ".join(["!!"] * 5 + [str(rng.random()) for _ in range(40)]), "en", "a", 1) for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(40)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.resample(make(spark, rows), labels, k=30).collect()}
+    n = quality.BUCKETS
+    counts = {}
+    for i, text, *_ in rows:
+        words = text.split()
+        shape = [re.sub(r"(.)\1+", r"\1+", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in w)) for w in words]
+        h, g = [zlib.crc32(w.encode()) for w in words], [zlib.crc32(x.encode()) & 0x7FFFFFFF for x in shape]
+        counts[i] = Counter((x * 0x9E3779B1 >> 13) % n for x in h) + Counter(n + (7 if a == b else ((c * 31 + d) * 0x9E3779B1 >> 11) % n) for a, b, c, d in zip(h, h[1:], g, g[1:]))
+    raw, target = sum(counts.values(), Counter()), sum((counts[i] for i in range(40) if i % 3), Counter())
+    half = lambda c, k: sum(v for x, v in c.items() if x // n == k)
+    sums = [(half(raw, k), half(target, k)) for k in (0, 1)]
+
+    def ratio(b):
+        r, t = sums[b // n]
+        prior, strength = raw[b] / r, 2 * n
+        return math.log((target[b] + strength * prior + 1e-9) / (t + strength)) - math.log((raw[b] + strength * prior + 1e-9) / (r + strength))
+
+    noisy = {}
+    for i, c in counts.items():
+        weight = sum(v * ratio(b) for b, v in c.items())
+        assert abs(got[i].log_weight - weight) < 1e-6
+        import hashlib
+
+        u = (int(hashlib.md5(f"gumbel-1:{i}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+        noisy[i] = weight - math.log(-math.log(u))
+    assert {i for i, r in got.items() if r.kept} == set(sorted(noisy, key=noisy.get)[-30:])
+
+
 def test_top_k_cut_with_ties(spark):
     d = spark.createDataFrame([(i, float(i % 7)) for i in range(6000)], "id long, gumbel double")
     for k in (1, 857, 858, 3000, 5999):
@@ -326,42 +474,82 @@ def test_top_k_cut_with_ties(spark):
 # 9
 
 
-def test_near_dedup_equals_brute_force(spark):
-    rng, rows = random.Random(9), []
-    for g in range(25):
-        base = prose(rng, rng.choice([30, 120, 300])).split()
-        for _ in range(rng.choice([1, 2, 6])):
-            own = list(base)
-            for _ in range(rng.choice([0, 0, 1, 2])):
-                own[rng.randrange(len(own))] = "changed"
-            rows.append((len(rows), " ".join(own), "en", "a", 1))
-    rows += [(1000, "one two", "en", "a", 1), (1001, "One two!", "en", "a", 1), (1002, None, "en", "a", 1), (1003, "", "en", "a", 1), (1004, "", "en", "a", 1), (None, "one two", "en", "a", 1), (1000, "one two", "en", "a", 1)]
-    docs = make(spark, rows).withColumn("rep", F.lit(1)).withColumn("label", F.lit(1))
-    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect() if r.doc_id is not None}
-    idf = near_dedup.inverse_frequencies(docs.select("text"))
-    s = near_dedup.Shingles([r[1] for r in rows], near_dedup.WordHash())
-    w = s.tf * idf[near_dedup._bucket(s.h)]
-    v = [(s.h[s.doc == i], w[s.doc == i]) for i in range(len(rows))]
-    parent = list(range(len(rows)))
+def plain_classes(texts, least=0.8):
+    """Class of each text (its least place) from all pairs, with shingles as tuples of words."""
+    bags = []
+    for t in texts:
+        words = re.findall(r"\w+", (t or "").lower())
+        words += [""] * (5 - len(words)) if words else []
+        bags.append(Counter(zip(*[words[k:] for k in range(5)], strict=False)))
+    df = Counter(x for bag in bags for x in bag)
+    weigh = {x: 1 + min(1, math.log(len(texts) / n) / math.log(1000)) / 2 for x, n in df.items()}
+    parent, links = list(range(len(texts))), set()
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for i in range(len(rows)):
-        for j in range(i):
-            if rows[i][0] is not None and rows[j][0] is not None and near_dedup.similarity(v[i], v[j]) >= 0.8:
-                a, b = sorted((find(i), find(j)))
-                parent[b] = a
-    want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows)) if rows[i][0] is not None}
-    assert got == want, (got ^ want, found[:3])
-    left = [r.doc_id for r in near_dedup.one_of_each(docs).collect()]
-    assert set(left) - {None} == set(want.values()) and None in left
-    assert near_dedup.classes(make(spark, [])).count() == 0
-
-
-def test_hub_rounds_find_the_same_classes(spark):
+    for i, a in enumerate(bags):
+        for j, b in enumerate(bags[:i]):
+            if a and b:
+                low, high = (sum(f(a[x], b[x]) * weigh[x] for x in a.keys() | b.keys()) for f in (min, max))
+                if low >= least * high:
+                    links.add((j, i))
+                    x, y = sorted((find(i), find(j)))
+                    parent[y] = x
+    return [find(i) for i in range(len(texts))], links
+
+
+def families(rng):
+    """Texts of many kinds: copies, edits, and a template with two clusters that are near each other but near no hub."""
+    texts = []
+    for _ in range(15):
+        base = prose(rng, rng.choice([30, 120, 300])).split()
+        for _ in range(rng.choice([1, 2, 6])):
+            own = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                own[rng.randrange(len(own))] = rng.choice(VOCAB)
+            texts.append(" ".join(own))
+    base = prose(rng, 200).split()
+    for i in range(40):  # pages of one template, below the limit to each other, each with a near copy
+        own = list(base)
+        for k in rng.sample(range(5, 190, 5), 5):
+            own[k] = f"v{i}"
+        texts.append(" ".join(own))
+        own[rng.randrange(200)] = f"w{i}"
+        texts.append(" ".join(own[: 200 - i % 5]))
+    return texts
+
+
+@pytest.mark.parametrize(("per_member", "rounds"), [(16, 4), (0.001, 4), (0.001, 1)])
+def test_near_dedup_equals_brute_force(spark, monkeypatch, per_member, rounds):
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_MEMBER", per_member)
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", rounds)
+    texts = families(random.Random(9)) + ["one two", "One two!", None, "", "", "one two", " ?! "]
+    docs = make(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    want, links = plain_classes(texts)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert len(links) > 60 and [got[i] for i in range(len(texts))] == want
+
+
+def test_near_dedup_rows_without_and_with_repeated_ids(spark):
+    rng = random.Random(3)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(7, a), (7, b), (None, a), (3, a + " end"), (None, b), (7, b), (None, "alone in the world here"), (None, None), (1, None), (1, None), (2, "")]
+    docs = make(spark, [(i, t, "en", "a", 1) for i, t in rows])
+    for c in ("row", "doc", "node", "label", "class", "text_a"):
+        docs = docs.withColumn(c, F.lit("x"))
+    got = Counter((r.doc_id, r.class_id, r.rep_id) for r in near_dedup.classes(docs).collect())
+    want = [(7, 3, 7), (7, 7, 7), (None, 3, 7), (3, 3, 3), (None, 7, 7), (7, 7, 7), (None, None, None), (None, None, None), (1, 1, 1), (1, 1, 1), (2, 2, 2)]
+    assert got == Counter(want)
+    left = near_dedup.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(3, a + " end"), (7, b), rows[6], (None, None), (1, None), (1, None), (2, "")])
+    assert near_dedup.classes(make(spark, [])).count() == 0 == near_dedup.one_of_each(make(spark, [])).count()
+
+
+def test_hub_rounds_find_the_same_classes(spark, monkeypatch):
     rng, rows = random.Random(10), []
     base = prose(rng, 200).split()
     for i in range(90):  # most pairs of variants are below the limit, each is near the base
@@ -369,43 +557,31 @@ def test_hub_rounds_find_the_same_classes(spark):
         for k in rng.sample(range(200), 2 if i else 0):
             own[k] = f"v{i}"
         rows.append((i, " ".join(own), "en", "a", 1))
-    near_dedup.PAIRS_PER_MEMBER, old = 0.001, near_dedup.PAIRS_PER_MEMBER
-    got = {r.class_id for r in near_dedup.classes(make(spark, rows)).collect()}
-    near_dedup.PAIRS_PER_MEMBER = old
-    assert got == {0}
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_MEMBER", 0.001)
+    assert {r.class_id for r in near_dedup.classes(make(spark, rows)).collect()} == {0}
 
 
 def test_prefix_pairs_miss_no_near_pair(spark):
-    rng, texts = random.Random(13), []
-    base = prose(rng, 200).split()
-    for i in range(60):  # pages of one template, below the limit to each other, each with a near copy
-        own = list(base)
-        a, b, *at = rng.sample(range(5, 190, 5), 5)
-        for k in at:
-            own[k] = f"v{i}"
-        texts.append(" ".join(own))
-        own[a] = own[b] = f"w{i}"
-        texts.append(" ".join(own[: 200 - i % 9]))
-    d = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    idf = near_dedup.inverse_frequencies(d)
-    got = {tuple(r) for r in near_dedup.prefix_pairs(d.select(F.col("id").alias("rep"), F.col("id").alias("class")), d, idf, 0.8).distinct().collect()}
-    s = near_dedup.Shingles(texts, near_dedup.WordHash())
-    w = s.tf * idf[near_dedup._bucket(s.h)]
-    v = [(s.h[s.doc == i], w[s.doc == i]) for i in range(len(texts))]
-    want = {(i, j) for j in range(len(texts)) for i in range(j) if near_dedup.similarity(v[i], v[j]) >= 0.8}
-    assert len(want) >= 50 and want <= got and len(got) < 120 * 119 // 4
+    texts = families(random.Random(13))
+    d = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    weights = near_dedup.inverse_frequencies(d.select(common.plain_words(F.col("text"))), len(texts))
+    got = {tuple(r) for r in near_dedup.prefix_pairs(d.select("node", F.col("node").alias("class")), d, weights, 0.8).distinct().collect()}
+    want = plain_classes(texts)[1]
+    assert len(want) >= 40 and want <= got and len(got) < len(texts) * (len(texts) - 1) // 4
 
 
 def test_samples_collide_as_often_as_texts_are_similar():
-    rng, words = random.Random(11), near_dedup.WordHash()
-    idf = np.ones(near_dedup.DF_BUCKETS)
-    base = prose(rng, 400).split()
-    other = base[:360] + prose(rng, 40).split()
-    s = near_dedup.Shingles([" ".join(base), " ".join(other)], words)
-    w = s.tf * 1.0
-    want = near_dedup.similarity((s.h[s.doc == 0], w[s.doc == 0]), (s.h[s.doc == 1], w[s.doc == 1]))
-    got = near_dedup.sample(s, idf, 2)
-    assert abs((got[0] == got[1]).mean() - want) < 0.16
+    import pyarrow as pa
+
+    rng, hits, want = random.Random(11), [], []
+    for _ in range(12):
+        base = prose(rng, 400).split()
+        s = near_dedup.Shingles(pa.array([" ".join(base), " ".join(base[:360] + prose(rng, 40).split())]))
+        w = s.tf * 1.0
+        want.append(near_dedup.similarity(*[(s.h[s.doc == i], w[s.doc == i]) for i in (0, 1)]))
+        got = near_dedup.sample(s, w, 2)
+        hits.append((got[0] == got[1]).mean())
+    assert abs(np.mean(hits) - np.mean(want)) < 0.05
 
 
 # 10
