@@ -26,10 +26,10 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import CHUNKS, chunks, keyed, mix, plain_words, slices, staged, sum_chunks, unchunk, without, word_hashes
+from .common import CHUNKS, chunks, histogram, keyed, mix, plain_words, slices, staged, sum_chunks, unchunk, without, word_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -261,26 +261,36 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float)
 def prefix_pairs(members: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
     """Pairs (a, b) of members (node, class) of different classes that may be at least so similar; none is missed.
 
-    Shingles are ordered by the number of members that have them, then by hash. What two texts have in common lies
-    behind the first shingle they share, and must weigh least / (1 + least) of both texts' sum; so each text may have no
-    more before that shingle than is left of its weight.
+    Shingles are put in one order, by how many members have their hash bucket, then by hash. What two texts have in common
+    lies behind the first shingle they share, and must weigh least / (1 + least) of both texts' sum; so each text may have
+    no more before that shingle than is left of its weight. Any order gives all pairs; rare shingles first give few others.
     """
+    own = staged(texts.join(members.hint("merge"), "node").select("node", "class", "text"), "open-texts")
 
-    def shingles(batches):
-        for b in slices(batches, 1):
-            s = Shingles(b.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[s.doc]), pa.array(s.h.view(np.int64)), pa.array(weights.of(s))], ["node", "h", "w"])
-
-    own = texts.join(members.select("node").hint("merge"), "node").select("node", "text")
-    every = staged(own.mapInArrow(shingles, "node long, h long, w double"), "open-shingles")
-    often = staged(every.groupBy("h").agg(F.count("*").alias("n")), "open-counts")
-    ranked = every.join(often.hint("merge"), "h")
-    before = Window.partitionBy("node").orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("node")
-    ranked = ranked.withColumn("before", F.coalesce(F.sum("w").over(before), F.lit(0.0))).withColumn("total", F.sum("w").over(whole))
-    # No text that is near has less than ``least`` of the other's weight. The tolerance is for rounding of sums only.
-    prefix = ranked.where(F.col("before") <= F.col("total") * (1 - least + 1e-9)).where("n > 1").select("node", "h", "before", "total")
-    prefix = staged(prefix.join(members.hint("merge"), "node"), "prefixes")
+    def count(batches):
+        total = np.zeros(1 << BITS, np.int64)
+        for b in slices(batches, 0):
+            np.add.at(total, _bucket(Shingles(b.column(0)).h), 1)
+        return total
+
+    # One byte for each bucket is enough for an order: 0 for a bucket of one.
+    often = np.minimum(8 * np.log2(np.maximum(histogram(own.select("text"), count, 1 << BITS, CHUNK), 1)), 255).astype(np.uint8)
+
+    def prefixes(batches):
+        for b in slices(batches, 2):
+            s = Shingles(b.column(2))
+            w, f = weights.of(s), often[_bucket(s.h)]
+            order = np.lexsort((s.h, f, s.doc))
+            doc, w, f = s.doc[order], w[order], f[order]
+            upto = np.append(0, np.cumsum(w))
+            cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            before, total = upto[:-1] - upto[cut[doc]], (upto[cut[1:]] - upto[cut[:-1]])[doc]
+            # No text that is near has less than ``least`` of the other's weight. The tolerance is for rounding of sums only.
+            some = np.flatnonzero((before <= total * (1 - least + 1e-9)) & (f > 0))
+            at = pa.array(doc[some])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(s.h[order][some].view(np.int64)), pa.array(before[some]), pa.array(total[some])], ["node", "class", "h", "before", "total"])
+
+    prefix = staged(own.mapInArrow(prefixes, "node long, class long, h long, before double, total double"), "prefixes")
     other = prefix.select("h", F.col("node").alias("other"), F.col("class").alias("other_class"), F.col("before").alias("other_before"), F.col("total").alias("other_total"))
     common = (F.col("total") + F.col("other_total")) * (least / (1 + least) - 1e-9)
     fits = (F.col("total") - F.col("before") >= common) & (F.col("other_total") - F.col("other_before") >= common)
