@@ -35,7 +35,7 @@ def scaled(vector: Column, scale: int = 1024) -> Column:
 class Tree:
     """Nodes in order of creation; a node is a range of rows with a box, leaves have no children."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, uids: np.ndarray, x: np.ndarray):
         order = np.arange(len(x))
         self.low, self.high, self.child, self.span = [], [], [], []
         stack = [(0, len(x), -1, 0)]
@@ -55,19 +55,19 @@ class Tree:
                 mid = (e - a) // 2
                 order[a:e] = order[a:e][np.argpartition(rows[:, width.argmax()], mid)]
                 stack += [(a + mid, e, me, 1), (a, a + mid, me, 0)]
-        self.ids, self.x = ids[order], x[order]
+        self.ids, self.uids, self.x = ids[order], uids[order], x[order]
         self.low, self.high = np.array(self.low), np.array(self.high)
 
     def bounds(self, q: np.ndarray) -> np.ndarray:
         """(queries, nodes): the greatest product that a point of the node's box can have."""
         return np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T
 
-    def search(self, q_ids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-        """(query id, id, score) of up to k best rows of each query with scores of at least its ``kth``."""
+    def search(self, q_uids: np.ndarray, q: np.ndarray, kth: list, k: int) -> list[tuple[int, int, int, int]]:
+        """(query number, number, id, score) of up to k best rows of each query with scores of at least its ``kth``."""
         out, bounds = [], self.bounds(q)
-        for i, own in enumerate(q_ids.tolist()):
+        for i, own in enumerate(q_uids.tolist()):
             bound, least = bounds[i], kth[i]
-            queue, ids, scores = [(-bound[0], 0)], np.zeros(0, np.int64), np.zeros(0, self.x.dtype)
+            queue, rows, scores = [(-bound[0], 0)], np.zeros(0, np.int64), np.zeros(0, self.x.dtype)
             while queue and -queue[0][0] >= least:
                 _, node = heapq.heappop(queue)
                 left, right = self.child[node]
@@ -78,14 +78,14 @@ class Tree:
                     continue
                 a, e = self.span[node]
                 score = self.x[a:e] @ q[i]
-                good = (score >= least) & (self.ids[a:e] != own)
-                if good.any():
-                    ids, scores = np.append(ids, self.ids[a:e][good]), np.append(scores, score[good])
-                    if len(ids) > k:
-                        best = np.lexsort((ids, -scores))[:k]
-                        ids, scores = ids[best], scores[best]
+                good = np.flatnonzero((score >= least) & (self.uids[a:e] != own))
+                if len(good):
+                    rows, scores = np.append(rows, a + good), np.append(scores, score[good])
+                    if len(rows) > k:
+                        best = np.lexsort((self.uids[rows], self.ids[rows], -scores))[:k]
+                        rows, scores = rows[best], scores[best]
                         least = max(least, scores[-1])
-            out += [(own, int(r), int(s)) for r, s in zip(ids.tolist(), scores.tolist(), strict=True)]
+            out += [(own, int(u), int(r), int(s)) for u, r, s in zip(self.uids[rows].tolist(), self.ids[rows].tolist(), scores.tolist(), strict=True)]
         return out
 
 
@@ -107,34 +107,38 @@ def _integers(a: np.ndarray) -> np.ndarray:
 
 
 def _packed(rows: DataFrame, by: str) -> DataFrame:
-    """(width, by, ids, data): each group's rows as two blobs; groups are of bounded size by their hash."""
+    """(width, by, ids, uids, data): each group's rows as three blobs; groups are of bounded size by a hash of the row's number."""
 
     def pack(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("id", kind="stable")
+        t = t.sort_values("uid")
         x = np.array(t["v"].tolist(), np.int64)
-        return pd.DataFrame({"width": [t["width"].iloc[0]], by: [t[by].iloc[0]], "ids": [t["id"].to_numpy(np.int64).tobytes()], "data": [x.tobytes()]})
+        return pd.DataFrame({"width": [t["width"].iloc[0]], by: [t[by].iloc[0]], "ids": [t["id"].to_numpy(np.int64).tobytes()], "uids": [t["uid"].to_numpy(np.int64).tobytes()], "data": [x.tobytes()]})
 
-    return rows.groupBy("width", by).applyInPandas(pack, f"width int, {by} int, ids binary, data binary")
+    return rows.groupBy("width", by).applyInPandas(pack, f"width int, {by} int, ids binary, uids binary, data binary")
+
+
+LOWEST = -(1 << 63) + 1
+_FOUND = ["q_uid", "uid", "vec_id", "score"]
 
 
 def _found(pairs: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score) of joined rows of a shard and a query block with its kth scores."""
+    """(q_uid, uid, vec_id, score) of joined rows of a shard and a query block with the kth scores known for it."""
 
     def run(batches):
         tree, made = None, None
         for b in batches:
-            for r in b.to_pylist():
+            for r in (r for lo in range(b.num_rows) for r in b.slice(lo, 1).to_pylist()):
                 if made != (r["width"], r["shard"]):
                     made, x = (r["width"], r["shard"]), _matrix(r["data"], r["width"])
-                    tree = Tree(np.frombuffer(r["ids"], np.int64), x)
+                    tree = Tree(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["uids"], np.int64), x)
                 q = _matrix(r["q_data"], r["width"])
                 if not _exact(tree.x, q):
                     tree.x, tree.low, tree.high, q = map(_integers, (tree.x, tree.low, tree.high, q))
-                kth = np.frombuffer(r["kth"], np.int64)
-                rows = tree.search(np.frombuffer(r["q_ids"], np.int64), q, kth.astype(np.float64) if q.dtype == np.float64 else kth.astype(object), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 3)], ["query_id", "vec_id", "score"])
+                numbers, known = np.frombuffer(r["q_uids"], np.int64), {x["q_uid"]: x["score"] for x in r["known"] or []}
+                rows = tree.search(numbers, q, [known.get(n, LOWEST) for n in numbers.tolist()], k)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 4)], _FOUND)
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.mapInArrow(run, ", ".join(f"{c} long" for c in _FOUND))
 
 
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -142,36 +146,31 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
 
     Queries are the rows whose id is divisible by ``every``. Vectors that are null, empty, or hold a null or a value that
     isn't finite take no part, nor do rows without an id; vectors meet those of their own length only. Rows that share an id are
-    candidates on their own but never each other's. Fewer than k candidates are all returned; an empty table gives no rows.
+    rows of their own: each is a query with its own k results if the id is divisible, and a candidate of all others. Fewer
+    than k candidates are all returned; an empty table gives no rows. Other columns are not looked at.
     """
-    spark = vectors.sparkSession
     d = vectors.select(F.col(key).cast("long").alias("id"), scaled(F.col(vector), scale).alias("v")).where("id IS NOT NULL AND size(v) > 0")
-    d = d.select("id", "v", F.size("v").alias("width"))
-    d = staged(d, "vectors")
+    d = staged(d.select("id", "v", F.size("v").alias("width"), F.monotonically_increasing_id().alias("uid")), "vectors")
     n = d.count()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n // (every * BLOCK_QUERIES)))
-    trees = staged(_packed(d.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int")), "shard"), "shards")
-    q = d.where(F.pmod("id", F.lit(every)) == 0).dropDuplicates(["id", "width"])
-    q = _packed(q.withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int")), "block").withColumnsRenamed({"ids": "q_ids", "data": "q_data"})
-    q = staged(q, "query-blocks")
-    low = -(1 << 63) + 1
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(blocks)).cast("int")
+    trees = staged(_packed(d.withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(shards)).cast("int")), "shard"), "shards")
+    asked = d.where(F.pmod("id", F.lit(every)) == 0)
+    q = staged(_packed(asked.withColumn("block", block(F.col("uid"))), "block").select("width", "block", F.col("uids").alias("q_uids"), F.col("data").alias("q_data")), "query-blocks")
 
-    none = F.udf(lambda ids: np.full(len(ids) // 8, low, np.int64).tobytes(), "binary")
     home = q.withColumn("shard", F.pmod(F.col("block"), F.lit(shards)).cast("int"))
-    first = staged(_found(home.withColumn("kth", none("q_ids")).join(trees.hint("merge"), ["width", "shard"]), k), "first-scores")
-    kth = first.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") == k)
-    kth = kth.select(F.col("query_id"), F.col("score").alias("least"), F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"))
-    known = kth.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "least"))).alias("known"))
-
-    @F.udf("binary")
-    def fill(ids, known):
-        return np.array([(known or {}).get(i, low) for i in np.frombuffer(ids, np.int64).tolist()], np.int64).tobytes()
+    nothing = F.lit(None).cast("array<struct<q_uid: bigint, score: bigint>>")
+    first = staged(_found(home.withColumn("known", nothing).join(trees.hint("merge"), ["width", "shard"]), k), "first-scores")
+    order = Window.partitionBy("q_uid").orderBy(F.desc("score"), "vec_id", "uid")
+    kth = first.withColumn("r", F.row_number().over(order)).where(F.col("r") == k)
+    known = kth.groupBy(block(F.col("q_uid")).alias("block")).agg(F.collect_list(F.struct("q_uid", "score")).alias("known"))  # one row of each of a block's queries
 
-    rest = home.join(known.hint("merge"), "block", "left").withColumn("kth", fill("q_ids", "known")).drop("known").withColumnRenamed("shard", "home")
+    rest = home.join(known.hint("merge"), "block", "left").withColumnRenamed("shard", "home")
     rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
     rest = _found(rest.repartition("width", "shard").join(trees.hint("merge"), ["width", "shard"]), k)
-    best = first.unionByName(rest).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = first.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    names = asked.select(F.col("uid").alias("q_uid"), F.col("id").alias("query_id"))
+    return best.join(names.hint("merge"), "q_uid").select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
