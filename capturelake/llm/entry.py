@@ -38,7 +38,7 @@ def op5_token_counts(spark, sf_dir):
 
 def op6_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge_urls(pages, is_listed=url_filter.spam_host(F.col("key"))).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge_urls(pages, url_filter.bad_hosts(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_vector_search(spark, sf_dir):

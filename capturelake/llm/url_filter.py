@@ -24,7 +24,10 @@ LITERAL_WORDS = 1 << 18
 #: Keys of a shard where there are more.
 SHARD_KEYS = 2_000
 
-# Rules (host and path prefix, verdict) and spam labels of the production filter.
+#: Keys of the query's list: hosts with a spam label, and those with more than so many times the mean number of pages of a host.
+FLOOD = 3
+
+# The rules of the contract (host and path prefix, verdict), and spam labels for tests.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 SPAM_LABELS = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
@@ -137,8 +140,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame | None = None, is_listed: Col
     Null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed; an empty host
     is never a key. Repeated urls are judged alike; an empty table gives no rows.
     """
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "_shard")]
-    d = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    # The page's columns travel as one, so that none can clash with the filters'.
+    d = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("page"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     keys = d.where("host <> ''").select(F.col("host").alias("key")).distinct()
     if is_listed is not None:
         universe = keys.withColumn("listed", is_listed)
@@ -150,9 +154,12 @@ def judge_urls(pages: DataFrame, listed: DataFrame | None = None, is_listed: Col
     cascade = build_cascade(universe, literal_words)
     rule, verdict = rule_of(F.col("host"), F.col("path"), RULES if rules is None else rules)
     if cascade.filters is not None:
-        d = d.withColumn("_shard", cascade.shard(F.col("host"))).join(cascade.filters.withColumnRenamed("shard", "_shard").hint("merge"), "_shard", "left")
+        # A row without a host needs no filter: such rows are dealt evenly.
+        anywhere = F.pmod(F.monotonically_increasing_id(), F.lit(cascade.shards)).cast("int")
+        d = d.withColumn("shard", F.when(F.col("host") == "", anywhere).otherwise(cascade.shard(F.col("host"))))
+        d = d.join(cascade.filters.hint("merge"), "shard", "left")
     blocked = (F.col("host") != "") & cascade.contains(F.col("host"))
-    return d.select(*kept, "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(blocked, "block").otherwise("allow")).alias("verdict"))
+    return d.select("page.*", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(blocked, "block").otherwise("allow")).alias("verdict"))
 
 
 def spam_host(key: Column) -> Column:
@@ -160,6 +167,13 @@ def spam_host(key: Column) -> Column:
     return F.arrays_overlap(F.split(key, r"\."), F.array(*map(F.lit, SPAM_LABELS)))
 
 
+def bad_hosts(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(key): the corpus's hosts with a spam label or very many pages."""
+    hosts = pages.select(host_of(F.col(url)).alias("key")).where("key <> ''").groupBy("key").agg(F.count("*").alias("n"))
+    total = hosts.agg(F.sum("n").alias("pages"), F.count("*").alias("hosts")).first()
+    return hosts.where(spam_host(F.col("key")) | (F.col("n") * F.lit(total["hosts"]) > F.lit(FLOOD * (total["pages"] or 0)))).select("key")
+
+
 ORACLE = r"""
 WITH u AS (
   SELECT page_id,
@@ -171,9 +185,11 @@ r AS (
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
-    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM u)
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM u),
+n AS (SELECT host, count(*) AS n FROM u WHERE host <> '' GROUP BY 1),
+b AS (SELECT host FROM n WHERE n * (SELECT count(*) FROM n) > 3 * (SELECT sum(n) FROM n) OR list_has_any(string_split(host, '.'), ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']))
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-  WHEN list_has_any(string_split(host, '.'), ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block' ELSE 'allow' END AS verdict
+  WHEN host IN (SELECT host FROM b) THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
