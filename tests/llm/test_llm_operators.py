@@ -415,6 +415,9 @@ def test_vector_search_equals_brute_force(spark):
     big = spark.createDataFrame([(0, [1e9, 3.0]), (1, [2e3, 5.0]), (2, [2e3, 6.0])], "vec_id long, embedding array<double>")
     assert [(r.vec_id, r.score) for r in vector_search.nearest(big).orderBy("rank").collect()] == [(k, int(1024 * 1e9) * 2048000 + 3072 * c) for k, c in ((2, 6144), (1, 5120))]
     assert vector_search.nearest(d.limit(0)).count() == 0
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (2, [1.0, 3.0])], "vec_id long, embedding array<double>")
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score >> 20) for r in vector_search.nearest(twice).collect())
+    assert got == Counter([(0, 1, 1, 2), (0, 2, 2, 1), (0, 3, 0, 0), (0, 1, 2, 3), (0, 2, 1, 1), (0, 3, 0, 0)])
 
 
 # 8
