@@ -28,8 +28,29 @@ EVERY = 128
 BLOCK_TOKENS = 1 << 16
 END_ID = 2
 
-#: Texts in which pieces can't be told by single spaces and line ends alone: other white space, several in a row or at the end.
-ODD = r"(?U)[^\S \n]|[\x1c-\x1f]|[ \n][ \n]|[ \n]\z"
+#: White space that parts words in another way than a single space or line end: fixed values, as bytes of UTF-8.
+_ASCII_SPACE = np.zeros(256, bool)
+_ASCII_SPACE[[9, 11, 12, 13, 28, 29, 30, 31]] = True
+_WIDE_SPACES = [0xC285, 0xC2A0, 0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def odd_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts in which pieces can't be told by single spaces and line ends: other white space, several in a row or at the end."""
+    parts = (data == 32) | (data == 10)
+    bad = _ASCII_SPACE[data]
+    bad[:-1] |= parts[:-1] & parts[1:]
+    last = offsets[1:][np.diff(offsets) > 0] - 1
+    bad[last] |= parts[last]
+    lead = np.flatnonzero(_LEADS[data])
+    if len(lead):
+        ahead = np.append(data, np.zeros(2, np.uint8))
+        two = ahead[lead].astype(np.int64) << 8 | ahead[lead + 1]
+        bad[lead[np.isin(np.where(ahead[lead] == 0xC2, two, two << 8 | ahead[lead + 2]), _WIDE_SPACES)]] = True
+    out = np.zeros(len(offsets) - 1, bool)
+    out[np.searchsorted(offsets, np.flatnonzero(bad), "right") - 1] = True
+    return out
 
 
 class Pieces:
@@ -38,7 +59,7 @@ class Pieces:
     A byte-level BPE splits a text before each space that a word follows, and around a single line end, so the
     ids of a text are those of its pieces. Pieces are found and hashed (64 bits) for a whole batch at once; what a worker
     process has met before is looked up in a hash table of its own, and new pieces are encoded by the library.
-    A text for which this doesn't hold (``ODD``, or one with a special token) is encoded as a whole, as is everything
+    A text for which this doesn't hold (``odd_texts``, or one with a special token) is encoded as a whole, as is everything
     by a vocabulary that doesn't split there.
 
     Bounded: a full table is emptied.
@@ -104,10 +125,10 @@ class Pieces:
             x[:] = [np.concatenate(x)]
         return self.start[0], self.size[0], self.ids[0]
 
-    def of(self, column: pa.Array, odd: np.ndarray) -> list[np.ndarray]:
-        """The ids of each text; ``odd`` texts are encoded as a whole."""
+    def of(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; odd texts are encoded as a whole."""
         data, offsets = column_bytes(column)
-        size = np.diff(offsets)
+        size, odd = np.diff(offsets), odd_texts(data, offsets)
         for token in self.special:
             odd = odd | pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
         whole = (odd | (not self.by_pieces)) & (size > 0)
@@ -184,10 +205,10 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, text: str =
         known = pieces_of(vocabulary)
         end = np.array([end_id], known.kind)
         for b in slices(batches, 1):
-            ids = [np.append(x, end) for x in known.of(b.column(1), b.column(2).to_numpy(zero_copy_only=False).astype(bool))]
+            ids = [np.append(x, end) for x in known.of(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-    d = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(text).rlike(ODD), F.lit(False)).alias("odd"))
+    d = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return d.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
