@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import CHUNKS, chunks, histogram, keyed, mix, plain_words, slices, staged, sum_chunks, unchunk, without, word_hashes
+from .common import CHUNKS, add_chunks, chunks, keyed, mix, plain_words, slices, staged, sum_chunks, unchunk, without, word_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -41,7 +41,7 @@ POOL = 1 << 16
 #: A bucket with no more open pairs than this for each of its members is compared in full.
 PAIRS_PER_MEMBER = 16
 #: Rounds for the others at most, one hub each, while these find links; an exact prefix filter then finds the rest.
-HUB_ROUNDS = 4
+HUB_ROUNDS = 2
 
 _rng = np.random.default_rng(20240607)
 _r, _lnc, _beta = _rng.gamma(2.0, 1.0, POOL), np.log(_rng.gamma(2.0, 1.0, POOL)), _rng.random(POOL)
@@ -271,10 +271,13 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, weights: Weights, least:
         total = np.zeros(1 << BITS, np.int64)
         for b in slices(batches, 0):
             np.add.at(total, _bucket(Shingles(b.column(0)).h), 1)
-        return total
+        yield from chunks(total, CHUNK)
 
     # One byte for each bucket is enough for an order: 0 for a bucket of one.
-    often = np.minimum(8 * np.log2(np.maximum(histogram(own.select("text"), count, 1 << BITS, CHUNK), 1)), 255).astype(np.uint8)
+    often = np.zeros(1 << BITS, np.uint8)
+    for r in own.select("text").mapInArrow(count, CHUNKS).repartition((1 << BITS) // CHUNK, "chunk").mapInArrow(add_chunks, CHUNKS).collect():
+        place, n = unchunk(r["data"])
+        often[r["chunk"] * CHUNK + place] = np.minimum(8 * np.log2(n), 255)
 
     def prefixes(batches):
         for b in slices(batches, 2):
