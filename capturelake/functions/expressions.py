@@ -188,6 +188,15 @@ def centered_crop(length: Column, center: Column, least_share: float = 0.75, tol
     return F.get(fits, 0)
 
 
+def cropped_camera(k: dict[str, Column], width: Column, height: Column, x0: Column, y0: Column, w: Column, h: Column) -> dict[str, Column]:
+    """Intrinsics and size of a camera after a crop, nulls where the crop doesn't lie within the image; and its violations."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    bad = violations(origin=no((x0 >= 0) & (y0 >= 0)), size=no((w > 0) & (h > 0)), outside=no((x0 + w <= width) & (y0 + h <= height)), focal=no(is_finite(k["fx"]) & is_finite(k["fy"]) & (k["fx"] > 0) & (k["fy"] > 0)))
+    good = F.size(bad) == 0
+    moved = {"fx": k["fx"], "fy": k["fy"], "cx": k["cx"] - x0, "cy": k["cy"] - y0, "width": w, "height": h}
+    return {n: F.when(good, c) for n, c in moved.items()} | {"violations": bad}
+
+
 # Probes
 
 

@@ -71,6 +71,15 @@ def dense_reindex(rows: DataFrame, key: list[str], order: list[str], name: str =
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1)
 
 
+def dense_positions(rows: DataFrame, key: str, width: int = 4096) -> DataFrame:
+    """``rows`` of a distinct integer key with their position (from 0) in its order: counts of ranges first, then within each."""
+    d = rows.withColumn("_range", F.floor(F.col(key) / width))
+    counts = d.groupBy("_range").agg(F.count("*").alias("n"))  # one row for each range: small enough for one window
+    starts = counts.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("start"))
+    d = d.withColumn("_at", F.row_number().over(Window.partitionBy("_range").orderBy(key)))
+    return d.join(starts.hint("merge"), "_range").select(*rows.columns, (F.col("start") + F.col("_at") - 1).alias("position"))
+
+
 def not_increasing(rows: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:
     """Rows whose value isn't above that of the row before, in the given order."""
     w = Window.partitionBy(*key).orderBy(*order)

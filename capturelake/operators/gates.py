@@ -55,6 +55,26 @@ def release_gate(runs: DataFrame, visual: Mapping[str, tuple[str, float]] = EARL
     return runs.withColumn("reasons", blocks).withColumn("warnings", warn).withColumn("computed_pass", F.size("reasons") == 0)
 
 
+def technical_gate(runs: DataFrame, exposures: DataFrame, visual: Mapping[str, tuple[str, float]] = EARLY_VISUAL) -> DataFrame:
+    """The early (or, with FORMAL_VISUAL, the formal) technical gate of each run: reasons block, warnings do not.
+
+    ``runs``: run_id, active_camera_count, iterations, structural_pass, anchor_observed, checkpoint_finite, cross_gap and the
+    visual metrics; ``exposures``: run_id, camera, exposures. Every active camera must have the floor or the ceiling of
+    iterations by cameras, in the numbers that follow from it. Metrics that are missing block, low ones warn.
+    """
+    n, low, extra = F.col("active_camera_count"), F.expr("iterations div active_camera_count"), F.col("iterations") % F.col("active_camera_count")
+    seen = exposures.join(runs.select("run_id", low.alias("low")), "run_id").groupBy("run_id").agg(F.count("*").alias("_cameras"), F.sum("exposures").alias("_sum"), F.count_if(F.col("exposures") == F.col("low")).alias("_at_low"), F.count_if(F.col("exposures") == F.col("low") + 1).alias("_at_high"), F.count_if(F.col("exposures") == 0).alias("_zero"))
+    d = runs.join(seen, "run_id", "left")
+    ok = lambda c: F.coalesce(c, F.lit(False))
+    spread = (F.col("_at_low") == n - extra) & (F.col("_at_high") == extra)
+    known = [F.col(m).isNotNull() & ~F.isnan(F.col(m).cast("double")) for m in visual]
+    reasons = violations(exposure_identity=~ok(F.col("_cameras") == n), exposure_distribution=~ok(spread), exposure_sum=~ok(F.col("_sum") == F.col("iterations")), anchor_schedule=~ok(F.col("anchor_observed")), checkpoint=~ok(F.col("checkpoint_finite")), structural=~ok(F.col("structural_pass")), metrics_missing=~ok(F.array_min(F.array(*known))))
+    low_metrics = {m: ~F.coalesce(F.col(m) >= limit, F.lit(False)) for m, (_, limit) in visual.items()}
+    warnings = violations(**low_metrics, cross_gap=ok(F.col("cross_gap")), zero_exposure=ok(F.col("_zero") > 0))
+    d = d.withColumn("reasons", reasons).withColumn("warnings", warnings).withColumn("computed_pass", F.size("reasons") == 0)
+    return d.drop("_cameras", "_sum", "_at_low", "_at_high", "_zero")
+
+
 def coverage_plan(runs: DataFrame, rounds: int = 2) -> DataFrame:
     """Least and greatest iterations for full rounds over all cameras, and reasons against the request."""
     least, most = rounds * F.col("camera_count"), rounds * F.col("max_frames")

@@ -428,23 +428,20 @@ def registered_vs_selected(b_components):
     return sparse.registered_vs_selected(b_components.where("name % 3 <> 0"), b_components, ["component"])
 
 
-RELATED = "few AS (SELECT component, name FROM b_components WHERE name % 10 = 0 OR component % 2 = 0), sz AS (SELECT component, count(*) AS n FROM few GROUP BY 1), o AS (SELECT a.component AS l, b.component AS r, count(*) AS overlap_count FROM few a JOIN few b ON a.name = b.name AND a.component < b.component GROUP BY 1, 2), rel AS (SELECT l, r, overlap_count, CASE WHEN overlap_count = x.n AND overlap_count = y.n THEN 'equal_registered_name_set' WHEN overlap_count = x.n THEN 'strict_subset' WHEN overlap_count = y.n THEN 'strict_superset' ELSE 'non_subset_overlap' END AS relation FROM o JOIN sz x ON x.component = l JOIN sz y ON y.component = r)"
-FEW = "name % 10 = 0 OR component % 2 = 0"
+RELATED = "few AS (SELECT component, name FROM b_components), sz AS (SELECT component, count(*) AS n FROM few GROUP BY 1), o AS (SELECT a.component AS l, b.component AS r, count(*) AS overlap_count FROM few a JOIN few b ON a.name = b.name AND a.component < b.component GROUP BY 1, 2), rel AS (SELECT l, r, overlap_count, CASE WHEN overlap_count = x.n AND overlap_count = y.n THEN 'equal_registered_name_set' WHEN overlap_count = x.n THEN 'strict_subset' WHEN overlap_count = y.n THEN 'strict_superset' ELSE 'non_subset_overlap' END AS relation FROM o JOIN sz x ON x.component = l JOIN sz y ON y.component = r)"
 
 
 @query(f"WITH {RELATED} SELECT l AS left_component, r AS right_component, overlap_count, relation FROM rel")
 def component_relations(b_components):
-    return sparse.component_relations(b_components.where(FEW)).select(F.col("left").alias("left_component"), F.col("right").alias("right_component"), "overlap_count", "relation")
+    return sparse.component_relations(b_components).select(F.col("left").alias("left_component"), F.col("right").alias("right_component"), "overlap_count", "relation")
 
 
 INVENTORY = "pos AS (SELECT p_partkey AS name, row_number() OVER (ORDER BY p_partkey) - 1 AS position FROM part), m AS (SELECT f.component, p.position FROM few f JOIN pos p USING (name)), i AS (SELECT component, position - row_number() OVER (PARTITION BY component ORDER BY position) AS g, position FROM m), ru AS (SELECT component, count(*) AS n, min(position) AS s FROM i GROUP BY component, g), tp AS (SELECT component, max(n) AS longest_run FROM ru GROUP BY 1), iv AS (SELECT m.component, count(*) AS registered, any_value(longest_run) AS longest_run FROM m JOIN tp USING (component) GROUP BY 1)"
 
 
 def _inventory(b_components, part):
-    from pyspark.sql import Window
-
-    positions = part.select(F.col("p_partkey").alias("name")).withColumn("position", F.row_number().over(Window.orderBy("name")) - 1)
-    return sparse.component_inventory(b_components.where(FEW), positions)
+    positions = frames.dense_positions(part.select(F.col("p_partkey").alias("name")), "name")
+    return sparse.component_inventory(b_components, positions)
 
 
 @query(f"WITH {RELATED}, {INVENTORY} SELECT component, registered, longest_run FROM iv")
@@ -454,7 +451,7 @@ def component_inventory(b_components, part):
 
 @query(f"WITH {RELATED}, {INVENTORY}, sub AS (SELECT l AS component FROM rel WHERE relation = 'strict_subset' UNION SELECT r FROM rel WHERE relation = 'strict_superset'), act AS (SELECT iv.*, sub.component IS NULL AS active FROM iv LEFT JOIN sub USING (component)), rk AS (SELECT *, row_number() OVER (ORDER BY active DESC, longest_run DESC, registered DESC, component) AS rank FROM act) SELECT component, CAST(rank AS INT) AS rank, CASE WHEN NOT active THEN 'dominated' WHEN rank = 1 THEN 'selected' ELSE 'not_selected' END AS status FROM rk")
 def select_component(b_components, part):
-    d = sparse.select_component(_inventory(b_components, part), sparse.component_relations(b_components.where(FEW)))
+    d = sparse.select_component(_inventory(b_components, part), sparse.component_relations(b_components))
     return d.select("component", "rank", "status")
 
 
@@ -828,13 +825,13 @@ def existing_run_stages(b_attempts):
     return media.existing_run_stages(a, inventory, ["view", "click", "error", "none"]).select("run_id", "position", "stage", "attempt", "status", "reusable")
 
 
-@query("WITH i AS (SELECT o_custkey % 50 AS model_id, o_orderkey AS name FROM orders) SELECT model_id, name, 'contract_unexpected' AS violation FROM i WHERE name % 5 = 0 UNION ALL SELECT model_id, name, 'model_missing' FROM i WHERE name % 7 = 0 UNION ALL SELECT model_id, name, 'contract_missing' FROM i WHERE name % 7 = 0 AND name % 5 <> 0 UNION ALL SELECT model_id, name, 'hash' FROM i WHERE name % 3 = 0 AND name % 5 <> 0 AND name % 7 <> 0")
+@query("WITH i AS (SELECT o_custkey % 50 AS model_id, o_orderkey AS name FROM orders) SELECT model_id, name, 'contract_unexpected' AS violation FROM i WHERE name % 5 = 0 AND name % 7 <> 0 UNION ALL SELECT model_id, name, 'model_missing' FROM i WHERE name % 7 = 0 UNION ALL SELECT model_id, name, 'contract_missing' FROM i WHERE name % 7 = 0 AND name % 5 <> 0 UNION ALL SELECT model_id, name, 'hash' FROM i WHERE name % 3 = 0 AND name % 5 <> 0 AND name % 7 <> 0")
 def audit_training_input(orders):
     from ..operators import media
 
     i = orders.select((F.col("o_custkey") % 50).alias("model_id"), F.col("o_orderkey").alias("name"), F.lit("a").alias("sha256"))
     contract = i.where("name % 5 <> 0").withColumn("sha256", F.when(F.col("name") % 3 == 0, "b").otherwise("a"))
-    return media.audit_training_input(i.where("name % 7 <> 0"), contract, i.select("model_id", "name")).select("model_id", "name", "violation").union(i.where("name % 35 = 0").select("model_id", "name", F.lit("contract_unexpected").alias("violation")))
+    return media.audit_training_input(i.where("name % 7 <> 0"), contract, i.select("model_id", "name")).select("model_id", "name", "violation")
 
 
 @query("SELECT event_id AS id, concat_ws(',', CASE WHEN event_id % 4 = 0 THEN 'no_verdict' END, CASE WHEN event_id % 4 = 3 THEN 'alias_conflict' END) AS violations, CASE event_id % 4 WHEN 1 THEN 'needs_review' WHEN 2 THEN 'passed' WHEN 3 THEN 'failed' ELSE 'needs_review' END AS status FROM events")
@@ -851,3 +848,6 @@ def normalize_postcheck(events):
 
     text = F.element_at(F.array(*map(F.lit, ('{"structural":{"ok":true}}', '{"postcheck_result":{"structural":{"ok":1}}}', '{"structural":5}'))), (F.col("event_id") % 3 + 1).cast("int"))
     return media.normalize_postcheck(events.select(F.col("event_id").alias("id"), text.alias("evidence"))).select("id", "nested", F.array_join("violations", ",").alias("violations"))
+
+
+from . import file_queries, more_queries  # noqa: E402, F401  they register theirs

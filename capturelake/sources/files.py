@@ -244,3 +244,18 @@ def write_sparse_points(points: DataFrame, path: str) -> None:
     track = F.array_join(F.transform("track", lambda t: F.concat_ws(" ", t["image_id"].cast("string"), t["idx"].cast("string"))), " ")
     line = F.concat_ws(" ", F.col("point_id").cast("string"), *[number(F.col(c)) for c in "xyz"], F.array_join(F.transform("rgb", lambda v: v.cast("string")), " "), number(F.col("error")), track)
     points.select("model_id", F.trim(line).alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
+
+
+def write_sparse_cameras(cameras: DataFrame, path: str) -> None:
+    """Text lines of cameras (model_id, camera_id, model, width, height, params), one folder for each model."""
+    head = [F.col(c).cast("string") for c in ("camera_id", "model", "width", "height")]
+    line = F.concat_ws(" ", *head, F.array_join(F.transform("params", lambda v: v.cast("string")), " "))
+    cameras.select("model_id", line.alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
+
+
+def write_sparse_images(images: DataFrame, path: str) -> None:
+    """Two-line records of images (model_id, image_id, q, t, camera_id, name, points), one folder for each model."""
+    numbers = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), " ")
+    head = F.concat_ws(" ", F.col("image_id").cast("string"), numbers("q"), numbers("t"), F.col("camera_id").cast("string"), "name")
+    points = F.array_join(F.transform("points", lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"), p["point_id"].cast("string"))), " ")
+    images.select("model_id", F.concat(head, F.lit("\n"), points).alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
