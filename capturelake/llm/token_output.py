@@ -300,16 +300,24 @@ def unpack(checkpoints: list[bytes], bits: list[bytes], n_tokens: np.ndarray, ta
     return out[np.arange(EVERY) < left[:, None]]
 
 
+def vocabulary_size(spark: SparkSession, vocabulary: str) -> int:
+    """Asked of a worker, which has the vocabulary loaded anyway; the driver needs no tokenizer in its memory."""
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pieces_of(vocabulary).tokenizer.get_vocab_size()] * b.num_rows, pa.int64())], ["n"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(size, "n long").first()[0]
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, **columns) -> None:
     """Write the file set of all documents to the new folder ``path``.
 
     A null or empty text has the end id alone. Rows that share an id are kept, in an order of their ids that a rerun
     repeats; rows without an id come first. An empty table makes a file set without blocks. Special tokens in a text get their ids, as the library gives them.
     """
-    from tokenizers import Tokenizer
-
     spark = docs.sparkSession
-    n_ids = max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1)
+    n_ids = max(vocabulary_size(spark, vocabulary), end_id + 1)
     kind = id_type(n_ids)
     tokens = staged(tokenise(docs, vocabulary, end_id, **columns), "tokens")
 
