@@ -149,3 +149,14 @@ def sparse_cameras_round_trip(b_cameras):
     files.write_sparse_cameras(b_cameras.select((F.col("camera_id") % 3).alias("model_id"), "camera_id", "model", "width", "height", F.array("p0", "p1", "p2", "p3").alias("params")), path)
     d = files.read_sparse_cameras(spark, f"{path}/*")
     return d.select("camera_id", "model", "width", "height", F.col("params")[0].alias("p0"), F.col("params")[1].alias("p1"))
+
+
+@query("SELECT i.image_id, i.camera_id, concat('f', CAST(i.image_id AS VARCHAR), '.png') AS name, count(o.idx) AS points, round(coalesce(sum(o.x), 0), 3) AS sum_x FROM b_images i LEFT JOIN b_observations o ON o.image_id = i.image_id GROUP BY 1, 2, 3")
+def sparse_images_round_trip(b_images, b_observations):
+    spark, path = b_images.sparkSession, new_folder(b_images.sparkSession)
+    seen = b_observations.groupBy(F.col("image_id").alias("of")).agg(F.collect_list(F.struct("x", "y", "point_id")).alias("points"))
+    rows = b_images.join(seen, F.col("image_id") == F.col("of"), "left").withColumns({"model_id": F.col("image_id") % 3, "q": F.array(*map(F.lit, (1.0, 0.0, 0.0, 0.0))), "t": F.array(*map(F.lit, (0.5, -1.0, 2.0))), "name": F.concat(F.lit("f"), F.col("image_id").cast("string"), F.lit(".png"))})
+    none = F.array().cast("array<struct<x: double, y: double, point_id: bigint>>")
+    files.write_sparse_images(rows.withColumn("points", F.coalesce("points", none)), path)
+    total = F.round(F.aggregate("points", F.lit(0.0), lambda a, p: a + p["x"]), 3)
+    return files.read_sparse_images(spark, f"{path}/*").select("image_id", "camera_id", "name", F.size("points").cast("long").alias("points"), total.alias("sum_x"))
