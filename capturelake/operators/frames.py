@@ -100,7 +100,8 @@ def longest_runs(runs: DataFrame, key: list[str]) -> DataFrame:
 
 
 def duplicate_keys(rows: DataFrame, key: list[str], position: Column) -> DataFrame:
-    d = rows.groupBy(*key).agg(F.count("*").alias("copies"), F.sort_array(F.collect_list(position)).alias("positions"))
+    """Keys of several rows: copies, first and last position. All are partial sums, so a very common key is no large array."""
+    d = rows.groupBy(*key).agg(F.count("*").alias("copies"), F.min(position).alias("first_position"), F.max(position).alias("last_position"))
     return d.where("copies > 1")
 
 

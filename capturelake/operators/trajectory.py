@@ -74,9 +74,14 @@ def pose_attempt_reasons(attempts: DataFrame, least_matches: int = 100, least_in
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def project_to_so3(r: pd.Series) -> pd.Series:
-    """The nearest rotation to each 3x3 matrix (9 numbers, row by row)."""
-    m = np.stack(r.to_numpy()).reshape(-1, 3, 3)
-    u, _, vh = np.linalg.svd(m)
-    flip = np.ones((len(m), 3))
-    flip[:, 2] = np.sign(np.linalg.det(u @ vh))
-    return pd.Series(list(((u * flip[:, None, :]) @ vh).reshape(-1, 9)))
+    """The nearest rotation to each 3x3 matrix (9 numbers, row by row); null for null, non-finite or other arrays."""
+    rows = [None if x is None else np.asarray(x, float) for x in r]
+    good = [i for i, x in enumerate(rows) if x is not None and len(x) == 9 and np.isfinite(x).all()]
+    out = [None] * len(rows)
+    if good:
+        u, _, vh = np.linalg.svd(np.stack([rows[i] for i in good]).reshape(-1, 3, 3))
+        flip = np.ones((len(good), 3))
+        flip[:, 2] = np.sign(np.linalg.det(u @ vh))
+        for i, x in zip(good, ((u * flip[:, None, :]) @ vh).reshape(-1, 9), strict=True):
+            out[i] = x
+    return pd.Series(out, dtype=object)

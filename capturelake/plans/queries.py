@@ -102,9 +102,9 @@ def contiguous_runs(b_frames):
     return frames.longest_runs(r, ["video_id"]).withColumn("first_start", F.col("first_start").cast("long"))
 
 
-@query("SELECT o_custkey AS camera_id, count(*) AS copies, min(o_orderkey) AS first_position FROM orders GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT o_custkey AS camera_id, count(*) AS copies, min(o_orderkey) AS first_position, max(o_orderkey) AS last_position FROM orders GROUP BY 1 HAVING count(*) > 1")
 def duplicate_keys(orders):
-    return frames.duplicate_keys(orders, ["o_custkey"], F.col("o_orderkey")).select(F.col("o_custkey").alias("camera_id"), "copies", F.col("positions")[0].alias("first_position"))
+    return frames.duplicate_keys(orders, ["o_custkey"], F.col("o_orderkey")).select(F.col("o_custkey").alias("camera_id"), "copies", "first_position", "last_position")
 
 
 @query("WITH e AS (SELECT DISTINCT k FROM b_keys WHERE side = 'expected'), a AS (SELECT DISTINCT k FROM b_keys WHERE side = 'actual') SELECT coalesce(e.k, a.k) AS k, CASE WHEN a.k IS NULL THEN 'missing' WHEN e.k IS NULL THEN 'unexpected' ELSE 'matched' END AS status FROM e FULL JOIN a ON e.k = a.k")
@@ -388,10 +388,17 @@ def pose_audit(b_poses):
     return trajectory.pose_audit(q, accepted, step_ratio=3.0).select("scene_id", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query()
+# The nearest rotation of a matrix near one is the limit of (m + cofactors / determinant) / 2; eight steps are plenty.
+_COFACTORS = dict(zip("abcdefghi", ("e*i - f*h", "f*g - d*i", "d*h - e*g", "c*h - b*i", "a*i - c*g", "b*g - a*h", "b*f - c*e", "c*d - a*f", "a*e - b*d"), strict=True))
+_QUATERNION = ("1-2*(y*y+z*z)", "2*(x*y-w*z)", "2*(x*z+w*y)", "2*(x*y+w*z)", "1-2*(x*x+z*z)", "2*(y*z-w*x)", "2*(x*z-w*y)", "2*(y*z+w*x)", "1-2*(x*x+y*y)")
+POLAR = f"m0 AS (SELECT scene_id, ord, {', '.join(f'({e})*1.5 + 0.01 AS {n}' for n, e in zip('abcdefghi', _QUATERNION, strict=True))} FROM u)" + "".join(f", m{k + 1} AS (SELECT scene_id, ord, {', '.join(f'({n} + ({c}) / q) / 2 AS {n}' for n, c in _COFACTORS.items())} FROM (SELECT *, a*(e*i - f*h) + b*(f*g - d*i) + c*(d*h - e*g) AS q FROM m{k}))" for k in range(8))
+
+
+@query(f"WITH {ROT}, {POLAR} SELECT scene_id, ord, {', '.join(f'round({n}, 5) + 0.0 AS r{k}' for k, n in enumerate('abcdefghi'))} FROM m8")
 def project_to_so3(b_poses):
     d = _matrices(b_poses).withColumn("R", F.transform("R", lambda v: v * 1.5 + 0.01))
-    return d.select("scene_id", "ord", trajectory.project_to_so3("R").alias("R"))
+    d = d.select("scene_id", "ord", trajectory.project_to_so3("R").alias("R"))
+    return d.select("scene_id", "ord", *[(F.round(F.col("R")[k], 5) + 0.0).alias(f"r{k}") for k in range(9)])
 
 
 # ---- sparse models
@@ -613,18 +620,32 @@ def compare_runs(b_pairs):
     return images.compare_runs(m, 0, 1).select("ordinal", F.round("psnr_delta", 5).alias("psnr_delta"))
 
 
-@query()
+# Blurs of 8x8 images as weights of rows (then columns): a Gaussian over 11 places, mirrored at the edges.
+BLURRED = """g AS (SELECT t, exp(-t * t / 4.5) AS w FROM (SELECT unnest(generate_series(-5, 5)) AS t)), k AS (SELECT o, CASE WHEN o + t < 0 THEN -o - t WHEN o + t > 7 THEN 14 - o - t ELSE o + t END AS s, sum(w / (SELECT sum(w) FROM g)) AS w FROM g, (SELECT unnest(generate_series(0, 7)) AS o) GROUP BY 1, 2),
+p AS (SELECT run_id, ordinal, (px - 1) // 8 AS y, (px - 1) % 8 AS x, round(255 * left_v) AS a, round(255 * right_v) AS b FROM b_pairs),
+d AS (SELECT run_id, ordinal, o AS y, x, sum(w * a) AS a, sum(w * b) AS b, sum(w * a * a) AS aa, sum(w * b * b) AS bb, sum(w * a * b) AS ab FROM p JOIN k ON s = y GROUP BY run_id, ordinal, o, x),
+z AS (SELECT run_id, ordinal, y, o AS x, sum(w * a) AS a, sum(w * b) AS b, sum(w * aa) AS aa, sum(w * bb) AS bb, sum(w * ab) AS ab FROM d JOIN k ON s = x GROUP BY run_id, ordinal, y, o),
+v AS (SELECT run_id, ordinal, avg((2 * a * b + 6.5025) * (2 * (ab - a * b) + 58.5225) / ((a * a + b * b + 6.5025) * (aa - a * a + bb - b * b + 58.5225))) AS ssim FROM z GROUP BY 1, 2), f AS (SELECT run_id, ordinal, avg((a - b) * (a - b)) AS mse FROM p GROUP BY 1, 2)"""
+
+
+@query(f"WITH {BLURRED} SELECT run_id, ordinal, round(CASE WHEN mse > 0 THEN 10 * log10(65025 / mse) END, 5) AS psnr, round(ssim, 5) AS ssim FROM f JOIN v USING (run_id, ordinal)")
 def pixel_pair_metrics(b_pairs):
     packed = lambda c: F.expr(f"unhex(array_join(transform(array_sort(collect_list(struct(px, {c}))), x -> lpad(hex(cast(round(255 * x.{c}) AS INT)), 2, '0')), ''))")
     d = b_pairs.groupBy("run_id", "ordinal").agg(packed("left_v").alias("left"), packed("right_v").alias("right"), F.lit(8).alias("height"), F.lit(8).alias("width"))
-    return images.pixel_pair_metrics(d)
+    return images.pixel_pair_metrics(d).select("run_id", "ordinal", *[F.round(c, 5).alias(c) for c in ("psnr", "ssim")])
 
 
-@query()
+# An 8x8 image's own cells are its pixels, so its mean hash has one bit for each, the first one highest. Variances are whole multiples of 1 / 4096.
+PIXELS = """p AS (SELECT CAST(label AS BIGINT) AS video_id, vec_id AS frame_index, i, (i - 1) // 8 AS y, (i - 1) % 8 AS x, round(255 * (e + 0.5)) AS v FROM b_elements),
+n AS (SELECT *, avg(v) OVER (PARTITION BY frame_index) AS m, coalesce(lag(v) OVER r, v) + coalesce(lead(v) OVER r, v) + coalesce(lag(v) OVER c, v) + coalesce(lead(v) OVER c, v) - 4 * v AS lap FROM p WINDOW r AS (PARTITION BY frame_index, y ORDER BY x), c AS (PARTITION BY frame_index, x ORDER BY y)),
+f AS (SELECT video_id, frame_index, round(var_pop(lap) * 4096) / 4096 AS sharpness, avg(CASE WHEN v >= 250 THEN 1.0 ELSE 0 END) AS overexposed_ratio, avg(CASE WHEN v <= 5 THEN 1.0 ELSE 0 END) AS underexposed_ratio, CAST(sum(CASE WHEN v > m THEN CAST(CASE WHEN i = 1 THEN -9223372036854775808 ELSE CAST(power(2, 64 - i) AS HUGEINT) END AS HUGEINT) ELSE 0 END) AS BIGINT) AS mean_hash FROM n GROUP BY 1, 2)"""
+
+
+@query(f"WITH {PIXELS} SELECT *, CAST(bit_count(xor(mean_hash, lag(mean_hash) OVER (PARTITION BY video_id ORDER BY frame_index))) AS INT) AS duplicate_score FROM f")
 def frame_pixel_metrics(b_elements):
     data = F.expr("unhex(array_join(transform(array_sort(collect_list(struct(i, e))), x -> lpad(hex(cast(round(255 * (x.e + 0.5)) AS INT)), 2, '0')), ''))")
     d = b_elements.groupBy(F.col("label").cast("long").alias("video_id"), F.col("vec_id").alias("frame_index")).agg(data.alias("data"), F.lit(8).alias("height"), F.lit(8).alias("width"))
-    return images.frame_pixel_metrics(d)
+    return images.frame_pixel_metrics(d).withColumn("sharpness", F.round(F.col("sharpness") * 4096) / 4096)
 
 
 # ---- depth
@@ -658,10 +679,17 @@ def online_pose_gate(b_matches):
     return trajectory.pose_attempt_reasons(d, least_inlier_ratio=0.7, most_rmse=0.5, least_positive=0.99).select("frame_id", F.array_join("rejection_reasons", ",").alias("reasons"))
 
 
-@query()
+# Gradients are central inside and one-sided at the edges; erosion takes what lies outside as not reliable.
+MASKS = """p AS (SELECT vec_id AS frame_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x, 1 + e > 0 AS ok, CASE WHEN 1 + e > 0 THEN 1 + e ELSE 0 END AS d FROM b_elements),
+g AS (SELECT *, (coalesce(lead(d) OVER r, d) - coalesce(lag(d) OVER r, d)) / CASE WHEN x IN (0, 7) THEN 1 ELSE 2 END AS gx, (coalesce(lead(d) OVER c, d) - coalesce(lag(d) OVER c, d)) / CASE WHEN y IN (0, 7) THEN 1 ELSE 2 END AS gy FROM p WINDOW r AS (PARTITION BY frame_id, y ORDER BY x), c AS (PARTITION BY frame_id, x ORDER BY y)),
+e AS (SELECT *, sqrt(gx * gx + gy * gy) AS edge FROM g), q AS (SELECT frame_id, quantile_cont(edge, 0.9) FILTER (WHERE ok) AS most FROM e GROUP BY 1), b AS (SELECT e.*, ok AND edge <= most AS good FROM e JOIN q USING (frame_id)),
+s AS (SELECT *, good AND coalesce(lag(good) OVER r, false) AND coalesce(lead(good) OVER r, false) AND coalesce(lag(good) OVER c, false) AND coalesce(lead(good) OVER c, false) AS inner_ FROM b WINDOW r AS (PARTITION BY frame_id, y ORDER BY x), c AS (PARTITION BY frame_id, x ORDER BY y))"""
+
+
+@query(f"WITH {MASKS} SELECT frame_id, avg(CASE WHEN ok THEN 1.0 ELSE 0 END) AS valid_ratio, avg(CASE WHEN inner_ THEN 1.0 ELSE 0 END) AS reliable_ratio, round(coalesce(avg(CASE WHEN edge > 1e-3 THEN 1.0 ELSE 0 END) FILTER (WHERE ok), 0), 6) AS texture_ratio FROM s GROUP BY 1")
 def depth_masks(b_elements):
     d = b_elements.groupBy(F.col("vec_id").alias("frame_id")).agg(F.expr("transform(array_sort(collect_list(struct(i, e))), x -> 1 + x.e)").alias("depth"), F.lit(8).alias("height"), F.lit(8).alias("width"))
-    return depth.depth_masks(d)
+    return depth.depth_masks(d).withColumn("texture_ratio", r6(F.col("texture_ratio")))
 
 
 # ---- runs
@@ -713,7 +741,7 @@ def classify_stage_migration(orders):
     return runs.classify_stage_migration(observed, expected, ["k"], ["source"], ["tool"]).select("k", "classification")
 
 
-@query("SELECT l_orderkey AS k, count(*) AS files, sha256(string_agg(l_partkey || ':' || l_returnflag, chr(10) ORDER BY l_partkey || ':' || l_returnflag)) AS fingerprint FROM lineitem GROUP BY 1")
+@query("WITH m AS (SELECT l_orderkey AS k, md5(l_partkey || ':' || l_returnflag) AS h FROM lineitem) SELECT k, count(*) AS files, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) || '-' || sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS fingerprint FROM m GROUP BY 1")
 def content_fingerprint(lineitem):
     return runs.content_fingerprint(lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("name"), F.col("l_returnflag").alias("sha256")), ["k"])
 

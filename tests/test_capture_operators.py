@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from capturelake.functions import expressions as X
 from capturelake.functions import markers
-from capturelake.operators import clouds, depth, frames, gates, images, sparse, telemetry, trajectory
+from capturelake.operators import clouds, depth, frames, gates, images, runs, sparse, telemetry, trajectory
 from capturelake.sources import files, gaussians
 
 
@@ -129,6 +129,24 @@ def test_rotations(spark):
     assert tuple(e[0]) == (-1.0, -2.0, -3.0) and math.isnan(e[1][0])
 
 
+def test_rotation_of_odd_matrices_is_null(spark):
+    good = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]
+    d = spark.createDataFrame([(0, good), (1, None), (2, [float("nan")] * 9), (3, [1.0, 2.0]), (4, [None, *good[1:]])], "k long, r array<double>")
+    got = {r.k: r.r for r in d.select("k", trajectory.project_to_so3("r").alias("r")).collect()}
+    assert np.allclose(got.pop(0), good) and set(got.values()) == {None}
+    assert d.where("k = 1").select(trajectory.project_to_so3("r").alias("r")).first().r is None
+
+
+def test_fingerprints_and_duplicates_are_sums(spark):
+    rows = [(1, "a", "x"), (1, "b", "y"), (2, "b", "y"), (2, "a", "x"), (3, "a", "y"), (3, "b", "x"), (4, "a", "x"), (4, "a", "x")]
+    d = spark.createDataFrame(rows, "k long, name string, sha256 string")
+    f = {r.k: (r.files, r.fingerprint) for r in runs.content_fingerprint(d, ["k"]).collect()}
+    assert f[1] == f[2] and len({f[1], f[3], f[4]}) == 3
+    p = spark.createDataFrame([("a", 3), ("b", 1), ("a", 2), ("a", 9), (None, 4), (None, 5)], "k string, at long")
+    got = {r.k: tuple(r)[1:] for r in frames.duplicate_keys(p, ["k"], F.col("at")).collect()}
+    assert got == {"a": (3, 2, 9), None: (2, 4, 5)}
+
+
 def test_component_choice(spark):
     members = [("a", n) for n in range(10)] + [("b", n) for n in range(3, 6)] + [("c", n) for n in (20, 21, 22, 30)] + [("d", n) for n in (5, 12)]
     m = spark.createDataFrame(members, "component string, name long")
