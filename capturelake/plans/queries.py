@@ -636,14 +636,14 @@ def pixel_pair_metrics(b_pairs):
 
 
 # An 8x8 image's own cells are its pixels, so its mean hash has one bit for each, the first one highest. Variances are whole multiples of 1 / 4096.
-PIXELS = """p AS (SELECT CAST(label AS BIGINT) AS video_id, vec_id AS frame_index, i, (i - 1) // 8 AS y, (i - 1) % 8 AS x, round(255 * (e + 0.5)) AS v FROM b_elements),
+PIXELS = """p AS (SELECT CAST(label AS BIGINT) AS video_id, vec_id AS frame_index, i, (i - 1) // 8 AS y, (i - 1) % 8 AS x, least(greatest(round(255 * (e + 0.5)), 0), 255) AS v FROM b_elements),
 n AS (SELECT *, avg(v) OVER (PARTITION BY frame_index) AS m, coalesce(lag(v) OVER r, v) + coalesce(lead(v) OVER r, v) + coalesce(lag(v) OVER c, v) + coalesce(lead(v) OVER c, v) - 4 * v AS lap FROM p WINDOW r AS (PARTITION BY frame_index, y ORDER BY x), c AS (PARTITION BY frame_index, x ORDER BY y)),
 f AS (SELECT video_id, frame_index, round(var_pop(lap) * 4096) / 4096 AS sharpness, avg(CASE WHEN v >= 250 THEN 1.0 ELSE 0 END) AS overexposed_ratio, avg(CASE WHEN v <= 5 THEN 1.0 ELSE 0 END) AS underexposed_ratio, CAST(sum(CASE WHEN v > m THEN CAST(CASE WHEN i = 1 THEN -9223372036854775808 ELSE CAST(power(2, 64 - i) AS HUGEINT) END AS HUGEINT) ELSE 0 END) AS BIGINT) AS mean_hash FROM n GROUP BY 1, 2)"""
 
 
 @query(f"WITH {PIXELS} SELECT *, CAST(bit_count(xor(mean_hash, lag(mean_hash) OVER (PARTITION BY video_id ORDER BY frame_index))) AS INT) AS duplicate_score FROM f")
 def frame_pixel_metrics(b_elements):
-    data = F.expr("unhex(array_join(transform(array_sort(collect_list(struct(i, e))), x -> lpad(hex(cast(round(255 * (x.e + 0.5)) AS INT)), 2, '0')), ''))")
+    data = F.expr("unhex(array_join(transform(array_sort(collect_list(struct(i, e))), x -> lpad(hex(cast(least(greatest(round(255 * (x.e + 0.5)), 0), 255) AS INT)), 2, '0')), ''))")
     d = b_elements.groupBy(F.col("label").cast("long").alias("video_id"), F.col("vec_id").alias("frame_index")).agg(data.alias("data"), F.lit(8).alias("height"), F.lit(8).alias("width"))
     return images.frame_pixel_metrics(d).withColumn("sharpness", F.round(F.col("sharpness") * 4096) / 4096)
 
