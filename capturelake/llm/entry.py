@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, mixing, near_dedup, quality, token_counts, token_output, unit_dedup, url_filter, vector_search
+from . import decontamination, language_id, mixing, near_dedup, periodic_runs, quality, sharding, token_counts, token_output, unit_dedup, url_filter, vector_search, whitening
 from .common import table
 
 
@@ -57,5 +57,18 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_token_output, op4_substring_dedup, op5_token_counts, op6_url_filter, op7_vector_search, op8_quality, op9_near_dedup, op10_mixing)}
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
+_ALL = (op1_decontamination, op2_language_id, op3_token_output, op4_substring_dedup, op5_token_counts, op6_url_filter, op7_vector_search, op8_quality, op9_near_dedup, op10_mixing, op11_whitening, op12_sharding, op13_periodic_runs)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {"op4_substring_dedup": unit_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op7_vector_search": vector_search.ORACLE, "op10_mixing": mixing.ORACLE}
