@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sparse_binary import read_sparse_binary_cameras, read_sparse_binary_images, read_sparse_binary_points  # noqa: F401
+
 MOTION = "struct<inlier_ratio: double, score: double, grid_coverage: double, residual_rmse_diag_ratio: double, valid: boolean, reason: string>"
 FRAME = f"struct<id: string, frame_id: string, segment_id: string, frame_index: int, timestamp_sec: double, timestamp: double, width: int, height: int, path: string, sha256: string, selected: boolean, sharpness: double, blur_score: double, overexposed_ratio: double, underexposed_ratio: double, motion_score: double, coverage_score: double, quality_score: double, duplicate_score: int, reject_reasons: array<string>, keyframe: struct<policy: string, bridge: boolean, selected_by_policy: boolean, motion: {MOTION}>>"
 MANIFEST = f"video_id string, schema_version string, settings map<string, string>, segments array<struct<id: string, index: int, start_sec: double, end_sec: double, path: string, sha256: string, reason: string, width: int, height: int>>, frames array<{FRAME}>"
@@ -131,49 +132,10 @@ def read_sparse_images(spark: SparkSession, path: str) -> DataFrame:
     return d.mapInPandas(pair, kind)
 
 
-#: Number of parameters by model number of a binary camera file (fixed values of the format).
-MODEL_PARAMS = {0: ("SIMPLE_PINHOLE", 3), 1: ("PINHOLE", 4), 2: ("SIMPLE_RADIAL", 4), 3: ("RADIAL", 5), 4: ("OPENCV", 8)}
-
-
-def read_sparse_binary_points(spark: SparkSession, path: str) -> DataFrame:
-    """Points of little-endian binary files, one task for each file."""
-    kind = "model_id string, point_id long, x double, y double, z double, error double, track array<struct<image_id: long, idx: long>>"
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for model, data in zip(b["model_id"], b["content"], strict=True):
-                (n,), at, rows = struct.unpack_from("<Q", data), 8, []
-                for _ in range(n):
-                    i, x, y, z, *_, error, k = struct.unpack_from("<Q3d3BdQ", data, at)
-                    at += 51
-                    pairs = np.frombuffer(data, "<u4", 2 * k, at).reshape(-1, 2).tolist()
-                    at += 8 * k
-                    rows.append((model, i, x, y, z, error, [tuple(p) for p in pairs]))
-                yield pd.DataFrame(rows, columns=["model_id", "point_id", "x", "y", "z", "error", "track"])
-
-    return spark.read.format("binaryFile").load(path).select(_model_id().alias("model_id"), "content").mapInPandas(decode, kind)
-
-
-def read_sparse_binary_cameras(spark: SparkSession, path: str) -> DataFrame:
-    kind = "model_id string, camera_id long, model string, width long, height long, params array<double>"
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for model_id, data in zip(b["model_id"], b["content"], strict=True):
-                (n,), at, rows = struct.unpack_from("<Q", data), 8, []
-                for _ in range(n):
-                    i, m, w, h = struct.unpack_from("<IiQQ", data, at)
-                    name, k = MODEL_PARAMS[m]
-                    rows.append((model_id, i, name, w, h, list(struct.unpack_from(f"<{k}d", data, at + 24))))
-                    at += 24 + 8 * k
-                yield pd.DataFrame(rows, columns=["model_id", "camera_id", "model", "width", "height", "params"])
-
-    return spark.read.format("binaryFile").load(path).select(_model_id().alias("model_id"), "content").mapInPandas(decode, kind)
-
-
 def read_depth(spark: SparkSession, path: str) -> DataFrame:
-    """Depth maps of NPZ files (key ``depth``): path, sha256, height, width, depth, violation."""
+    """Depth maps of NPZ files (key ``depth``) and NPY files: path, sha256, height, width, depth, violation."""
     import io
+    import zipfile
 
     kind = "path string, sha256 string, height int, width int, depth array<float>, violation string"
 
@@ -182,10 +144,10 @@ def read_depth(spark: SparkSession, path: str) -> DataFrame:
             rows = []
             for p, sha, data in zip(b["path"], b["sha256"], b["content"], strict=True):
                 try:
-                    with np.load(io.BytesIO(data), allow_pickle=False) as z:
-                        d = z["depth"] if "depth" in z else None
+                    z = np.load(io.BytesIO(data), allow_pickle=False)
+                    d = z if isinstance(z, np.ndarray) else z["depth"] if "depth" in z else None
                     bad = "no_depth" if d is None else "not_2d" if d.ndim != 2 else "not_finite" if not np.isfinite(d).all() else None
-                except ValueError:
+                except (ValueError, OSError, EOFError, zipfile.BadZipFile):
                     d, bad = None, "unreadable"
                 whole = d is not None and d.ndim == 2
                 rows.append((p, sha, d.shape[0] if whole else None, d.shape[1] if whole else None, d.astype(np.float32).ravel().tolist() if whole and not bad else None, bad))
