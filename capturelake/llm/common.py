@@ -56,11 +56,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _one_row_each(docs: DataFrame) -> bool:
+    """Whether the rows are those of one relation, each at most once: nothing but projections and filters stands over it."""
+    try:
+        node = docs._jdf.queryExecution().analyzed()
+    except AttributeError:  # a remote session shows no plans
+        return False
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().apply(0)
+    return node.nodeName().startswith("LogicalRelation")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(row, doc): a key of each row's place in its file, the same in every scan, and the whole row as a struct.
 
     So a decision on a row reaches that row also where ids are null or repeated, and no column names can clash. What is no
-    plain scan of files is written out first.
+    plain scan of files (a join, union, sample, or texts cut into rows, which would share their document's place) is written out first.
     """
 
     def scan(d):
@@ -68,10 +79,12 @@ def keyed(docs: DataFrame) -> DataFrame:
         columns = F.struct(*[F.col(f"`{c}`") for c in d.columns])
         return d.select(F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at")).alias("row"), columns.alias("doc"))
 
-    try:
-        return scan(docs)
-    except AnalysisException:
-        return scan(staged(docs, "rows"))
+    if _one_row_each(docs):
+        try:
+            return scan(docs)
+        except AnalysisException:  # a relation without files
+            pass
+    return scan(staged(docs, "rows"))
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Every document gets the exponential key ``-ln(u) / weight`` with ``u`` from a hash of its id, so that a rerun
-agrees. Within a source documents are taken in key order up to the source's word budget. A budget above
+Every document gets the exponential key ``-ln(u) / weight`` with ``u`` from a hash of its id (of its text, where it has none), so that
+a rerun agrees. Within a source documents are taken in key order up to the source's word budget. A budget above
 the source's size first takes complete epochs of all its documents and then selects the rest. All of it
 is DataFrame functions.
 
@@ -53,8 +53,9 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text: str = "text", source: str = "source", key: str = "doc_id", whole: bool = False) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted).
 
-    A null or wordless text has size 0 and is never taken; a null source is a source of its own; rows that
-    share an id share their place and are each counted. A document at the end of the budget is taken when
+    A null or wordless text has size 0 and is never taken; a null source is a source of its own; rows that share an id follow
+    each other by a hash of their texts and are each counted; a row without an id has its place by its text. So reruns agree in
+    any order of rows: only fully equal rows may change places. A document at the end of the budget is taken when
     that brings the sum nearer to the target. An empty table gives no rows. Other columns are not looked at.
     ``weight``: a positive quality weight, by default from the text's mean word length.
     ``whole``: also the document itself, a struct ``_row``.
@@ -64,7 +65,10 @@ def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text
     size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
     d = d.withColumn("size", size)
     w = F.greatest(F.coalesce(weight if weight is not None else text_weight(F.col("text"), F.col("size")), F.lit(1.0)), F.lit(1e-6))
-    d = d.select("doc_id", "source", "size", (-F.log(hash_unit(F.col("doc_id"), seed)) / w).alias("key"), *row)
+    # A row without an id is known by its text; rows that share an id are told apart by it where their order matters.
+    d = d.withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    own = F.coalesce(F.col("doc_id").cast("string"), F.when(F.col("text").isNotNull(), F.col("digest")))
+    d = d.select("doc_id", "source", "size", F.xxhash64("digest").alias("tie"), (-F.log(hash_unit(own, seed)) / w).alias("key"), *row)
     # Keys of weight 1 are exponential, so 1 - exp(-key) deals them evenly; for others it still keeps the order.
     d = d.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
     slim = staged(d, "mix-keys")
@@ -81,7 +85,7 @@ def mix(docs: DataFrame, seed: str = "mix-1", weight: Column | None = None, text
     side = plan.withColumnRenamed("source", "of")
     side = F.broadcast(side) if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else side.hint("merge")
     d = slim.join(side, F.col("source").eqNullSafe(F.col("of")))
-    within = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source").orderBy("key", "doc_id", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
     rest = d.where(F.col("last").isNull() | (F.col("bucket") != F.col("last"))).withColumn("fits", F.col("last").isNull() | (F.col("bucket") < F.col("last")))
     edge = d.where(F.col("bucket") == F.col("last")).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     edge = edge.withColumn("fits", F.col("ahead") + F.col("size") / 2.0 <= F.col("rest")).drop("ahead")
@@ -104,7 +108,7 @@ WITH d AS (
   SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 k AS (
   SELECT doc_id, source, size,
-    -ln((CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496)
+    -ln((CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), md5(text), 'null')), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496)
       / CASE WHEN size > 0 AND (length(text) - (size - 1)) / CAST(size AS DOUBLE) BETWEEN 2 AND 12 THEN 1.0 ELSE 0.5 END AS key FROM d),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight,
