@@ -55,6 +55,30 @@ def translation_step_ratios(steps: DataFrame, key: Sequence[str] = ("scene_id",)
     return steps.withColumn("_known", known).withColumn("translation_step_ratio", F.when((n >= least) & (middle > 1e-12), F.col(step) / middle)).drop("_known")
 
 
+def accepted_step_ratios(poses: DataFrame, key: Sequence[str] = ("scene_id",), order: str = "ord", accepted: str = "accepted", position: Sequence[str] = ("cx", "cy", "cz"), step: str | None = None, least: int = 4, recent: int = 7) -> DataFrame:
+    """Step of each pose over the median of the last ``recent`` steps between accepted poses before it; null below ``least`` accepted ones.
+
+    Rejected poses have a ratio, but no part in the history. ``step`` names a column with the pose's own step; by default it is the
+    distance to the last accepted pose. A null or false ``accepted`` is a rejection. An accepted pose without a finite position
+    has no steps, and neither has the next accepted one. Adds accepted_before and translation_step_ratio.
+    """
+    at = [F.col(c) for c in position]
+    apart = lambda a, b: F.sqrt(sum(((x - y) * (x - y) for x, y in list(zip(a, b, strict=True))[1:]), (a[0] - b[0]) * (a[0] - b[0])))
+    # Accepted poses of a trajectory are a partition of their own, so lags and frames pass over the others.
+    own = Window.partitionBy(*key, "_ok").orderBy(order)
+    d = poses.withColumn("_ok", F.coalesce(F.col(accepted), F.lit(False)))
+    d = d.withColumn("_step", apart(at, [F.lag(c).over(own) for c in at])).withColumn("_step", F.when(X.is_finite(F.col("_step")), F.col("_step")))
+    state = F.struct(F.row_number().over(own).alias("n"), F.collect_list("_step").over(own.rowsBetween(1 - recent, 0)).alias("steps"), *[c.alias(f"p{i}") for i, c in enumerate(at)])
+    d = d.withColumn("_state", F.when(F.col("_ok"), state))
+    before = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_last", F.last("_state", ignorenulls=True).over(before)).withColumn("_known", F.array_sort("_last.steps"))
+    n = F.size("_known")
+    middle = (F.get("_known", F.floor((n - 1) / 2).cast("int")) + F.get("_known", F.floor(n / 2).cast("int"))) / 2.0
+    current = F.col(step) if step else apart(at, [F.col(f"_last.p{i}") for i in range(len(at))])
+    ratio = F.when((F.col("_last.n") >= least) & (n > 0) & (middle > 1e-12), current / middle)
+    return d.withColumn("accepted_before", F.coalesce("_last.n", F.lit(0))).withColumn("translation_step_ratio", ratio).drop("_ok", "_step", "_state", "_last", "_known")
+
+
 def pose_audit(quality: DataFrame, accepted: DataFrame, key: Sequence[str] = ("scene_id",), orthogonality: float = 1e-4, determinant: float = 1e-4, rotation_deg: float = 25.0, step_ratio: float = 6.0) -> DataFrame:
     """Reasons against each trajectory and whether it passes. accepted: key, accepted_camera_count."""
     d = quality.join(accepted, list(key), "left")

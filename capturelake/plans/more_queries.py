@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import markers
-from ..operators import gates, images, telemetry
-from .queries import query
+from ..operators import gates, images, telemetry, trajectory
+from ..streaming import monitor
+from .queries import ROT, query
 
 
 @query("SELECT user_id AS run_id, count(*) AS record_count, bool_and(event_id % 10 <> 0) AS all_scales_finite FROM events GROUP BY 1")
@@ -70,3 +71,27 @@ def technical_gate(b_exposure):
     runs = n.groupBy("run_id").agg(F.count("*").alias("active_camera_count"), F.sum("exposures").alias("iterations")).withColumns({"anchor_observed": k % 3 != 0, "checkpoint_finite": k % 4 != 0, "structural_pass": k % 5 != 0, "cross_gap": k % 2 == 0, "mean_psnr": F.lit(18.0), "min_psnr": F.lit(16.0), "mean_ssim": F.lit(0.8), "min_ssim": F.lit(0.7)})
     d = gates.technical_gate(runs, n, gates.FORMAL_VISUAL)
     return d.select("run_id", F.array_join("reasons", ",").alias("reasons"), F.array_join("warnings", ",").alias("warnings"))
+
+
+@query(f"""WITH {ROT}, a AS (SELECT *, ord % 7 NOT IN (2, 3) AND ord % 11 <> 5 AS ok FROM c),
+k AS (SELECT *, sqrt(pow(cx - lag(cx) OVER w, 2) + pow(cy - lag(cy) OVER w, 2) + pow(cz - lag(cz) OVER w, 2)) AS step, row_number() OVER w AS n FROM a WHERE ok WINDOW w AS (PARTITION BY scene_id ORDER BY ord)),
+h AS (SELECT *, list(step) OVER (PARTITION BY scene_id ORDER BY ord ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS l FROM k),
+j AS (SELECT a.scene_id, a.ord, a.cx, a.cy, a.cz, last_value(h.n IGNORE NULLS) OVER w AS n, last_value(h.l IGNORE NULLS) OVER w AS l, last_value(h.cx IGNORE NULLS) OVER w AS px, last_value(h.cy IGNORE NULLS) OVER w AS py, last_value(h.cz IGNORE NULLS) OVER w AS pz FROM a LEFT JOIN h ON h.scene_id = a.scene_id AND h.ord = a.ord WINDOW w AS (PARTITION BY a.scene_id ORDER BY a.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+m AS (SELECT *, list_aggregate([v FOR v IN l IF v IS NOT NULL], 'median') AS mid FROM j)
+SELECT scene_id, ord, coalesce(n, 0) AS accepted_before, round(CASE WHEN n >= 4 AND mid > 1e-12 THEN sqrt(pow(cx - px, 2) + pow(cy - py, 2) + pow(cz - pz, 2)) / mid END, 5) AS ratio FROM m""")
+def accepted_step_ratio(b_poses):
+    d = trajectory.quaternion_trajectory(b_poses).withColumn("accepted", ~(F.col("ord") % 7).isin(2, 3) & (F.col("ord") % 11 != 5))
+    d = trajectory.accepted_step_ratios(d)
+    return d.select("scene_id", "ord", F.col("accepted_before").cast("long").alias("accepted_before"), F.round("translation_step_ratio", 5).alias("ratio"))
+
+
+@query("""WITH e AS (SELECT user_id AS run_id, event_id AS seq, SEC(ts) AS sec, event_type AS stage, CASE WHEN event_id % 9 <> 0 THEN J(k) END AS iteration, 80 AS total FROM events),
+n AS (SELECT *, CASE WHEN lag(stage) OVER w IS NOT DISTINCT FROM stage AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY run_id ORDER BY sec, seq)),
+p AS (SELECT *, sum(new) OVER (PARTITION BY run_id ORDER BY sec, seq) AS part, coalesce(iteration BETWEEN 1 AND total, false) AS valid FROM n),
+a AS (SELECT *, valid AND iteration > coalesce(max(CASE WHEN valid THEN iteration END) OVER (PARTITION BY run_id, part ORDER BY sec, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS accepted FROM p),
+l AS (SELECT run_id, max(part) AS part, min(sec) AS run_started, max(sec) AS last_event, count_if(accepted) AS accepted, count_if(iteration IS NOT NULL AND NOT accepted) AS refused FROM a GROUP BY 1),
+s AS (SELECT run_id, part, min(stage) AS stage, min(sec) AS stage_started, max(CASE WHEN accepted THEN iteration END) AS iteration FROM a GROUP BY ALL)
+SELECT CAST(run_id AS VARCHAR) AS run_id, stage, iteration, CASE WHEN iteration IS NOT NULL THEN 80 END AS total, round(last_event - run_started, 3) AS elapsed_sec, round(last_event - stage_started, 3) AS stage_elapsed_sec, l.accepted, l.refused FROM l JOIN s USING (run_id, part)""".replace("SEC(ts)", "epoch_us(ts) / 1e6").replace("J(k)", "CAST(json_extract_string(props, '$.k') AS INT)"))
+def current_runs(events):
+    d = events.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("stage"), F.when(F.col("event_id") % 9 != 0, F.get_json_object("props", "$.k").cast("int")).alias("iteration"), F.lit(80).alias("total"))
+    return monitor.current_runs(d).select("run_id", "stage", "iteration", "total", F.round("elapsed_sec", 3).alias("elapsed_sec"), F.round("stage_elapsed_sec", 3).alias("stage_elapsed_sec"), "accepted", "refused")
