@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,3 +70,133 @@ def depth_masks(depths: DataFrame, quantile: float = 0.9, erosion: int = 1) -> D
             yield pd.DataFrame(rows, columns=["frame_id", "valid_ratio", "reliable_ratio", "texture_ratio"])
 
     return depths.select("frame_id", "height", "width", "depth").mapInPandas(run, "frame_id long, valid_ratio double, reliable_ratio double, texture_ratio double")
+
+
+def _stacked(b: pa.RecordBatch, grids: Sequence[str]) -> Iterator[tuple[np.ndarray, list[np.ndarray | None]]]:
+    """(places in the batch, one array (n, height, width) of each column) of the rows of a batch that have one size.
+
+    Rows whose grids are null or of another length than height times width are left out.
+    """
+    height, width = (b.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("height", "width"))
+    good = (height > 0) & (width > 0)
+    columns = [b.column(g) for g in grids]
+    for c in columns:
+        good &= pc.fill_null(pc.list_value_length(c), -1).to_numpy(zero_copy_only=False) == height * width
+    for h, w in sorted(set(zip(height[good].tolist(), width[good].tolist(), strict=True))):
+        at = np.flatnonzero(good & (height == h) & (width == w))
+        yield at, [pc.list_flatten(c.take(pa.array(at))).to_numpy(zero_copy_only=False).astype(float).reshape(len(at), h, w) for c in columns]
+
+
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Sum of the absolute differences to the right and lower neighbour."""
+    out = np.zeros_like(x)
+    out[:, :, :-1] += np.abs(np.diff(x, axis=2))
+    out[:, :-1, :] += np.abs(np.diff(x, axis=1))
+    return out
+
+
+def _eroded(mask: np.ndarray) -> np.ndarray:
+    """Pixels all of whose four neighbours are in the mask; what lies outside of the image does not count."""
+    out = mask.copy()
+    out[:, :-1] &= mask[:, 1:]
+    out[:, 1:] &= mask[:, :-1]
+    out[:, :, :-1] &= mask[:, :, 1:]
+    out[:, :, 1:] &= mask[:, :, :-1]
+    return out
+
+
+def quality_mask(depth: np.ndarray, gray: np.ndarray | None, depth_quantile: float, gray_quantile: float, erosion: int) -> np.ndarray:
+    """Masks of a stack of maps (n, height, width): usable depths that lie on no steep edge of depth or image."""
+    valid = np.isfinite(depth) & (depth > 0)
+    mask = valid.copy()
+    for grid, q in ((depth, depth_quantile), *(((gray, gray_quantile),) if gray is not None else ())):
+        with np.errstate(invalid="ignore"):
+            edge = _edges(grid)
+        # Next to a value that isn't finite there is an edge, but none that moves the limit.
+        known = np.where(valid & np.isfinite(edge), edge, np.nan)
+        some = ~np.isnan(known).all((1, 2))
+        limit = np.full(len(grid), -1.0)
+        limit[some] = np.nanquantile(known[some], q, axis=(1, 2))
+        mask &= np.nan_to_num(edge, nan=np.inf) <= limit[:, None, None]
+    for _ in range(erosion):
+        mask = _eroded(mask)
+    return mask
+
+
+def normals(depth: np.ndarray, fx: np.ndarray, fy: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> np.ndarray:
+    """Unit normals (n, 3, height - 2, width - 2) of the surfaces that depth maps show, from central differences of back-projected points."""
+    _, h, w = depth.shape
+    per = lambda k: k[:, None, None]
+    x = (np.arange(w)[None, None, :] - per(cx)) / per(fx) * depth
+    y = (np.arange(h)[None, :, None] - per(cy)) / per(fy) * depth
+    points = np.stack([x, y, depth], 1)
+    along = (points[:, :, 1:-1, 2:] - points[:, :, 1:-1, :-2]) / 2
+    down = (points[:, :, 2:, 1:-1] - points[:, :, :-2, 1:-1]) / 2
+    out = np.cross(along, down, axis=1)
+    return out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-8)
+
+
+def _masks(rows: DataFrame, key: str, grids: list[str], kernel) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for at, stack in _stacked(b, grids):
+                mask = kernel(*stack)
+                bounds = np.arange(0, mask.size + 1, mask[0].size, dtype=np.int32)
+                take = [b.column(c).take(pa.array(at)) for c in (key, "height", "width")]
+                yield pa.RecordBatch.from_arrays([*take, pa.ListArray.from_arrays(pa.array(bounds), pa.array(mask.ravel()))], [key, "height", "width", "mask"])
+
+    d = rows.select(key, F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), *[F.col(g).cast("array<double>").alias(g) for g in grids])
+    return d.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, height int, width int, mask array<boolean>")
+
+
+def depth_quality_masks(depths: DataFrame, depth_quantile: float = 0.9, gray_quantile: float = 0.95, erosion: int = 2, key: str = "frame_id", gray: str | None = "gray") -> DataFrame:
+    """The mask of each depth map (key, height, width, depth and gray by rows): key, height, width, mask.
+
+    A pixel stays if its depth is positive and finite and neither the depth's nor the image's step to its right and lower neighbours is above the
+    quantile over usable pixels; then ``erosion`` times the pixels next to others go. Rows whose grids are null or of another size are left
+    out. ``gray`` None: depth only. Maps of one size are worked off together.
+    """
+    return _masks(depths, key, ["depth", *([gray] if gray else [])], lambda d, g=None: quality_mask(d, g, depth_quantile, gray_quantile, erosion))
+
+
+def texture_masks(images: DataFrame, threshold: float = 0.05, key: str = "frame_id", gray: str = "gray") -> DataFrame:
+    """Pixels whose absolute differences to their four neighbours sum to more than ``threshold``: key, height, width, mask."""
+
+    def kernel(g):
+        step = np.zeros_like(g)
+        across, down = np.abs(np.diff(g, axis=2)), np.abs(np.diff(g, axis=1))
+        step[:, :, :-1] += across
+        step[:, :, 1:] += across
+        step[:, :-1] += down
+        step[:, 1:] += down
+        return step > threshold
+
+    return _masks(images, key, [gray], kernel)
+
+
+def normal_consistency(maps: DataFrame, least: int = 1000, depth_quantile: float = 0.9, gray_quantile: float = 0.95, erosion: int = 2, key: str = "frame_id", gray: str | None = "gray") -> DataFrame:
+    """Mean of 1 - cosine between the normals of predicted and reference depth over the reference's quality mask, without the border.
+
+    maps: key, height, width, predicted, reference, gray, fx, fy, cx, cy. Returns key, pixels, normal_inconsistency: null below ``least`` pixels,
+    so that a frame with hardly any pixels does not count as perfect. Rows with null or odd grids are left out; maps of less than three
+    rows or columns have no pixels.
+    """
+    grids, cameras = ["predicted", "reference", *([gray] if gray else [])], ["fx", "fy", "cx", "cy"]
+
+    def run(batches):
+        for b in batches:
+            for at, (predicted, reference, *g) in _stacked(b, grids):
+                intrinsics = [b.column(c).take(pa.array(at)).fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in cameras]
+                mask = quality_mask(reference, g[0] if g else None, depth_quantile, gray_quantile, erosion)[:, 1:-1, 1:-1]
+                n = mask.sum((1, 2))
+                if mask.size:
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        cosine = np.clip((normals(predicted, *intrinsics) * normals(reference, *intrinsics)).sum(1), -1, 1)
+                        mean = np.where(mask, 1 - cosine, 0).sum((1, 2)) / n
+                else:
+                    mean = np.full(len(at), np.nan)
+                known = (n >= least) & np.isfinite(mean)
+                yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(at)), pa.array(n.astype(np.int64)), pa.array(np.where(known, mean, 0.0), mask=~known)], [key, "pixels", "normal_inconsistency"])
+
+    d = maps.select(key, F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), *[F.col(x).cast("array<double>").alias(x) for x in grids], *[F.col(c).cast("double").alias(c) for c in cameras])
+    return d.mapInArrow(run, f"{key} {maps.schema[key].dataType.simpleString()}, pixels long, normal_inconsistency double")

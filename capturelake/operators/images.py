@@ -149,3 +149,32 @@ def frame_pixel_metrics(frames: DataFrame) -> DataFrame:
     d = frames.select("video_id", "frame_index", "height", "width", "data").mapInPandas(run, schema)
     w = Window.partitionBy("video_id").orderBy("frame_index")
     return d.withColumn("duplicate_score", F.bit_count(F.col("mean_hash").bitwiseXOR(F.lag("mean_hash").over(w))))
+
+
+def frame_motion(frames: DataFrame, key: Sequence[str] = ("video_id",), order: str = "frame_index") -> DataFrame:
+    """Mean absolute difference of each gray frame (key, order, height, width, data) to the one before it, over 255: key, order, motion_score.
+
+    The frame before is found on slim rows; the pixels of the two meet by a join on (key, order), so that a long video's pixels are
+    spread over all tasks. Null for a video's first frame, and where the sizes differ or data is missing. Frames of one key and order are one frame; those without a
+    key or order are left out.
+    """
+    k = [*key, order]
+    w = Window.partitionBy(*key).orderBy(order)
+    before = frames.select(*k).distinct().select(*k, F.lag(order).over(w).alias("_before"))
+    pixels = frames.select(*k, "height", "width", "data")
+    last = pixels.select(*key, F.col(order).alias("_before"), F.col("height").alias("_h"), F.col("width").alias("_w"), F.col("data").alias("_data"))
+    d = pixels.join(before.hint("merge"), k).join(last.hint("merge"), [*key, "_before"], "left")
+    same = (F.col("height") == F.col("_h")) & (F.col("width") == F.col("_w")) & (F.length("data") == F.length("_data"))
+
+    @F.pandas_udf("double")
+    def difference(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = np.full(len(a), np.nan)
+        size = np.array([len(x) if x is not None and y is not None else 0 for x, y in zip(a, b, strict=True)])
+        for n in np.unique(size[size > 0]).tolist():
+            at = np.flatnonzero(size == n)
+            left, right = (np.frombuffer(b"".join(c.iloc[at]), np.uint8).reshape(len(at), n).astype(np.int16) for c in (a, b))
+            out[at] = np.abs(left - right).mean(1) / 255.0
+        return pd.Series(out).astype("Float64").where(size > 0, None) if len(out) else pd.Series(out)
+
+    none = F.lit(None).cast("binary")
+    return d.select(*k, difference(F.when(same, F.col("data")).otherwise(none), F.when(same, F.col("_data")).otherwise(none)).alias("motion_score"))
