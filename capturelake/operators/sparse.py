@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.staging import staged
 from .frames import contiguous_runs, longest_runs
 
 
@@ -73,6 +74,115 @@ def component_relations(members: DataFrame, key: Sequence[str] = (), component:
     return pairs.withColumn("relation", relation)
 
 
+def name_sets(members: DataFrame, key: Sequence[str] = (), component: str = "component", name: str = "name") -> DataFrame:
+    """One row per component: its number of different names, digests of the set, a 256-bit mask of its names, and ``same``: the least component of an equal set.
+
+    Digests and masks are sums, exclusive and inclusive ors of hashes, so a large component is summed up in partial aggregates.
+    """
+    d = members.select(*key, component, name).distinct()
+    h = F.xxhash64(F.col(name).cast("string"))
+    bit = lambda k: F.bit_or(F.when(F.pmod(F.shiftright(h, 8), F.lit(4)) == k, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long"))).alias(f"mask{k}")
+    sets = d.groupBy(*key, component).agg(F.count("*").alias("size"), F.sum(h.cast("decimal(38,0)")).alias("digest"), F.bit_xor(F.xxhash64(F.lit(1), F.col(name).cast("string"))).alias("digest2"), *map(bit, range(4)))
+    same = sets.groupBy(*key, "size", "digest", "digest2").agg(F.min(component).alias("same"))
+    on = [F.col(f"s.{c}").eqNullSafe(F.col(f"m.{c}")) for c in (*key, "size", "digest", "digest2")]
+    condition = on[0]
+    for c in on[1:]:
+        condition = condition & c
+    return sets.alias("s").join(same.hint("merge").alias("m"), condition).select("s.*", "m.same")
+
+
+def contained_sets(members: DataFrame, sets: DataFrame, key: Sequence[str] = (), component: str = "component", name: str = "name", over: DataFrame | None = None) -> DataFrame:
+    """Pairs (left, right) of different name sets with left within right, by the least component of each set: key, left, right, left_size, right_size.
+
+    A set that holds ``left`` holds the name of it that fewest sets have, so only these are looked at, and of them only larger ones
+    whose mask has all of its bits; then common names are counted. A name that all components share gives pairs only for sets
+    that have no other name. ``over``: the components (key, component) that may be ``right``, by default all.
+    """
+    k = list(key)
+    reps = sets.where(F.col(component) == F.col("same")).drop("same", "digest", "digest2")
+    mine = members.select(*k, component, name).distinct().join(reps.select(*k, component).hint("merge"), [*k, component], "left_semi")
+    often = mine.groupBy(*k, name).agg(F.count("*").alias("_n"))
+    rare = mine.join(often.hint("merge"), [*k, name]).groupBy(*k, component).agg(F.min_by(name, F.struct("_n", name)).alias(name))
+    masks = [f"mask{i}" for i in range(4)]
+    left = reps.join(rare.hint("merge"), [*k, component]).select(*k, name, F.col(component).alias("left"), F.col("size").alias("left_size"), *[F.col(m).alias(f"l{m}") for m in masks])
+    if over is not None:
+        # A set counts if any component with these names may be right.
+        reps = reps.join(sets.join(over.select(*k, component).hint("merge"), [*k, component], "left_semi").select(*k, F.col("same").alias(component)).distinct().hint("merge"), [*k, component], "left_semi")
+    right = mine.join(reps.hint("merge"), [*k, component]).select(*k, name, F.col(component).alias("right"), F.col("size").alias("right_size"), *masks)
+    fits = F.col("right_size") > F.col("left_size")
+    for m in masks:
+        fits = fits & (F.col(f"l{m}").bitwiseAND(F.bitwise_not(F.col(m))) == 0)
+    pairs = left.join(right.hint("merge"), [*k, name]).where(fits).select(*k, "left", "right", "left_size", "right_size")
+    each = pairs.join(mine.select(*k, F.col(component).alias("left"), name).hint("merge"), [*k, "left"])
+    common = each.join(mine.select(*k, F.col(component).alias("right"), name).hint("merge"), [*k, "right", name], "left_semi")
+    counts = common.groupBy(*k, "left", "right", "left_size", "right_size").agg(F.count("*").alias("_common"))
+    return counts.where("_common = left_size").drop("_common")
+
+
+def choose_component(components: DataFrame, members: DataFrame, positions: DataFrame, key: Sequence[str] = ("capture_id",), component: str = "component", name: str = "name") -> tuple[DataFrame, DataFrame]:
+    """(inventory, selection): the complete inventory of each capture's mapper components, and the one that is taken.
+
+    components: key, component, path, parse_error; members: key, component, name as registered, repeats included; positions: key, name, position of
+    selected frames, numbered from 0. inventory: status (selected, not_selected, dominated, invalid), reasons and counts of each component.
+    A component is invalid if its names could not be read, are none, repeat, or hold no selected frame; dominated if a candidate has
+    all its names and more. Of the others the first by longest run, registered images, coverage, name and path is taken.
+    selection: key, selected, path, confidence (high, or low where an equal one exists, its longest run is one of several, or it shares names with
+    a component that isn't part of it), ties, advisories; without a usable component ``blocked`` says why. Captures without any component
+    have no row. Names and keys that are null are no names.
+    """
+    k = list(key)
+    own = [*k, component]
+    named = members.where(F.col(name).isNotNull())
+    counts = named.groupBy(*own).agg(F.count("*").alias("registered"), F.count_distinct(name).alias("_names"))
+    at = named.select(*own, name).distinct().join(positions.select(*k, name, "position").hint("merge"), [*k, name])
+    runs = longest_runs(contiguous_runs(at, own), own).select(*own, "longest_run", (F.col("ties") > 1).alias("longest_run_tie"))
+    found = at.groupBy(*own).agg(F.count("*").alias("_found"))
+    total = positions.groupBy(*k).agg(F.count("*").alias("_selected"))
+    d = components.select(*own, "path", "parse_error")
+    for side in (counts, runs, found):
+        d = d.join(side.hint("merge"), own, "left")
+    d = d.join(total.hint("merge"), k, "left").fillna(0, ["registered", "_names", "longest_run", "_found"])
+    c = F.col
+    twice = (c("_names") < c("registered")) | F.coalesce(F.lower("parse_error").contains("duplicate"), F.lit(False))
+    reasons = X.violations(
+        registered_name_parse_error=c("parse_error").isNotNull(), no_registered_image_names=c("registered") == 0, duplicate_registered_image_names=twice,
+        no_registered_name_in_selected_frame_contract=(c("registered") > 0) & (c("_names") == c("registered")) & (c("longest_run") == 0),
+    )
+    valid = (c("registered") > 0) & (c("_names") == c("registered")) & (c("longest_run") > 0)
+    d = d.withColumns({"reasons": reasons, "valid": valid, "coverage": F.coalesce(c("_found") / c("_selected").cast("double"), F.lit(0.0)), "longest_run_tie": F.coalesce("longest_run_tie", F.lit(False))})
+    d = staged(d.drop("_selected", "_found"), "component-inventory")
+    sets = staged(name_sets(named, k, component, name), "component-sets")
+    within = contained_sets(named, sets, k, component, name, over=d.where("valid"))
+    dominated = sets.join(within.select(*k, F.col("left").alias("same")).distinct().hint("merge"), [*k, "same"], "left_semi").select(*own, F.lit(True).alias("dominated"))
+    d = staged(d.join(dominated.hint("merge"), own, "left").withColumn("dominated", F.coalesce("dominated", F.lit(False))).withColumn("active", c("valid") & ~c("dominated")), "component-inventory")
+
+    # The first of each capture by a mergeable minimum, so that one capture with most components is no single task.
+    quality = F.struct((-c("longest_run")).alias("a"), (-c("registered")).alias("b"), (-c("coverage")).alias("c"))
+    best = d.where("active").groupBy(*k).agg(F.min(F.struct(quality.alias("quality"), c(component).alias("name"), "path", "longest_run_tie")).alias("best"))
+    best = staged(best.select(*k, "best.quality", c("best.name").alias("selected"), c("best.path").alias("selected_path"), c("best.longest_run_tie").alias("_run_tie")), "component-best")
+    d = d.join(best.hint("merge"), k, "left")
+    ties = d.where(c("active") & (quality == c("quality"))).groupBy(*k).agg(F.count("*").alias("ties"))
+    taken = c("active") & (c(component) == c("selected")) & c("path").eqNullSafe(c("selected_path"))
+    status = F.when(c("dominated"), "dominated").when(~c("valid"), "invalid").when(taken, "selected").otherwise("not_selected")
+    why = F.when(c("dominated"), F.array(F.lit("registered_name_set_strict_subset_of_other_component"))).when(~c("valid"), c("reasons")).when(taken, F.array().cast("array<string>"))
+    why = why.otherwise(F.array(F.when(-c("longest_run") > c("quality.a"), "shorter_longest_contiguous_registered_segment").otherwise("lower_quality_ranked_component")))
+    inventory = d.select(*own, "path", "registered", "longest_run", "longest_run_tie", "coverage", status.alias("status"), why.alias("exclusion_reasons"))
+
+    # Only the taken component meets the others, by its names.
+    first = best.select(*k, c("selected").alias(component)).join(named.select(*own, name).distinct().hint("merge"), own).withColumnRenamed(component, "_first")
+    other = named.select(*own, name).distinct().join(first.hint("merge"), [*k, name]).where(c(component) != c("_first")).groupBy(*own).agg(F.count("*").alias("_common"))
+    known = d.where("valid OR dominated").select(*own, "_names")
+    crossing = other.join(known.hint("merge"), own).where("_common < _names").groupBy(*k).agg(F.array_sort(F.collect_set(c(component).cast("string"))).alias("overlaps"))
+    blocked = d.groupBy(*k).agg(F.bool_or("active").alias("_any"), F.min(F.when(F.array_contains("reasons", "duplicate_registered_image_names"), F.coalesce("path", c(component).cast("string")))).alias("_twice"))
+    s = blocked.join(best.hint("merge"), k, "left").join(ties.hint("merge"), k, "left").join(crossing.hint("merge"), k, "left")
+    s = s.withColumns({"ties": F.when(c("ties") > 1, c("ties")).otherwise(0), "overlaps": F.coalesce("overlaps", F.array().cast("array<string>"))})
+    advisories = X.violations(equal_quality_active_candidate_tie_resolved_by_stable_component_name_path=c("ties") > 1, selected_component_has_equal_longest_registered_segments=F.coalesce(c("_run_tie"), F.lit(False)))
+    advisories = F.concat(advisories, F.transform("overlaps", lambda o: F.concat(F.lit("non_subset_overlap_with:"), o)))
+    s = s.withColumn("advisories", F.when(c("_any"), advisories).otherwise(F.array().cast("array<string>")))
+    reason = F.when(~c("_any"), F.when(c("_twice").isNotNull(), F.concat(F.lit("duplicate image name in "), "_twice")).otherwise("no usable registered component"))
+    return inventory, s.select(*k, "selected", c("selected_path").alias("path"), F.when(c("_any"), F.when(F.size("advisories") > 0, "low").otherwise("high")).alias("confidence"), "ties", "advisories", reason.alias("blocked"))
+
+
 def component_inventory(members: DataFrame, positions: DataFrame, key: Sequence[str] = (), component: str = "component", name: str = "name") -> DataFrame:
     """Registered count, longest run of consecutive selected positions, ties and coverage of each component.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import markers
-from ..operators import gates, images, telemetry, trajectory
+from ..operators import frames, gates, images, sparse, telemetry, trajectory
 from ..streaming import monitor
 from .queries import ROT, query
 
@@ -95,3 +95,59 @@ SELECT CAST(run_id AS VARCHAR) AS run_id, stage, iteration, CASE WHEN iteration
 def current_runs(events):
     d = events.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("stage"), F.when(F.col("event_id") % 9 != 0, F.get_json_object("props", "$.k").cast("int")).alias("iteration"), F.lit(80).alias("total"))
     return monitor.current_runs(d).select("run_id", "stage", "iteration", "total", F.round("elapsed_sec", 3).alias("elapsed_sec"), F.round("stage_elapsed_sec", 3).alias("stage_elapsed_sec"), "accepted", "refused")
+
+
+#: Components in groups of four: the parts of a supplier, those of even number, those of every fourth, and of every eighth; some are registered twice.
+NESTED = """n AS (SELECT c.component + j.j AS component, c.name FROM b_components c, (SELECT unnest([0, 1, 2, 3]) AS j) j WHERE c.component % 4 = 0 AND c.name % (1 << j.j) = 0),
+comp AS (SELECT DISTINCT c.component + j.j AS component, (c.component // 4) % 5 AS capture_id, CASE WHEN (c.component + j.j) % 13 = 0 THEN 'cannot be read' END AS parse_error FROM b_components c, (SELECT unnest([0, 1, 2, 3]) AS j) j WHERE c.component % 4 = 0),
+m AS (SELECT comp.capture_id, n.component, n.name FROM n JOIN comp USING (component) UNION ALL SELECT comp.capture_id, n.component, n.name FROM n JOIN comp USING (component) WHERE n.component % 7 = 0 AND n.name % 40 = 0)"""
+SETS = "u AS (SELECT DISTINCT capture_id, component, name FROM m), z AS (SELECT capture_id, component, count(*) AS size FROM u GROUP BY ALL), ov AS (SELECT a.capture_id, a.component AS l, b.component AS r, count(*) AS common FROM u a JOIN u b ON a.capture_id = b.capture_id AND a.name = b.name AND a.component <> b.component GROUP BY ALL), ovs AS (SELECT ov.*, a.size AS ls, b.size AS rs FROM ov JOIN z a ON a.component = l JOIN z b ON b.component = r)"
+
+
+def _nested(b_components):
+    c = F.col
+    base = b_components.where("component % 4 = 0").withColumn("j", F.explode(F.array(*map(F.lit, range(4)))))
+    capture = (F.floor(c("component") / 4) % 5).alias("capture_id")
+    rows = base.select(capture, (c("component") + c("j")).alias("component"), "name", "j")
+    error = F.when(c("component") % 13 == 0, "cannot be read")
+    components = rows.select("capture_id", "component").distinct().withColumns({"path": F.concat(F.lit("p"), c("component").cast("string")), "parse_error": error})
+    rows = rows.where("name % shiftleft(1, j) = 0").drop("j")
+    return components, rows.unionByName(rows.where("component % 7 = 0 AND name % 40 = 0"))
+
+
+@query(f"WITH {NESTED}, {SETS} SELECT DISTINCT capture_id, l AS component, r AS of FROM ovs WHERE common = ls AND rs > ls")
+def contained_components(b_components):
+    """Pairs of components, one within the other: pairs of different sets, and the components of each set."""
+    _, members = _nested(b_components)
+    sets = sparse.name_sets(members, ["capture_id"])
+    pairs = sparse.contained_sets(members, sets, ["capture_id"]).select("capture_id", "left", "right")
+    own = lambda side, name: sets.select("capture_id", F.col("same").alias(side), F.col("component").alias(name)).hint("merge")
+    return pairs.join(own("left", "component"), ["capture_id", "left"]).join(own("right", "of"), ["capture_id", "right"]).select("capture_id", "component", "of")
+
+
+CHOICE = f"""{NESTED}, {SETS}, pos AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS position FROM (SELECT p_partkey AS name FROM part WHERE p_partkey % 10 <> 3)), tot AS (SELECT count(*) AS selected FROM pos),
+at_ AS (SELECT u.capture_id, u.component, p.position FROM u JOIN pos p USING (name)), isl AS (SELECT *, position - row_number() OVER (PARTITION BY component ORDER BY position) AS g FROM at_), runs AS (SELECT component, count(*) AS n FROM isl GROUP BY component, g), top AS (SELECT component, max(n) AS longest FROM runs GROUP BY 1), tops AS (SELECT component, any_value(longest) AS longest, count(*) > 1 AS tie FROM runs JOIN top USING (component) WHERE n = longest GROUP BY 1),
+cnt AS (SELECT component, count(*) AS registered, count(DISTINCT name) AS names FROM m GROUP BY 1), fnd AS (SELECT component, count(*) AS found FROM at_ GROUP BY 1),
+i AS (SELECT c.*, coalesce(cnt.registered, 0) AS registered, coalesce(names, 0) AS names, coalesce(longest, 0) AS longest_run, coalesce(tie, false) AS tie, coalesce(found, 0) / CAST(selected AS DOUBLE) AS coverage FROM comp c LEFT JOIN cnt USING (component) LEFT JOIN tops USING (component) LEFT JOIN fnd USING (component), tot),
+v AS (SELECT *, registered > 0 AND names = registered AND longest_run > 0 AS valid FROM i), dom AS (SELECT DISTINCT l AS component FROM ovs JOIN v ON v.component = r AND v.valid WHERE common = ls AND rs > ls),
+w AS (SELECT v.*, dom.component IS NOT NULL AS dominated, valid AND dom.component IS NULL AS active FROM v LEFT JOIN dom USING (component)),
+k AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY active DESC, longest_run DESC, registered DESC, coverage DESC, component) AS rk FROM w), b AS (SELECT capture_id, component AS best, longest_run AS bl, registered AS br, coverage AS bc, tie AS bt FROM k WHERE rk = 1 AND active)"""
+
+
+@query(f"WITH {CHOICE} SELECT capture_id, component, registered, longest_run, round(coverage, 9) AS coverage, CASE WHEN dominated THEN 'dominated' WHEN NOT valid THEN 'invalid' WHEN component = best THEN 'selected' ELSE 'not_selected' END AS status, CASE WHEN dominated THEN 'registered_name_set_strict_subset_of_other_component' WHEN NOT valid THEN concat_ws(',', CASE WHEN parse_error IS NOT NULL THEN 'registered_name_parse_error' END, CASE WHEN registered = 0 THEN 'no_registered_image_names' END, CASE WHEN names < registered THEN 'duplicate_registered_image_names' END, CASE WHEN registered > 0 AND names = registered AND longest_run = 0 THEN 'no_registered_name_in_selected_frame_contract' END) WHEN component = best THEN '' WHEN longest_run < bl THEN 'shorter_longest_contiguous_registered_segment' ELSE 'lower_quality_ranked_component' END AS reasons FROM w LEFT JOIN b USING (capture_id)")
+def component_inventory_status(b_components, part):
+    d, _ = _choice(b_components, part)
+    return d.select("capture_id", "component", "registered", "longest_run", F.round("coverage", 9).alias("coverage"), "status", F.array_join("exclusion_reasons", ",").alias("reasons"))
+
+
+@query(f"WITH {CHOICE}, ti AS (SELECT capture_id, count(*) AS n FROM w JOIN b USING (capture_id) WHERE active AND longest_run = bl AND registered = br AND coverage = bc GROUP BY 1), cr AS (SELECT b.capture_id, string_agg('non_subset_overlap_with:' || r, ',' ORDER BY CAST(r AS VARCHAR)) AS o FROM b JOIN ovs ON l = best JOIN w ON w.component = r AND (w.valid OR w.dominated) WHERE common < rs AND common < ls GROUP BY 1) SELECT b.capture_id, best AS selected, CASE WHEN n > 1 THEN n ELSE 0 END AS ties, concat_ws(',', CASE WHEN n > 1 THEN 'equal_quality_active_candidate_tie_resolved_by_stable_component_name_path' END, CASE WHEN bt THEN 'selected_component_has_equal_longest_registered_segments' END, o) AS advisories, CASE WHEN n > 1 OR bt OR o IS NOT NULL THEN 'low' ELSE 'high' END AS confidence, CAST(NULL AS VARCHAR) AS blocked FROM b JOIN ti USING (capture_id) LEFT JOIN cr USING (capture_id)")
+def component_choice(b_components, part):
+    _, s = _choice(b_components, part)
+    return s.select("capture_id", "selected", "ties", F.array_join("advisories", ",").alias("advisories"), "confidence", "blocked")
+
+
+def _choice(b_components, part):
+    components, members = _nested(b_components)
+    positions = frames.dense_positions(part.where("p_partkey % 10 <> 3").select(F.col("p_partkey").alias("name")), "name")
+    every = positions.withColumn("capture_id", F.explode(F.array(*[F.lit(k).cast("long") for k in range(5)])))
+    return sparse.choose_component(components, members, every)

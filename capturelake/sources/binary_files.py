@@ -19,11 +19,13 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..functions.staging import new_folder, staged  # noqa: F401
+
 #: Up to so many (range, file) pairs their offsets are sent to all executors; beyond it they are joined by a shuffle.
 BROADCAST_RANGES = 200_000
 PIECES = "file string, offset long, data binary, sha256 string"
@@ -38,22 +40,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder for tables that cut lineage, in ``spark.checkpoint.dir``; a session in local mode without it takes one of its own."""
-    import tempfile
-
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{(shared or tempfile.mkdtemp(prefix='spark-capturelake-', dir='/tmp')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @dataclass
 class Written(WriterCommitMessage):
     """By file: bytes written by a task and the greatest end of its pieces."""
