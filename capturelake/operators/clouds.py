@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from .grid import nearest_by_cell
 
 XYZ = ("x", "y", "z")
 
@@ -37,17 +38,11 @@ def voxel_dedup(points: DataFrame, size: float, key: Sequence[str] = ("scene_id"
 def voxel_neighbor_distance(source: DataFrame, target: DataFrame, size: float, max_distance: float, key: str = "scene_id", order: str = "vertex_id") -> DataFrame:
     """Distance of each source point to the nearest target in its 27 neighbouring cells, max_distance if there is none.
 
-    Source points are sent to 27 cells and meet targets by an equi join on the cell; a dense cell is a skewed key
-    that Spark may split. Points without a target stay in the join, so one grouping gives all distances. The result is one
-    row per source point; a null coordinate is near nothing.
+    Points meet by tiles of cells (``grid``), so each cloud is shuffled about once and dense tiles are halved. The result is one row per source
+    point; a coordinate that is null or not finite is near nothing.
     """
-    cell = lambda p: [voxel(c, size).alias(f"v{c}") for c in XYZ]
-    offsets = F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip("abc", t, strict=True)]) for t in ((i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1))])
-    s = source.select(key, order, *XYZ, *cell(source)).withColumn("o", F.explode(offsets))
-    s = s.select(key, order, *XYZ, *[(F.col(f"v{c}") + F.col(f"o.{a}")).alias(f"v{c}") for c, a in zip(XYZ, "abc", strict=True)])
-    t = target.select(key, *[F.col(c).alias(f"t{c}") for c in XYZ], *cell(target))
-    d2 = sum(((F.col(c) - F.col(f"t{c}")) ** 2 for c in XYZ[1:]), (F.col("x") - F.col("tx")) ** 2)
-    near = s.join(t.hint("merge"), [key, "vx", "vy", "vz"], "left").groupBy(key, order).agg(F.min(d2).alias("d2"))
+    cell = lambda c: F.when(X.is_finite(F.col(c)), voxel(c, size))
+    near = nearest_by_cell(source, target, cell, key, order)
     return near.select(key, order, F.least(F.sqrt(F.coalesce("d2", F.lit(max_distance**2))), F.lit(max_distance)).alias("distance"))
 
 
