@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.staging import staged
 from .grid import nearest_by_cell
+from .quantiles import exact_percentiles, joined
 
 XYZ = ("x", "y", "z")
 
@@ -54,17 +56,19 @@ def f_score(accuracy: DataFrame, completeness: DataFrame, threshold: float, key:
 
 
 def gaussian_quality(vertices: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Counts, opacity, anisotropy and quaternion shares of each scene, in one aggregate."""
+    """Counts, opacity, anisotropy and quaternion shares of each scene; percentiles are exact and hold no large scene's values."""
     core = X.core_finite()
     opacity, stretch = X.activated_opacity(F.col("opacity")), X.anisotropy()
     on_core = lambda c: F.when(core, c)
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     q = [F.col(f"rot_{i}") for i in range(4)]
-    return vertices.groupBy("scene_id").agg(
+    middle = exact_percentiles(vertices, ["scene_id"], {"opacity_q50": (on_core(opacity), 0.5), "anisotropy_q50": (on_core(stretch), 0.5), "anisotropy_q99": (on_core(stretch), 0.99)})
+    shares = vertices.groupBy("scene_id").agg(
         F.count("*").alias("vertex_count"), F.avg(core.cast("double")).alias("finite_core_fraction"), F.avg(X.effective(threshold).cast("double")).alias("effective_fraction"),
-        zero(F.percentile(on_core(opacity), F.lit(0.5))).alias("opacity_q50"), zero(F.avg(on_core((opacity > 0.1).cast("double")))).alias("opacity_gt_01_fraction"), zero(F.avg(on_core((opacity > 0.5).cast("double")))).alias("opacity_gt_05_fraction"),
-        zero(F.percentile(on_core(stretch), F.lit(0.5))).alias("anisotropy_q50"), zero(F.percentile(on_core(stretch), F.lit(0.99))).alias("anisotropy_q99"), F.avg(X.unit_quaternion(q).cast("double")).alias("quaternion_within_1pct_fraction"),
+        zero(F.avg(on_core((opacity > 0.1).cast("double")))).alias("opacity_gt_01_fraction"), zero(F.avg(on_core((opacity > 0.5).cast("double")))).alias("opacity_gt_05_fraction"),
+        F.avg(X.unit_quaternion(q).cast("double")).alias("quaternion_within_1pct_fraction"),
     )
+    return joined(shares, middle, ["scene_id"]).withColumns({n: zero(F.col(n)) for n in ("opacity_q50", "anisotropy_q50", "anisotropy_q99")})
 
 
 def anisotropy_penalty(vertices: DataFrame, log_limit: float) -> DataFrame:
@@ -198,10 +202,13 @@ def apply_sim3(points: DataFrame, sim3: DataFrame) -> DataFrame:
 def compare_clouds(model: DataFrame, laser: DataFrame, pairs: DataFrame, roi: DataFrame, size: float = 0.02, max_distance: float = 1.0, thresholds: Sequence[float] = (0.02, 0.05)) -> DataFrame:
     """Register the model to the laser cloud, crop, thin by voxel, and compare both ways: one row per scene."""
     single = lambda d: d.withColumns({c: F.col(c).cast("float").cast("double") for c in XYZ})
-    m = voxel_dedup(single(crop_roi(apply_sim3(model, estimate_sim3(pairs)), roi)), size)
-    s = voxel_dedup(single(crop_roi(laser, roi)), size)
-    acc, comp = voxel_neighbor_distance(m, s, size, max_distance), voxel_neighbor_distance(s, m, size, max_distance)
-    stat = lambda d, n: d.groupBy("scene_id").agg(F.count("*").alias(f"{n}_points"), F.median("distance").alias(f"{n}_median"), F.percentile("distance", F.lit(0.95)).alias(f"{n}_p95"))
+    m = staged(voxel_dedup(single(crop_roi(apply_sim3(model, estimate_sim3(pairs)), roi)), size), "model-cloud")
+    s = staged(voxel_dedup(single(crop_roi(laser, roi)), size), "laser-cloud")
+    acc, comp = (staged(d, "distances") for d in (voxel_neighbor_distance(m, s, size, max_distance), voxel_neighbor_distance(s, m, size, max_distance)))
+    def stat(d, n):
+        middle = exact_percentiles(d, ["scene_id"], {f"{n}_median": (F.col("distance"), 0.5), f"{n}_p95": (F.col("distance"), 0.95)})
+        return joined(d.groupBy("scene_id").agg(F.count("*").alias(f"{n}_points")), middle, ["scene_id"])
+
     out = stat(acc, "accuracy").join(stat(comp, "completeness"), "scene_id")
     for t in thresholds:
         out = out.join(f_score(acc, comp, t).select("scene_id", F.col("f_score").alias(f"f_score_{round(t * 100)}cm")), "scene_id")

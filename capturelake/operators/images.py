@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import violations
+from .quantiles import exact_percentiles, joined
 
 
 def pair_views(left: DataFrame, right: DataFrame, key: Sequence[str] = ("run_id",)) -> DataFrame:
@@ -30,7 +31,8 @@ def image_pair_metrics(pixels: DataFrame, key: Sequence[str] = ("run_id", "ordin
 
 def view_metric_summary(metrics: DataFrame, key: Sequence[str] = ("run_id",), names: Sequence[str] = ("mse", "psnr", "ssim", "mean_abs_diff")) -> DataFrame:
     """Mean, least, 10th percentile and greatest of each metric; nulls are skipped."""
-    return metrics.groupBy(*key).agg(F.count("*").alias("views"), *[f.alias(f"{n}_{s}") for n in names for s, f in (("mean", F.avg(n)), ("min", F.min(n)), ("p10", F.percentile(n, F.lit(0.1))), ("max", F.max(n)))])
+    out = metrics.groupBy(*key).agg(F.count("*").alias("views"), *[f.alias(f"{n}_{s}") for n in names for s, f in (("mean", F.avg(n)), ("min", F.min(n)), ("max", F.max(n)))])
+    return joined(out, exact_percentiles(metrics, key, {f"{n}_p10": (F.col(n), 0.1) for n in names}), key)
 
 
 def postcheck_metrics(metrics: DataFrame, brightness: DataFrame, key: Sequence[str] = ("run_id",)) -> DataFrame:

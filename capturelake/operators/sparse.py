@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..functions.staging import staged
 from .frames import contiguous_runs, longest_runs
+from .quantiles import exact_percentiles, joined
 
 
 def track_violations(observations: DataFrame, tracks: DataFrame, points: DataFrame, key: Sequence[str] = ()) -> DataFrame:
@@ -228,8 +229,9 @@ def model_counts(observations: DataFrame, tracks: DataFrame, key: Sequence[str])
 def sparse_model_evidence(observations: DataFrame, tracks: DataFrame, points: DataFrame, key: Sequence[str]) -> DataFrame:
     """Reprojection error and track length summaries of each model. points: key, point_id, error."""
     lengths = tracks.groupBy(*key, "point_id").agg(F.count("*").alias("length"))
-    stat = lambda c, n: [F.count(c).alias(f"{n}_count"), F.min(c).alias(f"{n}_min"), F.max(c).alias(f"{n}_max"), F.avg(c).alias(f"{n}_mean"), F.median(c).alias(f"{n}_median")]
-    e, t = points.groupBy(*key).agg(*stat("error", "error")), lengths.groupBy(*key).agg(*stat("length", "track"))
+    stat = lambda c, n: [F.count(c).alias(f"{n}_count"), F.min(c).alias(f"{n}_min"), F.max(c).alias(f"{n}_max"), F.avg(c).alias(f"{n}_mean")]
+    side = lambda d, c, n: joined(d.groupBy(*key).agg(*stat(c, n)), exact_percentiles(d, key, {f"{n}_median": (F.col(c), 0.5)}), key)
+    e, t = side(points, "error", "error"), side(lengths, "length", "track")
     images = observations.groupBy(*key).agg(F.count_distinct("image_id").alias("registered_image_count"))
     return images.join(e, list(key), "left").join(t, list(key), "left")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import finite_or_null
 from ..functions.markers import parse_markers
+from .quantiles import exact_percentiles, joined
 
 POSE = "frame string, accepted boolean, success boolean, rejection_reasons array<string>, inlier_ratio double, reprojection_rmse_px double, grid_coverage double, rotation_step_deg double, translation_step double, translation_step_ratio double"
 DEPTH = "frame string, result string, reason string, correlation double, inlier_ratio double"
@@ -65,10 +66,13 @@ def loss_values(lines: DataFrame) -> DataFrame:
 def loss_stats(values: DataFrame) -> DataFrame:
     """Percentiles, maximum and share above 10 of each run's losses: of telemetry where there is any, else of text."""
     d = values.where(finite_or_null(F.col("total")).isNotNull())
-    d = d.withColumn("has", F.bool_or(F.col("kind") == "telemetry").over(Window.partitionBy("run_id"))).where("kind = IF(has, 'telemetry', 'text')")
-    q = F.percentile("total", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    d = d.groupBy("run_id").agg(F.count("*").alias("sample_count"), q.alias("q"), F.max("total").alias("loss_max"), F.avg((F.col("total") > 10).cast("double")).alias("loss_gt_10_ratio"), F.min("kind").alias("source"))
-    return d.select("run_id", "sample_count", F.col("q")[0].alias("loss_q50"), F.col("q")[1].alias("loss_q95"), F.col("q")[2].alias("loss_q99"), "loss_max", "loss_gt_10_ratio", "source")
+    # Both kinds are summed up side by side, so no window holds a run's values; a run's telemetry is then taken before its text.
+    c, both = F.col, ["run_id", "kind"]
+    sums = d.groupBy(*both).agg(F.count("*").alias("sample_count"), F.max("total").alias("loss_max"), F.avg((c("total") > 10).cast("double")).alias("loss_gt_10_ratio"))
+    q = exact_percentiles(d, both, {f"loss_q{p}": (c("total"), p / 100) for p in (50, 95, 99)})
+    names = ["sample_count", "loss_q50", "loss_q95", "loss_q99", "loss_max", "loss_gt_10_ratio"]
+    taken = joined(sums, q, both).where(c("kind").isin("telemetry", "text")).groupBy("run_id").agg(F.min_by(F.struct(*names, c("kind").alias("source")), "kind").alias("s"))
+    return taken.select("run_id", *[f"s.{n}" for n in (*names, "source")])
 
 
 def predicted_exposure(runs: DataFrame) -> DataFrame:
