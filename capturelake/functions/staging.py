@@ -6,6 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Up to so many rows a table of one row a key is sent to all executors, which holds for rows of some hundred bytes.
+BROADCAST_ROWS = 100_000
+#: Beyond it each key is dealt into so many parts, so that a key with most rows is no single task.
+SALTS = 64
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -20,3 +26,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scene_join(rows: DataFrame, scenes: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of their key's row in ``scenes``, a table of one row a key; rows without one go.
+
+    Small tables are broadcast after their rows are counted, so rows stay where they are and none are sorted by key. Larger ones are joined by a shuffle on
+    the key and a salt.
+    """
+    if scenes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(scenes), key)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    each = scenes.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("_salt", salt).join(each.hint("merge"), [key, "_salt"]).drop("_salt")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.staging import scene_join, staged
 
 FRAME_ORDER = ("timestamp_sec", "frame_index", "frame_id")
 
@@ -128,50 +130,119 @@ def reconcile(computed: DataFrame, declared: DataFrame, key: list[str], fields:
     return both.select(*key, "x.field", "x.computed", "x.declared")
 
 
+#: Frames of a bucket of ``nearest_anchor`` where times are even.
+BUCKET = 256
+
+
 def nearest_anchor(frames: DataFrame, anchors: DataFrame) -> DataFrame:
     """The nearest eligible frame of each (video_id, anchor); several anchors may share a frame.
 
-    Ties go to the better, then earlier frame. Frames and anchors of a video meet in an equi join; only anchors
-    within a video multiply, so the input stays proportional to frames times anchors of one video.
+    Ties go to the better, then earlier frame. An as-of join: frames and anchors of a video are dealt into buckets of time and sorted there
+    together, so each anchor sees the frames right before and after it; where its bucket has none on a side, it takes the last or first
+    frame of the nearest bucket that has one. Work follows the number of frames and anchors, and a long video is many tasks. Null
+    anchors and times take no part; a repeated anchor has one row; a video without eligible frames has none.
+    """
+    c = F.col
+    f = frames.where("eligible AND timestamp_sec IS NOT NULL").select("video_id", c("timestamp_sec").cast("double").alias("at"), "quality_score", "frame_index", "frame_id")
+    f = f.groupBy("video_id", "at").agg(F.min(F.struct((-c("quality_score")).alias("worse"), "at", "frame_index", "frame_id")).alias("f"))  # the best of equal times
+    spans = f.groupBy("video_id").agg(F.min("at").alias("t0"), F.max("at").alias("t1"), F.ceil(F.count("*") / BUCKET).alias("buckets"))
+    wide = c("t1") > c("t0")
+    bucket = F.when(wide, F.least(F.greatest(F.floor((c("at") - c("t0")) / (c("t1") - c("t0")) * c("buckets")), F.lit(0)), c("buckets") - 1)).otherwise(0).cast("long").alias("bucket")
+    spans = staged(spans, "video-spans")
+    a = anchors.where("anchor IS NOT NULL").select("video_id", c("anchor").cast("double").alias("at"), F.lit(None).cast(f.schema["f"].dataType).alias("f")).distinct()
+    both = f.withColumn("is_anchor", F.lit(False)).unionByName(a.withColumn("is_anchor", F.lit(True)))
+    both = scene_join(both, spans, "video_id").select("video_id", "at", "f", "is_anchor", bucket)
+    own = Window.partitionBy("video_id", "bucket")
+    seen = lambda order: F.last("f", ignorenulls=True).over(own.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("before", seen(["at", "is_anchor"])).withColumn("after", seen([F.desc("at"), "is_anchor"]))
+    # Slim rows, one for each bucket that has frames or anchors: the last frame before it and the first one after.
+    ends = both.groupBy("video_id", "bucket").agg(F.min_by("f", F.when(~c("is_anchor"), c("at"))).alias("first"), F.max_by("f", F.when(~c("is_anchor"), c("at"))).alias("last"))
+    far = lambda name, order: F.last(name, ignorenulls=True).over(Window.partitionBy("video_id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select("video_id", "bucket", far("last", c("bucket")).alias("earlier"), far("first", F.desc("bucket")).alias("later"))
+    d = both.where("is_anchor").select("video_id", "bucket", c("at").alias("anchor"), "before", "after").join(ends.hint("merge"), ["video_id", "bucket"])
+    option = lambda n: F.when(c(n).isNotNull(), F.struct(F.abs(c(f"{n}.at") - c("anchor")).alias("away"), c(n).alias("f")))
+    d = d.withColumn("before", F.coalesce("before", "earlier")).withColumn("after", F.coalesce("after", "later"))
+    best = F.array_min(F.array_compact(F.array(option("before"), option("after"))))
+    return d.withColumn("best", best).select("video_id", "anchor", c("best.f.frame_id").alias("frame_id"), c("best.f.at").alias("timestamp_sec"))
+
+
+def _greedy(times: np.ndarray, rank: np.ndarray, anchors: np.ndarray) -> list[int]:
+    """Index of the frame that each anchor takes: the nearest free one, of equally near ones that of the least rank.
+
+    Frames of one time are a queue by rank. Times whose queue is empty are passed over by links that are shortened on the way, so all
+    anchors together take hardly more steps than there are times and anchors.
     """
-    best = F.min_by(F.struct("frame_id", "timestamp_sec"), F.struct(F.abs(F.col("timestamp_sec") - F.col("anchor")), -F.col("quality_score"), "timestamp_sec", "frame_index", "frame_id"))
-    d = anchors.join(frames.where("eligible"), "video_id").groupBy("video_id", "anchor").agg(best.alias("f"))
-    return d.select("video_id", "anchor", "f.frame_id", "f.timestamp_sec")
+    at = np.unique(times)
+    order = np.lexsort((rank, times))
+    sorted_times = times[order]
+    head = np.searchsorted(sorted_times, at, "left").tolist()
+    ends = np.searchsorted(sorted_times, at, "right").tolist()
+    at, n, ranks = at.tolist(), len(at), rank[order].tolist()
+    down, up = list(range(-1, n - 1)), list(range(1, n + 1))
+
+    def free(place: int, links: list[int]) -> int:
+        """The first place with a free frame from ``place`` on along the links, or one outside."""
+        root = place
+        while 0 <= root < n and head[root] >= ends[root]:
+            root = links[root]
+        while 0 <= place < n and place != root:
+            links[place], place = root, links[place]
+        return root
+
+    chosen = []
+    for anchor, place in zip(anchors.tolist(), np.searchsorted(np.array(at), anchors, "left").tolist(), strict=True):
+        p, q = free(place - 1, down), free(place, up)
+        away = min(abs(at[p] - anchor) if p >= 0 else math.inf, abs(at[q] - anchor) if q < n else math.inf)
+        if away == math.inf:
+            break
+        options = []
+        while p >= 0 and abs(at[p] - anchor) == away:  # after rounding several times may be equally near
+            options.append(p)
+            p = free(p - 1, down)
+        while q < n and abs(at[q] - anchor) == away:
+            options.append(q)
+            q = free(q + 1, up)
+        best = min(options, key=lambda x: ranks[head[x]])
+        chosen.append(int(order[head[best]]))
+        head[best] += 1
+    return chosen
+
+
+#: Reason of the one row of a video that has frames, but none that may be selected.
+REFUSED = "all_frames_rejected"
 
 
 def select_frames(frames: DataFrame, durations: DataFrame, target_fps: float = 2.0, min_frames: int = 4, max_frames: int = 300) -> DataFrame:
     """Selected frames of each video: temporal_coverage anchors, then quality_fill, then budget_fallback.
 
     ``frames`` come from scored_frames. Every anchor takes the nearest frame that is still free, so a pick depends on the
-    ones before it; that greedy step runs per video, all videos side by side.
+    ones before it; that greedy step runs per video, all videos side by side. A video without an eligible frame is refused: it has one row, with a
+    null frame and the reason all_frames_rejected. Frames without a time, or of a video without a duration, take no part.
     """
     kind = "video_id long, frame_id long, timestamp_sec double, quality_score double, selection_reason string"
 
     def pick(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(list(FRAME_ORDER)).reset_index(drop=True)
-        duration = float(t["duration_sec"].iloc[0])
+        t = t.sort_values(list(FRAME_ORDER), kind="stable").reset_index(drop=True)
+        duration, eligible = float(t["duration_sec"].iloc[0]), t["eligible"].to_numpy(bool)
+        if not eligible.any():
+            return pd.DataFrame({"video_id": t["video_id"].iloc[:1], "frame_id": pd.array([None], "Int64"), "timestamp_sec": [None], "quality_score": [None], "selection_reason": [REFUSED]})
         least = min(min_frames, len(t))
         budget = min(max(min_frames, min(max_frames, math.ceil(duration * target_fps))), len(t))
-        rank = pd.Series(range(len(t)), index=t.sort_values(["quality_score", *FRAME_ORDER], ascending=[False, True, True, True]).index)
-        free, why = t["eligible"].copy(), pd.Series([None] * len(t), dtype=object)
-        for n in range(budget if free.any() else 0):
-            left = t[free]
-            if left.empty:
-                break
-            away = (left["timestamp_sec"] - duration * n / max(1, budget - 1)).abs()
-            near = away[away == away.min()].index
-            chosen = rank.loc[near].idxmin()
-            free[chosen], why[chosen] = False, "temporal_coverage"
-        by_rank = rank.sort_values().index
-        for rule, open_, size in (("quality_fill", free, budget), ("budget_fallback", why.isna() & t["has_path"], least)):
-            for i in by_rank:
-                if why.notna().sum() >= size:
-                    break
-                if open_[i] and why[i] is None:
-                    why[i] = rule
+        by_rank = np.lexsort((np.arange(len(t)), -t["quality_score"].to_numpy(float)))  # frames are in order of their ties
+        rank = np.empty(len(t), np.int64)
+        rank[by_rank] = np.arange(len(t))
+        why = np.full(len(t), None, object)
+        may = np.flatnonzero(eligible)
+        anchors = duration * np.arange(budget) / max(1, budget - 1)
+        why[may[_greedy(t["timestamp_sec"].to_numpy(float)[may], rank[may], anchors)]] = "temporal_coverage"
+        count = int((why != None).sum())  # noqa: E711
+        for rule, open_, size in (("quality_fill", eligible, budget), ("budget_fallback", t["has_path"].to_numpy(bool), least)):
+            more = [i for i in by_rank[open_[by_rank]].tolist() if why[i] is None][: max(0, size - count)] if count < size else []
+            why[more] = rule
+            count += len(more)
         out = t.assign(selection_reason=why)
-        return out.loc[why.notna(), ["video_id", "frame_id", "timestamp_sec", "quality_score", "selection_reason"]]
+        return out.loc[out["selection_reason"].notna(), ["video_id", "frame_id", "timestamp_sec", "quality_score", "selection_reason"]]
 
     path = F.col("path").isNotNull() if "path" in frames.columns else F.lit(True)
-    d = frames.join(durations, "video_id").select("video_id", "frame_id", "frame_index", F.col("timestamp_sec").cast("double").alias("timestamp_sec"), "quality_score", "eligible", path.alias("has_path"), "duration_sec")
+    d = frames.where("timestamp_sec IS NOT NULL").join(durations.where("duration_sec IS NOT NULL").hint("merge"), "video_id").select("video_id", "frame_id", "frame_index", F.col("timestamp_sec").cast("double").alias("timestamp_sec"), "quality_score", F.coalesce("eligible", F.lit(False)).alias("eligible"), path.alias("has_path"), "duration_sec")
     return d.groupBy("video_id").applyInPandas(pick, kind)

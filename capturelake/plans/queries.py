@@ -135,7 +135,16 @@ def nearest_anchor(b_frames):
     return d.select("video_id", r6("anchor").alias("anchor"), "frame_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {SCORED}, b AS (SELECT video_id, max(timestamp_sec) + 1 AS d, least(greatest(4, least(60, CAST(ceil((max(timestamp_sec) + 1) * 1e-4) AS BIGINT))), count(*)) AS budget, least(4, count(*)) AS fewest, count_if(eligible) AS n FROM scored GROUP BY 1),
+pick AS (SELECT video_id, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS chosen FROM b UNION ALL
+  SELECT x.video_id, x.k + 1, list_append(x.chosen, x.best.frame_id) FROM (SELECT p.video_id, p.k, p.chosen, min({{'away': abs(s.timestamp_sec - b.d * p.k / greatest(1, b.budget - 1)), 'q': -s.quality_score, 't': s.timestamp_sec, 'i': s.frame_index, 'frame_id': s.frame_id}}) AS best
+    FROM pick p JOIN b ON b.video_id = p.video_id AND p.k < b.budget JOIN scored s ON s.video_id = p.video_id AND s.eligible AND NOT list_contains(p.chosen, s.frame_id) GROUP BY ALL) x),
+f AS (SELECT video_id, arg_max(chosen, k) AS chosen FROM pick GROUP BY 1),
+c AS (SELECT f.video_id, unnest(chosen) AS frame_id, 'temporal_coverage' AS selection_reason FROM f),
+r AS (SELECT s.*, row_number() OVER (PARTITION BY s.video_id ORDER BY -s.quality_score, s.timestamp_sec, s.frame_index, s.frame_id) AS place FROM scored s JOIN f USING (video_id) WHERE NOT list_contains(f.chosen, s.frame_id)),
+l AS (SELECT r.video_id, r.frame_id, 'budget_fallback' AS selection_reason FROM r JOIN b USING (video_id) JOIN f USING (video_id) WHERE b.n > 0 AND place <= fewest - len(f.chosen)),
+every AS (SELECT * FROM c UNION ALL SELECT * FROM l)
+SELECT every.*, s.timestamp_sec, s.quality_score FROM every JOIN scored s USING (video_id, frame_id) UNION ALL SELECT video_id, NULL, 'all_frames_rejected', NULL, NULL FROM b WHERE n = 0""")
 def select_frames(b_frames):
     durations = b_frames.groupBy("video_id").agg((F.max("timestamp_sec") + 1).alias("duration_sec"))
     return frames.select_frames(frames.scored_frames(b_frames), durations, target_fps=1e-4, min_frames=4, max_frames=60)

@@ -93,5 +93,7 @@ def duckdb_with(sql: str) -> str:
     for n in order:
         text = re.sub(r"(?<!\{)\{(\w+)\}(?!\})", r"\1", render(VIEWS[n], True)).replace("{{", "{").replace("}}", "}")
         parts.append(f"{n} AS ({text})")
-    sql = sql.strip()
-    return f"WITH {', '.join(parts)}{', ' + sql[5:] if sql[:5].upper() == 'WITH ' else ' ' + sql}"
+    sql, word = sql.strip(), "WITH "
+    if sql.upper().startswith("WITH RECURSIVE "):
+        word = "WITH RECURSIVE "
+    return f"{word}{', '.join(parts)}{', ' + sql[len(word):] if sql[:5].upper() == 'WITH ' else ' ' + sql}"
