@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..functions.staging import staged
+from ..functions.staging import scene_join, staged
 from .grid import nearest_by_cell
 from .quantiles import exact_percentiles, joined
 
@@ -22,7 +22,7 @@ def crop_roi(points: DataFrame, roi: DataFrame) -> DataFrame:
     inside = F.lit(True)
     for c in XYZ:
         inside = inside & F.col(c).between(F.col(f"{c}_min"), F.col(f"{c}_max"))
-    return points.join(roi, "scene_id").where(inside).select(*points.columns)
+    return scene_join(points, roi, "scene_id").where(inside).select(*points.columns)
 
 
 def voxel(c: str, size: float):
@@ -50,7 +50,7 @@ def voxel_neighbor_distance(source: DataFrame, target: DataFrame, size: float, m
 
 def f_score(accuracy: DataFrame, completeness: DataFrame, threshold: float, key: str = "scene_id") -> DataFrame:
     share = lambda d, n: d.groupBy(key).agg(F.avg((F.col("distance") <= threshold).cast("double")).alias(n))
-    d = share(accuracy, "precision").join(share(completeness, "recall"), key)
+    d = share(accuracy, "precision").join(share(completeness, "recall").hint("merge"), key)
     p, r = F.col("precision"), F.col("recall")
     return d.withColumn("f_score", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
 
@@ -131,15 +131,16 @@ def plane_metrics(points: DataFrame, grid: int = 128) -> DataFrame:
     cov = lambda a, b: F.covar_pop(a, b).alias(a + b)
     m = points.groupBy("scene_id").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{c}") for c in XYZ], *[cov(a, b) for i, a in enumerate(XYZ) for b in XYZ[i:]], F.sqrt(sum(((F.max(c) - F.min(c)) ** 2 for c in XYZ[1:]), (F.max("x") - F.min("x")) ** 2)).alias("diagonal"))
     axes = m.select("scene_id", "xx", "xy", "xz", "yy", "yz", "zz").mapInPandas(lambda it: (_principal_axes(t) for t in it), "scene_id long, " + ", ".join(f"a{i}{c} double" for i in range(3) for c in XYZ))
-    d = points.join(m.join(axes, "scene_id"), "scene_id")
+    d = scene_join(points, staged(m.join(axes.hint("merge"), "scene_id"), "cloud-axes"), "scene_id")
     on = lambda i: sum(((F.col(c) - F.col(f"m{c}")) * F.col(f"a{i}{c}") for c in XYZ[1:]), (F.col("x") - F.col("mx")) * F.col(f"a{i}x"))
     d = d.select("scene_id", "n", "diagonal", on(0).alias("u"), on(1).alias("v"), F.abs(on(2)).alias("residual"))
     s = d.groupBy("scene_id").agg(F.first("n").alias("n"), F.first("diagonal").alias("diagonal"), F.median("residual").alias("residual"), F.min("u").alias("u0"), F.max("u").alias("u1"), F.min("v").alias("v0"), F.max("v").alias("v1"))
     wide = (F.col("n") >= 4) & (F.col("diagonal") >= 1e-12) & (F.col("u1") - F.col("u0") >= 1e-12) & (F.col("v1") - F.col("v0") >= 1e-12)
     at = lambda c: F.least(F.lit(grid - 1), ((F.col(c) - F.col(f"{c}0")) / (F.col(f"{c}1") - F.col(f"{c}0")) * (grid - 1)).cast("int"))
-    cells = d.select("scene_id", "u", "v").join(s.where(wide), "scene_id").select("scene_id", at("u").alias("gu"), at("v").alias("gv")).distinct()
+    s = staged(s, "cloud-planes")
+    cells = scene_join(d.select("scene_id", "u", "v"), s.where(wide), "scene_id").select("scene_id", at("u").alias("gu"), at("v").alias("gv")).distinct()
     patches = cells.groupBy("scene_id").applyInPandas(_largest_share, "scene_id long, cells long, largest double")
-    out = s.join(patches, "scene_id", "left")
+    out = s.join(patches.hint("merge"), "scene_id", "left")
     few = F.col("n") < 4
     zero = lambda c: F.when(few, None).otherwise(F.coalesce(c, F.lit(0.0)))
     return out.select("scene_id", zero(F.when(F.col("diagonal") >= 1e-12, F.col("residual") / F.col("diagonal"))).alias("median_residual_diag_fraction"), zero(F.col("cells") / float(grid * grid)).alias("grid_occupancy"), zero(F.col("largest")).alias("largest_component_fraction"))
@@ -186,17 +187,17 @@ def estimate_sim3(pairs: DataFrame) -> DataFrame:
     s, t = [f"s{c}" for c in XYZ], [f"t{c}" for c in XYZ]
     m = pairs.groupBy("scene_id").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{c}") for c in (*s, *t)], *[cov(a, b) for i, a in enumerate(s) for b in s[i:]], *[cov(a, b) for a in t for b in s])
     axes = m.select("scene_id", *[a + b for i, a in enumerate(s) for b in s[i:]]).mapInPandas(lambda it: (_least_axis(x) for x in it), "scene_id long, ax double, ay double, az double, widest double")
-    m = m.join(axes, "scene_id")
+    m = staged(m.join(axes.hint("merge"), "scene_id"), "pair-moments")
     on = sum(((F.col(f"s{c}") - F.col(f"ms{c}")) * F.col(f"a{c}") for c in XYZ[1:]), (F.col("sx") - F.col("msx")) * F.col("ax"))
-    thin = pairs.join(m.select("scene_id", "msx", "msy", "msz", "ax", "ay", "az"), "scene_id").groupBy("scene_id").agg(F.var_pop(on).alias("thinnest"))
-    return m.join(thin, "scene_id").mapInPandas(lambda it: (_umeyama(x) for x in it), SIM3)
+    thin = scene_join(pairs, m.select("scene_id", "msx", "msy", "msz", "ax", "ay", "az"), "scene_id").groupBy("scene_id").agg(F.var_pop(on).alias("thinnest"))
+    return m.join(thin.hint("merge"), "scene_id").mapInPandas(lambda it: (_umeyama(x) for x in it), SIM3)
 
 
 def apply_sim3(points: DataFrame, sim3: DataFrame) -> DataFrame:
     r, t = F.col("rotation"), F.col("translation")
     p = [F.col(c) for c in XYZ]
     new = {c: F.col("scale") * (p[0] * r[3 * i] + p[1] * r[3 * i + 1] + p[2] * r[3 * i + 2]) + t[i] for i, c in enumerate(XYZ)}
-    return points.join(sim3.where("violation IS NULL"), "scene_id").withColumns(new).select(*points.columns)
+    return scene_join(points, staged(sim3.where("violation IS NULL"), "sim3"), "scene_id").withColumns(new).select(*points.columns)
 
 
 def compare_clouds(model: DataFrame, laser: DataFrame, pairs: DataFrame, roi: DataFrame, size: float = 0.02, max_distance: float = 1.0, thresholds: Sequence[float] = (0.02, 0.05)) -> DataFrame:
@@ -209,7 +210,7 @@ def compare_clouds(model: DataFrame, laser: DataFrame, pairs: DataFrame, roi: Da
         middle = exact_percentiles(d, ["scene_id"], {f"{n}_median": (F.col("distance"), 0.5), f"{n}_p95": (F.col("distance"), 0.95)})
         return joined(d.groupBy("scene_id").agg(F.count("*").alias(f"{n}_points")), middle, ["scene_id"])
 
-    out = stat(acc, "accuracy").join(stat(comp, "completeness"), "scene_id")
+    out = stat(acc, "accuracy").join(stat(comp, "completeness").hint("merge"), "scene_id")
     for t in thresholds:
-        out = out.join(f_score(acc, comp, t).select("scene_id", F.col("f_score").alias(f"f_score_{round(t * 100)}cm")), "scene_id")
-    return out.join(plane_metrics(m), "scene_id", "left")
+        out = out.join(f_score(acc, comp, t).select("scene_id", F.col("f_score").alias(f"f_score_{round(t * 100)}cm")).hint("merge"), "scene_id")
+    return out.join(plane_metrics(m).hint("merge"), "scene_id", "left")

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import scene_join, staged
 from .frames import key_set_status
 
 
@@ -25,19 +26,23 @@ def fit_depth_alignment(pixels: DataFrame, least: int = 100, sigmas: float = 1.0
     """Line ``1 / d_ref = slope * v + offset`` of each frame; pixels off by more than one deviation go, then it is fitted anew.
 
     Returns slope, offset, correlation, rmse, rmse by the lower median, pixel counts and a reason (null if aligned). The
-    deviation is the sample's; fewer than ``least`` pixels before or after give a reason.
+    deviation is the sample's; fewer than ``least`` pixels before or after give a reason. All but the median follows from moments, which are summed
+    up in parts: pixels are read twice, and never sorted or shuffled by frame.
     """
-    k = list(key)
-    d = pixels.where("d_ref > 0").withColumn("w", 1 / F.col("d_ref")).select(*k, "v", "w")
-    first = d.groupBy(*k).agg(F.count("*").alias("pixels"), F.regr_slope("w", "v").alias("a"), F.regr_intercept("w", "v").alias("b"))
-    r = d.join(first, k).withColumn("residual", F.col("w") - (F.col("a") * F.col("v") + F.col("b")))
-    spread = r.groupBy(*k).agg(F.avg("residual").alias("mean"), F.stddev_samp("residual").alias("deviation"))
-    kept = r.join(spread, k).where(F.abs(F.col("residual") - F.col("mean")) <= sigmas * F.col("deviation"))
-    second = kept.groupBy(*k).agg(F.count("*").alias("kept"), F.regr_slope("w", "v").alias("slope"), F.regr_intercept("w", "v").alias("offset"), F.corr("v", "w").alias("correlation"))
-    error = kept.select(*k, "v", "w").join(second, k).groupBy(*k).agg(F.sqrt(F.avg((F.col("w") - F.col("slope") * F.col("v") - F.col("offset")) ** 2)).alias("rmse"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY w)").alias("middle"))
-    out = first.select(*k, "pixels").join(second, k, "left").join(error, k, "left")
-    reason = F.when(F.col("pixels") < least, "too_few_pixels").when(F.coalesce("kept", F.lit(0)) < least, "too_few_inliers").when(F.col("slope") <= 0, "nonpositive_slope")
-    return out.select(*k, "pixels", "kept", "slope", "offset", "correlation", "rmse", (F.col("rmse") / F.col("middle")).alias("normalized_rmse"), reason.alias("reason"))
+    k, c = list(key), F.col
+    d = pixels.where("d_ref > 0").withColumn("w", 1 / c("d_ref")).select(F.struct(*k).alias("frame"), "v", "w")
+    n, vv, ww, vw = F.count("*").alias("n"), F.var_pop("v").alias("vv"), F.var_pop("w").alias("ww"), F.covar_pop("v", "w").alias("vw")
+    line = {"a": F.when(c("vv") > 0, c("vw") / c("vv"))}
+    first = d.groupBy("frame").agg(n, F.avg("v").alias("mv"), F.avg("w").alias("mw"), vv, ww, vw).withColumns(line).withColumn("b", c("mw") - c("a") * c("mv"))
+    # Residuals of a least squares line have mean 0, and their spread follows from the moments.
+    spread = F.sqrt(F.greatest(c("ww") - c("a") * c("vw"), F.lit(0.0)) * c("n") / F.when(c("n") > 1, c("n") - 1))
+    first = staged(first.select("frame", c("n").alias("pixels"), "a", "b", (sigmas * spread).alias("most")), "first-fit")
+    kept = scene_join(d, first.select("frame", "a", "b", "most"), "frame").where(F.abs(c("w") - (c("a") * c("v") + c("b"))) <= c("most"))
+    second = kept.groupBy("frame").agg(n, F.avg("v").alias("mv"), F.avg("w").alias("mw"), vv, ww, vw, F.corr("v", "w").alias("correlation"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY w)").alias("middle")).withColumns(line)
+    second = second.select(c("frame").alias("_frame"), c("n").alias("kept"), c("a").alias("slope"), (c("mw") - c("a") * c("mv")).alias("offset"), "correlation", F.sqrt(F.greatest(c("ww") - c("a") * c("vw"), F.lit(0.0))).alias("rmse"), "middle")
+    out = first.join(second.hint("merge"), c("frame").eqNullSafe(c("_frame")), "left")
+    reason = F.when(c("pixels") < least, "too_few_pixels").when(F.coalesce("kept", F.lit(0)) < least, "too_few_inliers").when(c("slope") <= 0, "nonpositive_slope")
+    return out.select("frame.*", "pixels", "kept", "slope", "offset", "correlation", "rmse", (c("rmse") / c("middle")).alias("normalized_rmse"), reason.alias("reason"))
 
 
 def match_quality(matches: DataFrame, most_residual: float = 4.0, grid: int = 4, key: Sequence[str] = ("frame_id",)) -> DataFrame:

@@ -70,10 +70,10 @@ def training_evidence_audit(runs: DataFrame, residuals: Sequence[str], tolerance
 def existing_run_stages(attempts: DataFrame, inventory: DataFrame, stages: Sequence[str]) -> DataFrame:
     """Each run's stages in order with the latest attempt, its status and whether all its artifacts are still as declared."""
     checked = artifact_hash_check(attempts, inventory).select("run_id", "stage", "attempt", "invalid_artifacts", "reusable")
-    latest = latest_attempt(attempts).select("run_id", "stage", "attempt", "status").join(checked, ["run_id", "stage", "attempt"], "left")
+    latest = latest_attempt(attempts).select("run_id", "stage", "attempt", "status").join(checked.hint("merge"), ["run_id", "stage", "attempt"], "left")
     order = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(s).alias("stage")) for i, s in enumerate(stages)]))
     grid = attempts.select("run_id").distinct().select("run_id", order.alias("o")).select("run_id", "o.position", "o.stage")
-    d = grid.join(latest, ["run_id", "stage"], "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    d = grid.join(latest.hint("merge"), ["run_id", "stage"], "left").withColumn("status", F.coalesce("status", F.lit("missing")))
     return d.withColumn("reusable", F.coalesce("reusable", F.lit(False)))
 
 

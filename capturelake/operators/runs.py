@@ -51,7 +51,7 @@ def transition_violations(statuses: DataFrame) -> DataFrame:
 def artifact_hash_check(attempts: DataFrame, inventory: DataFrame, key: Sequence[str] = ("run_id", "stage", "attempt")) -> DataFrame:
     """Whether each attempt passed and all its artifacts (path, sha256) are in the inventory with the same hash."""
     each = attempts.select(*key, "status", F.explode_outer("artifacts").alias("a")).select(*key, "status", "a.path", "a.sha256")
-    d = each.join(inventory.select("path", F.col("sha256").alias("found")), "path", "left")
+    d = each.join(inventory.select("path", F.col("sha256").alias("found")).hint("merge"), "path", "left")
     valid = F.col("path").isNull() | F.coalesce(F.col("sha256") == F.col("found"), F.lit(False))
     d = d.groupBy(*key).agg(F.first("status").alias("status"), F.count("path").alias("artifacts"), F.count_if(~valid).alias("invalid_artifacts"))
     return d.withColumn("reusable", (F.col("status") == "passed") & (F.col("invalid_artifacts") == 0))

@@ -32,7 +32,7 @@ def pose_summary(lines: DataFrame, any_attempt: bool = False) -> DataFrame:
         F.count("*").alias("attempt_count"), F.count_if(~F.col("ok")).alias("rejected_attempt_count"), F.min(fin("inlier_ratio")).alias("min_inlier_ratio"), F.max(fin("reprojection_rmse_px")).alias("max_reprojection_rmse_px"),
         F.min(fin("grid_coverage")).alias("min_grid_coverage"), F.max(fin("rotation_step_deg")).alias("max_rotation_step_deg"), F.max(fin("translation_step")).alias("max_translation_step"), F.max(fin("translation_step_ratio")).alias("max_translation_step_ratio"),
     )
-    d = s.join(cameras, "run_id", "left").withColumn("accepted_frames", F.coalesce("accepted_frames", F.array().cast("array<string>")))
+    d = s.join(cameras.hint("merge"), "run_id", "left").withColumn("accepted_frames", F.coalesce("accepted_frames", F.array().cast("array<string>")))
     return d.withColumn("accepted_camera_count", F.size("accepted_frames"))
 
 
@@ -128,7 +128,7 @@ def anchor_schedule(runs: DataFrame, every: int = 100) -> DataFrame:
 def anchor_event_check(runs: DataFrame, events: DataFrame) -> DataFrame:
     """Planned and seen anchors that have no counterpart, and events whose counts don't add up."""
     plan = anchor_schedule(runs).withColumn("_plan", F.lit(True))
-    d = plan.join(events.withColumn("_seen", F.lit(True)), ["run_id", "iteration"], "full_outer")
+    d = plan.join(events.withColumn("_seen", F.lit(True)).hint("merge"), ["run_id", "iteration"], "full_outer")
     wrong = F.col("after") != F.col("before") + F.col("added") - F.col("deleted")
     return d.withColumn("violation", F.when(F.col("_seen").isNull(), "missing").when(F.col("_plan").isNull(), "unplanned").when(wrong, "counts")).where("violation IS NOT NULL").select("run_id", "iteration", "violation")
 

@@ -39,10 +39,10 @@ SELECT user_id AS run_id, event_type AS stage, ROW_NUMBER() OVER (PARTITION BY u
     "b_keys": "SELECT o_orderkey AS k, 'expected' AS side FROM {orders} UNION ALL SELECT DISTINCT l_orderkey, 'actual' FROM {lineitem} WHERE l_linestatus = 'O'",
     "b_elements": "SELECT * FROM EXPL q",
     "b_pairs": """
-SELECT a.label AS run_id, a.vec_id AS ordinal, a.i AS px, least(greatest(a.e + 0.5, 0), 1) AS left_v, least(greatest(b.e + 0.5, 0), 1) AS right_v
+SELECT /*+ MERGE(b) */ a.label AS run_id, a.vec_id AS ordinal, a.i AS px, least(greatest(a.e + 0.5, 0), 1) AS left_v, least(greatest(b.e + 0.5, 0), 1) AS right_v
 FROM {b_elements} a JOIN {b_elements} b ON b.vec_id = a.vec_id + 1 AND b.i = a.i""",
     "b_depth_pixels": """
-SELECT a.label AS frame_id, a.vec_id * 64 + a.i AS pixel_id, 1 + a.e AS v, 1 / (2 * (1 + a.e) + 0.1 * b.e + 0.5) AS d_ref
+SELECT /*+ MERGE(b) */ a.label AS frame_id, a.vec_id * 64 + a.i AS pixel_id, 1 + a.e AS v, 1 / (2 * (1 + a.e) + 0.1 * b.e + 0.5) AS d_ref
 FROM {b_elements} a JOIN {b_elements} b ON b.vec_id = a.vec_id AND b.i = a.i % 64 + 1""",
     "b_markers": """
 SELECT user_id AS run_id, event_id AS seq, CASE event_id % 6 WHEN 0 THEN CONCAT('POSE_TELEMETRY ', body) WHEN 1 THEN CONCAT('POSE_TELEMETRY ', body, ' [05/03 10:11:12]') WHEN 2 THEN CONCAT('POSE_TELEMETRY ', body, ' trailing')
