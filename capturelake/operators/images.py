@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import violations
 from .quantiles import exact_percentiles, joined
@@ -168,15 +169,43 @@ def frame_motion(frames: DataFrame, key: Sequence[str] = ("video_id",), order: s
     d = pixels.join(before.hint("merge"), k).join(last.hint("merge"), [*key, "_before"], "left")
     same = (F.col("height") == F.col("_h")) & (F.col("width") == F.col("_w")) & (F.length("data") == F.length("_data"))
 
-    @F.pandas_udf("double")
-    def difference(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = np.full(len(a), np.nan)
-        size = np.array([len(x) if x is not None and y is not None else 0 for x, y in zip(a, b, strict=True)])
-        for n in np.unique(size[size > 0]).tolist():
-            at = np.flatnonzero(size == n)
-            left, right = (np.frombuffer(b"".join(c.iloc[at]), np.uint8).reshape(len(at), n).astype(np.int16) for c in (a, b))
-            out[at] = np.abs(left - right).mean(1) / 255.0
-        return pd.Series(out).astype("Float64").where(size > 0, None) if len(out) else pd.Series(out)
-
     none = F.lit(None).cast("binary")
-    return d.select(*k, difference(F.when(same, F.col("data")).otherwise(none), F.when(same, F.col("_data")).otherwise(none)).alias("motion_score"))
+    apart = pixel_difference(F.when(same, F.col("data")).otherwise(none), F.when(same, F.col("_data")).otherwise(none))
+    return d.select(*k, (apart["mean_abs"] / 255.0).alias("motion_score"))
+
+
+@F.pandas_udf(T.StructType([T.StructField("mean_abs", T.DoubleType()), T.StructField("mse", T.DoubleType())]))
+def pixel_difference(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Mean absolute and squared difference of two strings of bytes of one length; null where one is missing or they are empty or differ in length. Rows of one length are worked off together."""
+    size = np.array([len(x) if x is not None and y is not None and len(x) == len(y) else 0 for x, y in zip(a, b, strict=True)], np.int64)
+    out = np.zeros((2, len(a)))
+    for n in np.unique(size[size > 0]).tolist():
+        every = np.flatnonzero(size == n)
+        for lo in range(0, len(every), max(1, (1 << 24) // n)):
+            at = every[lo : lo + max(1, (1 << 24) // n)]
+            left, right = (np.frombuffer(b"".join(c.iloc[at]), np.uint8).reshape(len(at), n).astype(np.int32) for c in (a, b))
+            out[0, at], out[1, at] = np.abs(left - right).mean(1), ((left - right) ** 2).mean(1)
+    return pd.DataFrame({name: pd.array(np.where(size > 0, x, np.nan), "Float64") for name, x in zip(("mean_abs", "mse"), out, strict=True)}).where(pd.Series(size > 0), None)
+
+
+def compare_renders(renders: DataFrame, current, baseline, comparison=None, key: str = "run_id") -> DataFrame:
+    """The renders (key, ordinal, sha256, height, width, data) of two or three runs at each ordinal that any of them has.
+
+    ordinal, the runs' hashes, PSNR (255 scale, null for equal images) and mean absolute difference of the current run's image to the baseline's and to the
+    comparison's, and violations: images that a run lacks or that differ in size. An image without data counts as lacking.
+    """
+    runs = {"current": current, "baseline": baseline, **({"comparison": comparison} if comparison is not None else {})}
+    d = None
+    for name, run in runs.items():
+        side = renders.where((F.col(key) == run) & F.col("data").isNotNull()).select("ordinal", *[F.col(x).alias(f"{name}_{x}") for x in ("sha256", "height", "width", "data")])
+        d = side if d is None else d.join(side.hint("merge"), "ordinal", "full_outer")
+    others, checks = [n for n in runs if n != "current"], {f"{n}_missing": F.col(f"{n}_data").isNull() for n in runs}
+    for n in others:
+        same = (F.col(f"{n}_height") == F.col("current_height")) & (F.col(f"{n}_width") == F.col("current_width"))
+        checks[f"{n}_size"] = F.coalesce(~same, F.lit(False))
+        d = d.withColumn(f"_{n}", pixel_difference(F.when(same, F.col("current_data")), F.when(same, F.col(f"{n}_data"))))
+    out = []
+    for n in others:
+        mse = F.col(f"_{n}.mse")
+        out += [F.when(mse > 0, 10 * F.log10(255.0**2 / mse)).alias(f"{n}_psnr_db"), F.col(f"_{n}.mean_abs").alias(f"{n}_mean_abs_pixel_delta")]
+    return d.select("ordinal", *[f"{n}_sha256" for n in runs], *out, violations(**checks).alias("violations"))

@@ -104,6 +104,71 @@ def normalize_converted_eval(records: DataFrame, text: str = "evidence") -> Data
     return d.withColumn("violations", bad).withColumn("status", status)
 
 
+#: Fixed values of the evaluation records: names of flags and the ending of the old schema's name.
+STRUCTURAL_FLAGS = ("all_pngs_decoded", "all_pngs_finite", "all_dimensions_exact", "all_names_and_order_exact")
+OLD_EVALUATION = "converted-eval-cpu-postprocess-v1"
+
+
+def converted_evaluation(records: DataFrame, identities: DataFrame | None = None, key: str = "run_id", text: str = "evidence") -> DataFrame:
+    """One strict reading of converted-evaluation records (JSON): structural_pass, visual_pass (null: no claim), warnings and violations.
+
+    Both names of the structural verdict must be booleans and agree, with each other and with what ``full_stream_validation`` says of it. A record of the old
+    schema is read from its verified flags and counts instead, whatever else it states; that its nested ``pass`` was once the visual
+    verdict is a warning. ``visual_quality_pass`` and SAME_CAMERA_VISUAL_PASS (pass, fail, needs_review) must agree; a review is no claim. Cameras (count, order,
+    dimensions) must be whole where one of them is given, always in the old schema, and equal ``identities`` (key, camera_count, camera_order,
+    width, height) where that has the key. All violations are listed; a record with any has no verdicts.
+    """
+    c, lit = F.col, F.lit
+    v = F.try_parse_json(text)
+    get = lambda path: F.try_variant_get(v, f"$.{path}", "variant")
+    kind = lambda path: F.schema_of_variant(get(path))
+    there = lambda path: get(path).isNotNull()
+    flag = lambda path: F.when(kind(path) == "BOOLEAN", F.try_variant_get(v, f"$.{path}", "boolean"))
+    whole = lambda path: F.when(kind(path) == "BIGINT", F.try_variant_get(v, f"$.{path}", "long"))
+    given = lambda path: F.coalesce(kind(path) != "VOID", lit(False))  # noqa: E731  there and not null
+    yes = lambda x: F.coalesce(x, lit(False))
+    names = ("STRUCTURAL_EVALUATION_PASS", "FULL_STREAM_VALIDATION_PASS")
+    full, cameras = "full_stream_validation", ("camera_count", "camera_order", "camera_dimensions")
+    is_object = lambda path: yes(kind(path).startswith("OBJECT"))
+    d = records.withColumns({
+        "_object": yes(F.schema_of_variant(v).startswith("OBJECT")), "_old": yes(F.try_variant_get(v, "$.schema_version", "string").endswith(OLD_EVALUATION)), "_a": flag(names[0]), "_b": flag(names[1]), "_odd": (there(names[0]) & flag(names[0]).isNull()) | (there(names[1]) & flag(names[1]).isNull()),
+        "_full": is_object(full), "_count": whole("camera_count"), "_unusable": flag(f"{full}.no_usable_converted_views"), "_nested": flag(f"{full}.pass"), "_nested_structural": flag(f"{full}.structural_pass"),
+        "_same": F.try_variant_get(v, "$.SAME_CAMERA_VISUAL_PASS", "string"), "_visual": flag("visual_quality_pass"), "_order": F.when(kind("camera_order") == "ARRAY<STRING>", F.try_variant_get(v, "$.camera_order", "array<string>")),
+        "_width": whole("camera_dimensions.width"), "_height": whole("camera_dimensions.height"), "_named": there(cameras[0]) | there(cameras[1]) | there(cameras[2]),
+    })
+    missing = F.array_compact(F.array(*[F.when(~yes(flag(f"{full}.{f}")), lit(f)) for f in STRUCTURAL_FLAGS]))
+    processed, expected = whole(f"{full}.triples_processed"), whole(f"{full}.expected_triples")
+    counted = yes(processed > 0) & yes(expected > 0)
+    d = d.withColumn("_structural", F.when(c("_old"), ~c("_unusable")).otherwise(F.coalesce("_a", "_b")))
+    d = d.withColumn("_derived", F.when(c("_same") == "pass", True).when(c("_same") == "fail", False))
+    old, new = c("_old"), ~c("_old")
+    sound = yes(c("_count") > 0)
+    order = yes((F.size("_order") == c("_count")) & (F.size(F.array_distinct("_order")) == F.size("_order")) & ~F.exists("_order", lambda n: n.isNull() | (n == "")))
+    held = c("_named") | old
+    if identities is not None:
+        i = identities.select(F.col(key).alias("_key"), *[F.col(n).alias(f"_i_{n}") for n in ("camera_count", "camera_order", "width", "height")], lit(True).alias("_known"))
+        d = d.join(i.hint("merge"), c(key) == c("_key"), "left")
+        differs = {f"identity_differs_{f}": yes(c("_known")) & given(f) & ~yes(same) for f, same in ((cameras[0], c("_count") == c("_i_camera_count")), (cameras[1], c("_order") == c("_i_camera_order")), (cameras[2], (c("_width") == c("_i_width")) & (c("_height") == c("_i_height"))))}
+    else:
+        differs = {}
+    violations = X.violations(
+        not_an_object=~c("_object"), structural_not_boolean=c("_odd"), structural_missing=c("_object") & new & c("_a").isNull() & c("_b").isNull() & ~c("_odd"), structural_aliases_disagree=yes(c("_a") != c("_b")),
+        old_without_full_stream_validation=old & ~c("_full"), old_camera_count=old & ~sound, old_flags=old & c("_full") & (F.size(missing) > 0), old_counts=old & c("_full") & ~counted, old_counts_differ=old & counted & yes((expected != c("_count")) | (processed != expected)),
+        old_no_usable_views=old & c("_full") & c("_unusable").isNull(), old_aliases_disagree_with_evidence=old & yes((c("_a") != c("_structural")) | (c("_b") != c("_structural"))),
+        full_stream_validation_not_an_object=given(full) & ~c("_full"), nested_not_boolean=c("_full") & ((there(f"{full}.pass") & c("_nested").isNull()) | (there(f"{full}.structural_pass") & c("_nested_structural").isNull())),
+        nested_structural_pass_disagrees=yes(c("_nested_structural") != c("_structural")), nested_pass_disagrees=yes(c("_nested") != c("_structural")) & ~(old & yes(c("_structural")) & yes(~c("_nested"))),
+        same_camera_visual_pass=given("SAME_CAMERA_VISUAL_PASS") & ~yes(c("_same").isin("pass", "fail", "needs_review") & (kind("SAME_CAMERA_VISUAL_PASS") == "STRING")), visual_not_boolean=given("visual_quality_pass") & c("_visual").isNull(), visual_verdicts_disagree=yes(c("_visual") != c("_derived")),
+        identity_camera_count=held & ~sound, identity_camera_order=held & ~order, identity_camera_dimensions=held & ~(yes(c("_width") > 0) & yes(c("_height") > 0)), **differs,
+    )
+    warnings = X.violations(
+        legacy_structural_pass_derived_from_verified_full_stream_flags=old & c("_a").isNull() & c("_b").isNull(), legacy_nested_full_stream_pass_was_visual_mixed=old & yes(c("_structural")) & yes(~c("_nested")),
+    )
+    d = d.withColumn("violations", violations)
+    good = F.size("violations") == 0
+    out = {"structural_pass": F.when(good, c("_structural")), "visual_pass": F.when(good, F.coalesce("_visual", "_derived")), "warnings": F.when(good, warnings).otherwise(F.array().cast("array<string>"))}
+    return d.withColumns(out).select(*records.columns, "structural_pass", "visual_pass", "warnings", "violations")
+
+
 def normalize_postcheck(records: DataFrame, text: str = "evidence") -> DataFrame:
     """The nested ``postcheck_result`` of a record, else the record itself, which must have a structural object."""
     v = F.try_parse_json(text)

@@ -62,3 +62,15 @@ def frame_motion(embeddings):
     data = F.unhex(F.array_join(F.transform("embedding", byte), ""))
     d = embeddings.select(F.col("label").alias("video_id"), F.col("vec_id").alias("frame_index"), F.lit(8).alias("height"), F.lit(8).alias("width"), data.alias("data"))
     return images.frame_motion(d).withColumn("motion_score", F.round("motion_score", 9))
+
+
+_BYTES = "v AS (SELECT vec_id % 3 AS run, vec_id // 3 AS ordinal, i, CAST(least(greatest(round(255 * (e + 0.5)), 0), 255) AS INT) AS g FROM b_elements WHERE vec_id % 60 <> 4)"
+
+
+@query(f"WITH {_BYTES}, o AS (SELECT DISTINCT ordinal FROM v), d AS (SELECT x.ordinal, y.run, avg(abs(x.g - y.g)) AS mad, avg((x.g - y.g) * (x.g - y.g)) AS mse FROM v x JOIN v y ON x.ordinal = y.ordinal AND x.i = y.i AND x.run = 0 AND y.run > 0 GROUP BY 1, 2), r AS (SELECT DISTINCT run, ordinal FROM v) SELECT o.ordinal, round(CASE WHEN b.mse > 0 THEN 10 * log10(65025 / b.mse) END, 6) AS baseline_psnr, round(b.mad, 9) AS baseline_delta, round(CASE WHEN c.mse > 0 THEN 10 * log10(65025 / c.mse) END, 6) AS comparison_psnr, round(c.mad, 9) AS comparison_delta, concat_ws(',', CASE WHEN r0.run IS NULL THEN 'current_missing' END, CASE WHEN r1.run IS NULL THEN 'baseline_missing' END, CASE WHEN r2.run IS NULL THEN 'comparison_missing' END) AS violations FROM o LEFT JOIN d b ON b.ordinal = o.ordinal AND b.run = 1 LEFT JOIN d c ON c.ordinal = o.ordinal AND c.run = 2 LEFT JOIN r r0 ON r0.ordinal = o.ordinal AND r0.run = 0 LEFT JOIN r r1 ON r1.ordinal = o.ordinal AND r1.run = 1 LEFT JOIN r r2 ON r2.ordinal = o.ordinal AND r2.run = 2")
+def compare_renders(embeddings):
+    byte = lambda x: F.lpad(F.hex(F.least(F.greatest(F.round(255 * (x.cast("double") + 0.5)), F.lit(0.0)), F.lit(255.0)).cast("int")), 2, "0")
+    data = F.unhex(F.array_join(F.transform("embedding", byte), ""))
+    d = embeddings.where("vec_id % 60 <> 4").select((F.col("vec_id") % 3).alias("run_id"), F.floor(F.col("vec_id") / 3).alias("ordinal"), F.lit("s").alias("sha256"), F.lit(8).alias("height"), F.lit(8).alias("width"), data.alias("data"))
+    out = images.compare_renders(d, 0, 1, 2)
+    return out.select("ordinal", F.round("baseline_psnr_db", 6).alias("baseline_psnr"), F.round("baseline_mean_abs_pixel_delta", 9).alias("baseline_delta"), F.round("comparison_psnr_db", 6).alias("comparison_psnr"), F.round("comparison_mean_abs_pixel_delta", 9).alias("comparison_delta"), F.array_join("violations", ",").alias("violations"))
