@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from ..sources import binary_files, files, gaussians, materialize, sparse_binary
-from .queries import query
+from ..streaming import progress
+from .queries import ORACLES, query
 
 FIELDS = ["x", "y", "z", "f_dc_0", "f_dc_1", "f_dc_2", "opacity", "scale_0", "scale_1", "scale_2", "rot_0", "rot_1", "rot_2", "rot_3"]
 
@@ -128,3 +130,88 @@ def write_once(orders):
     except AnalysisException:
         return spark.read.parquet(path)
     raise AssertionError("the table was written twice")
+
+
+@query("SELECT CAST(scene_id AS VARCHAR) AS scene_id, row_number() OVER (PARTITION BY scene_id ORDER BY ord) - 1 AS ord, qw AS r00, CAST(ord AS DOUBLE) AS r22, tx, ty, tz FROM b_poses")
+def read_trajectories(b_poses):
+    """Camera lists of two spellings, one file a scene."""
+    spark, path = b_poses.sparkSession, _folder(b_poses, "trajectories")
+    n, z = F.col("ord"), F.lit(0.0)
+    rotation, place = F.array(F.array("qw", z, z), F.array(z, F.lit(1.0), z), F.array(z, z, n.cast("double"))), F.array("tx", "ty", "tz")
+    camera = F.when(n % 2 == 0, F.to_json(F.struct(rotation.alias("R"), place.alias("T")))).otherwise(F.to_json(F.struct(rotation.alias("rotation"), place.alias("position"))))
+    each = b_poses.groupBy("scene_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", camera.alias("c")))), lambda c: c["c"]), ",").alias("body"))
+    binary_files.write_pieces(each.select(F.concat(F.col("scene_id").cast("string"), F.lit(".json")).alias("file"), F.lit(0).alias("offset"), F.concat(F.lit("["), "body", F.lit("]")).cast("binary").alias("data")), path)
+    d = files.read_trajectories(spark, path)
+    return d.select("scene_id", F.col("ord").cast("long").alias("ord"), F.col("R")[0].alias("r00"), F.col("R")[8].alias("r22"), *[F.col("T")[i].alias(c) for i, c in enumerate(("tx", "ty", "tz"))])
+
+
+@query("SELECT 'run' || s_nationkey AS run_id, 'train' AS stage, CAST(s_suppkey AS INT) AS attempt, CASE WHEN s_suppkey % 3 <> 0 THEN CASE WHEN s_acctbal < 0 THEN 'failed' ELSE 'passed' END END AS status, CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS started_at, s_suppkey % 3 = 0 AS orphan FROM supplier WHERE s_suppkey % 3 <> 0 OR s_suppkey % 5 <> 0")
+def read_attempts(supplier):
+    """Requests and results are files of their own; some attempts lack one of them."""
+    spark, path = supplier.sparkSession, _folder(supplier, "runs")
+    k = F.col("s_suppkey")
+    folder = F.concat(F.lit("run"), F.col("s_nationkey").cast("string"), F.lit("/stages/train/attempt-"), F.format_string("%04d", k))
+    asked = supplier.where(k % 5 != 0).select(F.concat(folder, F.lit("/request.json")).alias("file"), F.to_json(F.struct(F.col("s_name").alias("started_at"))).alias("body"))
+    done = supplier.where(k % 3 != 0).select(F.concat(folder, F.lit("/result.json")).alias("file"), F.to_json(F.struct(F.when(F.col("s_acctbal") < 0, "failed").otherwise("passed").alias("status"))).alias("body"))
+    binary_files.write_pieces(asked.unionByName(done).select("file", F.lit(0).alias("offset"), F.col("body").cast("binary").alias("data")), path)
+    return files.read_attempts(spark, path).select("run_id", "stage", "attempt", "status", "started_at", "orphan")
+
+
+@query("SELECT 'd' || s_nationkey || '/' || s_suppkey || '.bmp' AS name, CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey % 256 END AS first_byte, CASE WHEN s_suppkey % 7 = 0 THEN 'missing' WHEN s_suppkey % 4 = 0 THEN 'size' END AS violation FROM supplier")
+def read_frames_pixels(supplier):
+    """Bitmaps of one colour each, 4 x 2 pixels; some are missing, and for some the manifest has another size."""
+    spark, path = supplier.sparkSession, _folder(supplier, "frames")
+    k = F.col("s_suppkey")
+    byte = F.lpad(F.hex((k % 256).cast("int")), 2, "0")
+    # Fixed values of the format: 54 bytes in front of two rows of four pixels with three bytes each.
+    head = "424D4E000000000000003600000028000000040000000200000001001800000000001800000000000000000000000000000000000000"
+    data = F.unhex(F.concat(F.lit(head), F.repeat(byte, 24)))
+    name = F.concat(F.lit("d"), F.col("s_nationkey").cast("string"), F.lit("/"), k.cast("string"), F.lit(".bmp"))
+    binary_files.write_pieces(supplier.where(k % 7 != 0).select(name.alias("file"), F.lit(0).alias("offset"), data.alias("data")), path)
+    manifest = supplier.select(name.alias("name"), F.when(k % 4 == 0, 5).otherwise(4).alias("width"), F.lit(2).alias("height"))
+    d = files.read_frames_pixels(spark, path, manifest, root=path)
+    return d.select("name", F.conv(F.hex(F.substring("data", 1, 1)), 16, 10).cast("long").alias("first_byte"), "violation")
+
+
+@query("SELECT o_orderkey AS camera_id, lpad(CAST(o_custkey AS VARCHAR), 4, '0') || '_' || 'f.' || o_orderkey || '.png' AS view_name FROM orders")
+def converted_view_name(orders):
+    path = F.concat(F.lit("a/b/f."), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ".jpg").otherwise(".PNG"))
+    return orders.select(F.col("o_orderkey").alias("camera_id"), X.converted_view_name(F.col("o_custkey"), path).alias("view_name"))
+
+
+def _streamed(d, name):
+    """All rows of a stream that reads what is there and ends."""
+    spark, out, check = d.sparkSession, binary_files.new_folder(d.sparkSession, name), binary_files.new_folder(d.sparkSession, f"{name}-checkpoint")
+    d.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(d.schema).parquet(out)
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, event_id AS iteration, event_type AS kind FROM events WHERE event_id % 4 <> 0 AND event_id > 0")
+def stream_markers(events):
+    """Log files of many runs, read as a stream: two lines in one by a carriage return, and lines that are no marker."""
+    spark, path = events.sparkSession, binary_files.new_folder(events.sparkSession, "logs")
+    marker = F.concat(F.lit("SHAPE iteration="), F.col("event_id").cast("string"), F.lit(" kind="), "event_type")
+    line = F.when(F.col("event_id") % 4 == 0, "SHAPES iteration=7").when(F.col("event_id") % 4 == 1, F.concat(F.lit("loading 10%\r"), marker)).otherwise(marker)
+    ordered = binary_files.ordered(events.select(F.concat(F.col("user_id").cast("string"), F.lit(".log")).alias("file"), "event_id", line.alias("line")), ["file", "event_id"]).drop("event_id")
+
+    def pack(batches):
+        for b in batches:
+            for file, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                yield file, 1, f"{text}\n".encode()
+
+    binary_files.write_pieces(binary_files.placed(ordered, pack), binary_files.local_path(path))
+    d = _streamed(progress.stream_markers(progress.stream_lines(spark, path), "SHAPE").select("run_id", "iteration", F.col("fields")["kind"].alias("kind")), "markers")
+    return d.select("run_id", "iteration", "kind")
+
+
+@query()
+def stream_exposure(b_exposure):
+    """Exposure events as a stream, kept by run in state."""
+    spark, path = b_exposure.sparkSession, binary_files.new_folder(b_exposure.sparkSession, "exposure")
+    d = b_exposure.select(F.col("run_id").cast("long").alias("run_id"), F.col("iteration").cast("long").alias("iteration"), "camera")
+    d.write.parquet(path)
+    return _streamed(progress.stream_exposure(spark.readStream.schema(d.schema).parquet(path)), "exposures")
+
+
+# The stream's rows are those of its batch twin.
+ORACLES["stream_exposure"] = ORACLES["running_exposure"]

@@ -157,11 +157,21 @@ def read_depth(spark: SparkSession, path: str) -> DataFrame:
     return d.mapInPandas(decode, kind)
 
 
-def read_frames_pixels(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
-    """Decoded images joined with a manifest (name, width, height); violation where sizes differ or an image is missing."""
-    i = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*").withColumn("name", F.regexp_replace("origin", r"^.*/", ""))
-    d = manifest.join(i.select("name", F.col("width").alias("w"), F.col("height").alias("h"), "nChannels", "data"), "name", "left")
-    return d.withColumn("violation", F.when(F.col("w").isNull(), "missing").when((F.col("w") != F.col("width")) | (F.col("h") != F.col("height")), "size"))
+def read_frames_pixels(spark: SparkSession, path: str, manifest: DataFrame, root: str | None = None) -> DataFrame:
+    """Decoded images joined with a manifest (name, width, height); violation where sizes differ, an image is missing, or several have its name.
+
+    With ``root`` the name is the path below that folder, else the file's own name. Then two folders may hold one name: such an image has
+    no pixels and the violation ``ambiguous``, instead of a row for each.
+    """
+    from .materialize import relative_to
+
+    name = relative_to(F.col("origin"), root) if root else F.regexp_replace("origin", r"^.*/", "")
+    i = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path).select("image.*").withColumn("name", name)
+    found = i.select("name", F.col("width").alias("w"), F.col("height").alias("h"), "nChannels", "data")
+    twice = found.groupBy("name").agg(F.count("*").alias("_files")).where("_files > 1")
+    d = manifest.join(twice.hint("merge"), "name", "left").join(found.join(twice.hint("merge"), "name", "left_anti").hint("merge"), "name", "left")
+    bad = F.when(F.col("_files") > 1, "ambiguous").when(F.col("w").isNull(), "missing").when((F.col("w") != F.col("width")) | (F.col("h") != F.col("height")), "size")
+    return d.withColumn("violation", bad).drop("_files")
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
