@@ -3,7 +3,7 @@
 The best segmentation of a pre-token's prefix depends on that prefix alone. So distinct pre-tokens are put into a trie whose
 nodes hold the forward score and token count of their prefix: a prefix that many words share is scored
 once, and a word's count is read at its last node. Each worker process grows its own trie over the texts of its tasks, and remembers
-the terminal counts; nothing is shuffled. The trie is dropped and begun anew when it is large, which changes no count.
+the terminal counts; nothing is shuffled. The trie, and apart from it the counts, are dropped and begun anew when they are large, which changes no count.
 
 Vocabulary: the pieces of a public SentencePiece model, read from a file. That model is a BPE without probabilities,
 so a piece of rank r is scored ``-ln(r + 1)``, Zipf's law. Characters without a piece fall back to one token per
@@ -38,46 +38,81 @@ def load_pieces(path: str) -> dict[str, float]:
 
 
 class Trie:
-    """A node is (children, score, count, depth); pieces that end at a node are looked up by the last characters."""
+    """Nodes are numbers; a node's score and token count are those of the best segmentation of its prefix.
+
+    Pieces are a tree of their own. The piece beginnings that a prefix ends with are carried along a new branch, so a node costs a step for
+    each of the few that go on, and not a look-up for every length of a piece.
+    """
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
+        self.root: dict = {}
+        for piece, score in pieces.items():
+            at = self.root
+            for c in piece:
+                at = at.setdefault(c, {})
+            at[""] = score
+        self.words: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
+        self.next: dict[tuple[int, str], int] = {}
         self.score, self.count = [0.0], [0]
-        self.words: dict[str, int] = {}
 
     def __call__(self, plain: str) -> int:
         """Tokens of the best segmentation of a pre-token; among equal scores the one with the longest last piece."""
         word = MARK + plain
         if len(word) > LONG:
             return self.alone(word)
-        if len(self.children) > NODES or len(self.words) > WORDS:
+        if len(self.score) > NODES:
             self.clear()
-        node, path = 0, [0]
-        for end, c in enumerate(word, 1):
-            found = self.children[node].get(c)
+        if len(self.words) > WORDS:
+            self.words = {}
+        node, path, end = 0, [0], 0
+        for c in word:  # what other words share
+            found = self.next.get((node, c))
             if found is None:
-                best, n = -math.inf, 0
-                for start in range(max(0, end - self.longest), end):
-                    s = self.pieces.get(word[start:end])
-                    if s is not None and self.score[path[start]] + s > best:
-                        best, n = self.score[path[start]] + s, self.count[path[start]] + 1
-                if c not in self.pieces:
-                    k = len(c.encode("utf-8", "surrogatepass"))
-                    if self.score[path[-1]] + k * BYTE_SCORE > best:
-                        best, n = self.score[path[-1]] + k * BYTE_SCORE, self.count[path[-1]] + k
-                found = self.children[node][c] = len(self.children)
-                self.children.append({})
-                self.score.append(best)
-                self.count.append(n)
+                break
             node = found
             path.append(node)
-        self.words[plain] = self.count[node]
-        return self.count[node]
-
+            end += 1
+        if end < len(word):
+            self._branch(word, path, end)
+        self.words[plain] = self.count[path[-1]]
+        return self.words[plain]
+
+    def _branch(self, word: str, path: list[int], end: int) -> None:
+        """New nodes for ``word`` from place ``end`` on."""
+        score, count, root = self.score, self.count, self.root
+        begun = []  # (score, count, place among the pieces) of the piece beginnings that word[:end] ends with, longest first
+        for start in range(max(0, end - self.longest + 1), end):
+            at = root
+            for c in word[start:end]:
+                at = at.get(c)
+                if at is None:
+                    break
+            else:
+                begun.append((score[path[start]], count[path[start]], at))
+        for c in word[end:]:
+            node = path[-1]
+            begun.append((score[node], count[node], root))
+            best, n, on = -math.inf, 0, []
+            for before, tokens, at in begun:
+                at = at.get(c)
+                if at is not None:
+                    on.append((before, tokens, at))
+                    s = at.get("")
+                    if s is not None and before + s > best:
+                        best, n = before + s, tokens + 1
+            begun = on
+            if c not in self.pieces:
+                k = len(c.encode("utf-8", "surrogatepass"))
+                if score[node] + k * BYTE_SCORE > best:
+                    best, n = score[node] + k * BYTE_SCORE, count[node] + k
+            self.next[node, c] = len(score)
+            path.append(len(score))
+            score.append(best)
+            count.append(n)
 
     def alone(self, word: str) -> int:
         """Tokens of a very long pre-token: the same recurrence, of which only the last ``longest`` places are held."""
