@@ -214,3 +214,17 @@ def is_variable_rate(average: Column, nominal: Column) -> Column:
 
 def frame_budget(duration: Column, rate: float, least: int, most: int) -> Column:
     return F.greatest(F.lit(least), F.least(F.lit(most), F.ceil(duration * rate))).cast("long")
+
+
+def candidate_plan(duration: Column, variable: Column, rate: Column, least: Column, most: Column) -> dict[str, Column]:
+    """Candidates to take from a video of constant rate before any frame is read: candidate_budget, candidate_fps and violations.
+
+    The budget is the one of ``frame_budget``, the rate spreads it over the whole duration. Videos of variable rate and limits that
+    cannot hold (duration, rate or least not positive, most below least, null or not finite) have violations and no plan.
+    """
+    bad = violations(
+        variable_frame_rate=F.coalesce(variable, F.lit(False)), duration=~F.coalesce(is_finite(duration) & (duration > 0), F.lit(False)), target_fps=~F.coalesce(is_finite(rate) & (rate > 0), F.lit(False)), frame_limits=~F.coalesce((least > 0) & (most >= least), F.lit(False)),
+    )
+    good = F.size(bad) == 0
+    budget = F.greatest(least.cast("double"), F.least(most.cast("double"), F.ceil(duration * rate).cast("double")))
+    return {"candidate_budget": F.when(good, budget.cast("long")), "candidate_fps": F.when(good, budget / duration), "violations": bad}

@@ -14,6 +14,17 @@ PLY_GATE = {"effective_fraction": (">=", 0.35), "anisotropy_q99": ("<=", 50.0),
 EARLY_VISUAL = {"mean_psnr": (">=", 15.0), "min_psnr": (">=", 10.0), "mean_ssim": (">=", 0.60), "min_ssim": (">=", 0.45)}
 FORMAL_VISUAL = {"mean_psnr": (">=", 20.0), "min_psnr": (">=", 15.0), "mean_ssim": (">=", 0.75), "min_ssim": (">=", 0.60)}
 MODES = ("off", "observe", "enforce")
+#: Settings of the gates with their defaults; ``mode`` is "off" where it isn't given.
+DEFAULTS = {
+    "pose": {
+        "min_match_count": 128, "min_inlier_count": 64, "min_inlier_ratio": 0.80, "max_reprojection_rmse_px": 2.0, "min_grid_coverage": 0.375, "min_positive_depth_ratio": 0.95, "max_rotation_step_deg": 25.0, "max_translation_step_ratio": 6.0, "reference_lookback": 3,
+        "max_orthogonality_error": 1e-4, "max_determinant_error": 1e-4,
+    },
+    "vda": {"min_correlation": 0.90, "min_inlier_ratio": 0.95, "max_normalized_rmse": 0.10, "min_aligned_fraction": 0.98},
+    "ply": {"min_effective_fraction": 0.35, "max_anisotropy_q99": 50.0, "min_unit_quaternion_fraction": 0.9999},
+}
+#: Settings that are shares, from 0 to 1; all others are 0 or more.
+SHARES = ("min_inlier_ratio", "min_grid_coverage", "min_positive_depth_ratio", "min_correlation", "min_aligned_fraction", "min_effective_fraction", "min_unit_quaternion_fraction")
 
 
 def validate_thresholds(thresholds: Mapping[str, tuple[str, float]], known: set[str]) -> None:
@@ -35,6 +46,63 @@ def evaluate_gate(metrics: DataFrame, thresholds: Mapping[str, tuple[str, float]
     return d.withColumn("passed", F.size("reasons") == 0 if mode == "enforce" else F.lit(True))
 
 
+def gate_settings(configs: DataFrame, key: str, text: str = "quality_gates") -> DataFrame:
+    """(key, gate, name, value, mode, given, violation): all settings of each configuration (JSON), given or by default.
+
+    A gate that is absent or no object has its defaults. A setting that is no number (true and text included) or out of its range keeps
+    its violation ``value`` and has no value; a mode of another name, ``mode``. Unknown gates and settings are rows of their own with ``unknown``. What
+    is no JSON object has one row with ``not_an_object``; null text is an empty configuration. Rows are made of each configuration alone, without a join.
+    """
+    c = F.col
+    document = F.try_parse_json(F.coalesce(c(text), F.lit("{}")))
+    whole = F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+    fields = lambda v: F.coalesce(F.from_json(F.when(F.schema_of_variant(v).startswith("OBJECT"), F.to_json(v)), "map<string, variant>"), F.from_json(F.lit("{}"), "map<string, variant>"))
+    d = configs.select(key, whole.alias("_whole"), fields(document).alias("_gates"))
+    known = [F.struct(F.lit(g).alias("gate"), F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(v)).alias("preset"), F.lit(1.0 if n in SHARES else float("inf")).alias("most")) for n, v in settings.items()]).alias("settings")) for g, settings in DEFAULTS.items()]
+    others = F.transform(F.filter(F.map_keys("_gates"), lambda g: ~g.isin(*DEFAULTS)), lambda g: F.struct(g.alias("gate"), F.array().cast("array<struct<name: string, preset: double, most: double>>").alias("settings")))
+    d = d.select(key, "_whole", "_gates", F.explode(F.when(c("_whole"), F.concat(F.array(*known), others)).otherwise(F.array(F.struct(F.lit(None).cast("string").alias("gate"), F.array().cast("array<struct<name: string, preset: double, most: double>>").alias("settings"))))).alias("_g"))
+    d = d.select(key, "_whole", c("_g.gate").alias("gate"), c("_g.settings").alias("_known"), fields(F.element_at("_gates", c("_g.gate"))).alias("_given"))
+    row = lambda name, value, mode, given, violation: F.struct(name.cast("string").alias("name"), value.cast("double").alias("value"), mode.cast("string").alias("mode"), given.alias("given"), violation.cast("string").alias("violation"))
+    none, number = F.lit(None), "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+
+    def setting(x):
+        own = F.element_at("_given", x["name"])
+        value = F.when(F.schema_of_variant(own).rlike(number), F.try_variant_get(own, "$", "double"))
+        given = F.array_contains(F.map_keys("_given"), x["name"])
+        good = F.coalesce((value >= 0) & (value <= x["most"]) & (value < float("inf")), F.lit(False))
+        return row(x["name"], F.when(~given, x["preset"]).when(good, value), none, given, F.when(given & ~good, "value"))
+
+    own = F.element_at("_given", F.lit("mode"))
+    mode, given = F.when(F.schema_of_variant(own) == "STRING", F.try_variant_get(own, "$", "string")), F.array_contains(F.map_keys("_given"), "mode")
+    fine = F.coalesce(mode.isin(*MODES), F.lit(False))
+    known_gate = c("gate").isin(*DEFAULTS)
+    mode_row = row(F.lit("mode"), none, F.when(~given, "off").when(fine, mode), given, F.when(given & ~fine, "mode"))
+    strange = F.transform(F.filter(F.map_keys("_given"), lambda n: (n != "mode") & ~F.array_contains(F.transform("_known", lambda x: x["name"]), n)), lambda n: row(n, none, none, F.lit(True), F.lit("unknown")))
+    rows = F.when(~c("_whole"), F.array(row(none, none, none, F.lit(True), F.lit("not_an_object")))).when(known_gate, F.concat(F.array(mode_row), F.transform("_known", setting), strange)).otherwise(F.array(row(none, none, none, F.lit(True), F.lit("unknown"))))
+    return d.select(key, "gate", F.explode(rows).alias("r")).select(key, "gate", "r.*")
+
+
+def configured_gate(metrics: DataFrame, settings: DataFrame, key: str, gate: str) -> DataFrame:
+    """``metrics`` with mode, reasons and passed by each row's own configuration: its ``gate_settings`` under the same key.
+
+    A setting ``min_x`` or ``max_x`` judges the column ``x``; a metric that is missing, null or NaN fails. A configuration with a
+    violation in this gate, or none at all, is the reason ``settings`` and fails in any mode. Otherwise ``observe`` has reasons but passes, ``off`` has none.
+    """
+    c = F.col
+    own = settings.where((c("gate") == gate) | c("gate").isNull()).groupBy(key).agg(F.max("mode").alias("mode"), F.map_from_entries(F.collect_list(F.when(c("value").isNotNull(), F.struct("name", "value")))).alias("_limits"), F.count("violation").alias("_faults"))
+    d = metrics.join(own.hint("merge"), key, "left")
+    sound = F.coalesce(c("_faults") == 0, F.lit(False))
+    checks = {}
+    for name in DEFAULTS[gate]:
+        how, _, metric = name.partition("_")
+        if how in ("min", "max"):
+            value = F.nanvl(c(metric).cast("double"), F.lit(None).cast("double")) if metric in metrics.columns else F.lit(None).cast("double")
+            limit = F.element_at("_limits", F.lit(name))
+            checks[name] = sound & (c("mode") != "off") & ~F.coalesce(value >= limit if how == "min" else value <= limit, F.lit(False))
+    d = d.withColumn("reasons", violations(settings=~sound, **checks))
+    return d.withColumn("passed", sound & ((F.size("reasons") == 0) | (c("mode") != "enforce"))).drop("_limits", "_faults")
+
+
 def depth_gate(runs: DataFrame, least_aligned: float = 0.98) -> DataFrame:
     """Runs (run_id, aligned, missing, rejected, camera_count) against missing depth, record counts and the aligned share."""
     c = F.col

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from .frames import key_set_status
 from .runs import artifact_hash_check, latest_attempt
+from .telemetry import anchor_event_check
 
 STREAM = "codec_type: string, codec_name: string, width: int, height: int, duration: string, avg_frame_rate: string, r_frame_rate: string, nb_frames: string, sample_aspect_ratio: string, display_aspect_ratio: string, tags: map<string, string>, side_data_list: array<struct<rotation: double>>"
 PROBE = f"streams array<struct<{STREAM}>>, format struct<duration: string, display_aspect_ratio: string>"
@@ -67,6 +68,17 @@ def training_evidence_audit(runs: DataFrame, residuals: Sequence[str], tolerance
     return runs.withColumn("violations", v).withColumn("passed", F.size("violations") == 0)
 
 
+def training_anchor_audit(audited: DataFrame, runs: DataFrame, events: DataFrame) -> DataFrame:
+    """``training_evidence_audit`` rows with the violation ``anchor_plan`` where a run's anchor events are not those planned.
+
+    runs: run_id, iterations; events: run_id, iteration, before, added, deleted, after. A run without planned or seen events keeps its result.
+    """
+    wrong = anchor_event_check(runs, events).groupBy("run_id").agg(F.count("*").alias("anchor_faults"))
+    d = audited.join(wrong.hint("merge"), "run_id", "left").withColumn("anchor_faults", F.coalesce("anchor_faults", F.lit(0)))
+    d = d.withColumn("violations", F.concat("violations", X.violations(anchor_plan=F.col("anchor_faults") > 0)))
+    return d.withColumn("passed", F.size("violations") == 0)
+
+
 def existing_run_stages(attempts: DataFrame, inventory: DataFrame, stages: Sequence[str]) -> DataFrame:
     """Each run's stages in order with the latest attempt, its status and whether all its artifacts are still as declared."""
     checked = artifact_hash_check(attempts, inventory).select("run_id", "stage", "attempt", "invalid_artifacts", "reusable")

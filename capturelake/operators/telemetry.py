@@ -112,6 +112,34 @@ def monotonic_progress(events: DataFrame) -> DataFrame:
     return d.where(valid > F.col("best")).drop("best")
 
 
+#: Phases of a run's progress that are always recorded; ``iteration`` is recorded where it goes on.
+PHASES = ("child_started", "child_exited", "parent_error")
+#: Events of a run are compared by blocks of so many sequence numbers, so that a long run is many tasks.
+BLOCK = 1 << 16
+
+
+def progress_records(events: DataFrame) -> DataFrame:
+    """Recorded progress (run_id, seq, phase, iteration, total, elapsed_seconds, returncode, error_type) of events in order of ``seq``.
+
+    Starts, exits and errors of the parent are recorded with what belongs to them; an iteration only if it is within 1..total and above
+    all that the run has recorded. Other phases and events without ``seq`` are not. Elapsed seconds are at least 0. Greatest iterations of blocks of ``seq`` are
+    found first and handed on, then each block goes through its own events.
+    """
+    c = F.col
+    valid = F.when((c("phase") == "iteration") & c("iteration").between(1, c("total")), c("iteration").cast("long"))
+    d = events.where(c("phase").isin("iteration", *PHASES) & c("seq").isNotNull()).withColumn("_valid", valid).withColumn("_block", F.floor(c("seq") / BLOCK))
+    blocks = d.groupBy("run_id", "_block").agg(F.max("_valid").alias("_top"))
+    before = Window.partitionBy("run_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(c("run_id").alias("_run"), c("_block").alias("_of"), F.max("_top").over(before).alias("_so_far"))
+    d = d.join(blocks.hint("merge"), c("run_id").eqNullSafe(c("_run")) & (c("_block") == c("_of")))
+    own = Window.partitionBy("run_id", "_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    best = F.greatest(F.max("_valid").over(own), c("_so_far"))  # null where there is nothing before
+    d = d.withColumn("_best", F.coalesce(best, F.lit(0))).where((c("phase") != "iteration") | (c("_valid") > c("_best")))
+    elapsed = F.round(F.greatest(F.coalesce(c("elapsed").cast("double"), F.lit(0.0)), F.lit(0.0)), 6)
+    only = lambda phase, name, kind: F.when(c("phase") == phase, c(name)).cast(kind).alias(name)
+    return d.select("run_id", "seq", "phase", only("iteration", "iteration", "long"), c("total").cast("long").alias("total"), elapsed.alias("elapsed_seconds"), only("child_exited", "returncode", "long"), only("parent_error", "error_type", "string"))
+
+
 def heartbeat_alerts(events: DataFrame, seconds: int = 900) -> DataFrame:
     """Gaps of more than ``seconds`` between a run's events."""
     w = Window.partitionBy("run_id").orderBy("ts", "seq")

@@ -887,4 +887,4 @@ def normalize_postcheck(events):
     return media.normalize_postcheck(events.select(F.col("event_id").alias("id"), text.alias("evidence"))).select("id", "nested", F.array_join("violations", ",").alias("violations"))
 
 
-from . import file_queries, more_queries, pixel_queries, sink_queries  # noqa: E402, F401  they register theirs
+from . import file_queries, more_queries, pixel_queries, report_queries, sink_queries  # noqa: E402, F401  they register theirs

@@ -39,6 +39,15 @@ def read_manifests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return frames, segments
 
 
+def read_manifest_settings(spark: SparkSession, path: str) -> DataFrame:
+    """(video_id, name, value) of producer manifests' settings: one row a setting, values as text, objects and lists as JSON.
+
+    A manifest without settings has no rows; a setting that is null has a row with a null value.
+    """
+    d = _json(spark, path, "video_id string, settings string").select("video_id", F.explode(F.from_json("settings", "map<string, string>")).alias("name", "value"))
+    return d.select("video_id", "name", "value")
+
+
 def read_consumer_manifests(spark: SparkSession, path: str) -> DataFrame:
     m = _json(spark, path, CONSUMER).withColumn("manifest", F.col("_metadata.file_path"))
     return m.select("manifest", "segment_id", "base", F.posexplode("frames").alias("position", "f")).select("manifest", "segment_id", "base", "position", "f.*")

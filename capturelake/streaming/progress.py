@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.markers import parse_shape_marker
+from ..operators.telemetry import PHASES
 
 
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +48,32 @@ def stream_progress(events: DataFrame, stale: str | None = None) -> DataFrame:
     return d.groupBy("run_id").applyInPandasWithState(step, "run_id long, seq long, iteration long", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
+RECORDS = "run_id long, seq long, phase string, iteration long, total long, elapsed_seconds double, returncode long, error_type string"
+
+
+def stream_records(events: DataFrame) -> DataFrame:
+    """Recorded progress of all phases, like ``telemetry.progress_records``: the state of a run is its last recorded iteration.
+
+    events: run_id, seq, phase, iteration, total, elapsed, returncode, error_type; those of one batch are taken in order of ``seq``, those without are dropped.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else 0
+        t = pd.concat(list(batches)).sort_values("seq", kind="stable")
+        inside = t["phase"].eq("iteration") & t["iteration"].between(1, t["total"])
+        valid = t["iteration"].where(inside)
+        best = valid.cummax().ffill().shift().fillna(last).clip(lower=last)
+        state.update((int(max(last, valid.max())) if inside.any() else last,))
+        kept = t[t["phase"].ne("iteration") | (inside & (valid > best))].drop(columns="_group")
+        yield kept.astype({n: "Int64" for n in ("run_id", "seq", "iteration", "total", "returncode")})
+
+    c = F.col
+    only = lambda phase, name, kind: F.when(c("phase") == phase, c(name)).cast(kind).alias(name)
+    elapsed = F.round(F.greatest(F.coalesce(c("elapsed").cast("double"), F.lit(0.0)), F.lit(0.0)), 6)
+    d = events.where(c("phase").isin("iteration", *PHASES) & c("seq").isNotNull()).select(c("run_id").cast("long").alias("run_id"), c("seq").cast("long").alias("seq"), "phase", only("iteration", "iteration", "long"), c("total").cast("long").alias("total"), elapsed.alias("elapsed_seconds"), only("child_exited", "returncode", "long"), only("parent_error", "error_type", "string"), c("run_id").alias("_group"))
+    return d.groupBy("_group").applyInPandasWithState(step, RECORDS, "last long", "append", GroupStateTimeout.NoTimeout)
+
+
 def stream_exposure(events: DataFrame) -> DataFrame:
     """Running count of each camera and cameras seen so far (run_id, iteration, camera); out-of-sequence events are marked.
 
