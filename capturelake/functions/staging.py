@@ -28,14 +28,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scene_join(rows: DataFrame, scenes: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the columns of their key's row in ``scenes``, a table of one row a key; rows without one go.
+def scene_join(rows: DataFrame, scenes: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their key's row in ``scenes``, a table of one row a key; rows without one go, or stay if ``how`` is "left".
 
     Small tables are broadcast after their rows are counted, so rows stay where they are and none are sorted by key. Larger ones are joined by a shuffle on
     the key and a salt.
     """
     if scenes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(scenes), key)
+        return rows.join(F.broadcast(scenes), key, how)
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
     each = scenes.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return rows.withColumn("_salt", salt).join(each.hint("merge"), [key, "_salt"]).drop("_salt")
+    return rows.withColumn("_salt", salt).join(each.hint("merge"), [key, "_salt"], how).drop("_salt")

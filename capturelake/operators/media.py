@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.staging import scene_join
 from .frames import key_set_status
-from .runs import artifact_hash_check, latest_attempt
+from .runs import artifact_hash_check, content_digest, latest_attempt
 from .telemetry import anchor_event_check
 
 STREAM = "codec_type: string, codec_name: string, width: int, height: int, duration: string, avg_frame_rate: string, r_frame_rate: string, nb_frames: string, sample_aspect_ratio: string, display_aspect_ratio: string, tags: map<string, string>, side_data_list: array<struct<rotation: double>>"
@@ -100,6 +101,62 @@ def audit_training_input(images: DataFrame, contract: DataFrame, model_names: Da
     return against(contract, "contract").unionByName(against(model_names, "model")).unionByName(hashes)
 
 
+def audit_image_records(records: DataFrame, found: DataFrame, contract_names: DataFrame, model_names: DataFrame, contracts: DataFrame, key: str = "model_id") -> DataFrame:
+    """(key, name, violations) of a training input's image names that break a rule: its records, files, camera contract and sparse model.
+
+    records: key, name, file_sha256, decoded_pixel_sha256. found: key, name, sha256, pixel_sha256, width, height, one row for each readable file.
+    contract_names and model_names: key, name. contracts: key, width, height, one row a model.
+
+    A record's name is a base name, unique, with a stem of its own, and known to all sides; its file has the declared hashes and the contract's
+    size. Names that only the contract or the model has are listed too; files without a record are not. All sides meet in one shuffle by name, of partial aggregates.
+    """
+    c = F.col
+    fields = {"_file": "string", "_pixels": "string", "_sha": "string", "_pixel_sha": "string", "_w": "int", "_h": "int"}
+
+    def side(d: DataFrame, label: str, **own: str) -> DataFrame:
+        return d.select(key, "name", F.lit(label).alias("_side"), *[(c(own[n]) if n in own else F.lit(None)).cast(kind).alias(n) for n, kind in fields.items()])
+
+    rows = side(records, "record", _file="file_sha256", _pixels="decoded_pixel_sha256")
+    for d in (side(found, "file", _sha="sha256", _pixel_sha="pixel_sha256", _w="width", _h="height"), side(contract_names, "contract"), side(model_names, "model")):
+        rows = rows.unionByName(d)
+    n = {s: F.count_if(c("_side") == s).alias(f"_{s}s") for s in ("record", "file", "contract", "model")}
+    d = rows.groupBy(key, "name").agg(*n.values(), *[F.max(f).alias(f) for f in fields]).where("_records + _contracts + _models > 0")
+    limits = contracts.select(c(key).alias("_key"), c("width").alias("_width"), c("height").alias("_height"))
+    d = scene_join(d.withColumn("_key", c(key)), limits, "_key", "left").drop("_key")
+    stem = F.regexp_replace("name", r"(?<=.)\.[^.]*$", "")
+    twins = F.count_if(c("_records") > 0).over(Window.partitionBy(key, stem))
+    has, on_disk = c("_records") > 0, c("_files") > 0
+    differ = lambda a, b: has & on_disk & ~c(a).eqNullSafe(c(b))
+    v = X.violations(
+        not_a_basename=has & (F.coalesce(c("name"), F.lit("")).isin("", ".", "..") | c("name").contains("/")), repeated=c("_records") > 1, stem=has & (twins > 1), not_in_contract=has & (c("_contracts") == 0), only_in_contract=~has & (c("_contracts") > 0), not_in_model=has & (c("_models") == 0), only_in_model=~has & (c("_models") > 0),
+        file_missing=has & ~on_disk, file_hash=differ("_file", "_sha"), pixel_hash=differ("_pixels", "_pixel_sha"), dimensions=differ("_w", "_width") | differ("_h", "_height"),
+    )
+    return d.select(key, "name", v.alias("violations")).where("size(violations) > 0")
+
+
+def audit_training_models(contracts: DataFrame, records: DataFrame, found: DataFrame, cameras: DataFrame, model_names: DataFrame, key: str = "model_id", tolerance: float = 1e-8) -> DataFrame:
+    """(key, violations) of each contract's model as a whole: its camera, numbers of images and the digest of all its pixels.
+
+    contracts: key, model, width, height, fx, fy, cx, cy, pixel_digest (a ``content_digest`` of names and pixel hashes), one row a model. cameras: key, model,
+    width, height, params, of the sparse model. The model has one pinhole camera of the contract's size and parameters and as many images as there are records.
+    """
+    c = F.col
+    own = cameras.groupBy(key).agg(F.count("*").alias("_cameras"), F.max("model").alias("_model"), F.max("width").alias("_w"), F.max("height").alias("_h"), F.max("params").alias("_params"))
+    count = lambda d, n: d.groupBy(key).agg(F.count("*").alias(n))
+    kept = found.join(records.select(key, "name").distinct().hint("merge"), [key, "name"], "left_semi")
+    d = contracts
+    for other in (own, count(records, "_records"), count(model_names, "_images"), content_digest(kept, [key], "name", "pixel_sha256").select(key, "digest")):
+        d = d.join(other.hint("merge"), key, "left")
+    near = [F.coalesce(F.abs(F.get("_params", F.lit(i)) - c(n)) <= tolerance, F.lit(False)) for i, n in enumerate(("fx", "fy", "cx", "cy"))]
+    one = F.coalesce(c("_cameras") == 1, F.lit(False))
+    records_ = F.coalesce(c("_records"), F.lit(0))
+    v = X.violations(
+        no_records=records_ == 0, camera_count=~one, contract_camera=~F.coalesce((c("model") == "PINHOLE") & (c("width") > 0) & (c("height") > 0), F.lit(False)), camera_model=one & ~c("_model").eqNullSafe(c("model")), camera_size=one & ~(c("_w").eqNullSafe(c("width")) & c("_h").eqNullSafe(c("height"))),
+        intrinsics=one & ~(near[0] & near[1] & near[2] & near[3]), image_count=F.coalesce(c("_images"), F.lit(0)) != records_, pixel_digest=~c("pixel_digest").eqNullSafe(c("digest")),
+    )
+    return d.select(key, v.alias("violations"))
+
+
 def normalize_converted_eval(records: DataFrame, text: str = "evidence") -> DataFrame:
     """structural_pass, visual_pass (pass, fail or null) and status of converted-eval records (JSON) of either version.
 

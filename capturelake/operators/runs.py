@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: statuses that may follow each other.
 TRANSITIONS = {"planned": ["running", "failed"], "running": ["running", "failed", "complete"]}
@@ -78,6 +81,62 @@ def content_fingerprint(rows: DataFrame, key: Sequence[str], name: str = "name",
     return rows.groupBy(*key).agg(F.count("*").alias("files"), F.concat_ws("-", half(1), half(16)).alias("fingerprint"))
 
 
+def content_digest(rows: DataFrame, key: Sequence[str], name: str = "name", sha: str = "sha256") -> DataFrame:
+    """(key, files, digest): SHA-256 over each key's (name, hash) rows whatever their order, in two levels.
+
+    Rows are parted by the first three digits of their name's hash, the sorted lines of each part are digested, then the at most 4,097 digests of
+    a key. So a task holds a 4,096th of a key, unlike a digest of one long list, and unlike ``content_fingerprint`` other rows of the
+    same digest can't be made. Null and empty names or hashes differ; repeated rows count as often as they are there.
+    """
+    of = lambda c: F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("-"))
+    d = rows.select(*key, of(name).alias("_n"), of(sha).alias("_s"))
+    parts = d.groupBy(*key, F.substring("_n", 1, 3).alias("_part")).agg(F.count("*").alias("files"), F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "_n", "_s"))), "\n"), 256).alias("_d"))
+    whole = F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "_part", "_d"))), "\n"), 256)
+    return parts.groupBy(*key).agg(F.sum("files").alias("files"), whole.alias("digest"))
+
+
+@F.pandas_udf(T.StringType())
+def canonical_json(text: pd.Series) -> pd.Series:
+    """JSON with sorted names, no spaces and characters as they are; null for null, broken JSON, NaN and infinities."""
+
+    def strict(name: str) -> None:
+        raise ValueError(name)
+
+    def one(x: str | None) -> str | None:
+        try:
+            return None if x is None else json.dumps(json.loads(x, parse_constant=strict), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False).encode().decode()
+        except (ValueError, RecursionError):
+            return None
+
+    return text.map(one)
+
+
+def document_digest(documents: DataFrame, text: str = "document", declared: str | None = None) -> DataFrame:
+    """``documents`` with digest, the SHA-256 of their canonical JSON, and violation.
+
+    With ``declared`` the document's own field of that name holds its digest and is left out of what is digested; another value, or none, is the
+    violation ``digest``. What isn't a strict JSON document has no digest and the violation ``not_json``. With ``declared``, what is no object is ``not_an_object``.
+    """
+    d = documents.withColumn("_whole", canonical_json(F.col(text)))
+    if declared is None:
+        return d.withColumn("digest", F.sha2("_whole", 256)).withColumn("violation", F.when(F.col("_whole").isNull(), "not_json")).drop("_whole")
+    own = F.get_json_object("_whole", f"$['{declared}']")
+    d = d.withColumn("digest", F.sha2(without_field(F.col("_whole"), F.lit(declared)), 256))
+    bad = F.when(F.col("_whole").isNull(), "not_json").when(F.col("digest").isNull(), "not_an_object").when(~own.eqNullSafe(F.col("digest")), "digest")
+    return d.withColumn("violation", bad).drop("_whole")
+
+
+@F.pandas_udf(T.StringType())
+def without_field(text: pd.Series, name: pd.Series) -> pd.Series:
+    """Canonical JSON objects without one field; null for what is no object."""
+
+    def one(x: str | None, n: str) -> str | None:
+        d = None if x is None else json.loads(x)
+        return json.dumps({k: v for k, v in d.items() if k != n}, sort_keys=True, separators=(",", ":"), ensure_ascii=False) if isinstance(d, dict) else None
+
+    return pd.Series([one(x, n) for x, n in zip(text, name, strict=True)], dtype=object)
+
+
 def pixel_lineage(stages: DataFrame, order: Sequence[str], key: Sequence[str] = ("video_id",)) -> DataFrame:
     """Names of each stage's frames that the stage before lacks, or whose declared source hash differs: key, stage, name, violation.
 

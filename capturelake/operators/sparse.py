@@ -249,6 +249,38 @@ def geometry_gate(evidence: DataFrame, least_images: int = 2) -> DataFrame:
     return evidence.withColumn("hard_failures", failures).withColumn("warnings", warnings).withColumn("computed_pass", F.size("hard_failures") == 0)
 
 
+def geometry_evidence(cameras: DataFrame, images: DataFrame, points: DataFrame, trajectories: DataFrame, components: DataFrame, expected: DataFrame | None = None, key: Sequence[str] = ("model_id",)) -> DataFrame:
+    """What ``geometry_gate`` judges, one row for each model of ``components``, from the model's own tables.
+
+    components: key, component_count. cameras: key, width, height, params (fx, fy, cx, cy first). images: key, name. points: key, error, track_length.
+    trajectories: key, centers_finite, continuous. expected: key, name; where it is given, ``names_match`` tells whether every name is
+    registered once and no other is (also where there are none at all). Sums are partial, so a model with most rows is no single task; a model without rows in a table has null or 0.
+    """
+    k, c = list(key), F.col
+    p = lambda i: F.get("params", F.lit(i))
+    cam = cameras.groupBy(*k).agg(F.count("*").alias("camera_count"), *[F.max(c(n)).cast("double").alias(n) for n in ("width", "height")], *[F.max(p(i)).alias(n) for i, n in enumerate(("fx", "fy", "cx", "cy"))])
+    pts = points.groupBy(*k).agg(F.count("*").alias("point_count"), F.avg("error").alias("reprojection_error_px"), F.count_if(c("track_length") > 0).alias("track_count"))
+    names = images.select(*k, "name", F.lit(1).alias("_a"), F.lit(0).alias("_e"))
+    if expected is not None:
+        names = names.unionByName(expected.select(*k, "name", F.lit(0).alias("_a"), F.lit(1).alias("_e")))
+    each = names.groupBy(*k, "name").agg(F.sum("_a").alias("_a"), F.sum("_e").alias("_e"))
+    img = each.groupBy(*k).agg(F.sum("_a").alias("registered_image_count"), F.sum("_e").alias("_expected"), F.bool_and((c("_a") == 1) & (c("_e") == 1)).alias("_same"))
+    d = components
+    for other in (cam, img, pts, trajectories.select(*k, "centers_finite", "continuous")):
+        d = d.join(other.hint("merge"), k, "left")
+    d = d.fillna(0, ["camera_count", "registered_image_count", "point_count", "track_count"])
+    same = F.coalesce(c("_same"), F.lit(True)) if expected is not None else F.lit(None).cast("boolean")
+    return d.withColumn("names_match", same).drop("_expected", "_same")
+
+
+def named_geometry_gate(evidence: DataFrame, least_images: int = 2) -> DataFrame:
+    """``geometry_gate`` of ``geometry_evidence`` rows, with the rest of the camera and the staged names among the hard failures."""
+    d = geometry_gate(evidence, least_images)
+    bad = lambda n: (F.col("camera_count") == 1) & ~X.is_finite(F.col(n).cast("double"))
+    more = X.violations(**{f"non_finite_camera_{n}": bad(n) for n in ("width", "height", "cx", "cy")}, registered_names_do_not_match_staged_set=F.coalesce(~F.col("names_match"), F.lit(False)))
+    return d.withColumn("hard_failures", F.concat("hard_failures", more)).withColumn("computed_pass", F.size("hard_failures") == 0)
+
+
 def select_pose_candidate(candidates: DataFrame, mode: str = "enforce", key: Sequence[str] = ("frame_id",)) -> DataFrame:
     """The best candidate of each frame: without hard reasons, strict quality first, then inlier ratio, coverage, error, reference."""
     d = candidates.where(F.size("hard_reasons") == 0).withColumn("strict", F.size("quality_reasons") == 0)

@@ -88,6 +88,26 @@ def pose_audit(quality: DataFrame, accepted: DataFrame, key: Sequence[str] = ("s
     return d.withColumn("step_ratio", ratio).withColumn("reasons", reasons).withColumn("passed", F.size("reasons") == 0)
 
 
+def native_checkpoints(inventory: DataFrame, key: Sequence[str] = ("scene_id",)) -> DataFrame:
+    """(key, checkpoint_iteration) of each model folder's files (key, path): of its native checkpoints, else of its point clouds, the last."""
+    number = lambda pattern: F.regexp_extract("path", pattern, 1).try_cast("long")
+    # Names of checkpoint files and of point cloud folders.
+    native, cloud = number(r"(?:^|/)chkpnt(\d+)\.pth$"), number(r"(?:^|/)point_cloud/iteration_(\d+)(?:/|$)")
+    return inventory.groupBy(*key).agg(F.coalesce(F.max(native), F.max(cloud)).alias("checkpoint_iteration"))
+
+
+def checkpoint_audit(audited: DataFrame, inventory: DataFrame, expected: DataFrame, key: Sequence[str] = ("scene_id",)) -> DataFrame:
+    """``pose_audit`` rows with the reasons ``checkpoint_missing`` and ``checkpoint_iteration`` added, where an iteration is expected.
+
+    expected: key, expected_iteration, one row a key; a key without one, or with null, keeps its result.
+    """
+    found = native_checkpoints(inventory, key).hint("merge")
+    d = audited.join(found, list(key), "left").join(expected.select(*key, "expected_iteration").hint("merge"), list(key), "left")
+    c = F.col
+    more = X.violations(checkpoint_missing=c("expected_iteration").isNotNull() & c("checkpoint_iteration").isNull(), checkpoint_iteration=F.coalesce(c("checkpoint_iteration") != c("expected_iteration"), F.lit(False)))
+    return d.withColumn("reasons", F.concat("reasons", more)).withColumn("passed", F.size("reasons") == 0)
+
+
 def pose_attempt_reasons(attempts: DataFrame, least_matches: int = 100, least_inliers: int = 50, least_inlier_ratio: float = 0.5, most_rmse: float = 4.0, least_coverage: float = 0.25, least_positive: float = 0.9, most_rotation_deg: float = 25.0, most_step_ratio: float = 6.0) -> DataFrame:
     """Reasons against each pose attempt, in fixed order; what is missing or not finite counts against it where it is needed."""
     c = F.col

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions.staging import new_folder
-from ..operators import gates, media, reports, telemetry
+from ..operators import gates, media, reports, runs, sparse, telemetry, trajectory
 from ..sources import files
 from ..streaming import progress
 from .file_queries import documents
@@ -161,3 +161,91 @@ def training_anchor_audit(b_exposure):
     audited = runs.select("run_id", X.violations(digest=F.col("run_id") % 4 == 0).alias("violations"))
     events = b_exposure.where("iteration % 100 = 0").join(runs.hint("merge"), "run_id").where("iteration < iterations AND run_id % 3 = 0").select("run_id", F.col("iteration").cast("long").alias("iteration"), F.lit(5).alias("before"), F.lit(2).alias("added"), F.lit(1).alias("deleted"), F.lit(6).alias("after"))
     return media.training_anchor_audit(audited, runs, events).select("run_id", "anchor_faults", F.array_join("violations", ",").alias("violations"), "passed")
+
+
+# ---- digests
+
+@query("WITH r AS (SELECT l_orderkey % 50 AS k, sha256(CAST(l_partkey AS VARCHAR)) AS n, sha256(l_returnflag) AS s FROM lineitem), p AS (SELECT k, substr(n, 1, 3) AS part, count(*) AS c, sha256(string_agg(n || ':' || s, chr(10) ORDER BY n || ':' || s)) AS d FROM r GROUP BY 1, 2) SELECT k, CAST(sum(c) AS BIGINT) AS files, sha256(string_agg(part || ':' || d, chr(10) ORDER BY part || ':' || d)) AS digest FROM p GROUP BY 1")
+def content_digest(lineitem):
+    return runs.content_digest(lineitem.select((F.col("l_orderkey") % 50).alias("k"), F.col("l_partkey").alias("name"), F.col("l_returnflag").alias("sha256")), ["k"])
+
+
+@query("""WITH c AS (SELECT event_id AS k, '{"a":[1,"é"],"k":' || CAST(json_extract_string(props, '$.k') AS INT) || ',"type":"' || event_type || '"}' AS body FROM events)
+SELECT k, CASE WHEN k % 11 NOT IN (3, 4) THEN sha256(body) END AS digest, CASE WHEN k % 11 = 3 THEN 'not_json' WHEN k % 11 = 4 THEN 'not_an_object' WHEN k % 11 IN (5, 6) THEN 'digest' END AS violation FROM c""")
+def document_digest(events):
+    """Documents with their fields in another order, spaces and escapes; some have a wrong digest, none, or are no documents."""
+    k = F.col("event_id")
+    fields = F.concat(F.lit('"type": "'), "event_type", F.lit('", "k":  '), F.get_json_object("props", "$.k"), F.lit(', "a": [1, "\\u00e9"]'))
+    canonical = F.concat(F.lit('{"a":[1,"é"],"k":'), F.get_json_object("props", "$.k"), F.lit(',"type":"'), "event_type", F.lit('"}'))
+    own = F.when(k % 11 == 5, F.lit('"x"')).otherwise(F.concat(F.lit('"'), F.sha2(canonical, 256), F.lit('"')))
+    text = F.when(k % 11 == 3, '{"k": NaN}').when(k % 11 == 4, "[1]").when(k % 11 == 6, F.concat(F.lit("{"), fields, F.lit("}"))).otherwise(F.concat(F.lit('{"sha": '), own, F.lit(", "), fields, F.lit("}")))
+    return runs.document_digest(events.select(k.alias("k"), text.alias("document")), declared="sha").select("k", "digest", "violation")
+
+
+# ---- audits of models
+
+@query("WITH f AS (SELECT DISTINCT l_orderkey % 50 AS k, CASE WHEN l_linenumber = 1 AND l_orderkey % 2 = 0 THEN l_partkey END AS native, l_suppkey AS cloud FROM lineitem), c AS (SELECT k, coalesce(max(native), max(cloud)) AS i FROM f WHERE k % 9 <> 0 GROUP BY 1) SELECT k, i AS checkpoint_iteration, concat_ws(',', CASE WHEN k % 4 = 0 THEN 'rotation_step' END, CASE WHEN k % 5 <> 0 AND i IS NULL THEN 'checkpoint_missing' END, CASE WHEN k % 5 <> 0 AND k % 3 = 0 AND i IS NOT NULL THEN 'checkpoint_iteration' END) AS reasons FROM (SELECT DISTINCT l_orderkey % 50 AS k FROM lineitem) m LEFT JOIN c USING (k)")
+def checkpoint_audit(lineitem):
+    k = F.col("k")
+    d = lineitem.withColumn("k", F.col("l_orderkey") % 50)
+    native = d.where("k % 9 <> 0 AND l_linenumber = 1 AND l_orderkey % 2 = 0").select("k", F.concat(F.lit("m/chkpnt"), F.col("l_partkey").cast("string"), F.lit(".pth")).alias("path"))
+    cloud = d.where("k % 9 <> 0").select("k", F.concat(F.lit("m/point_cloud/iteration_"), F.col("l_suppkey").cast("string"), F.lit("/points.ply")).alias("path"))
+    inventory = native.unionByName(cloud)
+    audited = d.select("k").distinct().withColumn("reasons", X.violations(rotation_step=k % 4 == 0))
+    right = trajectory.native_checkpoints(inventory, ["k"]).select("k", F.col("checkpoint_iteration").alias("i"))
+    expected = d.select("k").distinct().join(right, "k", "left").select("k", F.when(k % 5 != 0, F.coalesce("i", F.lit(1)) + F.when(k % 3 == 0, 1).otherwise(0)).alias("expected_iteration"))
+    return trajectory.checkpoint_audit(audited, inventory, expected, ["k"]).select("k", "checkpoint_iteration", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""WITH i AS (SELECT o_custkey % 40 AS model_id, o_orderkey AS name FROM orders), r AS (SELECT model_id, count(*) AS registered_image_count, bool_and(model_id % 6 <> 0 OR name % 50 <> 0) AS same FROM i WHERE model_id % 8 <> 7 GROUP BY 1), p AS (SELECT p_partkey % 40 AS model_id, count(*) AS point_count, round(avg(CAST(p_retailprice AS DOUBLE)), 6) AS e FROM part WHERE p_partkey % 40 <> 11 GROUP BY 1), m AS (SELECT DISTINCT c_custkey % 40 AS model_id FROM customer)
+SELECT model_id, coalesce(registered_image_count, 0) AS registered_image_count, coalesce(point_count, 0) AS point_count, e AS reprojection_error_px, concat_ws(',', CASE WHEN model_id % 3 = 0 THEN 'component_count_must_equal_one' END, CASE WHEN coalesce(registered_image_count, 0) < 2 THEN 'too_few_registered_images' END, CASE WHEN model_id % 10 = 4 THEN 'exactly_one_camera_required' END, CASE WHEN model_id % 5 = 0 THEN 'non_positive_focal_length' END, CASE WHEN point_count IS NULL THEN 'sparse_points_required' END, CASE WHEN model_id % 9 = 0 THEN 'camera_trajectory_not_finite' END, CASE WHEN model_id % 7 = 0 THEN 'camera_trajectory_not_continuous' END, CASE WHEN model_id % 13 = 2 THEN 'non_finite_camera_cy' END, CASE WHEN model_id % 8 = 7 OR NOT same THEN 'registered_names_do_not_match_staged_set' END) AS hard_failures, CASE WHEN e IS NULL THEN 'reprojection_error_not_available,track_length_not_available' ELSE '' END AS warnings
+FROM m LEFT JOIN r USING (model_id) LEFT JOIN p USING (model_id)""")
+def geometry_evidence(customer, orders, part):
+    """Models with cameras, images, points and trajectories of their own; some lack images, points or a staged name."""
+    c, m = F.col, F.col("model_id")
+    models = customer.select((c("c_custkey") % 40).alias("model_id")).distinct()
+    cam = models.select("model_id", F.lit(640).alias("width"), F.lit(480).alias("height"), F.array(F.when(m % 5 == 0, 0.0).otherwise(500.0), F.lit(500.0), F.lit(320.0), F.when(m % 13 == 2, float("inf")).otherwise(240.0)).alias("params"))
+    cam = cam.unionByName(cam.where("model_id % 10 = 4"))
+    names = orders.select((c("o_custkey") % 40).alias("model_id"), c("o_orderkey").alias("name"))
+    images = names.where("model_id % 8 <> 7")
+    expected = names.where("NOT (model_id % 6 = 0 AND name % 50 = 0)")
+    points = part.where("p_partkey % 40 <> 11").select((c("p_partkey") % 40).alias("model_id"), c("p_retailprice").cast("double").alias("error"), F.lit(2).alias("track_length"))
+    walk = models.select("model_id", (m % 9 != 0).alias("centers_finite"), (m % 7 != 0).alias("continuous"))
+    d = sparse.named_geometry_gate(sparse.geometry_evidence(cam, images, points, walk, models.withColumn("component_count", F.when(m % 3 == 0, 2).otherwise(1)), expected))
+    return d.select("model_id", "registered_image_count", "point_count", F.round("reprojection_error_px", 6).alias("reprojection_error_px"), F.array_join("hard_failures", ",").alias("hard_failures"), F.array_join("warnings", ",").alias("warnings"))
+
+
+TRAINING = """t AS (SELECT l_orderkey % 50 AS model_id, l_partkey AS p, CASE WHEN l_partkey % 29 = 0 THEN 'd/' ELSE '' END || 'f' || l_partkey || CASE WHEN l_suppkey % 2 = 0 THEN '.png' ELSE '.jpg' END AS name FROM lineitem), n AS (SELECT model_id, name, any_value(p) AS p, count(*) AS copies FROM t GROUP BY 1, 2), s AS (SELECT *, p % 23 <> 0 AS has, count(CASE WHEN p % 23 <> 0 THEN 1 END) OVER (PARTITION BY model_id, regexp_replace(name, '[.][^.]*$', '')) AS twins FROM n)"""
+
+
+def _training(lineitem):
+    c, p = F.col, F.col("p")
+    t = lineitem.select((c("l_orderkey") % 50).alias("model_id"), c("l_partkey").alias("p"), F.concat(F.when(c("l_partkey") % 29 == 0, "d/").otherwise(""), F.lit("f"), c("l_partkey").cast("string"), F.when(c("l_suppkey") % 2 == 0, ".png").otherwise(".jpg")).alias("name"))
+    records = t.where("p % 23 <> 0").select("model_id", "name", F.lit("a").alias("file_sha256"), F.lit("b").alias("decoded_pixel_sha256"))
+    n = t.distinct()
+    found = n.where("p % 11 <> 0").select("model_id", "name", F.when(p % 13 == 0, "x").otherwise("a").alias("sha256"), F.when(p % 19 == 0, "y").otherwise("b").alias("pixel_sha256"), F.when(p % 17 == 0, 641).otherwise(640).alias("width"), F.lit(480).alias("height"))
+    names = lambda d: d.select("model_id", "name")
+    return records, found, names(n.where("p % 5 <> 0")), names(n.where("p % 7 <> 0"))
+
+
+@query(f"""WITH {TRAINING}, v AS (SELECT model_id, name, concat_ws(',', CASE WHEN has AND p % 29 = 0 THEN 'not_a_basename' END, CASE WHEN has AND copies > 1 THEN 'repeated' END, CASE WHEN has AND twins > 1 THEN 'stem' END, CASE WHEN has AND p % 5 = 0 THEN 'not_in_contract' END, CASE WHEN NOT has AND p % 5 <> 0 THEN 'only_in_contract' END, CASE WHEN has AND p % 7 = 0 THEN 'not_in_model' END, CASE WHEN NOT has AND p % 7 <> 0 THEN 'only_in_model' END,
+CASE WHEN has AND p % 11 = 0 THEN 'file_missing' END, CASE WHEN has AND p % 11 <> 0 AND p % 13 = 0 THEN 'file_hash' END, CASE WHEN has AND p % 11 <> 0 AND p % 19 = 0 THEN 'pixel_hash' END, CASE WHEN has AND p % 11 <> 0 AND (p % 17 = 0 OR model_id % 6 = 5) THEN 'dimensions' END) AS violations FROM s) SELECT * FROM v WHERE violations <> ''""")
+def audit_image_records(lineitem):
+    records, found, contract, model = _training(lineitem)
+    sizes = lineitem.select((F.col("l_orderkey") % 50).alias("model_id")).distinct().where("model_id % 6 <> 5").withColumns({"width": F.lit(640), "height": F.lit(480)})
+    d = media.audit_image_records(records, found, contract, model, sizes)
+    return d.select("model_id", "name", F.array_join("violations", ",").alias("violations"))
+
+
+@query(f"""WITH {TRAINING}, r AS (SELECT model_id, sum(copies) FILTER (p % 23 <> 0) AS records, count(*) FILTER (p % 7 <> 0) AS images FROM n GROUP BY 1)
+SELECT model_id, concat_ws(',', CASE WHEN coalesce(records, 0) = 0 THEN 'no_records' END, CASE WHEN model_id % 4 = 1 THEN 'camera_count' END, CASE WHEN model_id % 7 = 3 THEN 'contract_camera' END, CASE WHEN model_id % 4 <> 1 AND model_id % 7 = 3 THEN 'camera_model' END, CASE WHEN model_id % 4 <> 1 AND model_id % 5 = 2 THEN 'camera_size' END, CASE WHEN model_id % 4 <> 1 AND model_id % 3 = 1 THEN 'intrinsics' END, CASE WHEN images <> coalesce(records, 0) THEN 'image_count' END, CASE WHEN model_id % 3 = 0 THEN 'pixel_digest' END) AS violations FROM r""")
+def audit_training_models(lineitem):
+    records, found, _, model = _training(lineitem)
+    m = F.col("model_id")
+    models = lineitem.select((F.col("l_orderkey") % 50).alias("model_id")).distinct()
+    kept = found.join(records.select("model_id", "name").distinct().hint("merge"), ["model_id", "name"], "left_semi")
+    right = runs.content_digest(kept, ["model_id"], "name", "pixel_sha256").select("model_id", "digest")
+    contracts = models.join(right, "model_id", "left").select("model_id", F.when(m % 7 == 3, "OPENCV").otherwise("PINHOLE").alias("model"), F.lit(640).alias("width"), F.lit(480).alias("height"), *[F.lit(v).alias(n) for n, v in (("fx", 500.0), ("fy", 500.5), ("cx", 320.0), ("cy", 240.0))], F.when(m % 3 == 0, "x").otherwise(F.col("digest")).alias("pixel_digest"))
+    cameras = models.select("model_id", F.lit("PINHOLE").alias("model"), F.when(m % 5 == 2, 641).otherwise(640).alias("width"), F.lit(480).alias("height"), F.array(F.lit(500.0), F.when(m % 3 == 1, 500.6).otherwise(500.5 + 1e-9), F.lit(320.0), F.lit(240.0)).alias("params"))
+    cameras = cameras.unionByName(cameras.where("model_id % 4 = 1"))
+    return media.audit_training_models(contracts, records, found, cameras, model).select("model_id", F.array_join("violations", ",").alias("violations"))
