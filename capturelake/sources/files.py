@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .sparse_binary import read_sparse_binary_cameras, read_sparse_binary_images, read_sparse_binary_points  # noqa: F401
@@ -55,8 +57,6 @@ def read_consumer_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def consumer_violations(frames: DataFrame) -> DataFrame:
     """Violations of each consumer frame, in the order of checks; duplicates and order included."""
-    from pyspark.sql import Window
-
     from ..functions.expressions import safe_relative_path, violations
 
     w = Window.partitionBy("manifest")
@@ -109,36 +109,137 @@ def read_sparse_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sparse_images(spark: SparkSession, path: str) -> DataFrame:
-    """Images of two-line records. Comments and blank lines are skipped only where a header is expected; a record without its second line is a violation."""
+    """Images of two-line records. Comments and blank lines are skipped only where a header is expected; a record without its second line is a violation.
+
+    A file is read by lines in Spark's splits, so no file is a row. Whether a line is a header follows from the number of lines that read as one since the last
+    that doesn't, as such a line either stands alone or ends a record. What precedes a split is summed up by file beforehand: one row a split goes to all
+    executors, with the line that ends its last record where that is in the next split.
+    """
     kind = "model_id string, image_id long, q array<double>, t array<double>, camera_id long, name string, points array<struct<x: double, y: double, point_id: long>>, violation string"
+    at = ["_file", "_start"]
+    m = lambda n: F.col(f"_metadata.{n}")
+    lines = spark.read.option("lineSep", "\n").text(path).select(m("file_path").alias("_file"), m("file_block_start").alias("_start"), (m("file_block_length") < m("file_size")).alias("_split"), m("file_size").alias("_size"), _model_id().alias("model_id"), "value")
+
+    def header(line: str) -> dict | None:
+        p = line.split(None, 10)
+        try:
+            return {"image_id": int(p[0]), "q": [float(x) for x in p[1:5]], "t": [float(x) for x in p[5:8]], "camera_id": int(p[8]), "name": p[9]}
+        except (ValueError, IndexError):
+            return None
+
+    def pieces(b: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+        """The batch's rows by split; a split's rows come in the file's order."""
+        key = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        cuts = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                yield key[lo], b.slice(lo, hi - lo)
+
+    def bytes_of(values: pa.Array) -> int:
+        return (pc.sum(pc.binary_length(values)).as_py() or 0) + len(values)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each split: its first line, lines that read as headers, those since its last other line (null: none), bytes with line ends, size of the file."""
+
+        def row(key, x):
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, (*key, *x), strict=True))], schema=schema)
+
+        schema = pa.schema([("_file", pa.string()), ("_start", pa.int64()), ("first", pa.string()), ("full", pa.int64()), ("tail", pa.int64()), ("bytes", pa.int64()), ("size", pa.int64())])
+        now, x = None, None
+        for b in batches:
+            for key, part in pieces(b):
+                if key != now:
+                    if now is not None:
+                        yield row(now, x)
+                    now, x = key, [part.column("value")[0].as_py(), 0, None, 0, part.column("_size")[0].as_py()]
+                for line in part.column("value").to_pylist():
+                    if header(line):
+                        x[1], x[2] = x[1] + 1, None if x[2] is None else x[2] + 1
+                    else:
+                        x[2] = 0
+                x[3] += bytes_of(part.column("value"))
+        if now is not None:
+            yield row(now, x)
+
+    sums = lines.where("_split").select(*at, "_size", "value").mapInArrow(summed, "_file string, _start long, first string, full long, tail long, bytes long, size long")
+    w = Window.partitionBy("_file").orderBy("_start")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    d = sums.withColumn("_upto", F.sum("full").over(w)).withColumn("_reset", F.col("tail") - F.col("_upto"))
+    begun = F.pmod(F.coalesce(F.sum("full").over(before), F.lit(0)) + F.coalesce(F.last("_reset", True).over(before), F.lit(0)), F.lit(2)) == 1
+    whole = Window.partitionBy("_file")
+    # A file without a line end at its end has one byte less than its lines with theirs; a byte order mark, which the reader leaves out, counts three.
+    cut = (F.sum("bytes").over(whole) - F.col("size")).isin(1, -2)
+    d = d.select(*at, begun.alias("begun"), F.lead("first").over(w).alias("following"), cut.alias("cut"))
+    d = d.withColumn("following", F.coalesce("following", F.when(~F.col("cut"), "")))
+    rows = lines.join(F.broadcast(d), at, "left").select(*at, "_split", "_size", "begun", "following", "model_id", "value")
+
+    class Rows:
+        """Records as columns; points as flat lists with bounds."""
+
+        def __init__(self):
+            self.heads, self.bad, self.bounds, self.none, self.x, self.y, self.ids = [], [], [0], [], [], [], []
+
+        def add(self, model: str, head: dict, seen: str | None, bad: str | None = None) -> None:
+            p = (seen or "").split()
+            try:
+                if len(p) % 3:
+                    raise ValueError
+                x, y, ids = list(map(float, p[0::3])), list(map(float, p[1::3])), list(map(int, p[2::3]))
+            except ValueError:
+                x, y, ids, bad = [], [], [], "malformed"
+            bad = bad or ("missing_points_line" if seen is None else None)
+            self.x += x
+            self.y += y
+            self.ids += ids
+            self.heads.append((model, *head.values()) if head else (model, *[None] * 5))
+            self.bounds.append(len(self.ids))
+            self.none.append(bad is not None)
+            self.bad.append(bad)
+
+        def batch(self) -> pa.RecordBatch:
+            points = pa.StructArray.from_arrays([pa.array(self.x, pa.float64()), pa.array(self.y, pa.float64()), pa.array(self.ids, pa.int64())], ["x", "y", "point_id"])
+            points = pa.ListArray.from_arrays(pa.array(self.bounds, pa.int32()), points, mask=pa.array(self.none, pa.bool_()))
+            kinds = [pa.string(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.int64(), pa.string()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*self.heads, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, points, pa.array(self.bad, pa.string())], ["model_id", "image_id", "q", "t", "camera_id", "name", "points", "violation"])
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, odd, head, model, last, read, size, split = None, False, None, None, None, 0, 0, False
+
+        def ended(rows: Rows) -> None:
+            """The last record of a split, if its second line isn't in it."""
+            if head is not None:
+                rows.add(model, head, last if split else None if read - size in (1, -2) else "")
 
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for model, text in zip(b["model_id"], b["value"], strict=True):
-                lines, at = text.split("\n"), 0
-                while at < len(lines):
-                    head = lines[at].strip()
-                    at += 1
-                    if not head or head.startswith("#"):
+            rows = Rows()
+            for key, part in pieces(b):
+                if key != now:
+                    ended(rows)
+                    model, split, size = (part.column(n)[0].as_py() for n in ("model_id", "_split", "_size"))
+                    now, odd, head, last, read = key, part.column("begun")[0].as_py(), None, part.column("following")[0].as_py(), 0
+                    if split and odd is None:
+                        raise ValueError(f"{key[0]} was split in another way before")
+                read += bytes_of(part.column("value"))
+                for value in part.column("value").to_pylist():
+                    if odd:
+                        # A split's first line may end the last record of the split before, which has it too.
+                        if head is not None:
+                            rows.add(model, head, value)
+                        odd, head = False, None
                         continue
-                    parts = head.split()
-                    row = dict.fromkeys(("image_id", "q", "t", "camera_id", "name", "points", "violation")) | {"model_id": model}
-                    try:
-                        row |= {"image_id": int(parts[0]), "q": [float(x) for x in parts[1:5]], "t": [float(x) for x in parts[5:8]], "camera_id": int(parts[8]), "name": parts[9]}
-                        if at >= len(lines):
-                            row["violation"] = "missing_points_line"
-                        else:
-                            p = lines[at].split()
-                            at += 1
-                            row["points"] = [(float(p[i]), float(p[i + 1]), int(p[i + 2])) for i in range(0, len(p), 3)]
-                    except (ValueError, IndexError):
-                        row["violation"] = "malformed"
-                    rows.append(row)
-            yield pd.DataFrame(rows, columns=["model_id", "image_id", "q", "t", "camera_id", "name", "points", "violation"])
-
-    d = spark.read.text(path, wholetext=True).select(_model_id().alias("model_id"), "value")
-    return d.mapInPandas(pair, kind)
+                    head = header(value)
+                    odd = head is not None
+                    if not odd and (text := value.strip()) and not text.startswith("#"):
+                        rows.add(model, {}, None, "malformed")
+            if rows.bad:
+                yield rows.batch()
+        rows = Rows()
+        ended(rows)
+        if rows.bad:
+            yield rows.batch()
+
+    return rows.mapInArrow(pair, kind)
 
 
 def read_depth(spark: SparkSession, path: str) -> DataFrame:
@@ -219,19 +320,24 @@ def write_once(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
+def _by_model(lines: DataFrame, by: str, path: str) -> None:
+    """One folder of text files for each model (model_id, value), in ranges of ``by``, so that a large model is written by many tasks."""
+    lines.repartitionByRange("model_id", by).select("model_id", "value").write.partitionBy("model_id").text(path)
+
+
 def write_sparse_points(points: DataFrame, path: str) -> None:
     """Text lines of points (model_id, point_id, x, y, z, rgb, error, track), one folder for each model; numbers keep all digits."""
     number = lambda c: c.cast("string")
     track = F.array_join(F.transform("track", lambda t: F.concat_ws(" ", t["image_id"].cast("string"), t["idx"].cast("string"))), " ")
     line = F.concat_ws(" ", F.col("point_id").cast("string"), *[number(F.col(c)) for c in "xyz"], F.array_join(F.transform("rgb", lambda v: v.cast("string")), " "), number(F.col("error")), track)
-    points.select("model_id", F.trim(line).alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
+    _by_model(points.select("model_id", "point_id", F.trim(line).alias("value")), "point_id", path)
 
 
 def write_sparse_cameras(cameras: DataFrame, path: str) -> None:
     """Text lines of cameras (model_id, camera_id, model, width, height, params), one folder for each model."""
     head = [F.col(c).cast("string") for c in ("camera_id", "model", "width", "height")]
     line = F.concat_ws(" ", *head, F.array_join(F.transform("params", lambda v: v.cast("string")), " "))
-    cameras.select("model_id", line.alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
+    _by_model(cameras.select("model_id", "camera_id", line.alias("value")), "camera_id", path)
 
 
 def write_sparse_images(images: DataFrame, path: str) -> None:
@@ -239,4 +345,4 @@ def write_sparse_images(images: DataFrame, path: str) -> None:
     numbers = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), " ")
     head = F.concat_ws(" ", F.col("image_id").cast("string"), numbers("q"), numbers("t"), F.col("camera_id").cast("string"), "name")
     points = F.array_join(F.transform("points", lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"), p["point_id"].cast("string"))), " ")
-    images.select("model_id", F.concat(head, F.lit("\n"), points).alias("value")).repartition("model_id").write.partitionBy("model_id").text(path)
+    _by_model(images.select("model_id", "image_id", F.concat(head, F.lit("\n"), points).alias("value")), "image_id", path)
