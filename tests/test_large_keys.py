@@ -29,3 +29,9 @@ def test_ranks_of_equal_scores_go_by_name(spark, tmp_path):
     d = sparse.rank_model_candidates(spark.createDataFrame(rows, "capture_id string, model_name long, registered_image_count long, triangulated_point_count long, reprojection_error_px double"))
     pairs = d.withColumn("following", F.lead("model_name").over(Window.orderBy("rank"))).where("model_name % 2 = 0")
     assert pairs.where("following = model_name + 1").count() == 1000
+
+
+def test_stage_frame_name_of_many_frames(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "1-HIGH"), (999_999, "2"), (1_000_000, "2"), (123_456_789, "2")], "o_orderkey long, o_orderpriority string")
+    got, want = compared(spark, tmp_path, "stage_frame_name", "orders", rows)
+    assert got == want and "(123456789, 'frame_123456789.png', True)" in got
