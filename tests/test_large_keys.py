@@ -24,9 +24,10 @@ def test_converted_view_name_of_many_cameras(spark, tmp_path):
 
 
 def test_ranks_of_equal_scores_go_by_name(spark, tmp_path):
-    """10 images with error 0 score as 11 without an error; whatever the number of points, the smaller name comes first."""
-    rows = [("c", k, 10 if k % 2 else 11, k // 2, 0.0 if k % 2 else None) for k in range(2000)]
+    """15 images with error 0 score as 16 without an error; whatever the number of points, the smaller name comes first."""
+    rows = [("c", k, 15 if k % 2 else 16, k // 2, 0.0 if k % 2 else None) for k in range(2000)]
     d = sparse.rank_model_candidates(spark.createDataFrame(rows, "capture_id string, model_name long, registered_image_count long, triangulated_point_count long, reprojection_error_px double"))
+    assert d.groupBy("triangulated_point_count").agg(F.count_distinct("score").alias("n")).where("n > 1").count() == 0
     pairs = d.withColumn("following", F.lead("model_name").over(Window.orderBy("rank"))).where("model_name % 2 = 0")
     assert pairs.where("following = model_name + 1").count() == 1000
 
