@@ -16,6 +16,7 @@ import shutil
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -189,3 +190,11 @@ def placed(rows: DataFrame, pack: Callable[[Iterator[pa.RecordBatch]], Iterator[
     bases = F.broadcast(bases) if bases.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES else bases.hint("merge")
     out = d.join(bases, ["file", "part"]).select("file", (F.col("base") + F.col("inside")).alias("offset"), "data")
     return out if heads is None else out.unionByName(heads.select("file", F.lit(0).cast("long").alias("offset"), "data"))
+
+
+def packed_lines(batches):
+    """Pieces of lines (file, line): one for each file of a batch, as a piece is a row of its own from here on."""
+    for b in batches:
+        for file, rows in groupby(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), lambda r: r[0]):
+            lines = [text for _, text in rows]
+            yield file, len(lines), "".join(f"{text}\n" for text in lines).encode()
