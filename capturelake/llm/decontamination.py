@@ -3,8 +3,9 @@
 1. Passages are windows of ``WINDOW`` words at every ``STRIDE``-th word. Words (lower case, runs of letters, digits and
    non-ASCII characters) are hashed straight from a batch's bytes; a passage's vector is the sum of its words' buckets,
    weighted by the squared IDF over all documents.
-2. A randomised SVD (range finder, one power iteration) over a bounded sample of passages and all passages of the
-   benchmark gives one latent basis. Its products with the matrix are Spark jobs; the driver sees only matrices of fixed size.
+2. A randomised SVD (range finder, one power iteration, then the Nystroem form of the second product) over all passages of
+   all documents and of the benchmark gives one latent basis. Its two products with the matrix are Spark jobs over the words'
+   buckets, which are written out once; the driver sees only matrices of fixed size.
 3. Every passage of every whole document is projected and its cosine with all items found as blocks of a matrix
    product. The items are the stated query set; an item longer than a window asks by its own passages, and where there are
    items of fewer than ``SHORT`` words, these are also held against windows of a quarter of the length. One scan of the
@@ -25,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import histogram, keyed, plain_words, slices, staged, without, word_hashes
+from .common import column_bytes, histogram, keyed, plain_words, slices, staged, without, word_hashes
 
 WINDOW, STRIDE = 48, 24
 #: Items of fewer words are also searched with windows of SHORT words.
 SHORT = 12
 BUCKETS = 1 << 14
 RANK, OVERSAMPLE = 96, 8
-#: The basis is fitted on about so many passages, picked by hash, besides all of the items.
-SAMPLE_PASSAGES = 8_000
+#: Half passages that a task multiplies at once, and rows that are summed up in one step of a sum by bucket.
+HALVES, RUN = 1 << 13, 64
 #: Queries that are compared at once, and about so many that one scan of the documents serves (their bits take 2 KB each).
 BLOCK, PASS_QUERIES = 1_024, 16_384
 COSINE, OVERLAP, COVER, ANSWER = 0.4, 0.5, 0.6, 0.5
@@ -46,20 +47,38 @@ def _buckets(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(50)).astype(np.int64)
 
 
-def idf_weights(texts: DataFrame) -> np.ndarray:
-    """ln(1 + N / df) squared of each bucket over all documents (text)."""
+def word_buckets(texts: DataFrame) -> DataFrame:
+    """(x): the words of each text (text) as u16 buckets, written out; texts without words have no row."""
+
+    def pack(batches):
+        for b in slices(batches, 0):
+            h, ends = word_hashes(b.column(0))
+            x = _buckets(h).astype(np.uint16)
+            rows = [r.tobytes() for r in np.split(x, ends[:-1]) if len(r)] if len(ends) else []
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["x"])
+
+    return staged(texts.mapInArrow(pack, "x binary"), "word-buckets")
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All buckets of a batch of ``word_buckets``, and where each text's end."""
+    data, offsets = column_bytes(column)
+    return np.frombuffer(data.tobytes(), np.uint16), offsets[1:] // 2
+
+
+def idf_weights(words: DataFrame) -> np.ndarray:
+    """ln(1 + N / df) squared of each bucket over all documents' ``word_buckets``."""
 
     def count(batches):
         total = np.zeros(BUCKETS + 1, np.int64)
         for b in slices(batches, 0):
-            h, ends = word_hashes(b.column(0))
-            n = np.diff(ends, prepend=0)
-            doc = np.repeat(np.arange(len(ends)), n)
-            total[:-1] += np.bincount(np.unique(doc * BUCKETS + _buckets(h)) % BUCKETS, minlength=BUCKETS)
-            total[-1] += int((n > 0).sum())
+            x, ends = _unpacked(b.column(0))
+            doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            total[:-1] += np.bincount(np.unique(doc * BUCKETS + x) % BUCKETS, minlength=BUCKETS)
+            total[-1] += len(ends)
         return total
 
-    total = histogram(texts, count, BUCKETS + 1)
+    total = histogram(words, count, BUCKETS + 1)
     return np.log1p(max(int(total[-1]), 1) / np.maximum(total[:-1], 1)) ** 2
 
 
@@ -102,31 +121,93 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _sums(key: np.ndarray, row: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each different key, sum of its rows of ``z``) of sorted keys: runs of up to ``RUN`` rows side by side, then the sums of runs."""
+    while True:
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.diff(np.append(first, len(key)))
+        runs = -(-n // RUN)
+        nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+        start, size = np.repeat(first, runs) + RUN * nth, np.minimum(RUN, np.repeat(n, runs) - RUN * nth)
+        down = np.argsort(-size, kind="stable")
+        start = start[down]
+        out = np.zeros((len(start), z.shape[1]), z.dtype)
+        for k, m in enumerate(np.searchsorted(-size[down], -np.arange(size.max(initial=0)), "left").tolist()):
+            out[:m] += np.take(z, row[start[:m] + k], axis=0)
+        if len(first) == len(start):
+            return key[start], out
+        order = np.argsort(key[start], kind="stable")
+        key, row, z = key[start][order], order, out
+
+
+def _square_lengths(x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Squared length of each row's vector; a bucket that occurs several times adds up first. The extra bucket ``BUCKETS`` weighs nothing."""
+    x = np.sort(x.astype(np.uint32), axis=1).ravel()
+    new = np.append(True, x[1:] != x[:-1])
+    new[::WINDOW] = True
+    first = np.flatnonzero(new)
+    v = (weight[x[first]] * np.diff(np.append(first, len(x)))) ** 2
+    return np.add.reduceat(v, np.searchsorted(first, np.arange(0, len(x), WINDOW)))
+
+
+def add_products(total: np.ndarray, bucket: np.ndarray, ends: np.ndarray, weight: np.ndarray, q: np.ndarray, scale: float = 1.0) -> None:
+    """Add ``scale^2 X^T L^-2 X q`` over all passages of some texts to ``total``: X counts a passage's words by bucket, L is the length of its weighted vector.
+
+    ``q`` and ``weight`` have a last row of zeros for no word. Half windows are multiplied once; a passage is two that follow each other.
+    """
+    n = np.diff(ends, prepend=0)
+    count = -(-n // STRIDE)
+    doc = np.repeat(np.arange(len(n)), count)
+    start = (ends - n)[doc] + STRIDE * (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count))
+    more = np.append(doc[1:] == doc[:-1], False)[: len(doc)]
+    passage = more | (count[doc] == 1)
+    for lo in range(0, len(doc), HALVES):
+        # The last half is here for its passage with the one before; it comes again as the first of the next lot.
+        hi = min(lo + HALVES, len(doc))
+        i = np.flatnonzero(passage[lo:hi])
+        if not len(i):
+            continue
+        two = more[lo:hi][i]
+        at = start[lo : hi + 1, None] + np.arange(STRIDE)
+        x = np.where(at < ends[doc[lo : hi + 1], None], bucket[np.minimum(at, len(bucket) - 1)], BUCKETS).astype(np.uint16)
+        y = np.zeros((len(x), q.shape[1]), np.float32)
+        for k in range(STRIDE):
+            y += np.take(q, x[:, k], axis=0)
+        both = np.full((len(i), WINDOW), BUCKETS, np.uint16)
+        both[:, :STRIDE] = x[i]
+        both[two, STRIDE:] = x[i[two] + 1]
+        own = y[i]
+        own[two] += y[i[two] + 1]
+        own *= (scale**2 / np.maximum(_square_lengths(both, weight), 1e-12)).astype(np.float32)[:, None]
+        z = np.zeros_like(y)
+        z[i] = own
+        z[i[two] + 1] += own[two]
+        flat = x.ravel()
+        order = np.argsort(flat, kind="stable")
+        order = order[: int((flat < BUCKETS).sum())]
+        key, sums = _sums(flat[order].astype(np.int64), order // STRIDE, z)
+        total[key] += sums
+
+
 class Product:
-    """``A^T (A Q)`` over the sampled passages, rows of A scaled to length 1; a picklable job."""
+    """``A^T (A Q)`` over all passages, rows of A scaled to length 1; a picklable job."""
 
-    def __init__(self, rows: DataFrame, idf: np.ndarray):
-        self.rows, self.idf = rows, idf
+    def __init__(self, words: DataFrame, idf: np.ndarray):
+        """``words``: (x, scale), rows of ``word_buckets`` with the weight of their passages."""
+        self.words, self.idf = words, idf
 
     def __call__(self, q: np.ndarray) -> np.ndarray:
-        idf, width, q = self.idf, q.shape[1], q.astype(np.float32)
+        width = q.shape[1]
+        weight = np.append(self.idf, 0).astype(np.float32)
+        q = np.append(q * self.idf[:, None], np.zeros((1, width)), 0).astype(np.float32)
 
         def multiply(batches):
             total = np.zeros((BUCKETS, width))
-            for b in batches:
-                # Rows are padded by the extra bucket BUCKETS, which weighs nothing.
-                x = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint16).reshape(-1, WINDOW).astype(np.int64)
-                scale = b.column(1).to_numpy()
-                w = np.append(idf, 0)[x]
-                rows = np.repeat(np.arange(len(x)), WINDOW)
-                length = _lengths(x, w)
-                y = (np.append(q, np.zeros((1, width), np.float32), 0)[x] * w[:, :, None]).sum(1) * (scale**2 / np.maximum(length, 1e-12) ** 2)[:, None]
-                order = np.argsort(x.ravel(), kind="stable")
-                at = x.ravel()[order]
-                first = np.flatnonzero(np.diff(at, prepend=-1))
-                sums = np.add.reduceat(y[rows[order]] * w.ravel()[order][:, None], first, axis=0)
-                real = at[first] < BUCKETS
-                total[at[first][real]] += sums[real]
+            for b in slices(batches, 0):
+                scales = b.column(1).to_numpy()
+                for scale in np.unique(scales).tolist():
+                    bucket, ends = _unpacked(b.column(0).filter(pa.array(scales == scale)))
+                    add_products(total, bucket, ends, weight, q, scale)
             for lo in range(0, BUCKETS, 512):
                 if total[lo : lo + 512].any():
                     yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int32()), pa.array([total[lo : lo + 512].astype(np.float32).tobytes()], pa.binary())], ["lo", "data"])
@@ -141,65 +222,33 @@ class Product:
 
         # Single precision travels and is kept: the driver holds a few of these matrices at a time, of 7 MB each.
         out = np.zeros((BUCKETS, width), np.float32)
-        for r in self.rows.mapInArrow(multiply, "lo int, data binary").repartition(8, "lo").mapInArrow(add, "lo int, data binary").collect():
+        for r in self.words.mapInArrow(multiply, "lo int, data binary").repartition(8, "lo").mapInArrow(add, "lo int, data binary").collect():
             out[r["lo"] : r["lo"] + 512] = np.frombuffer(r["data"], np.float32).reshape(-1, width)
-        return out
-
-
-def _lengths(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Length of each row's vector; a bucket that occurs several times adds up first."""
-    order = np.argsort(x, axis=1, kind="stable")
-    xs, ws = np.take_along_axis(x, order, 1), np.take_along_axis(w, order, 1)
-    total = np.cumsum(ws, 1)
-    last = np.append(xs[:, 1:] != xs[:, :-1], np.ones((len(x), 1), bool), 1)
-    upto = np.where(last, total, 0)
-    before = np.maximum.accumulate(np.append(np.zeros((len(x), 1)), upto[:, :-1], 1), 1)
-    return np.sqrt((np.where(last, total - before, 0) ** 2).sum(1))
-
+        return out * self.idf[:, None].astype(np.float32)
 
-def _packed(column: pa.Array) -> list[list[bytes]]:
-    """The windows of each text as padded u16 buckets."""
-    h, ends = word_hashes(column)
-    bucket = _buckets(h)
-    doc, first, end = _passages(ends)
-    at = first[:, None] + np.arange(WINDOW)
-    x = np.where(at < end[:, None], bucket[np.minimum(at, max(len(bucket) - 1, 0))] if len(bucket) else 0, BUCKETS).astype(np.uint16)
-    rows = [r.tobytes() for r in x]
-    cut = np.searchsorted(doc, np.arange(len(ends) + 1)).tolist()
-    return [rows[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
+def latent_basis(words: DataFrame, own: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """(BUCKETS + 1, rank at most) IDF-weighted basis from a randomised SVD of all passages; the last row is zero.
 
-def latent_basis(texts: DataFrame, items: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """(BUCKETS + 1, rank) IDF-weighted basis from a randomised SVD of sampled passages and the items'; the last row is zero.
-
-    ``texts``: (h, text) of all documents with a hash of the row; ``items``: (text).
+    ``words`` and ``own``: ``word_buckets`` of all documents and of all items.
     """
-    n_docs = max(texts.count(), 1)
-    share = min(1.0, SAMPLE_PASSAGES / n_docs)
-
-    def take(batches):
-        for b in slices(batches, 1):
-            # One window of each picked document.
-            rows = [mine[int(h) % len(mine)] for h, mine in zip(b.column(0).to_pylist(), _packed(b.column(1)), strict=True) if mine]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["x"])
-
-    def all_windows(batches):
-        for b in slices(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array([r for mine in _packed(b.column(0)) for r in mine], pa.binary())], ["x"])
-
-    picked = texts.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
-    rows = staged(picked.mapInArrow(take, "x binary").repartition(8), "svd-passages")
-    own = staged(items.mapInArrow(all_windows, "x binary").repartition(8), "svd-items")
-    # The items weigh as much as the sample, so that the basis holds what sets them apart.
-    scale = float(np.sqrt(max(rows.count(), 1) / max(own.count(), 1)))
-    product = Product(rows.withColumn("scale", F.lit(1.0)).unionByName(own.withColumn("scale", F.lit(scale))), idf)
+    halves = F.ceil(F.length("x") / (2.0 * STRIDE))
+    passages = lambda d: d.agg(F.sum(F.greatest(halves - 1, F.lit(1)))).first()[0] or 1
+    # The items weigh as much as the documents, so that the basis holds what sets them apart.
+    scale = float(np.sqrt(passages(words) / passages(own)))
+    product = Product(words.withColumn("scale", F.lit(1.0)).unionByName(own.withColumn("scale", F.lit(scale))), idf)
     width = min(rank + OVERSAMPLE, BUCKETS)
-    q = np.linalg.qr(product(np.random.default_rng(SEED).standard_normal((BUCKETS, width), np.float32)))[0]
-    q = np.linalg.qr(product(q))[0]
-    gram = q.T @ product(q)
-    value, vector = np.linalg.eigh((gram + gram.T) / 2)
+    q = np.linalg.qr(product(np.random.default_rng(SEED).standard_normal((BUCKETS, width), np.float32)))[0].astype(float)
+    y = product(q).astype(float)
+    # Nystroem: the matrix is about y (q^T y)^-1 y^T, so its vectors are those of y (q^T y)^(-1/2).
+    value, vector = np.linalg.eigh(q.T @ y + y.T @ q)
+    real = value > 1e-6 * value.max()
+    half = y @ (vector[:, real] / np.sqrt(value[real] / 2))
+    value, vector = np.linalg.eigh(half.T @ half)
     best = np.argsort(-value)[:rank]
-    return np.append((q @ vector[:, best]) * idf[:, None].astype(np.float32), np.zeros((1, len(best)), np.float32), 0)
+    best = best[value[best] > 1e-6 * value.max()]
+    basis = half @ (vector[:, best] / np.sqrt(value[best]))
+    return np.append((basis * idf[:, None]).astype(np.float32), np.zeros((1, len(best)), np.float32), 0)
 
 
 class Item:
@@ -289,8 +338,9 @@ def _found(d: DataFrame, benchmark: DataFrame, cosine: float, cover: float, answ
     n = items.agg(F.sum(passages)).first()[0]
     if not n:
         return d.sparkSession.createDataFrame([], kind)
-    idf = idf_weights(d.select("text"))
-    basis = latent_basis(d.select(F.xxhash64("row", F.lit("svd")).alias("h"), "text"), items.select("text"), idf)
+    words = word_buckets(d.select("text"))
+    idf = idf_weights(words)
+    basis = latent_basis(words, word_buckets(items.select("text")), idf)
     passes, found = -(-n // PASS_QUERIES), None
     for k in range(passes):
         here = items if passes == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -630,3 +631,31 @@ def test_mixed_documents_with_null_and_repeated_ids(spark):
     out = mixing.mixed_documents(docs).collect()
     assert sum(len(r.text.split()) for r in out) == want and any(r.doc_id is None for r in out)
     assert all(r.text for r in out) and mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_latent_products_hold_all_passages(spark):
+    """Texts of all lengths about a window's and one of more than a lot of halves, against plain sums over passages."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.4, n) % 300) for n in (1, 23, 24, 25, 48, 49, 72, 500, decontamination.STRIDE * (decontamination.HALVES + 900) + 7)]
+    words = decontamination.word_buckets(spark.createDataFrame([(t,) for t in [*texts, "", " . "]], "text string"))
+    idf, q = decontamination.idf_weights(words), rng.standard_normal((decontamination.BUCKETS, 3))
+    rows, want = [np.frombuffer(r.x, np.uint16) for r in words.collect()], np.zeros(q.shape)
+    assert len(rows) == len(texts)
+    for x in rows:
+        for a, z in zip(*decontamination._passages(np.array([len(x)]))[1:], strict=True):
+            at, n = np.unique(x[a:z], return_counts=True)
+            row = n * idf[at] / np.linalg.norm(n * idf[at])
+            want[at] += np.outer(row, row @ q[at])
+    got = decontamination.Product(words.select("x", F.lit(1.0).alias("scale")), idf)(q)
+    assert np.abs(got - want).max() < 1e-4 * np.abs(want).max()
+
+
+def test_latent_basis_is_of_all_documents(spark):
+    """Of 12,000 documents 40 have six words of their own each: all of these documents are directions of the basis."""
+    rare = [" ".join(f"r{i}x{j}" for j in range(6)) for i in range(40)]
+    words = decontamination.word_buckets(spark.range(11_960).select(F.lit("common words only").alias("text")).unionByName(spark.createDataFrame([(t,) for t in rare], "text string")))
+    own = decontamination.word_buckets(spark.createDataFrame([("an item",)], "text string"))
+    basis = decontamination.latent_basis(words, own, decontamination.idf_weights(words))
+    h, ends = common.word_hashes(pa.array(rare))
+    v = decontamination._normal(basis[decontamination._buckets(h)]).reshape(40, 6, -1)
+    assert (v @ v[:, :1].transpose(0, 2, 1) > 0.9).mean() > 0.9  # but for words that share a bucket
