@@ -66,3 +66,18 @@ def test_all_kinds_of_components(spark):
         "a": ("big", "high", 0, [], None), "b": ("n1", "low", 2, ["equal_quality_active_candidate_tie_resolved_by_stable_component_name_path"], None), "c": ("split", "low", 0, ["selected_component_has_equal_longest_registered_segments"], None),
         "d": ("one", "low", 0, ["non_subset_overlap_with:cross"], None), "e": (None, None, 0, [], "duplicate image name in /double"), "f": (None, None, 0, [], "no usable registered component"),
     }
+
+
+def test_strict_subsets_are_those_of_all_relations(spark):
+    """Sets of more names than are probed, with copies, parts and sets that lack one common name; no pair of other sets is counted."""
+    rng = random.Random(9)
+    big = [frozenset(rng.sample(range(60), rng.randint(20, 40))) for _ in range(12)]
+    sets = [*big, *big[:3], *(frozenset(rng.sample(sorted(b), rng.randint(1, len(b)))) for b in big for _ in range(3)), *(b - {min(b)} | {99} for b in big)]
+    members = spark.createDataFrame([(f"c{i:03}", n) for i, b in enumerate(sets) for n in b], "component string, name long")
+    want = {r.component for r in sparse.component_relations(members).where("relation = 'strict_subset'").selectExpr("left AS component").collect()}
+    want |= {r.component for r in sparse.component_relations(members).where("relation = 'strict_superset'").selectExpr("right AS component").collect()}
+    got = sparse.strict_subsets(members)
+    assert {r.left for r in got.collect()} == want == {f"c{i:03}" for i, b in enumerate(sets) if any(b < o for o in sets)}
+    inventory = members.groupBy("component").agg(F.count("*").alias("registered"), F.count("*").alias("longest_run"), F.lit(1.0).alias("coverage"))
+    chosen = [sorted(map(tuple, sparse.select_component(inventory, r).collect())) for r in (got, sparse.component_relations(members))]
+    assert chosen[0] == chosen[1]
