@@ -81,3 +81,13 @@ def test_strict_subsets_are_those_of_all_relations(spark):
     inventory = members.groupBy("component").agg(F.count("*").alias("registered"), F.count("*").alias("longest_run"), F.lit(1.0).alias("coverage"))
     chosen = [sorted(map(tuple, sparse.select_component(inventory, r).collect())) for r in (got, sparse.component_relations(members))]
     assert chosen[0] == chosen[1]
+
+
+def test_pairs_are_dealt_before_they_are_counted(spark):
+    """Partial sums by name held and spilled nearly all pairs: between the join by name and the counts there is only an exchange by pair."""
+    members = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 2)], "component string, name long")
+    d = sparse.component_relations(members)
+    assert sorted((r.left, r.right, r.overlap_count, r.relation) for r in d.collect()) == [("a", "b", 1, "strict_superset"), ("a", "c", 1, "strict_superset")]
+    plan = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+    at = next(i for i, line in enumerate(plan) if "REPARTITION_BY_COL" in line)
+    assert "partial_count" in plan[at - 1] and not any("partial_count" in line for line in plan[at + 1 : at + 4])
