@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import violations
+from ..functions.staging import dealt, staged
 from .quantiles import exact_percentiles, joined
 
 
@@ -64,8 +65,14 @@ def endpoint_match(views: DataFrame, poses: DataFrame, key: Sequence[str] = ("ru
 
     views: key, camera, sha; poses: key, left, right, alpha, sha.
     """
-    ends = poses.where("left = right AND alpha = 0").select(*key, F.col("left").alias("camera"), F.col("sha").alias("pose_sha"))
-    d = views.join(ends, [*key, "camera"], "left").groupBy(*key, "camera").agg(F.count("pose_sha").alias("poses"), F.coalesce(F.bool_and(F.col("sha") == F.col("pose_sha")), F.lit(False)).alias("equal"))
+    k = [*key, "camera"]
+    ends = poses.where("left = right AND alpha = 0").select(*key, F.col("left").alias("camera"), F.col("sha").alias("_sha"), F.lit(0).alias("_view"), F.when(F.col("sha").isNotNull(), 1).otherwise(0).alias("_pose")).dropna(subset=k)
+    rows = views.select(*k, F.col("sha").alias("_sha"), F.lit(1).alias("_view"), F.lit(0).alias("_pose")).unionByName(ends)
+    rows = staged(rows, "endpoints")
+    # Counts of equal rows first, so that texts are keys only and a task's memory is one table of hashes of its own part.
+    each = dealt(rows, k, rows.count()).groupBy(*k, "_sha").agg(F.sum("_view").alias("_views"), F.sum("_pose").alias("_poses"))
+    d = each.groupBy(*k).agg(F.sum("_views").alias("_views"), F.sum("_poses").alias("poses"), F.count("_sha").alias("_shas"), F.sum(F.when(F.col("_sha").isNotNull(), F.col("_views"))).alias("_known")).where("_views > 0")
+    d = d.select(*k, (F.col("_views") * F.col("poses")).alias("poses"), ((F.col("_shas") == 1) & (F.col("_known") > 0) & (F.col("poses") > 0)).alias("equal"))
     return d.withColumn("violation", F.when(F.col("poses") == 0, "missing").when(F.col("poses") > 1, "several").when(~F.col("equal"), "pixels")).where("violation IS NOT NULL")
 
 
