@@ -1,9 +1,9 @@
-"""Tasks whose memory does not grow with the input."""
+"""Tasks whose memory does not grow with the input: endpoints, registered names and exposure events."""
 
 from pyspark.sql import functions as F
 
 from capturelake.functions import staging
-from capturelake.operators import images
+from capturelake.operators import images, sparse
 
 
 def test_endpoints_with_repeated_views_nulls_and_parts(spark, monkeypatch):
@@ -17,3 +17,13 @@ def test_endpoints_with_repeated_views_nulls_and_parts(spark, monkeypatch):
     d = images.endpoint_match(views, poses)
     assert {(r.run_id, r.camera): (r.poses, r.equal) for r in d.collect()} == want
     assert "REPARTITION_BY_NUM" in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_registered_names_with_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(staging, "PART_ROWS", 2)
+    selected = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", 1, "w"), ("b", None, "v")], "component string, name int, more string")
+    registered = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("b", None)], "component string, name int")
+    d = sparse.registered_vs_selected(registered, selected, ["component"])
+    assert sorted((r.more, r.registered) for r in d.collect()) == [("v", False), ("w", False), ("x", True), ("y", True), ("z", False)]
+    assert d.columns == ["component", "name", "more", "registered"]
+    assert d._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
