@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.markers import parse_shape_marker
 from ..operators.telemetry import PHASES
 
+#: Rows of a state's output that are made at once.
+SLICE = 1 << 16
+
 
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:
     """Complete lines of the log files that appear below ``path``; carriage returns part lines too. The run is the file's name."""
@@ -77,20 +81,34 @@ def stream_records(events: DataFrame) -> DataFrame:
 def stream_exposure(events: DataFrame) -> DataFrame:
     """Running count of each camera and cameras seen so far (run_id, iteration, camera); out-of-sequence events are marked.
 
-    The state of a run is the next iteration and one count for each of its cameras.
+    The state of a run is the next iteration and one count for each of its cameras. A run's new events are held as two numbers each, as they
+    must be sorted, and go out in slices of ``SLICE`` rows.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         following, names, counts = state.get if state.exists else (1, [], [])
-        seen = dict(zip(names, counts, strict=True))
-        t = pd.concat(list(batches)).sort_values("iteration", kind="stable")
-        rows = []
-        for iteration, camera in zip(t["iteration"], t["camera"], strict=True):
-            seen[camera] = seen.get(camera, 0) + 1
-            rows.append((key[0], int(iteration), camera, seen[camera], len(seen), int(iteration) == following))
-            following = int(iteration) + 1
-        state.update((following, list(seen), list(seen.values())))
-        yield pd.DataFrame(rows, columns=["run_id", "iteration", "camera", "exposure_count", "cumulative_unique_count", "in_sequence"])
+        code = {name: n for n, name in enumerate(names)}
+        parts = []
+        for b in batches:
+            own, found = pd.factorize(b["camera"], use_na_sentinel=False)
+            to = [code.setdefault(None if pd.isna(c) else c, len(code)) for c in found]
+            parts.append((b["iteration"].astype("int64").to_numpy(), np.array(to, np.int32)[own]))
+        at, camera = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(at, kind="stable")
+        at, camera = at[order], camera[order]
+        total = np.bincount(camera, minlength=len(code))
+        before = np.zeros(len(code), np.int64)
+        before[: len(counts)] = counts
+        by = np.argsort(camera, kind="stable")
+        count = np.empty(len(at), np.int64)
+        count[by] = np.arange(1, len(at) + 1) - (np.cumsum(total) - total - before)[camera[by]]
+        seen = len(names) + np.cumsum(count == 1)
+        good = at == np.append(following, at[:-1] + 1)
+        state.update((int(at[-1]) + 1, list(code), (before + total).tolist()))
+        label = np.array([*code, ""], object)[:-1]
+        for lo in range(0, len(at), SLICE):
+            one = slice(lo, lo + SLICE)
+            yield pd.DataFrame({"run_id": key[0], "iteration": at[one], "camera": label[camera[one]], "exposure_count": count[one], "cumulative_unique_count": seen[one], "in_sequence": good[one]})
 
     d = events.select("run_id", F.col("iteration").cast("long").alias("iteration"), "camera")
     kind = "run_id long, iteration long, camera string, exposure_count long, cumulative_unique_count long, in_sequence boolean"

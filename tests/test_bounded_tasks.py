@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from capturelake.functions import staging
 from capturelake.operators import images, sparse
+from capturelake.streaming import progress
 
 
 def test_endpoints_with_repeated_views_nulls_and_parts(spark, monkeypatch):
@@ -27,3 +28,22 @@ def test_registered_names_with_repeated_rows(spark, monkeypatch):
     assert sorted((r.more, r.registered) for r in d.collect()) == [("v", False), ("w", False), ("x", True), ("y", True), ("z", False)]
     assert d.columns == ["component", "name", "more", "registered"]
     assert d._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+
+
+def test_exposure_in_slices_and_micro_batches(spark, tmp_path, monkeypatch):
+    """Two micro-batches, null and new cameras, a gap and slices of three rows."""
+    monkeypatch.setattr(progress, "SLICE", 3)
+    out, last = str(tmp_path / "out"), {}
+    rows = [[(7, i, c) for i, c in enumerate(["a", None, "a", "b", "a", None, "c", "b"], 1)], [(7, 12, "d"), (7, 11, "a"), (8, 1, None)]]
+    for k, r in enumerate(rows):
+        spark.createDataFrame(r, "run_id long, iteration long, camera string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        d = progress.stream_exposure(spark.readStream.schema("run_id long, iteration long, camera string").parquet(str(tmp_path / "in")))
+        d.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    want, seen = [], {}
+    for run, i, c in [*rows[0], (7, 11, "a"), (7, 12, "d"), (8, 1, None)]:
+        own = seen.setdefault(run, {})
+        own[c] = own.get(c, 0) + 1
+        want.append((run, i, c, own[c], len(own), i == last.get(run, 0) + 1))
+        last[run] = i
+    got = spark.read.parquet(out).select("run_id", "iteration", "camera", "exposure_count", "cumulative_unique_count", "in_sequence").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
