@@ -108,28 +108,32 @@ def audit_image_records(records: DataFrame, found: DataFrame, contract_names: Da
     contract_names and model_names: key, name. contracts: key, width, height, one row a model.
 
     A record's name is a base name, unique, with a stem of its own, and known to all sides; its file has the declared hashes and the contract's
-    size. Names that only the contract or the model has are listed too; files without a record are not. All sides meet in one shuffle by name, of partial aggregates.
+    size. Names that only the contract or the model has are listed too; files without a record are not. Each of a name's records is held
+    against its file. All sides meet in one shuffle by name, of partial aggregates.
     """
     c = F.col
-    fields = {"_file": "string", "_pixels": "string", "_sha": "string", "_pixel_sha": "string", "_w": "int", "_h": "int"}
-
-    def side(d: DataFrame, label: str, **own: str) -> DataFrame:
-        return d.select(key, "name", F.lit(label).alias("_side"), *[(c(own[n]) if n in own else F.lit(None)).cast(kind).alias(n) for n, kind in fields.items()])
-
-    rows = side(records, "record", _file="file_sha256", _pixels="decoded_pixel_sha256")
-    for d in (side(found, "file", _sha="sha256", _pixel_sha="pixel_sha256", _w="width", _h="height"), side(contract_names, "contract"), side(model_names, "model")):
-        rows = rows.unionByName(d)
-    n = {s: F.count_if(c("_side") == s).alias(f"_{s}s") for s in ("record", "file", "contract", "model")}
-    d = rows.groupBy(key, "name").agg(*n.values(), *[F.max(f).alias(f) for f in fields]).where("_records + _contracts + _models > 0")
+    # Strings are keys of the groups, never their sums: sums of strings would sort all rows. What is sorted is sorted by name first, in which few rows are equal.
+    held = records.groupBy("name", key, "file_sha256", "decoded_pixel_sha256").agg(F.count("*").alias("_records"))
+    held = held.join(found.select(c(key).alias("_key"), c("name").alias("_name"), "sha256", "pixel_sha256", "width", "height", F.lit(True).alias("_file")).hint("merge"), c("name").eqNullSafe(c("_name")) & c(key).eqNullSafe(c("_key")), "left")
+    differ = lambda a, b: c("_file") & ~c(a).eqNullSafe(c(b))
+    on_disk = {"_files": F.coalesce("_file", F.lit(False)), "_sha": F.coalesce(differ("file_sha256", "sha256"), F.lit(False)), "_pixels": F.coalesce(differ("decoded_pixel_sha256", "pixel_sha256"), F.lit(False)), "_w": c("width").cast("int"), "_h": c("height").cast("int")}
+    none = {"_files": F.lit(False), "_sha": F.lit(False), "_pixels": F.lit(False), "_w": F.lit(None).cast("int"), "_h": F.lit(None).cast("int")}
+    rows = held.select(key, "name", "_records", F.lit(False).alias("_contract"), F.lit(False).alias("_model"), *[v.alias(n) for n, v in on_disk.items()])
+    for d, label in ((contract_names, "contract"), (model_names, "model")):
+        rows = rows.unionByName(d.select(key, "name", F.lit(0).cast("long").alias("_records"), *[F.lit(s == label).alias(f"_{s}") for s in ("contract", "model")], *[v.alias(n) for n, v in none.items()]))
+    d = rows.groupBy(key, "name").agg(F.sum("_records").alias("_records"), *[F.max(n).alias(n) for n in ("_contract", "_model", *none)])
+    # What follows the last point, if anything is before it, is no part of the stem.
+    ending = F.length(F.substring_index("name", ".", -1))
+    stem = F.when(ending < F.length("name") - 1, F.substring(c("name"), F.lit(1), F.length("name") - ending - 1)).otherwise(c("name"))
     limits = contracts.select(c(key).alias("_key"), c("width").alias("_width"), c("height").alias("_height"))
+    d = d.withColumn("_stem", stem)
+    d = d.withColumn("_twins", F.count_if(c("_records") > 0).over(Window.partitionBy("_stem", key)))
     d = scene_join(d.withColumn("_key", c(key)), limits, "_key", "left").drop("_key")
-    stem = F.regexp_replace("name", r"(?<=.)\.[^.]*$", "")
-    twins = F.count_if(c("_records") > 0).over(Window.partitionBy(key, stem))
-    has, on_disk = c("_records") > 0, c("_files") > 0
-    differ = lambda a, b: has & on_disk & ~c(a).eqNullSafe(c(b))
+    has, both = c("_records") > 0, (c("_records") > 0) & c("_files")
+    size = ~c("_w").eqNullSafe(c("_width")) | ~c("_h").eqNullSafe(c("_height"))
     v = X.violations(
-        not_a_basename=has & (F.coalesce(c("name"), F.lit("")).isin("", ".", "..") | c("name").contains("/")), repeated=c("_records") > 1, stem=has & (twins > 1), not_in_contract=has & (c("_contracts") == 0), only_in_contract=~has & (c("_contracts") > 0), not_in_model=has & (c("_models") == 0), only_in_model=~has & (c("_models") > 0),
-        file_missing=has & ~on_disk, file_hash=differ("_file", "_sha"), pixel_hash=differ("_pixels", "_pixel_sha"), dimensions=differ("_w", "_width") | differ("_h", "_height"),
+        not_a_basename=has & (F.coalesce(c("name"), F.lit("")).isin("", ".", "..") | c("name").contains("/")), repeated=c("_records") > 1, stem=has & (c("_twins") > 1), not_in_contract=has & ~c("_contract"), only_in_contract=~has & c("_contract"), not_in_model=has & ~c("_model"), only_in_model=~has & c("_model"),
+        file_missing=has & ~c("_files"), file_hash=c("_sha"), pixel_hash=c("_pixels"), dimensions=both & size,
     )
     return d.select(key, "name", v.alias("violations")).where("size(violations) > 0")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..functions.staging import new_folder
+from ..functions.staging import new_folder, staged
 from ..operators import gates, media, reports, runs, sparse, telemetry, trajectory
 from ..sources import files
 from ..streaming import progress
@@ -220,9 +220,11 @@ TRAINING = """t AS (SELECT l_orderkey % 50 AS model_id, l_partkey AS p, CASE WHE
 
 def _training(lineitem):
     c, p = F.col, F.col("p")
-    t = lineitem.select((c("l_orderkey") % 50).alias("model_id"), c("l_partkey").alias("p"), F.concat(F.when(c("l_partkey") % 29 == 0, "d/").otherwise(""), F.lit("f"), c("l_partkey").cast("string"), F.when(c("l_suppkey") % 2 == 0, ".png").otherwise(".jpg")).alias("name"))
-    records = t.where("p % 23 <> 0").select("model_id", "name", F.lit("a").alias("file_sha256"), F.lit("b").alias("decoded_pixel_sha256"))
-    n = t.distinct()
+    t = lineitem.select((c("l_orderkey") % 50).alias("model_id"), c("l_partkey").alias("p"), (c("l_suppkey") % 2 == 0).alias("png"))
+    named = lambda d: d.select("model_id", "p", F.concat(F.when(p % 29 == 0, "d/").otherwise(""), F.lit("f"), p.cast("string"), F.when(c("png"), ".png").otherwise(".jpg")).alias("name"))
+    records = named(t.where("p % 23 <> 0")).select("model_id", "name", F.lit("a").alias("file_sha256"), F.lit("b").alias("decoded_pixel_sha256"))
+    # A name is its numbers, which are made different and written once for the three sides that read them.
+    n = named(staged(t.distinct(), "training-names"))
     found = n.where("p % 11 <> 0").select("model_id", "name", F.when(p % 13 == 0, "x").otherwise("a").alias("sha256"), F.when(p % 19 == 0, "y").otherwise("b").alias("pixel_sha256"), F.when(p % 17 == 0, 641).otherwise(640).alias("width"), F.lit(480).alias("height"))
     names = lambda d: d.select("model_id", "name")
     return records, found, names(n.where("p % 5 <> 0")), names(n.where("p % 7 <> 0"))

@@ -120,3 +120,13 @@ def test_models_of_a_training_input(spark):
     off = cameras.withColumn("params", F.array(*map(F.lit, (5.0, 5.0, 2.0)))).withColumn("width", F.lit(5))
     bad = media.audit_training_models(contracts.where("model_id = 1").withColumn("pixel_digest", F.lit("x")), records, found, off, model.limit(1)).first()["violations"]
     assert bad == ["camera_size", "intrinsics", "image_count", "pixel_digest"]
+
+
+def test_image_records_are_not_sorted_for_their_hashes(spark):
+    """Groups are hashed, not sorted; two records of one name are both held against its file."""
+    records, found, contract, model = training(spark)
+    name = found.first()["name"]
+    records = records.unionByName(records.where(F.col("name") == name).withColumn("file_sha256", F.lit("")))
+    d = media.audit_image_records(records, found, contract, model, spark.createDataFrame([(1, 4, 3)], "model_id int, width int, height int"))
+    assert "SortAggregate" not in d._jdf.queryExecution().executedPlan().toString()
+    assert {r["name"]: r["violations"] for r in d.collect()} == {name: ["repeated", "file_hash"]}
