@@ -51,29 +51,34 @@ def gate_settings(configs: DataFrame, key: str, text: str = "quality_gates") ->
 
     A gate that is absent or no object has its defaults. A setting that is no number (true and text included) or out of its range keeps
     its violation ``value`` and has no value; a mode of another name, ``mode``. Unknown gates and settings are rows of their own with ``unknown``. What
-    is no JSON object has one row with ``not_an_object``; null text is an empty configuration. Rows are made of each configuration alone, without a join.
+    is no JSON object has one row with ``not_an_object``; null text is an empty configuration. Rows are made of each configuration alone, without a join; as
+    one becomes about twenty, configurations are dealt to all tasks before, whatever files they come in.
     """
     c = F.col
     document = F.try_parse_json(F.coalesce(c(text), F.lit("{}")))
     whole = F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
     fields = lambda v: F.coalesce(F.from_json(F.when(F.schema_of_variant(v).startswith("OBJECT"), F.to_json(v)), "map<string, variant>"), F.from_json(F.lit("{}"), "map<string, variant>"))
-    d = configs.select(key, whole.alias("_whole"), fields(document).alias("_gates"))
+    parts = int(configs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = configs.select(key, text).repartition(parts).select(key, whole.alias("_whole"), fields(document).alias("_gates"))
     known = [F.struct(F.lit(g).alias("gate"), F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(v)).alias("preset"), F.lit(1.0 if n in SHARES else float("inf")).alias("most")) for n, v in settings.items()]).alias("settings")) for g, settings in DEFAULTS.items()]
     others = F.transform(F.filter(F.map_keys("_gates"), lambda g: ~g.isin(*DEFAULTS)), lambda g: F.struct(g.alias("gate"), F.array().cast("array<struct<name: string, preset: double, most: double>>").alias("settings")))
     d = d.select(key, "_whole", "_gates", F.explode(F.when(c("_whole"), F.concat(F.array(*known), others)).otherwise(F.array(F.struct(F.lit(None).cast("string").alias("gate"), F.array().cast("array<struct<name: string, preset: double, most: double>>").alias("settings"))))).alias("_g"))
-    d = d.select(key, "_whole", c("_g.gate").alias("gate"), c("_g.settings").alias("_known"), fields(F.element_at("_gates", c("_g.gate"))).alias("_given"))
+    # Each given setting is read once, to its number and text; what follows compares plain values only.
+    number = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+    plain = lambda _, v: F.struct(F.when(F.schema_of_variant(v).rlike(number), F.try_variant_get(v, "$", "double")).alias("value"), F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).alias("text"))
+    d = d.select(key, "_whole", c("_g.gate").alias("gate"), c("_g.settings").alias("_known"), F.transform_values(fields(F.element_at("_gates", c("_g.gate"))), plain).alias("_given"))
     row = lambda name, value, mode, given, violation: F.struct(name.cast("string").alias("name"), value.cast("double").alias("value"), mode.cast("string").alias("mode"), given.alias("given"), violation.cast("string").alias("violation"))
-    none, number = F.lit(None), "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+    none = F.lit(None)
 
     def setting(x):
         own = F.element_at("_given", x["name"])
-        value = F.when(F.schema_of_variant(own).rlike(number), F.try_variant_get(own, "$", "double"))
+        value = own["value"]
         given = F.array_contains(F.map_keys("_given"), x["name"])
         good = F.coalesce((value >= 0) & (value <= x["most"]) & (value < float("inf")), F.lit(False))
         return row(x["name"], F.when(~given, x["preset"]).when(good, value), none, given, F.when(given & ~good, "value"))
 
     own = F.element_at("_given", F.lit("mode"))
-    mode, given = F.when(F.schema_of_variant(own) == "STRING", F.try_variant_get(own, "$", "string")), F.array_contains(F.map_keys("_given"), "mode")
+    mode, given = own["text"], F.array_contains(F.map_keys("_given"), "mode")
     fine = F.coalesce(mode.isin(*MODES), F.lit(False))
     known_gate = c("gate").isin(*DEFAULTS)
     mode_row = row(F.lit("mode"), none, F.when(~given, "off").when(fine, mode), given, F.when(given & ~fine, "mode"))

@@ -159,3 +159,12 @@ def test_progress_as_a_stream_over_a_restart(spark, tmp_path):
         d = progress.stream_records(spark.readStream.schema(EVENTS).parquet(source))
         d.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination()
     assert sorted((tuple(r) for r in spark.read.parquet(out).collect()), key=str) == sorted(plain(rows), key=str)
+
+
+def test_settings_are_made_by_all_tasks(spark):
+    """A table of one file is dealt before each row becomes many."""
+    configs = spark.range(0, 40, 1, 1).select(F.col("id").alias("k"), F.lit('{"ply": {"mode": "observe"}}').alias("quality_gates"))
+    d = gates.gate_settings(configs, "k")
+    per_task = d.groupBy(F.spark_partition_id()).agg(F.count_distinct("k").alias("n")).collect()
+    assert len(per_task) > 1 and sum(r["n"] for r in per_task) == 40
+    assert d.where("gate = 'ply' AND name = 'mode' AND mode = 'observe'").count() == 40
