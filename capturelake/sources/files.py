@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .binary_files import local_path
 from .sparse_binary import read_sparse_binary_cameras, read_sparse_binary_images, read_sparse_binary_points  # noqa: F401
 
 MOTION = "struct<inlier_ratio: double, score: double, grid_coverage: double, residual_rmse_diag_ratio: double, valid: boolean, reason: string>"
@@ -293,14 +295,63 @@ def read_event_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return d.withColumn("run_id", F.regexp_extract("_metadata.file_name", r"^([^.]*)", 1))
 
 
+def _small_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of all files below a mounted folder, hidden ones left out, as Spark's readers do. Tasks list them: the driver sees the folder's own entries only."""
+    top = [os.path.join(path, n) for n in sorted(os.listdir(path)) if n[0] not in "._"]
+
+    def below(batches):
+        for b in batches:
+            for start in b.column(0).to_pylist():
+                if os.path.isfile(start):
+                    yield pa.RecordBatch.from_arrays([pa.array([start])], ["path"])
+                for folder, inner, names in os.walk(start):
+                    inner[:] = [n for n in inner if n[0] not in "._"]
+                    names = [os.path.join(folder, n) for n in names if n[0] not in "._"]
+                    if names:
+                        yield pa.RecordBatch.from_arrays([pa.array(names)], ["path"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.createDataFrame([(p,) for p in top], "path string").repartition(parts).mapInArrow(below, "path string")
+
+
+def _small_json(spark: SparkSession, path: str, schema: str, wanted: str) -> DataFrame:
+    """Rows of the JSON documents whose path matches ``wanted``, with their path ``p``: what ``_json`` gives, but dealt to a fixed number of tasks.
+
+    Spark's reader sends a file's status to the driver for each file and opens some thirty files a task, whose results the driver gets too.
+    """
+    try:
+        folder = local_path(path)
+    except ValueError:
+        folder = ""
+    if not os.path.isdir(folder):  # other stores and patterns
+        return _json(spark, path, schema).withColumn("p", F.col("_metadata.file_path")).where(F.col("p").rlike(wanted))
+
+    def read(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 100):
+                names, bodies = b.column(0).slice(lo, 100), []
+                for name in names.to_pylist():
+                    with open(name, "rb") as f:
+                        bodies.append(f.read().decode("utf-8-sig", "replace"))
+                yield pa.RecordBatch.from_arrays([names, pa.array(bodies, pa.string())], ["p", "body"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = _small_files(spark, folder).where(F.col("path").rlike(wanted)).repartition(parts, "path").mapInArrow(read, "p string, body string").where(F.col("body").rlike(r"\S"))
+    kind = spark.createDataFrame([], schema).schema.simpleString()
+    found = F.coalesce(F.from_json("body", f"array<{kind}>", {"allowNonNumericNumbers": "false"}), F.array(F.lit(None).cast(kind)))
+    return d.select("p", F.explode(found).alias("r")).select("p", "r.*")
+
+
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
     """Attempts of ``<run>/stages/<stage>/attempt-NNNN/{request,result}.json``; a request without a result is an orphan."""
-    d = _json(spark, path, ATTEMPT).withColumn("p", F.col("_metadata.file_path"))
-    e = lambda g: F.regexp_extract("p", r"([^/]+)/stages/([^/]+)/attempt-(\d+)/(\w+)\.json$", g)
-    d = d.withColumns({"run_id": e(1), "stage": e(2), "attempt": e(3).try_cast("int"), "kind": e(4)})
-    a = d.where("kind = 'request'").select("run_id", "stage", "attempt", "started_at")
-    b = d.where("kind = 'result'").select("run_id", "stage", "attempt", "status", "finished_at", "artifacts")
-    return a.join(b, ["run_id", "stage", "attempt"], "full_outer").withColumn("orphan", F.col("status").isNull())
+
+    def side(kind: str, *columns: str) -> DataFrame:
+        name = rf"([^/]+)/stages/([^/]+)/attempt-(\d+)/{kind}\.json$"
+        e = lambda g: F.regexp_extract("p", name, g)
+        return _small_json(spark, path, ATTEMPT, name).select(e(1).alias("run_id"), e(2).alias("stage"), e(3).try_cast("int").alias("attempt"), *columns)
+
+    a, b = side("request", "started_at"), side("result", "status", "finished_at", "artifacts")
+    return a.join(b.hint("merge"), ["run_id", "stage", "attempt"], "full_outer").withColumn("orphan", F.col("status").isNull())
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
