@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.staging import staged
 from ..functions import markers
 from ..operators import frames, gates, images, sparse, telemetry, trajectory
 from ..streaming import monitor
@@ -106,12 +107,13 @@ SETS = "u AS (SELECT DISTINCT capture_id, component, name FROM m), z AS (SELECT
 
 def _nested(b_components):
     c = F.col
-    base = b_components.where("component % 4 = 0").withColumn("j", F.explode(F.array(*map(F.lit, range(4)))))
+    base = staged(b_components.where("component % 4 = 0"), "nested-components")
+    fourfold = lambda d: d.withColumn("j", F.explode(F.array(*map(F.lit, range(4)))))
     capture = (F.floor(c("component") / 4) % 5).alias("capture_id")
-    rows = base.select(capture, (c("component") + c("j")).alias("component"), "name", "j")
+    own = (c("component") + c("j")).alias("component")
     error = F.when(c("component") % 13 == 0, "cannot be read")
-    components = rows.select("capture_id", "component").distinct().withColumns({"path": F.concat(F.lit("p"), c("component").cast("string")), "parse_error": error})
-    rows = rows.where("name % shiftleft(1, j) = 0").drop("j")
+    components = fourfold(base.select("component").distinct()).select(capture, own).withColumns({"path": F.concat(F.lit("p"), c("component").cast("string")), "parse_error": error})
+    rows = fourfold(base).where("name % shiftleft(1, j) = 0").select(capture, own, "name")
     return components, rows.unionByName(rows.where("component % 7 = 0 AND name % 40 = 0"))
 
 

@@ -91,3 +91,26 @@ def test_pairs_are_dealt_before_they_are_counted(spark):
     plan = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
     at = next(i for i, line in enumerate(plan) if "REPARTITION_BY_COL" in line)
     assert "partial_count" in plan[at - 1] and not any("partial_count" in line for line in plan[at + 1 : at + 4])
+
+
+def test_members_are_read_once(spark, tmp_path):
+    """The inventory and the choice start from names that are written out, not from the members' own plan."""
+    from pyspark.sql import functions as F
+
+    from capturelake.operators import sparse
+
+    seen = spark.sparkContext.accumulator(0)
+    members = spark.createDataFrame([(1, c, n) for c, n in [(1, 1), (1, 2), (2, 1), (3, 7)]], "capture_id long, component long, name long")
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    members = members.mapInArrow(count, members.schema)
+    components = spark.createDataFrame([(1, c, f"p{c}", None) for c in (1, 2, 3)], "capture_id long, component long, path string, parse_error string")
+    positions = spark.range(8).select(F.lit(1).cast("long").alias("capture_id"), F.col("id").alias("name"), F.col("id").alias("position"))
+    inventory, selection = sparse.choose_component(components, members, positions)
+    assert {r["component"]: r["status"] for r in inventory.collect()} == {1: "selected", 2: "dominated", 3: "not_selected"}
+    assert selection.first()["selected"] == 1
+    assert seen.value == 4
