@@ -73,7 +73,9 @@ def materialize_depth(depths: DataFrame, manifest: DataFrame, mapping: DataFrame
     """Write ``<stem>_depth.npy`` for each prepared frame; returns rgb_path, prepared_name, source_path, source_sha256, output_name, output_sha256, height, width, dtype.
 
     Arguments as for ``depth_violations``; any violation is an error before a file is written. Maps are single-precision arrays.
+    They are read and decoded once, for the check and for what is written.
     """
+    depths = staged(depths, "depth-maps-read")
     bad = depth_violations(depths, manifest, mapping)
     faults = bad.groupBy("violation").count().collect()  # one row for each kind
     if faults:
