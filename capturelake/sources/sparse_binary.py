@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -263,23 +264,78 @@ def model_violations(cameras: DataFrame, images: DataFrame, points: DataFrame) -
     return out.unionByName(bare.select("model_id", F.lit("camera").alias("part"), F.lit(None).cast("long").alias("id"), F.lit("no_records").alias("violation")))
 
 
-def _write(rows: DataFrame, by: str, file: str, columns: list, record, path: str, overwrite: bool) -> None:
-    """Pieces of about ``RANGE_BYTES`` / 4 of ``record``'s bytes, in order of ``by`` within each model."""
+def _plain(column: pa.Array, kind: pa.DataType) -> np.ndarray:
+    """A field's values in the type of the format; a null or a whole number that it cannot hold fails the job."""
+    if column.null_count:
+        raise ValueError("a null is no field of a record")
+    return column.cast(kind, safe=not pa.types.is_floating(kind)).to_numpy(zero_copy_only=False)
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(lengths, all elements) of lists; a null list is empty."""
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64), column.flatten()
+
+
+def _vectors(column: pa.Array, size: int) -> np.ndarray:
+    n, values = _listed(column)
+    if (n != size).any():
+        raise ValueError(f"a vector of {size} numbers has another length")
+    return _plain(values, pa.float64()).reshape(-1, size)
+
+
+def _elements(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, all elements) of lists of structs; numbers with a fraction may be null, which is written as NaN."""
+    n, values = _listed(column)
+    if values.null_count:
+        raise ValueError("a null is no element of a record")
+    out = np.empty(len(values), kind)
+    for f in kind.names:
+        one = values.field(f)
+        out[f] = _plain(pc.fill_null(one.cast(pa.float64(), safe=False), np.nan), pa.float64()) if kind[f].kind == "f" else _plain(one, pa.from_numpy_dtype(kind[f]))
+    return n, out
+
+
+def _laid_out(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds of records) of records that have a run of each part's bytes, in this order; a part is all its bytes and each record's number of them."""
+    sizes = np.stack([n for _, n in parts], 1)
+    bounds = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes.sum(1), out=bounds[1:])
+    of = np.repeat(np.tile(np.arange(len(parts), dtype=np.uint8), len(sizes)), sizes.ravel())
+    out = np.empty(bounds[-1], np.uint8)
+    for k, (data, _) in enumerate(parts):
+        out[of == k] = data.view(np.uint8)
+    return out, bounds
+
+
+def _each(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data, np.full(len(data), data.dtype.itemsize, np.int64)
+
+
+def _write(rows: DataFrame, by: str, file: str, columns: list, records, path: str, overwrite: bool) -> None:
+    """Pieces of about ``RANGE_BYTES`` / 4 of the bytes that ``records`` makes of whole batches, in order of ``by`` within each model."""
 
     def pack(batches):
-        name, parts, size = None, [], 0
+        name, parts, n, size = None, [], 0, 0
         for b in batches:
-            for model, *fields in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            data, bounds = records(*b.columns[1:])
+            models, start = pc.run_end_encode(b.column(0)), 0
+            for model, stop in zip(models.values.to_pylist(), models.run_ends.to_pylist(), strict=True):
                 if not model or "/" in model:
                     raise ValueError(f"model {model!r} is no folder name")
-                if model != name or size >= RANGE_BYTES // 4:
-                    if parts:
-                        yield f"{name}/{file}", len(parts), b"".join(parts)
-                    name, parts, size = model, [], 0
-                parts.append(record(*fields))
-                size += len(parts[-1])
+                if model != name and parts:
+                    yield f"{name}/{file}", n, b"".join(parts)
+                    parts, n, size = [], 0, 0
+                name = model
+                while start < stop:
+                    # As many records as reach the piece's size, the last one whole.
+                    end = min(stop, int(np.searchsorted(bounds, bounds[start] + RANGE_BYTES // 4 - size)))
+                    parts.append(data[bounds[start] : bounds[end]])
+                    n, size, start = n + end - start, size + len(parts[-1]), end
+                    if size >= RANGE_BYTES // 4:
+                        yield f"{name}/{file}", n, b"".join(parts)
+                        parts, n, size = [], 0, 0
         if parts:
-            yield f"{name}/{file}", len(parts), b"".join(parts)
+            yield f"{name}/{file}", n, b"".join(parts)
 
     d = rows.select(F.col("model_id").cast("string").alias("model_id"), F.col(by).alias("_by"), *columns)
     d = ordered(d, ["model_id", "_by"]).drop("_by")
@@ -288,30 +344,46 @@ def _write(rows: DataFrame, by: str, file: str, columns: list, record, path: str
 
 def write_sparse_binary_cameras(cameras: DataFrame, path: str, overwrite: bool = False) -> None:
     """``<model_id>/cameras.bin`` of rows (model_id, camera_id, model, width, height, params), by id; a wrong number of parameters fails the job."""
-    numbers = {name: (number, n) for number, (name, n) in enumerate(MODELS)}
+    numbers = {name: number for number, (name, _) in enumerate(MODELS)}
 
-    def record(camera_id, model, width, height, params):
-        number, n = numbers[model]
-        return struct.pack(f"<iiQQ{n}d", camera_id, number, width, height, *params)
+    def records(camera_id, model, width, height, params):
+        head = np.empty(len(camera_id), _CAMERA)
+        head["camera_id"], head["width"], head["height"] = _plain(camera_id, pa.int32()), _plain(width, pa.uint64()), _plain(height, pa.uint64())
+        head["model"] = [numbers[m] for m in model.to_pylist()]
+        n, values = _listed(params)
+        if (n != np.array([k for _, k in MODELS])[head["model"]]).any():
+            raise ValueError("a camera has a wrong number of parameters")
+        return _laid_out([_each(head), (_plain(values, pa.float64()), 8 * n)])
 
-    _write(cameras, "camera_id", "cameras.bin", ["camera_id", "model", "width", "height", "params"], record, path, overwrite)
+    _write(cameras, "camera_id", "cameras.bin", ["camera_id", "model", "width", "height", "params"], records, path, overwrite)
 
 
 def write_sparse_binary_images(images: DataFrame, path: str, overwrite: bool = False) -> None:
     """``<model_id>/images.bin`` of rows (model_id, image_id, q, t, camera_id, name, points), by id; null points are none."""
 
-    def record(image_id, q, t, camera_id, name, points):
-        points = [(p["x"], p["y"], p["point_id"]) for p in points or []]
-        return struct.pack("<idddddddi", image_id, *q, *t, camera_id) + name.encode() + b"\0" + struct.pack("<Q", len(points)) + np.array(points, _SEEN).tobytes()
+    def records(image_id, q, t, camera_id, name, points):
+        head = np.empty(len(image_id), _IMAGE)
+        head["image_id"], head["camera_id"] = _plain(image_id, pa.int32()), _plain(camera_id, pa.int32())
+        head["q"], head["t"] = _vectors(q, 4), _vectors(t, 3)
+        names = [x.encode() + b"\0" for x in name.to_pylist()]
+        n, seen = _elements(points, _SEEN)
+        return _laid_out([_each(head), (np.frombuffer(b"".join(names), np.uint8), np.fromiter(map(len, names), np.int64, len(names))), _each(n.astype("<u8")), (seen, _SEEN.itemsize * n)])
 
-    _write(images, "image_id", "images.bin", ["image_id", "q", "t", "camera_id", "name", "points"], record, path, overwrite)
+    _write(images, "image_id", "images.bin", ["image_id", "q", "t", "camera_id", "name", "points"], records, path, overwrite)
 
 
 def write_sparse_binary_points(points: DataFrame, path: str, overwrite: bool = False) -> None:
     """``<model_id>/points3D.bin`` of rows (model_id, point_id, x, y, z, rgb, error, track), by id; a null track is empty."""
 
-    def record(point_id, x, y, z, rgb, error, track):
-        pairs = [(p["image_id"], p["idx"]) for p in track or []]
-        return struct.pack("<QdddBBBdQ", point_id, x, y, z, *rgb, error, len(pairs)) + np.array(pairs, _PAIR).tobytes()
-
-    _write(points, "point_id", "points3D.bin", ["point_id", "x", "y", "z", "rgb", "error", "track"], record, path, overwrite)
+    def records(point_id, x, y, z, rgb, error, track):
+        n, pairs = _elements(track, _PAIR)
+        head = np.empty(len(point_id), _POINT)
+        head["point_id"], head["error"], head["size"] = _plain(point_id, pa.uint64()), _plain(error, pa.float64()), n
+        head["xyz"] = np.stack([_plain(c, pa.float64()) for c in (x, y, z)], 1)
+        k, colours = _listed(rgb)
+        if (k != 3).any():
+            raise ValueError("a colour has other than 3 numbers")
+        head["rgb"] = _plain(colours, pa.uint8()).reshape(-1, 3)
+        return _laid_out([_each(head), (pairs, _PAIR.itemsize * n)])
+
+    _write(points, "point_id", "points3D.bin", ["point_id", "x", "y", "z", "rgb", "error", "track"], records, path, overwrite)

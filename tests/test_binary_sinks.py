@@ -4,8 +4,10 @@ import io
 import math
 import os
 import struct
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,66 @@ def test_one_binary_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
     assert (tmp_path / "again/m1/images.bin").read_bytes() == (m / "images.bin").read_bytes()
 
 
+IMAGES, POINTS, CAMERAS = (k.replace(", violation string", "") for k in (sparse_binary.IMAGE_ROWS, sparse_binary.POINT_ROWS, sparse_binary.CAMERA_ROWS))
+
+
+def packer(spark, monkeypatch, write, rows, schema):
+    """The batch that a writer's task gets of a few rows, and what packs it."""
+    taken = []
+    with monkeypatch.context() as m:
+        m.setattr(sparse_binary, "placed", lambda d, pack, head: taken.append((d, pack)))
+        m.setattr(sparse_binary, "write_pieces", lambda *_: None)
+        write(spark.createDataFrame(rows, schema), "")
+    return taken[0][0].toArrow().combine_chunks().to_batches()[0], taken[0][1]
+
+
+def test_records_are_packed_by_whole_batches(spark, monkeypatch):
+    """Packing makes fewer than two calls a record; pieces are cut between records and at the next model, and have the bytes of plain code."""
+    nan = lambda v: math.nan if v is None else v
+    numbers = {name: k for k, (name, _) in enumerate(sparse_binary.MODELS)}
+    an_image = lambda i, q, t, c, name, p: struct.pack("<i7di", i, *q, *t, c) + name.encode() + b"\0" + struct.pack("<Q", len(p or [])) + b"".join(struct.pack("<ddq", nan(x), nan(y), k) for x, y, k in p or [])
+    a_point = lambda i, x, y, z, rgb, e, t: struct.pack("<Q3d3BdQ", i, x, y, z, *rgb, e, len(t or [])) + b"".join(struct.pack("<ii", *a) for a in t or [])
+    a_camera = lambda i, m, w, h, p: struct.pack(f"<iiQQ{len(p)}d", i, numbers[m], w, h, *p)
+    images = [(f"m{k // 700}", k, [k / 7, 0.0, 1.0, -k / 3], [0.5, float(k), 2.0], k % 5 - 1, f"f{k}é.png" if k % 9 else "", [(k / 3, None if j == 2 else -j / 7, j - 1) for j in range(k % 4)] if k % 11 else None) for k in range(2000)]
+    points = [(f"m{k // 700}", k, k / 3, -k / 7, math.inf, [k % 256, 0, 255], k / 9, [(k - 9, j) for j in range(k % 4)] if k % 11 else None) for k in range(2000)]
+    cameras = [(f"m{k // 700}", k - 3, name, k, k + 1, [k / (j + 3) for j in range(n)]) for k in range(2000) for name, n in [sparse_binary.MODELS[k % 11]]]
+    for write, rows, schema, record in ((sparse_binary.write_sparse_binary_images, images, IMAGES, an_image), (sparse_binary.write_sparse_binary_points, points, POINTS, a_point), (sparse_binary.write_sparse_binary_cameras, cameras, CAMERAS, a_camera)):
+        batch, pack = packer(spark, monkeypatch, write, rows, schema)
+        list(pack([batch.slice(0, 9)]))  # what is imported at first use
+        calls = []
+        sys.setprofile(lambda frame, event, what, calls=calls: calls.append(event))
+        try:
+            whole = list(pack([batch]))
+        finally:
+            sys.setprofile(None)
+        assert calls.count("call") + calls.count("c_call") < 2 * len(rows)
+        want = {}
+        for model, *fields in rows:
+            want.setdefault(model, []).append(record(*fields))
+        assert [(f.split("/")[0], n, x) for f, n, x in whole] == [(m, len(r), b"".join(r)) for m, r in want.items()]
+        with monkeypatch.context() as m:
+            m.setattr(sparse_binary, "RANGE_BYTES", 4 * 999)
+            cut = list(pack([batch.slice(0, 7), batch.slice(7, 0), batch.slice(7, 1200), batch.slice(1207)]))
+        assert len(cut) > 9 and max(len(x) for _, _, x in cut) < 999 + max(len(x) for r in want.values() for x in r)
+        for file, n, data in whole:
+            assert (sum(k for f, k, _ in cut if f == file), b"".join(x for f, _, x in cut if f == file)) == (n, data)
+
+
+def test_records_that_the_format_cannot_hold_fail(spark, monkeypatch):
+    i, p, c = ("m", 1, [1.0, 0.0, 0.0, 0.0], [0.0] * 3, 1, "a.png", [(1.0, 2.0, 3)]), ("m", 1, 0.0, 0.0, 0.0, [1, 2, 3], 0.5, [(1, 2)]), ("m", 1, "PINHOLE", 4, 4, [1.0] * 4)
+    for write, schema, row, bad in (
+        (sparse_binary.write_sparse_binary_images, IMAGES, i, [(0, None), (0, "a/b"), (1, None), (1, 1 << 31), (2, [1.0] * 3), (2, None), (3, [0.0, None, 0.0]), (4, None), (5, None), (6, [None]), (6, [{"x": 1.0, "y": 2.0, "point_id": None}])]),
+        (sparse_binary.write_sparse_binary_points, POINTS, p, [(1, -1), (2, None), (5, [1, 2, 256]), (5, [1, 2]), (6, None), (7, [{"image_id": 1 << 31, "idx": 0}]), (7, [{"image_id": None, "idx": 0}])]),
+        (sparse_binary.write_sparse_binary_cameras, CAMERAS, c, [(1, 1 << 31), (2, "X"), (3, -1), (4, None), (5, [1.0] * 3), (5, None)]),
+    ):
+        batch, pack = packer(spark, monkeypatch, write, [row], schema)
+        assert len(list(pack([batch]))) == 1
+        for k, v in bad:
+            one = batch.set_column(k, batch.schema.field(k), pa.array([v], batch.schema.field(k).type))
+            with pytest.raises((ValueError, TypeError, KeyError, OverflowError, AttributeError, struct.error)):
+                list(pack([one]))
+
+
 def test_faults_of_binary_models(spark, tmp_path):
     def folder(name, **parts):
         (tmp_path / name).mkdir()
