@@ -33,3 +33,35 @@ def test_pairs_are_made_after_the_shuffle(spark, data_dir):
     at = next(i for i, line in enumerate(plan) if "REPARTITION_BY_NUM" in line)
     above = [line for line in plan[:at] if "Exchange" in line and "BroadcastExchange" not in line]
     assert not above and sum("Generate explode" in line for line in plan[:at]) >= 2
+
+
+@pytest.mark.parametrize(("key", "limit"), [(["capture"], 0), (["capture"], 1_000_000), ([], 0), ([], 1_000_000)])
+def test_every_pair_and_its_names(spark, monkeypatch, key, limit):
+    """Disjoint pairs are listed, within a capture only, and each pair has the names that both have; with one capture of many blocks and small ones in one."""
+    monkeypatch.setattr(sparse, "BLOCK", 4)
+    monkeypatch.setattr(sparse, "BROADCAST_COMPONENTS", limit)
+    rng = random.Random(3)
+    sets = {(k, f"{k}{i:02}"): frozenset(rng.sample(range(30), rng.randint(1, 4))) for k, n in (("a", 21), ("b", 2), ("c", 1), ("d", 3)) for i in range(n)}
+    sets["a", "a90"], sets["a", "a91"] = frozenset([77]), frozenset(range(30))
+    rows = [(k, c, n) for (k, c), names in sets.items() for n in names]
+    members = spark.createDataFrame(rows, "capture string, component string, name long").repartition(3)
+    d = sparse.pair_relations(members, key)
+    got = [(*[r[f] for f in key], r.left, r.right, r.left_size, r.right_size, r.overlap_count, list(r.overlap_names), r.relation) for r in d.collect()]
+    want = [(*([k] if key else []), a, b, len(x), len(y), len(x & y), sorted(x & y), relation(x, y)) for (k, a), x in sets.items() for (o, b), y in sets.items() if (k == o or not key) and a < b]
+    assert sorted(got) == sorted(want) and {"disjoint", "strict_subset"} <= {w[-1] for w in want}
+
+
+def test_query_lists_disjoint_pairs(spark, tmp_path):
+    """The query against its SQL, on components of which most share no name."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from capturelake.plans.queries import ORACLES
+
+    lines = spark.range(900).select((F.col("id") % 90).alias("l_suppkey"), (F.col("id") % 90 * 7 + F.xxhash64("id") % 9).alias("l_partkey"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    d = QUERIES["component_relations"](spark, str(tmp_path))
+    got, want = sorted(map(tuple, d.collect())), sorted(con.sql(f"select {', '.join(d.columns)} from ({ORACLES['component_relations']})").fetchall())
+    assert got == want and len(got) == 90 * 89 // 2 and sum(r[3] == "disjoint" for r in got) > 3000
